@@ -345,9 +345,12 @@ class CommitLogTable:
         batches, base = self._pinned
         return batches, (_end_of(base) if base else None)
 
-    def _empty(self, with_meta: bool = True) -> DataFrame:
-        schema = self._read_schema() if with_meta else (self._schema or T.StructType([]))
-        return self.spark.createDataFrame([], schema)
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self._read_schema())
+
+    def _is_empty(self) -> bool:
+        batches, base_end = self.pin()
+        return not batches and base_end is None
 
     def log(self) -> DataFrame:
         """Every version in the visible log batches, tombstones included."""
@@ -386,6 +389,8 @@ class CommitLogTable:
 
     def snapshot(self, as_of: str | None = None, with_meta: bool = False) -> DataFrame:
         """The table as of its last (or ``as_of``) commit, one row per key."""
+        if self._is_empty():
+            return self._finish(self._empty().drop(BATCH_COL), with_meta)
         log = self.log()
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
@@ -425,6 +430,8 @@ class CommitLogTable:
         """
         if mode not in INCREMENT_MODES:
             raise ValueError(f"mode must be one of {INCREMENT_MODES}")
+        if self._is_empty():
+            return self._finish(self._empty().drop(BATCH_COL), with_meta)
         log = self.log()
         base_end = self.pin()[1]
         in_range = F.lit(True)
