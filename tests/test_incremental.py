@@ -161,3 +161,14 @@ def test_stream_replica_equals_snapshot(spark, tmp_table_dir):
     src.delete(spark.createDataFrame([("b",)], "id string"))
     upsert_stream(src, dst, ckpt).awaitTermination()
     assert snap(dst) == snap(src) == [("a", "a-late"), ("c", "c1")]
+
+
+def test_stream_delete_then_reinsert_in_one_batch(spark, tmp_table_dir):
+    src = mk_table(spark, f"{tmp_table_dir}/src")
+    dst = CommitLogTable.create(spark, f"{tmp_table_dir}/dst", src.spec)
+    src.write(spark.createDataFrame([("a", 1, "a1"), ("b", 1, "b1")], SCHEMA))
+    src.delete(spark.createDataFrame([("a",), ("b",)], "id string"))
+    src.write(spark.createDataFrame([("a", 0, "a-back")], SCHEMA))
+    upsert_stream(src, dst, f"{tmp_table_dir}/stream").awaitTermination()
+    snap = lambda t: sorted((r["id"], r["v"]) for r in t.snapshot().collect())
+    assert snap(dst) == snap(src) == [("a", "a-back")]

@@ -53,6 +53,31 @@ OPERATIONS = ("upsert", "insert", "bulk_insert", "delete")
 TABLE_TYPES = ("COPY_ON_WRITE", "MERGE_ON_READ")
 INCREMENT_MODES = ("latest_state", "changes")
 COMMIT_FORMAT = "%Y%m%d%H%M%S%f"  # rendered to 17 digits (milliseconds)
+DELETE_SUFFIX = "~delete"  # batch-name mark of a commit holding tombstones
+
+
+def resolve_versions(
+    versions: DataFrame, keys: list[str], order: list[str], merge_mode: str, tombstones: bool = True
+) -> DataFrame:
+    """Latest live version per key among ``versions`` (data rows and tombstones).
+
+    ``incoming_wins`` (order starts with ``_commit_time``): tombstones rank
+    with the data, and a key whose newest version is a tombstone is gone. One
+    window, whose partial ``WindowGroupLimit`` runs before the shuffle.
+
+    ``event_time``: versions at or before the key's newest tombstone are
+    dropped first (left-anti join on plain key equality against one row per
+    deleted key, then the window on the same keys); skipped when the input is
+    known to hold no tombstones.
+    """
+    if merge_mode == "incoming_wins":
+        return latest_per_key(versions, keys, order).filter(~F.col(DELETED_COL))
+    data = versions.filter(~F.col(DELETED_COL))
+    if tombstones:
+        tombs = versions.filter(F.col(DELETED_COL)).groupBy(*keys).agg(F.max(COMMIT_COL).alias(TOMB_COL))
+        cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs[TOMB_COL]]
+        data = data.join(tombs, on=cond, how="left_anti")
+    return latest_per_key(data, keys, order)
 
 
 @dataclass(frozen=True)
@@ -283,7 +308,8 @@ class CommitLogTable:
             rows = rows.withColumn(DELETED_COL, F.lit(False))
         rows = self._guard_keys(rows)
         commit = commit_time or _next_commit_time(self.last_commit())
-        self._write_batch(rows.withColumn(COMMIT_COL, F.lit(commit)), commit, options)
+        batch = f"{commit}{DELETE_SUFFIX}" if operation == "delete" else commit
+        self._write_batch(rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options)
         if schema != self._schema:
             self._write_meta(commit, schema)
         self._pinned = None
@@ -374,18 +400,16 @@ class CommitLogTable:
         where = f"{self.path}/base/{name}"
         return self.spark.read.schema(schema).option("basePath", where).parquet(where)
 
+    def has_tombstones(self) -> bool:
+        """Whether any visible log batch came from a delete (from names, no scan)."""
+        batches, _ = self.pin()
+        return any(b.endswith(DELETE_SUFFIX) for b in batches)
+
     def _resolve(self, versions: DataFrame) -> DataFrame:
         """Latest live version per key among ``versions`` (tombstones applied)."""
-        keys = self.spec.resolve_keys
-        data = versions.filter(~F.col(DELETED_COL))
-        tombs = (
-            versions.filter(F.col(DELETED_COL))
-            .groupBy(*keys)
-            .agg(F.max(COMMIT_COL).alias(TOMB_COL))
+        return resolve_versions(
+            versions, self.spec.resolve_keys, self._order(versions), self.spec.merge_mode, self.has_tombstones()
         )
-        cond = [data[k].eqNullSafe(tombs[k]) for k in keys] + [data[COMMIT_COL] <= tombs[TOMB_COL]]
-        live = data.join(tombs, on=cond, how="left_anti")
-        return latest_per_key(live, keys, self._order(live))
 
     def snapshot(self, as_of: str | None = None, with_meta: bool = False) -> DataFrame:
         """The table as of its last (or ``as_of``) commit, one row per key."""

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import COMMIT_COL, DELETED_COL
 from tidemark.operators.keyed import latest_per_key
-from tidemark.plans.commitlog import BATCH_COL, CommitLogTable
+from tidemark.plans.commitlog import BATCH_COL, CommitLogTable, resolve_versions
 
 
 def change_stream(source: CommitLogTable, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,12 +41,14 @@ def upsert_stream(
     def apply(batch: DataFrame, _epoch: int) -> None:
         batch = batch.persist()  # read once, used for data and tombstones
         try:
-            data = batch.filter(~F.col(DELETED_COL))
-            latest = latest_per_key(data, keys, source._order(data))
+            # the newest source version per key decides: data is written,
+            # a tombstone becomes a delete in the target
+            live = resolve_versions(batch, keys, source._order(batch), source.spec.merge_mode)
+            rows = live.drop(DELETED_COL).withColumnRenamed(COMMIT_COL, "commit_time")
             # the source commit time travels along as an ordinary column
-            rows = latest.drop(DELETED_COL).withColumnRenamed(COMMIT_COL, "commit_time")
             target.write(rows, operation="insert")
-            target.delete(batch.filter(F.col(DELETED_COL)).select(*keys).distinct())
+            newest = latest_per_key(batch, keys, [COMMIT_COL])
+            target.delete(newest.filter(F.col(DELETED_COL)).select(*keys))
         finally:
             batch.unpersist()
 
