@@ -33,7 +33,7 @@ INDEX_SCOPES = {"BLOOM": "partition", "GLOBAL_BLOOM": "table"}
 
 @dataclass
 class WriteConfig:
-    glue_database: str
+    glue_database: str | None
     table_name: str
     record_id: str
     precomb_key: str | None

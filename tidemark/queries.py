@@ -337,14 +337,14 @@ def partitioned_write_counts(spark: SparkSession, sf: str) -> DataFrame:
     customers = customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
     name = "customers_" + scratch_dir(spark, "c").rsplit("-", 1)[1]
     config = WriteConfig(
-        glue_database="tidemark", table_name=name, record_id="customer_id", precomb_key=None,
+        glue_database=None, table_name=name, record_id="customer_id", precomb_key=None,
         table_type="COPY_ON_WRITE", partition_fields="state", enable_partition=True, enable_cleaner=False,
         enable_hive_sync=True, enable_clustering=False, enable_meta_data_indexing=False,
         use_sql_transformer=False, sql_transformer_query=None, target_path=scratch_dir(spark, name),
         compression="gzip",
     )
     upsert_table(spark, customers, config)
-    return spark.sql(f"SELECT state, count(*) AS n_rows FROM tidemark.{name} GROUP BY state")
+    return spark.sql(f"SELECT state, count(*) AS n_rows FROM {name} GROUP BY state")
 
 
 def gen_customers(spark: SparkSession, sf: str) -> DataFrame:
