@@ -119,3 +119,27 @@ def apply_sql_transform(spark: SparkSession, df: DataFrame, query: str | None) -
         return spark.sql(query, temp=df)
     df.createOrReplaceTempView("temp")
     return spark.sql(query)
+
+
+def upsert_to_gold(
+    spark: SparkSession,
+    df: DataFrame,
+    bucket: str,
+    table_name: str,
+    record_id: str,
+    precomb_key: str | None,
+    table_type: str = "COPY_ON_WRITE",
+    method: str = "upsert",
+    database: str | None = None,
+) -> str | None:
+    """The second helper — same write, fixed target ``<bucket>/gold/table_name=<name>/``,
+    catalog sync on, no cleaner."""
+    config = WriteConfig(
+        glue_database=database, table_name=table_name, record_id=record_id, precomb_key=precomb_key,
+        table_type=table_type, partition_fields=None, enable_partition=False, enable_cleaner=False,
+        enable_hive_sync=True, enable_clustering=False, enable_meta_data_indexing=False,
+        use_sql_transformer=False, sql_transformer_query=None,
+        target_path=f"{bucket.rstrip('/')}/gold/table_name={table_name}/", method=method,
+        compression="gzip",
+    )
+    return upsert_table(spark, df, config)

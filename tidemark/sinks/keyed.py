@@ -125,3 +125,9 @@ def put_partitions(
             client.put_batch(batch)
 
     payload.select("item").foreachPartition(send)
+
+
+def preview(df: DataFrame, n: int = 20, enabled: bool = False) -> None:
+    """Console preview, only on request (it runs an extra job)."""
+    if enabled:
+        df.show(n, truncate=False)
