@@ -53,3 +53,10 @@ def rename(spark: SparkSession, src: str, dst: str) -> None:
     fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise OSError(f"could not rename {src} to {dst}")
+
+
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths matching a glob, relative to the pattern's literal prefix (one listing call)."""
+    fs, p = _fs_and_path(spark, pattern)
+    found = fs.globStatus(p)
+    return sorted(str(st.getPath().toString()) for st in found) if found is not None else []

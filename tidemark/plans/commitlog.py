@@ -196,12 +196,9 @@ class CommitLogTable:
 
     # -------------------------------------------------------------- timeline
     def _finished(self, area: str) -> list[str]:
-        root = f"{self.path}/{area}"
-        return [
-            d
-            for d in fs.list_dirs(self.spark, root)
-            if d.startswith(f"{BATCH_COL}=") and fs.exists(self.spark, f"{root}/{d}/_SUCCESS")
-        ]
+        """Batch directories of ``area`` holding a ``_SUCCESS`` (one glob call)."""
+        found = fs.glob_names(self.spark, f"{self.path}/{area}/{BATCH_COL}=*/_SUCCESS")
+        return sorted(p.rstrip("/").split("/")[-2] for p in found)
 
     def batches(self) -> list[str]:
         """Finished log batch directory names, oldest first."""
@@ -209,11 +206,12 @@ class CommitLogTable:
 
     def commits(self) -> list[str]:
         """M2: finished commit times ascending, from directory metadata (no scan)."""
+        finished = set(self.batches())
         out: set[str] = set()
-        for b in self.batches():
-            for d in fs.list_dirs(self.spark, f"{self.path}/log/{b}"):
-                if d.startswith(f"{COMMIT_COL}="):
-                    out.add(d.split("=", 1)[1])
+        for p in fs.glob_names(self.spark, f"{self.path}/log/{BATCH_COL}=*/{COMMIT_COL}=*"):
+            batch, commit = p.rstrip("/").split("/")[-2:]
+            if batch in finished:
+                out.add(commit.split("=", 1)[1])
         base = self.base_end()
         if base:
             out.add(base)

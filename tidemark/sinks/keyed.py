@@ -9,7 +9,7 @@ Here delivery is distributed:
   parallel parquet write. A later put of the same key wins at read, so a
   retried or replayed batch gives the same items.
 * ``put_partitions`` pushes items to an external key-value service: rows are
-  pre-combined, hash-partitioned on the hash key (each key is written by
+  pre-combined, hash-partitioned on the item key (each key is written by
   exactly one task) and sent in fixed-size batches per partition by a client
   the caller provides. Nothing passes through the driver.
 """
@@ -110,8 +110,11 @@ def put_partitions(
     copies are safe.
     """
     items = _item_frame(df, hash_key, range_key, attributes, order_by)
-    payload = items.select(F.to_json(F.struct(*items.columns)).alias("item"), F.col(hash_key))
-    payload = payload.repartition(num_partitions, hash_key) if num_partitions else payload.repartition(hash_key)
+    keys = [hash_key] + ([range_key] if range_key else [])
+    # Partition on the full item key: each key is still sent by exactly one
+    # task, and a hash key owning a large share of items spreads over tasks.
+    payload = items.select(F.to_json(F.struct(*items.columns)).alias("item"), *keys)
+    payload = payload.repartition(num_partitions, *keys) if num_partitions else payload.repartition(*keys)
 
     def send(rows: Iterable) -> None:
         client = make_client()
