@@ -118,3 +118,22 @@ def test_inventory_search(spark, tmp_table_dir):
     assert inv.count() >= 2
     hits = inventory.find_similar(inv, "/inv/a/")
     assert hits.count() >= 1 and hits.filter(~F.col("path").contains("/inv/a/")).isEmpty()
+
+
+def test_failed_write_leaves_nothing_visible(spark, tmp_table_dir):
+    cfg = config(tmp_table_dir, enable_partition=False, table_type="MERGE_ON_READ")
+    upsert_table(spark, batch(spark, [("1", "a", "NY", "2024-01-01")]), cfg)
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    bad = batch(spark, [("2", "b", "NY", "2024-01-01")]).withColumn(
+        "name", F.when(F.col("customer_id") == "2", F.raise_error(F.lit("executor lost"))).otherwise(F.col("name"))
+    )
+    try:
+        t.write(bad)
+    except Exception:  # noqa: BLE001 - the job is meant to fail
+        pass
+    assert [r["customer_id"] for r in t.snapshot().collect()] == ["1"]
+    maintenance.clean_staging(t)
+    assert not glob.glob(f"{tmp_table_dir}/_staging/*")
+    # a retry succeeds with a new commit
+    assert t.write(batch(spark, [("2", "b", "NY", "2024-01-01")])) is not None
+    assert sorted(r["customer_id"] for r in t.snapshot().collect()) == ["1", "2"]

@@ -95,3 +95,18 @@ def file_layout(spark: SparkSession, path: str) -> DataFrame:
         .select("path", "length")
     )
 
+
+
+def clean_staging(table: CommitLogTable) -> list[str]:
+    """Remove leftovers of failed writes under ``_staging/``.
+
+    A write that died before its rename never became visible; retrying the
+    write picks a new commit time, so these folders only take space. Run it
+    when no writer is active on the table (tables have a single writer).
+    """
+    root = f"{table.path}/_staging"
+    gone = []
+    for d in fs.list_dirs(table.spark, root):
+        fs.delete(table.spark, f"{root}/{d}")
+        gone.append(d)
+    return gone
