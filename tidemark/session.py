@@ -88,3 +88,21 @@ def job_args(argv: list[str], required: list[str]) -> dict[str, str]:
     if missing:
         raise ValueError(f"missing job arguments: {missing}")
     return found
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input so
+    a reducer's share fits executor memory without spilling; AQE then merges
+    small ones toward the advisory size and splits skewed ones. Scan splits
+    use the same size, so a task reads at most that much parquet.
+    """
+    n = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
