@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: the reference's join query, column for column.
+# Fixed value: the reference's join query, column for column (the two view
+# names are parameters).
 CUSTOMER_ORDERS_SQL = """
 SELECT  c.customer_id,
         o.order_id,
@@ -23,8 +24,8 @@ SELECT  c.customer_id,
         o.name AS order_name,
         o.order_value,
         o.order_date
-FROM customers c
-JOIN orders o ON c.customer_id = o.customer_id
+FROM {customers} c
+JOIN {orders} o ON c.customer_id = o.customer_id
 """
 
 JOIN_COLUMNS = (
@@ -40,11 +41,8 @@ JOIN_COLUMNS = (
 
 
 def customer_orders_sql(spark: SparkSession, customers: str = "customers", orders: str = "orders") -> DataFrame:
-    """J1 over registered views (view names may be changed)."""
-    sql = CUSTOMER_ORDERS_SQL.replace("FROM customers c", f"FROM {customers} c").replace(
-        "JOIN orders o", f"JOIN {orders} o"
-    )
-    return spark.sql(sql)
+    """J1 over registered views."""
+    return spark.sql(CUSTOMER_ORDERS_SQL.format(customers=customers, orders=orders))
 
 
 def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
