@@ -162,6 +162,13 @@ _ORACLES: dict[str, str] = {
         "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
         "JOIN orders o ON c.c_custkey = o.o_custkey GROUP BY c.c_custkey"
     ),
+    "customer_metrics_items": (
+        "SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, CAST(count(*) AS VARCHAR) AS n_orders, "
+        "CAST(CAST(sum(CAST(o.o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(18, 2)) AS VARCHAR) AS total_value, "
+        "CAST(min(o.o_orderdate) AS VARCHAR) AS first_order, CAST(max(o.o_orderdate) AS VARCHAR) AS last_order "
+        "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
+        "JOIN orders o ON c.c_custkey = o.o_custkey GROUP BY c.c_custkey"
+    ),
     "clustered_rewrite": "SELECT * FROM events",
     "stream_upsert": _SNAPSHOT,
 }

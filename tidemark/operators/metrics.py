@@ -18,10 +18,13 @@ def order_metrics(
     key: str = "customer_id",
     value: str = "order_value",
     date: str = "order_date",
+    total_type: str = "double",
 ) -> DataFrame:
+    """``total_type`` is the type of the exact DECIMAL total on output
+    (``decimal(18,2)`` keeps it exact for text items)."""
     return joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("total_value"),
+        F.sum(F.col(value).cast("decimal(18,2)")).cast(total_type).alias("total_value"),
         F.min(date).alias("first_order"),
         F.max(date).alias("last_order"),
     )

@@ -369,6 +369,18 @@ def customer_order_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.order_metrics(joined)
 
 
+def customer_metrics_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-customer metrics delivered as text items keyed by customer."""
+    joined = joins.customer_orders(
+        customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation")),
+        orders_view(_t(spark, sf, "orders")),
+    )
+    per_customer = metrics.order_metrics(joined, total_type="decimal(18,2)")
+    sink = KeyedSink(spark, scratch_dir(spark, "metric_items"), "customer_id", name="customer_metrics")
+    sink.put(per_customer)
+    return sink.items().withColumn("customer_id", F.col("customer_id").cast("string"))
+
+
 def clustered_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     """K8: the events table clustered by (event_type, ts); rows are unchanged."""
     from tidemark.plans import maintenance
@@ -423,6 +435,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_customers": gen_customers,
     "gen_orders": gen_orders,
     "customer_order_metrics": customer_order_metrics,
+    "customer_metrics_items": customer_metrics_items,
     "clustered_rewrite": clustered_rewrite,
     "stream_upsert": stream_upsert,
     "object_inventory": object_inventory,
