@@ -1,14 +1,17 @@
 """Checkpoint store.
 
-An append-only JSON dataset partitioned by ``table_name``; the newest row of a
-table (by ``inserted_time``) is its checkpoint. Resetting appends a row whose
-``last_processed_commit`` is NULL, so history is never rewritten in place and
-a crashed writer leaves at most an invisible ``_temporary`` folder behind.
+An append-only JSON dataset: ``<root>/<table_name>/<write id>/part-*.json``.
+The newest row of a table (by ``inserted_time``) is its checkpoint. Resetting
+appends a row whose ``last_processed_commit`` is NULL, so history is never
+rewritten in place. Every write goes to its own folder, so concurrent writers
+(several loaders, several tables) never share a commit area, and a crashed
+writer leaves at most a folder without ``_SUCCESS``, which readers skip.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,19 +50,20 @@ class CheckpointStore:
         self.root = root.rstrip("/")
 
     def _table_dir(self, table_name: str) -> str:
-        return f"{self.root}/table_name={table_name}"
-
-    def frame(self) -> DataFrame:
-        """All checkpoint rows of all tables (empty frame when none)."""
-        if not fs.exists(self.spark, self.root):
+        return f"{self.root}/{table_name}"
+
+    def frame(self, table_name: str | None = None) -> DataFrame:
+        """Checkpoint rows of one table or all (empty frame when none); only
+        finished writes (with ``_SUCCESS``) are read."""
+        pattern = f"{self._table_dir(table_name) if table_name else self.root + '/*'}/*/_SUCCESS"
+        done = [p.rsplit("/", 1)[0] for p in fs.glob_names(self.spark, pattern)]
+        if not done:
             return self.spark.createDataFrame([], CHECKPOINT_SCHEMA)
-        return self.spark.read.schema(CHECKPOINT_SCHEMA).json(self.root)
+        return self.spark.read.schema(CHECKPOINT_SCHEMA).json(done)
 
     def latest_frame(self, table_name: str | None = None) -> DataFrame:
         """Newest row per table (C2 as a DataFrame)."""
-        df = self.frame()
-        if table_name is not None:
-            df = df.filter(F.col("table_name") == F.lit(table_name))
+        df = self.frame(table_name)
         w = Window.partitionBy("table_name").orderBy(F.col("inserted_time").desc())
         return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
@@ -80,12 +84,12 @@ class CheckpointStore:
         """Append one checkpoint row (single JSON encoding, decision D17)."""
         cp = Checkpoint(table_name, path, last_processed_commit, _now())
         row = [(cp.last_processed_commit, cp.path, cp.inserted_time, cp.table_name)]
+        write_id = f"{cp.inserted_time.replace(' ', 'T').replace(':', '')}-{uuid.uuid4().hex[:8]}"
         (
             self.spark.createDataFrame(row, CHECKPOINT_SCHEMA)
             .coalesce(1)
-            .write.mode("append")
-            .partitionBy("table_name")
-            .json(self.root)
+            .write.mode("errorifexists")
+            .json(f"{self._table_dir(table_name)}/{write_id}")
         )
         return cp
 
