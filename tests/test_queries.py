@@ -59,3 +59,26 @@ def test_flagship_prunes_columns(spark):
     plan = _plan(entry(spark))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double" in plan
     assert "o_orderstatus" not in plan
+
+
+def _final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_incoming_wins_snapshot_is_one_shuffle(spark):
+    from tidemark.queries import _log_table
+
+    plan = _final_plan(_log_table(spark, SF).snapshot())
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "row_number(), 1, Partial" in plan
+
+
+def test_compacted_snapshot_does_not_shuffle_the_base(spark):
+    from tidemark.queries import compacted_snapshot
+
+    plan = _final_plan(compacted_snapshot(spark, SF))
+    # the base scan feeds broadcast anti/semi joins against the touched keys
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+    base_scans = [line for line in plan.splitlines() if "Scan parquet" in line and "/base/" in line]
+    assert base_scans
