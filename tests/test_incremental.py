@@ -172,3 +172,12 @@ def test_stream_delete_then_reinsert_in_one_batch(spark, tmp_table_dir):
     upsert_stream(src, dst, f"{tmp_table_dir}/stream").awaitTermination()
     snap = lambda t: sorted((r["id"], r["v"]) for r in t.snapshot().collect())
     assert snap(dst) == snap(src) == [("a", "a-back")]
+
+
+def test_checkpoint_prune_keeps_latest(spark, tmp_table_dir):
+    store = CheckpointStore(spark, f"{tmp_table_dir}/ckpt")
+    for c in ("100", "200", "300", "400"):
+        store.write("t", "/p", c)
+    assert len(store.prune("t", keep=2)) == 2
+    assert store.read("t").last_processed_commit == "400"
+    assert store.frame("t").count() == 2

@@ -96,3 +96,19 @@ class CheckpointStore:
     def reset(self, table_name: str, path: str = "") -> Checkpoint:
         """C4: the next incremental read starts from the beginning."""
         return self.write(table_name, path, None)
+
+    def prune(self, table_name: str, keep: int = 10) -> list[str]:
+        """Drop all but the newest ``keep`` finished checkpoint writes of a table.
+
+        Write folders are named by insert time, so name order is time order.
+        The newest row is never removed, so the checkpoint itself is unchanged.
+        """
+        if keep < 1:
+            raise ValueError("keep at least one checkpoint")
+        done = sorted(
+            p.rsplit("/", 2)[-2] for p in fs.glob_names(self.spark, f"{self._table_dir(table_name)}/*/_SUCCESS")
+        )
+        gone = done[:-keep]
+        for name in gone:
+            fs.delete(self.spark, f"{self._table_dir(table_name)}/{name}")
+        return gone
