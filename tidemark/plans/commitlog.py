@@ -56,8 +56,25 @@ COMMIT_FORMAT = "%Y%m%d%H%M%S%f"  # rendered to 17 digits (milliseconds)
 DELETE_SUFFIX = "~delete"  # batch-name mark of a commit holding tombstones
 
 
+def per_commit_winners(versions: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Best data version per (key, commit), tombstones kept as they are.
+
+    The ranking's partial ``WindowGroupLimit`` runs before a shuffle on
+    (key, commit): a key holding a third of all rows is cut to one row per
+    commit per map task, so later joins on the key see at most one row per
+    commit for it. The key's overall winner is unchanged (max of maxima).
+    """
+    data = latest_per_key(versions.filter(~F.col(DELETED_COL)), [*keys, COMMIT_COL], order)
+    return data.unionByName(versions.filter(F.col(DELETED_COL)))
+
+
 def resolve_versions(
-    versions: DataFrame, keys: list[str], order: list[str], merge_mode: str, tombstones: bool = True
+    versions: DataFrame,
+    keys: list[str],
+    order: list[str],
+    merge_mode: str,
+    tombstones: bool = True,
+    reduced: bool = False,
 ) -> DataFrame:
     """Latest live version per key among ``versions`` (data rows and tombstones).
 
@@ -66,18 +83,22 @@ def resolve_versions(
     window, whose partial ``WindowGroupLimit`` runs before the shuffle.
 
     ``event_time``: versions at or before the key's newest tombstone are
-    dropped first (left-anti join on plain key equality against one row per
-    deleted key, then the window on the same keys); skipped when the input is
-    known to hold no tombstones.
+    dropped first (left-anti join on key equality against one row per deleted
+    key), then the window on the same keys. Before that join the versions are
+    cut to one per (key, commit) (``per_commit_winners``) so a hot key never
+    lands whole in one join task; both steps are skipped when the input is
+    known to hold no tombstones (``reduced``: already cut).
     """
     if merge_mode == "incoming_wins":
         return latest_per_key(versions, keys, order).filter(~F.col(DELETED_COL))
+    if not tombstones:
+        return latest_per_key(versions.filter(~F.col(DELETED_COL)), keys, order)
+    if not reduced:
+        versions = per_commit_winners(versions, keys, order)
     data = versions.filter(~F.col(DELETED_COL))
-    if tombstones:
-        tombs = versions.filter(F.col(DELETED_COL)).groupBy(*keys).agg(F.max(COMMIT_COL).alias(TOMB_COL))
-        cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs[TOMB_COL]]
-        data = data.join(tombs, on=cond, how="left_anti")
-    return latest_per_key(data, keys, order)
+    tombs = versions.filter(F.col(DELETED_COL)).groupBy(*keys).agg(F.max(COMMIT_COL).alias(TOMB_COL))
+    cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs[TOMB_COL]]
+    return latest_per_key(data.join(tombs, on=cond, how="left_anti"), keys, order)
 
 
 @dataclass(frozen=True)
@@ -251,7 +272,12 @@ class CommitLogTable:
             )
         return out
 
-    def _write_batch(self, rows: DataFrame, batch: str, options: WriteOptions) -> None:
+    def _write_batch(self, rows: DataFrame, batch: str, options: WriteOptions) -> bool:
+        """Write one batch; False (and nothing visible) when it held no rows.
+
+        Emptiness is read from the written directories, not from a separate
+        ``isEmpty()`` job, so an expensive input plan runs exactly once.
+        """
         parts = list(self.spec.partition_by)
         rebalance = options.rebalance if options.rebalance is not None else bool(parts)
         if rebalance:
@@ -268,7 +294,11 @@ class CommitLogTable:
         # stores with atomic directory rename); _SUCCESS guards the rest.
         staging = f"{self.path}/_staging/{BATCH_COL}={batch}"
         writer.partitionBy(COMMIT_COL, *parts).parquet(staging)
+        if not fs.glob_names(self.spark, f"{staging}/{COMMIT_COL}=*"):
+            fs.delete(self.spark, staging)  # K15: an empty batch creates no commit
+            return False
         fs.rename(self.spark, staging, f"{self.path}/log/{BATCH_COL}={batch}")
+        return True
 
     def write(
         self,
@@ -286,8 +316,6 @@ class CommitLogTable:
         if operation not in OPERATIONS:
             raise ValueError(f"operation must be one of {OPERATIONS}, got {operation!r}")
         options = options or WriteOptions()
-        if df.isEmpty():
-            return None
         spec = self.spec
         keys = spec.resolve_keys
         if operation == "delete":
@@ -307,10 +335,12 @@ class CommitLogTable:
         rows = self._guard_keys(rows)
         commit = commit_time or _next_commit_time(self.last_commit())
         batch = f"{commit}{DELETE_SUFFIX}" if operation == "delete" else commit
-        self._write_batch(rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options)
+        written = self._write_batch(rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options)
+        self._pinned = None
+        if not written:
+            return None
         if schema != self._schema:
             self._write_meta(commit, schema)
-        self._pinned = None
         return commit
 
     def import_changelog(
@@ -319,17 +349,17 @@ class CommitLogTable:
         """Load many commits in one job: ``commit_col`` holds each row's commit
         time (an ``insert`` per commit, rows kept as they are)."""
         options = options or WriteOptions()
-        if df.isEmpty():
-            return None
         rows = df.withColumnRenamed(commit_col, COMMIT_COL) if commit_col != COMMIT_COL else df
         rows = rows.withColumn(COMMIT_COL, F.col(COMMIT_COL).cast("string"))
         schema = self._merge_schema(self._storage_schema(rows))
         rows = self._guard_keys(rows.withColumn(DELETED_COL, F.lit(False)))
         batch = _next_commit_time(self.last_commit())
-        self._write_batch(rows, batch, options)
+        written = self._write_batch(rows, batch, options)
+        self._pinned = None
+        if not written:
+            return None
         if schema != self._schema:
             self._write_meta(batch, schema)
-        self._pinned = None
         return batch
 
     def delete(self, keys_df: DataFrame, commit_time: str | None = None) -> str | None:
@@ -403,10 +433,15 @@ class CommitLogTable:
         batches, _ = self.pin()
         return any(b.endswith(DELETE_SUFFIX) for b in batches)
 
-    def _resolve(self, versions: DataFrame) -> DataFrame:
+    def _resolve(self, versions: DataFrame, reduced: bool = False) -> DataFrame:
         """Latest live version per key among ``versions`` (tombstones applied)."""
         return resolve_versions(
-            versions, self.spec.resolve_keys, self._order(versions), self.spec.merge_mode, self.has_tombstones()
+            versions,
+            self.spec.resolve_keys,
+            self._order(versions),
+            self.spec.merge_mode,
+            self.has_tombstones(),
+            reduced,
         )
 
     def snapshot(self, as_of: str | None = None, with_meta: bool = False) -> DataFrame:
@@ -473,11 +508,14 @@ class CommitLogTable:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(end))
         keys = self.spec.resolve_keys
         changed = log.filter(in_range).select(*keys).distinct()
-        versions = log.join(changed, on=keys, how="left_semi")
+        # cut each key to one version per commit before joining on the key,
+        # so a hot key's history does not pile into one semi-join task
+        history = per_commit_winners(log, keys, self._order(log))
+        versions = history.join(changed, on=keys, how="left_semi")
         base = self._base()
         if base is not None:
             versions = base.join(changed, on=keys, how="left_semi").unionByName(versions)
-        out = self._resolve(versions).filter(in_range)
+        out = self._resolve(versions, reduced=True).filter(in_range)
         return self._finish(out, with_meta)
 
     # ------------------------------------------------------------ maintenance
