@@ -25,6 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import jobs
 from tidemark.functions.columns import COMMIT_COL, commit_time_of
 from tidemark.operators import joins, keyed, metrics, timeline
 from tidemark.plans.checkpoint import CheckpointStore
@@ -369,6 +370,31 @@ def customer_order_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.order_metrics(joined)
 
 
+def etl_join_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Both reference jobs end to end — seed the
+    customers/orders tables, load them from a payload, join, deliver items."""
+    root = scratch_dir(spark, "etl")
+    customers = customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
+    jobs.seed_tables(
+        spark, customers, orders_view(_t(spark, sf, "orders")), f"{root}/customers", f"{root}/orders",
+        customer_precombine=None, catalog_sync=False,
+    )
+    tag = root.rsplit("-", 1)[1]
+    cview, oview = f"tm_etl_customers_{tag}", f"tm_etl_orders_{tag}"
+    payload = {
+        "check_point_buckets": f"{root}/checkpoints",
+        "source": [
+            {"source_type": "TABLE", "table_name": "orders", "spark_table_name": oview,
+             "path": f"{root}/orders", "type": "FULL"},
+            {"source_type": "TABLE", "table_name": "customers", "spark_table_name": cview,
+             "path": f"{root}/customers", "type": "FULL"},
+        ],
+    }
+    sink = KeyedSink(spark, f"{root}/items", "customer_id", "order_id", name="orders_items")
+    jobs.load_join_deliver(spark, payload, sink, cview, oview)
+    return sink.items()
+
+
 def customer_metrics_items(spark: SparkSession, sf: str) -> DataFrame:
     """Per-customer metrics delivered as text items keyed by customer."""
     joined = joins.customer_orders(
@@ -435,6 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_customers": gen_customers,
     "gen_orders": gen_orders,
     "customer_order_metrics": customer_order_metrics,
+    "etl_join_items": etl_join_items,
     "customer_metrics_items": customer_metrics_items,
     "clustered_rewrite": clustered_rewrite,
     "stream_upsert": stream_upsert,
