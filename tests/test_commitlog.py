@@ -231,3 +231,17 @@ def test_random_histories_match_model(spark, tmp_table_dir):
 
 def rows_of(df):
     return sorted((r["id"], r["ts"], r["v"]) for r in df.collect())
+
+
+def test_partition_filter_prunes_only_in_partition_scope(spark, tmp_table_dir):
+    scoped = table(spark, tmp_table_dir, partition_by=("state",), key_scope="partition")
+    scoped.write(spark.createDataFrame([("a", "NY", 1, "a-ny"), ("a", "CA", 1, "a-ca")], SCHEMA))
+    df = scoped.snapshot().filter(F.col("state") == "NY")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(state" in plan and "(state#" in plan
+    assert rows(df, ("id", "state", "v")) == [("a", "NY", "a-ny")]
+    # table scope: a key may have moved partitions, so the filter must wait
+    # for resolution and is not pushed into the scan
+    moved = scoped.with_spec(key_scope="table")
+    plan_t = moved.snapshot().filter(F.col("state") == "NY")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" in plan_t
