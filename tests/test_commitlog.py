@@ -116,8 +116,14 @@ def test_compaction_keeps_snapshot_and_increments(spark, tmp_table_dir):
     t.write(spark.createDataFrame([("b", "x", 0, "b2")], SCHEMA))
     t.delete(spark.createDataFrame([("a",)], "id string"))
     assert rows(t.snapshot()) == [("b", 0, "b2")]
+    # the log is still there: every change since c1 is readable
+    assert rows(t.incremental(c1, mode="changes")) == [("a", 2, "a2"), ("b", 0, "b2")]
+    # once retention removed the covered batches, older changes are refused
+    t.drop_log_through(end)
     with pytest.raises(ValueError):
         t.incremental(c1, mode="changes")
+    assert rows(t.snapshot()) == [("b", 0, "b2")]
+    assert rows(t.incremental(c1)) == [("b", 0, "b2")]
 
 
 def test_retention_keeps_n_versions_and_drops_log(spark, tmp_table_dir):
@@ -245,3 +251,43 @@ def test_partition_filter_prunes_only_in_partition_scope(spark, tmp_table_dir):
     moved = scoped.with_spec(key_scope="table")
     plan_t = moved.snapshot().filter(F.col("state") == "NY")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: []" in plan_t
+
+
+def test_compaction_rewrites_only_touched_partitions(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir, partition_by=("state",), key_scope="partition")
+    t.write(spark.createDataFrame(
+        [("a", "NY", 1, "a-ny"), ("b", "CA", 1, "b-ca"), ("c", "TX", 1, "c-tx")], SCHEMA))
+    t.compact()
+    first = t.base_dir()
+    t.write(spark.createDataFrame([("a", "NY", 2, "a-ny2")], SCHEMA))
+    t.delete(spark.createDataFrame([("CA", "b")], "state string, id string"))
+    before = rows(t.snapshot(), ("id", "state", "v"))
+    t.compact()
+    second = t.base_dir()
+    assert second != first
+    paths = t.base_paths()
+    assert sorted((p.rsplit("/", 2)[-2:] for p in paths), key=lambda x: x[1]) == [
+        [second, "state=CA"], [second, "state=NY"], [first, "state=TX"],
+    ]
+    assert before == rows(t.snapshot(), ("id", "state", "v")) == [("a", "NY", "a-ny2"), ("c", "TX", "c-tx")]
+    t.drop_log_through(t.base_end())
+    assert rows(t.snapshot(), ("id", "state", "v")) == [("a", "NY", "a-ny2"), ("c", "TX", "c-tx")]
+
+
+def test_latest_state_equals_snapshot_rows_in_range(spark, tmp_table_dir):
+    import random
+
+    rng = random.Random(11)
+    for mode in ("incoming_wins", "event_time"):
+        t = table(spark, f"{tmp_table_dir}/{mode}", merge_mode=mode)
+        commits = []
+        for step in range(6):
+            batch = [(str(rng.randint(0, 5)), "x", rng.randint(0, 9), f"v{step}{i}") for i in range(6)]
+            commits.append(t.write(spark.createDataFrame(batch, SCHEMA)))
+            if step == 2:
+                t.compact()
+                t.drop_log_through(t.base_end())
+        snap = t.snapshot(with_meta=True)
+        for begin in (None, commits[0], commits[1], commits[3], commits[5]):
+            want = snap if begin is None else snap.filter(F.col("_commit_time") > begin)
+            assert rows(t.incremental(begin)) == rows(want), (mode, begin)

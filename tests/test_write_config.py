@@ -137,3 +137,17 @@ def test_failed_write_leaves_nothing_visible(spark, tmp_table_dir):
     # a retry succeeds with a new commit
     assert t.write(batch(spark, [("2", "b", "NY", "2024-01-01")])) is not None
     assert sorted(r["customer_id"] for r in t.snapshot().collect()) == ["1", "2"]
+
+
+def test_catalog_follows_partial_bases(spark, tmp_table_dir):
+    from tidemark.plans import catalog
+
+    cfg = config(tmp_table_dir, table_type="MERGE_ON_READ", table_name="partial_sync")
+    upsert_table(spark, batch(spark, [("1", "a", "NY", "2024-01-01"), ("2", "b", "CA", "2024-01-01")]), cfg)
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    t.compact()
+    upsert_table(spark, batch(spark, [("1", "a2", "NY", "2024-01-02")]), cfg)
+    catalog.register(spark, t, "partial_sync")
+    assert len(t.base_paths()) == 2
+    got = sorted(tuple(r) for r in spark.sql("SELECT customer_id, name, state FROM partial_sync").collect())
+    assert got == [("1", "a2", "NY"), ("2", "b", "CA")]

@@ -60,3 +60,8 @@ def glob_names(spark: SparkSession, pattern: str) -> list[str]:
     fs, p = _fs_and_path(spark, pattern)
     found = fs.globStatus(p)
     return sorted(str(st.getPath().toString()) for st in found) if found is not None else []
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_and_path(spark, path)
+    fs.mkdirs(p)

@@ -8,6 +8,8 @@ after a later compaction points the table at the newer base.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -18,18 +20,30 @@ from tidemark.plans.commitlog import CommitLogTable
 def register(spark: SparkSession, table: CommitLogTable, name: str, database: str | None = None) -> str:
     if table.compact() is None:
         raise ValueError("nothing to register: the table has no commits")
-    location = f"{table.path}/base/{table.base_dir()}"
+    parts = list(table.spec.partition_by)
+    if len(table.base_paths()) > 1 and len(parts) > 1:
+        # multi-level partitions spread over several bases: fold them into one
+        table.compact(force=True)
     qualified = f"`{database}`.`{name}`" if database else f"`{name}`"
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-    parts = list(table.spec.partition_by)
     columns = [f for f in table.schema.fields if f.name not in parts]
     columns += [T.StructField(COMMIT_COL, T.StringType()), T.StructField(DELETED_COL, T.BooleanType())]
     columns += [table.schema[p] for p in parts]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     partition_clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    location = f"{table.path}/base/{table.base_dir()}"
     spark.sql(f"CREATE TABLE {qualified} ({ddl}) USING parquet {partition_clause} LOCATION '{location}'")
-    if parts:
+    if not parts:
+        return qualified
+    paths = table.base_paths()
+    if len(paths) == 1:
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
+        return qualified
+    # partition-scoped tables compact only touched partitions: each partition
+    # is registered at its own (newest) base directory
+    for path in paths:
+        value = unquote(path.rstrip("/").rsplit("/", 1)[1].split("=", 1)[1]).replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS PARTITION (`{parts[0]}` = '{value}') LOCATION '{path}'")
     return qualified

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+from urllib.parse import unquote
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +55,8 @@ TABLE_TYPES = ("COPY_ON_WRITE", "MERGE_ON_READ")
 INCREMENT_MODES = ("latest_state", "changes")
 COMMIT_FORMAT = "%Y%m%d%H%M%S%f"  # rendered to 17 digits (milliseconds)
 DELETE_SUFFIX = "~delete"  # batch-name mark of a commit holding tombstones
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL value
+DROP_MARK = "dropped-through-"  # _meta marker: log batches up to this commit removed
 
 
 def per_commit_winners(versions: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -143,6 +146,10 @@ class WriteOptions:
     parquet_options: dict[str, str] = field(default_factory=dict)
 
 
+def _base_key(base_dir: str) -> tuple[str, ...]:
+    return tuple(base_dir.split("=", 1)[1].split("~"))
+
+
 def _end_of(base_dir: str) -> str:
     return base_dir.split("=", 1)[1].split("~", 1)[0]
 
@@ -419,15 +426,59 @@ class CommitLogTable:
         )
         return df.drop(BATCH_COL)
 
-    def _base(self) -> DataFrame | None:
+    def _partial_bases(self) -> bool:
+        """Partition-scoped, partitioned tables compact only touched partitions."""
+        return bool(self.spec.partition_by) and self.spec.key_scope == "partition"
+
+    def base_paths(self) -> list[str]:
+        """Directories the (pinned) base is read from.
+
+        Unpartitioned or table-scoped tables: the newest base. Partition-scoped
+        tables: for every first-level partition value, its directory in the
+        newest base that holds it (one glob call, no scan).
+        """
         self.pin()
-        name = self._pinned[1]
-        if name is None:
+        newest = self._pinned[1]
+        if newest is None:
+            return []
+        if not self._partial_bases():
+            return [f"{self.path}/base/{newest}"]
+        finished = set(self._finished("base"))
+        first = self.spec.partition_by[0]
+        best: dict[str, tuple[tuple[str, ...], str]] = {}
+        for p in fs.glob_names(self.spark, f"{self.path}/base/{BATCH_COL}=*/{first}=*"):
+            bdir, pdir = p.rstrip("/").split("/")[-2:]
+            if bdir not in finished or _base_key(bdir) > _base_key(newest):
+                continue
+            if pdir not in best or _base_key(bdir) > best[pdir][0]:
+                best[pdir] = (_base_key(bdir), f"{self.path}/base/{bdir}/{pdir}")
+        return sorted(v[1] for v in best.values())
+
+    def _base(self) -> DataFrame | None:
+        paths = self.base_paths()
+        if not paths:
             return None
+        if self._partial_bases():
+            schema = T.StructType([f for f in self._read_schema().fields])
+            df = self.spark.read.schema(schema).option("basePath", f"{self.path}/base").parquet(*paths)
+            return df.drop(BATCH_COL)
         schema = T.StructType([f for f in self._read_schema().fields if f.name != BATCH_COL])
-        where = f"{self.path}/base/{name}"
+        where = paths[0]
         return self.spark.read.schema(schema).option("basePath", where).parquet(where)
 
+    def touched_partitions(self, after: str) -> list[str]:
+        """First-level partition directories written by commits after ``after``
+        (from directory names)."""
+        first = self.spec.partition_by[0]
+        batches, _ = self.pin()
+        finished = set(batches)
+        touched = set()
+        for p in fs.glob_names(self.spark, f"{self.path}/log/{BATCH_COL}=*/{COMMIT_COL}=*/{first}=*"):
+            b, c, pdir = p.rstrip("/").split("/")[-3:]
+            if b in finished and c.split("=", 1)[1] > after:
+                touched.add(pdir)
+        return sorted(touched)
+
     def has_tombstones(self) -> bool:
         """Whether any visible log batch came from a delete (from names, no scan)."""
         batches, _ = self.pin()
@@ -445,29 +496,39 @@ class CommitLogTable:
         )
 
     def snapshot(self, as_of: str | None = None, with_meta: bool = False) -> DataFrame:
-        """The table as of its last (or ``as_of``) commit, one row per key."""
+        """The table as of its last (or ``as_of``) commit, one row per key.
+
+        With a compacted base only log commits after the base are read (the
+        commit filter prunes directories) and only the keys they touch are
+        re-resolved against the base.
+        """
         if self._is_empty():
             return self._finish(self._empty().drop(BATCH_COL), with_meta)
+        base_end = self.pin()[1]
+        if as_of is not None and base_end is not None and as_of < base_end:
+            raise ValueError("as_of is older than the compacted base")
         log = self.log()
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
         base = self._base()
-        if base is None or (as_of is not None and as_of < (self.pin()[1] or "")):
-            if base is not None:
-                raise ValueError("as_of is older than the compacted base")
-            out = self._resolve(log)
-        else:
-            keys = self.spec.resolve_keys
-            touched = log.select(*keys).distinct()
-            untouched = base.join(touched, on=keys, how="left_anti")
-            redo = self._resolve(base.join(touched, on=keys, how="left_semi").unionByName(log))
-            out = untouched.unionByName(redo)
-        return self._finish(out, with_meta)
+        if base is None:
+            return self._finish(self._resolve(log), with_meta)
+        keys = self.spec.resolve_keys
+        after = log.filter(F.col(COMMIT_COL) > F.lit(base_end))
+        touched = after.select(*keys).distinct()
+        untouched = base.join(touched, on=keys, how="left_anti")
+        redo = self._resolve(base.join(touched, on=keys, how="left_semi").unionByName(after))
+        return self._finish(untouched.unionByName(redo), with_meta)
 
     def _finish(self, df: DataFrame, with_meta: bool) -> DataFrame:
         df = df.drop(DELETED_COL)
         return df if with_meta else df.drop(COMMIT_COL)
 
+    def dropped_through(self) -> str | None:
+        """Last commit whose log batches retention removed (None: log complete)."""
+        marks = fs.glob_names(self.spark, f"{self.path}/_meta/{DROP_MARK}*")
+        return max((m.rsplit(DROP_MARK, 1)[1] for m in marks), default=None)
+
     def incremental(
         self,
         begin: str | None,
@@ -477,13 +538,15 @@ class CommitLogTable:
     ) -> DataFrame:
         """What changed in (``begin``, ``end``].
 
-        ``changes`` — every version written in the range (no tombstones).
+        ``changes`` — every version written in the range (no tombstones);
+        available while retention has not removed the range's log batches.
         ``latest_state`` — one row per changed key: the snapshot row, if its
-        commit lies in the range. For ``incoming_wins`` the range is pruned
-        first (the winner of a key changed after ``begin`` lies in it); for
-        ``event_time`` keys changed in range are semi-joined back to their full
-        history and ranked *before* filtering, since a late arrival may lose
-        to an older commit.
+        commit lies in the range. For ``incoming_wins`` without an older base
+        the range is pruned first (the winner of a key changed after ``begin``
+        lies in it). Otherwise the keys changed in range (from the log and from
+        base rows committed in range) are semi-joined back to their history
+        and ranked *before* filtering, since a late arrival may lose to an
+        older commit.
         """
         if mode not in INCREMENT_MODES:
             raise ValueError(f"mode must be one of {INCREMENT_MODES}")
@@ -497,22 +560,26 @@ class CommitLogTable:
         if end is not None:
             in_range = in_range & (F.col(COMMIT_COL) <= F.lit(end))
         if mode == "changes":
-            if base_end is not None and (begin is None or begin < base_end):
-                raise ValueError("changes before the compacted base are no longer kept")
-            out = log.filter(in_range & ~F.col(DELETED_COL))
-            return self._finish(out, with_meta)
+            dropped = self.dropped_through()
+            if dropped is not None and (begin is None or begin < dropped):
+                raise ValueError(f"changes up to {dropped} were removed by retention")
+            return self._finish(log.filter(in_range & ~F.col(DELETED_COL)), with_meta)
         if self.spec.merge_mode == "incoming_wins" and (base_end is None or (begin or "") >= base_end):
-            out = self._resolve(log.filter(in_range))
-            return self._finish(out, with_meta)
-        if end is not None:
-            log = log.filter(F.col(COMMIT_COL) <= F.lit(end))
+            return self._finish(self._resolve(log.filter(in_range)), with_meta)
+        if end is not None and base_end is not None and end < base_end:
+            raise ValueError("end is older than the compacted base")
         keys = self.spec.resolve_keys
-        changed = log.filter(in_range).select(*keys).distinct()
+        base = self._base()
+        history = log if base_end is None else log.filter(F.col(COMMIT_COL) > F.lit(base_end))
+        if end is not None:
+            history = history.filter(F.col(COMMIT_COL) <= F.lit(end))
+        changed = history.filter(in_range).select(*keys)
+        if base is not None:
+            changed = changed.unionByName(base.filter(in_range).select(*keys))
+        changed = changed.distinct()
         # cut each key to one version per commit before joining on the key,
         # so a hot key's history does not pile into one semi-join task
-        history = per_commit_winners(log, keys, self._order(log))
-        versions = history.join(changed, on=keys, how="left_semi")
-        base = self._base()
+        versions = per_commit_winners(history, keys, self._order(history)).join(changed, on=keys, how="left_semi")
         if base is not None:
             versions = base.join(changed, on=keys, how="left_semi").unionByName(versions)
         out = self._resolve(versions, reduced=True).filter(in_range)
@@ -533,18 +600,45 @@ class CommitLogTable:
             return base_end
         parts = list(self.spec.partition_by)
         snap = self.snapshot(with_meta=True).withColumn(DELETED_COL, F.lit(False))
+        touched: list[str] | None = None
+        if self._partial_bases() and base_end is not None and not force:
+            # Only partitions written since the base are re-resolved and
+            # rewritten; the filter reaches both scans as a partition filter.
+            touched = self.touched_partitions(base_end)
+            values = [unquote(d.split("=", 1)[1]) for d in touched]
+            first = F.col(parts[0])
+            cond = first.cast("string").isin([v for v in values if v != NULL_PARTITION])
+            if NULL_PARTITION in values:
+                cond = cond | first.isNull()
+            snap = snap.filter(cond)
         rows = snap.hint("rebalance", *parts) if parts else snap
-        self.write_base(rows, end, options)
+        self.write_base(rows, end, options, touched)
         return end
 
-    def write_base(self, rows: DataFrame, end: str, options: WriteOptions | None = None) -> str:
-        """Write resolved rows (with ``_commit_time``) as a base ending at ``end``."""
+    def write_base(
+        self,
+        rows: DataFrame,
+        end: str,
+        options: WriteOptions | None = None,
+        partitions: list[str] | None = None,
+    ) -> str:
+        """Write resolved rows (with ``_commit_time``) as a base ending at ``end``.
+
+        ``partitions`` names the first-level partition directories this base
+        replaces; one left without rows (all keys deleted) is created empty so
+        it hides the older base. Staged and renamed like log batches.
+        """
         options = options or WriteOptions()
         stamp = _dt.datetime.now(_dt.timezone.utc).strftime(COMMIT_FORMAT)
         name = f"{BATCH_COL}={end}~{stamp}"
+        staging = f"{self.path}/_staging/base-{name}"
         rows.write.mode("errorifexists").option("compression", options.compression).partitionBy(
             *self.spec.partition_by
-        ).parquet(f"{self.path}/base/{name}")
+        ).parquet(staging)
+        for d in partitions or []:
+            if not fs.exists(self.spark, f"{staging}/{d}"):
+                fs.mkdirs(self.spark, f"{staging}/{d}")
+        fs.rename(self.spark, staging, f"{self.path}/base/{name}")
         self._pinned = None
         return name
 
@@ -572,6 +666,8 @@ class CommitLogTable:
             if commits and max(commits) <= end:
                 fs.delete(self.spark, f"{self.path}/log/{b}")
                 gone.append(b)
+        if gone:
+            fs.touch(self.spark, f"{self.path}/_meta/{DROP_MARK}{end}")
         self._pinned = None
         return gone
 
