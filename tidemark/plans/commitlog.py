@@ -2,35 +2,40 @@
 
 Layout under the table path::
 
-    _meta/v<version>.json                      spec + schema, newest wins
-    log/_batch=<id>/_commit_time=<t>/[<part>=<v>/]part-*.parquet
-    log/_batch=<id>/_SUCCESS                   the batch is visible once this exists
+    _meta/v<version>.json                          spec + schema, newest wins
+    _meta/dropped-through-<end>                    retention removed log up to <end>
+    log/_batch=<id>[~delete]/_commit_time=<t>/[<part>=<v>/]part-*.parquet
+    log/_batch=<id>/_SUCCESS                       the batch is visible once this exists
     base/_batch=<end>~<stamp>/[<part>=<v>/]part-*.parquet   compacted snapshot
 
 Every write job is one batch directory holding one commit (upsert, insert,
-delete) or many (changelog import). Readers list the finished batches once and
-pass exactly those paths to the parquet reader, so a half-written batch is
-never read and every read of one ``CommitLogTable`` instance sees the same
-upper bound. ``_commit_time`` is a partition column: range filters on it
-appear under ``PartitionFilters`` and prune whole directories.
-
-Resolution (snapshot) is latest-per-key after dropping versions older than the
-key's newest tombstone:
-
-* ``incoming_wins`` orders versions by (``_commit_time``, pre-combine, ties),
-* ``event_time`` by (pre-combine, ``_commit_time``, ties), all descending.
-
-With a compacted base, only keys touched after the base are re-resolved:
-``base ANTI touched  UNION  resolve(base SEMI touched UNION log_after)``. When
-the touched key set is small AQE broadcasts it and the base is never shuffled.
+delete) or many (changelog import), written under ``_staging/`` and renamed
+into place. Readers list the finished batches once and pass exactly those
+paths to the parquet reader, so a half-written batch is never read and every
+read of one ``CommitLogTable`` instance sees the same upper bound.
+``_commit_time`` is a partition column: range filters on it appear under
+``PartitionFilters`` and prune whole directories.
+
+Resolution (snapshot) is latest-per-key with tombstones applied:
+
+* ``incoming_wins`` orders versions by (``_commit_time``, pre-combine, ties);
+  tombstones rank with the data in one window,
+* ``event_time`` by (pre-combine, ``_commit_time``, ties), all descending;
+  versions at or before a key's newest tombstone are dropped first.
+
+With a compacted base, only log commits after it are read and only the keys
+they touch are re-resolved: ``base ANTI touched  UNION  resolve(base SEMI
+touched UNION log_after)``. When the touched key set is small AQE broadcasts
+it and the base is never shuffled. Partition-scoped tables compact only the
+partitions written since the last base.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
-from urllib.parse import unquote
 from dataclasses import asdict, dataclass, field, replace
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
