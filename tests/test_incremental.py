@@ -102,11 +102,14 @@ def test_items_source(spark, tmp_table_dir):
     with open(path, "w") as fh:
         fh.write(json.dumps({"customer_id": "c1", "order_id": "o1", "n": 1.5, "tags": ["x"]}) + "\n")
         fh.write(json.dumps({"customer_id": "c2", "order_id": "o2", "nested": {"a": 1}}) + "\n")
+        fh.write('{"customer_id": "c3", "order_id": "o3", "n": 12.25}\n')
     payload = {"source": [{"source_type": "ITEMS", "spark_table_name": "items_v", "path": path}]}
     Loaders(payload, spark).load()
     df = spark.table("items_v")
     assert set(df.columns) == {"customer_id", "order_id", "n", "tags", "nested"}
     assert df.filter("customer_id = 'c2'").first()["n"] is None
+    assert dict(df.dtypes)["n"].startswith("decimal")  # amounts keep exact decimals
+    assert str(df.filter("customer_id = 'c3'").first()["n"]) == "12.25"
 
 
 def test_keyed_sink_last_write_wins_and_replay(spark, tmp_table_dir):

@@ -90,3 +90,19 @@ def test_parse_flag():
 def test_empty_input_gives_empty_output(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert keyed.precombine(empty, ["k"], "pre", ["v"]).isEmpty()
+
+
+def test_join_drops_orphans_and_null_keys(spark):
+    from tidemark.operators.joins import customer_orders
+
+    customers = spark.createDataFrame(
+        [(1, "ann", "NY", "ny-city", "a@x"), (2, "bob", "CA", "ca-city", "b@x"), (None, "nul", "TX", "tx", "n@x")],
+        "customer_id int, name string, state string, city string, email string",
+    )
+    orders = spark.createDataFrame(
+        [(10, 1, "LOW", "100", "2024-01-01"), (11, 99, "HIGH", "5", "2024-01-02"), (12, None, "LOW", "7", "2024-01-03")],
+        "order_id int, customer_id int, name string, order_value string, order_date string",
+    )
+    got = customer_orders(customers, orders).collect()
+    # orphan order 11, customer 2 without orders and both NULL keys produce nothing
+    assert [tuple(r) for r in got] == [(1, 10, "ny-city", "ann", "a@x", "LOW", "100", "2024-01-01")]
