@@ -106,3 +106,11 @@ def test_join_drops_orphans_and_null_keys(spark):
     got = customer_orders(customers, orders).collect()
     # orphan order 11, customer 2 without orders and both NULL keys produce nothing
     assert [tuple(r) for r in got] == [(1, 10, "ny-city", "ann", "a@x", "LOW", "100", "2024-01-01")]
+
+
+def test_job_args():
+    from tidemark.session import job_args
+
+    assert job_args(["--JOB_NAME", "etl", "--x", "1"], ["JOB_NAME"]) == {"JOB_NAME": "etl", "x": "1"}
+    with pytest.raises(ValueError):
+        job_args(["--x", "1"], ["JOB_NAME"])

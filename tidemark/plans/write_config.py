@@ -52,6 +52,7 @@ class WriteConfig:
     clustering_column: str = "default"
     compression: str | None = None  # decision D15: independent of catalog sync
     compact_every: int = 5
+    max_records_per_file: int = 0  # K9: 0 leaves file size to AQE / REBALANCE
     tie_breakers: tuple[str, ...] | None = None
     merge_mode: str = "incoming_wins"
 
@@ -80,7 +81,11 @@ class WriteConfig:
             # next to the footer min/max statistics parquet always writes.
             for k in self.record_id.split(","):
                 extra[f"parquet.bloom.filter.enabled#{k.strip()}"] = "true"
-        return WriteOptions(compression=self.compression or "snappy", parquet_options=extra)
+        return WriteOptions(
+            compression=self.compression or "snappy",
+            max_records_per_file=self.max_records_per_file,
+            parquet_options=extra,
+        )
 
 
 def upsert_table(spark: SparkSession, df: DataFrame, config: WriteConfig) -> str | None:
