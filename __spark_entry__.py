@@ -162,7 +162,7 @@ _ORACLES: dict[str, str] = {
         "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
         "JOIN orders o ON c.c_custkey = o.o_custkey GROUP BY c.c_custkey"
     ),
-    "etl_join_items": (
+    "load_join_items": (
         "SELECT c.c_custkey AS customer_id, o.o_orderkey AS order_id, n.n_name AS city, "
         "c.c_name AS customer_name, concat('c', CAST(c.c_custkey AS VARCHAR), '@example.com') AS email, "
         "o.o_orderpriority AS order_name, CAST(o.o_totalprice AS VARCHAR) AS order_value, "

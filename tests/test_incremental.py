@@ -94,7 +94,7 @@ def test_loader_statuses_and_errors(spark, tmp_table_dir):
     with pytest.raises(FileNotFoundError):
         Loaders(payload, spark).load()
     with pytest.raises(ValueError):
-        Loaders({"source": [{"source_type": "DYNAMO", "spark_table_name": "x"}]}, spark)
+        Loaders({"source": [{"source_type": "KEYVALUE", "spark_table_name": "x"}]}, spark)
 
 
 def test_items_source(spark, tmp_table_dir):

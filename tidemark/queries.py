@@ -370,17 +370,17 @@ def customer_order_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.order_metrics(joined)
 
 
-def etl_join_items(spark: SparkSession, sf: str) -> DataFrame:
+def load_join_items(spark: SparkSession, sf: str) -> DataFrame:
     """Both reference jobs end to end — seed the
     customers/orders tables, load them from a payload, join, deliver items."""
-    root = scratch_dir(spark, "etl")
+    root = scratch_dir(spark, "join_items")
     customers = customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
     jobs.seed_tables(
         spark, customers, orders_view(_t(spark, sf, "orders")), f"{root}/customers", f"{root}/orders",
         customer_precombine=None, catalog_sync=False,
     )
     tag = root.rsplit("-", 1)[1]
-    cview, oview = f"tm_etl_customers_{tag}", f"tm_etl_orders_{tag}"
+    cview, oview = f"tm_ji_customers_{tag}", f"tm_ji_orders_{tag}"
     payload = {
         "check_point_buckets": f"{root}/checkpoints",
         "source": [
@@ -461,7 +461,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_customers": gen_customers,
     "gen_orders": gen_orders,
     "customer_order_metrics": customer_order_metrics,
-    "etl_join_items": etl_join_items,
+    "load_join_items": load_join_items,
     "customer_metrics_items": customer_metrics_items,
     "clustered_rewrite": clustered_rewrite,
     "stream_upsert": stream_upsert,
