@@ -151,3 +151,16 @@ def test_catalog_follows_partial_bases(spark, tmp_table_dir):
     assert len(t.base_paths()) == 2
     got = sorted(tuple(r) for r in spark.sql("SELECT customer_id, name, state FROM partial_sync").collect())
     assert got == [("1", "a2", "NY"), ("2", "b", "CA")]
+
+
+def test_cluster_spreads_a_dominant_sort_value(spark, tmp_table_dir):
+    cfg = config(tmp_table_dir, enable_partition=False, table_type="MERGE_ON_READ")
+    # one name owns a third of the rows
+    rows = [(str(i), "hot" if i % 3 == 0 else f"n{i:04d}", "NY", "2024-01-01") for i in range(3000)]
+    upsert_table(spark, batch(spark, rows), cfg)
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    maintenance.cluster(t, ["name"], 4096)  # small target: many files
+    base = spark.read.parquet(f"{tmp_table_dir}/base/{t.base_dir()}")
+    per_file = base.filter("name = 'hot'").groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) > 1  # the hot value is split over files
+    assert base.count() == 3000

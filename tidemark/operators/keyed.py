@@ -128,9 +128,13 @@ def put_if_absent(
 
 
 def delete_keys(base: DataFrame, deletes: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """K5 ``delete``: drop every base row whose key appears in ``deletes``."""
+    """K5 ``delete``: drop every base row whose key appears in ``deletes``.
+
+    The delete keys are made distinct first (partial aggregation), so a key
+    repeated across many delete rows reaches the join once.
+    """
     keys = _keys(keys)
-    return base.join(deletes.select(*keys), on=keys, how="left_anti")
+    return base.join(deletes.select(*keys).distinct(), on=keys, how="left_anti")
 
 
 def retain_latest_versions(
