@@ -164,3 +164,14 @@ def test_cluster_spreads_a_dominant_sort_value(spark, tmp_table_dir):
     per_file = base.filter("name = 'hot'").groupBy(F.input_file_name()).count().collect()
     assert len(per_file) > 1  # the hot value is split over files
     assert base.count() == 3000
+
+
+def test_cluster_sizes_from_base_after_retention(spark, tmp_table_dir):
+    cfg = config(tmp_table_dir, enable_partition=False, table_type="MERGE_ON_READ")
+    upsert_table(spark, batch(spark, [(str(i), f"n{i:04d}", "NY", "2024-01-01") for i in range(2000)]), cfg)
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    maintenance.retain_versions(t, 1)  # the log is gone, the base holds the data
+    assert t.batches() == []
+    maintenance.cluster(t, ["name"], 4096)
+    files = glob.glob(f"{tmp_table_dir}/base/{t.base_dir()}/*.parquet")
+    assert len(files) > 1

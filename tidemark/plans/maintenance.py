@@ -53,7 +53,11 @@ def cluster(
     end = table.last_commit()
     if end is None:
         return None
-    n_files = max(1, table_bytes(table.spark, f"{table.path}/log") // max(1, target_file_bytes) + 1)
+    # size from everything the snapshot reads: the log and the base in use
+    stored = table_bytes(table.spark, f"{table.path}/log") + sum(
+        table_bytes(table.spark, p) for p in table.base_paths()
+    )
+    n_files = max(1, stored // max(1, target_file_bytes) + 1)
     snap = table.snapshot(with_meta=True).withColumn(DELETED_COL, F.lit(False))
     range_key = [*sort_columns, *[k for k in table.spec.resolve_keys if k not in sort_columns]]
     rows = snap.repartitionByRange(int(n_files), *range_key).sortWithinPartitions(*range_key)
