@@ -356,16 +356,27 @@ class CommitLogTable:
         return commit
 
     def import_changelog(
-        self, df: DataFrame, commit_col: str, options: WriteOptions | None = None
+        self,
+        df: DataFrame,
+        commit_col: str,
+        options: WriteOptions | None = None,
+        with_tombstones: bool = False,
     ) -> str | None:
         """Load many commits in one job: ``commit_col`` holds each row's commit
-        time (an ``insert`` per commit, rows kept as they are)."""
+        time (an ``insert`` per commit, rows kept as they are).
+
+        ``with_tombstones``: ``df`` carries a boolean ``_deleted`` column whose
+        true rows are deletes (used to mirror another table's log).
+        """
         options = options or WriteOptions()
         rows = df.withColumnRenamed(commit_col, COMMIT_COL) if commit_col != COMMIT_COL else df
         rows = rows.withColumn(COMMIT_COL, F.col(COMMIT_COL).cast("string"))
         schema = self._merge_schema(self._storage_schema(rows))
-        rows = self._guard_keys(rows.withColumn(DELETED_COL, F.lit(False)))
+        deleted = F.coalesce(F.col(DELETED_COL), F.lit(False)) if with_tombstones else F.lit(False)
+        rows = self._guard_keys(rows.withColumn(DELETED_COL, deleted))
         batch = _next_commit_time(self.last_commit())
+        if with_tombstones:
+            batch = f"{batch}{DELETE_SUFFIX}"
         written = self._write_batch(rows, batch, options)
         self._pinned = None
         if not written:

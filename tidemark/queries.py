@@ -424,7 +424,7 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     target = CommitLogTable.create(spark, scratch_dir(spark, "orders_replica"), source.spec)
     query = upsert_stream(source, target, scratch_dir(spark, "stream_ckpt"))
     query.awaitTermination()
-    return target.snapshot()
+    return _with_commit_col(target.snapshot(with_meta=True))
 
 
 def object_inventory(spark: SparkSession, sf: str) -> DataFrame:

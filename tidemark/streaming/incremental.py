@@ -3,10 +3,12 @@
 The source table's finished log batches are read by the parquet file source
 (batches appear in ``log/`` by an atomic rename, whole); progress lives in the
 stream's own checkpoint instead of a checkpoint document. Each micro-batch is
-pre-combined by the *source's* order (commit time first) and upserted into the
-target, so replaying the stream reproduces the source snapshot. With
-``trigger(availableNow=True)`` the stream drains what is there and stops —
-the batch job of the reference, restartable from its checkpoint.
+mirrored into the target *with the source's commit times and tombstones*, cut
+to one version per (key, commit) first. The target therefore resolves exactly
+like the source, however the stream splits the backlog into micro-batches
+(``max_files_per_trigger``). With ``trigger(availableNow=True)`` the stream
+drains what is there and stops — the batch job of the reference, restartable
+from its checkpoint.
 """
 
 from __future__ import annotations
@@ -16,8 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.columns import COMMIT_COL, DELETED_COL
-from tidemark.operators.keyed import latest_per_key
-from tidemark.plans.commitlog import BATCH_COL, CommitLogTable, resolve_versions
+from tidemark.plans.commitlog import BATCH_COL, CommitLogTable, per_commit_winners
 
 
 def change_stream(source: CommitLogTable, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -34,26 +35,25 @@ def upsert_stream(
     checkpoint_location: str,
     available_now: bool = True,
     processing_time: str | None = None,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Replicate ``source`` into ``target`` by key, one target commit per micro-batch."""
+    """Mirror ``source`` into ``target`` (same keys and ordering), one target
+    batch per micro-batch."""
     keys = source.spec.resolve_keys
 
     def apply(batch: DataFrame, _epoch: int) -> None:
-        batch = batch.persist()  # read once, used for data and tombstones
+        batch = batch.persist()  # read once: tombstone check and the write
         try:
-            # the newest source version per key decides: data is written,
-            # a tombstone becomes a delete in the target
-            live = resolve_versions(batch, keys, source._order(batch), source.spec.merge_mode)
-            rows = live.drop(DELETED_COL).withColumnRenamed(COMMIT_COL, "commit_time")
-            # the source commit time travels along as an ordinary column
-            target.write(rows, operation="insert")
-            newest = latest_per_key(batch, keys, [COMMIT_COL])
-            target.delete(newest.filter(F.col(DELETED_COL)).select(*keys))
+            has_deletes = not batch.filter(F.col(DELETED_COL)).isEmpty()
+            versions = per_commit_winners(batch, keys, source._order(batch))
+            target.import_changelog(versions, COMMIT_COL, with_tombstones=has_deletes)
         finally:
             batch.unpersist()
 
-    writer = change_stream(source).writeStream.foreachBatch(apply).option(
-        "checkpointLocation", checkpoint_location
+    writer = (
+        change_stream(source, max_files_per_trigger)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
