@@ -71,7 +71,8 @@ class CheckpointStore:
         """The table's checkpoint, or None (no row, or reset)."""
         if not fs.exists(self.spark, self._table_dir(table_name)):
             return None
-        row = self.latest_frame(table_name).first()
+        # one job: a top-1 by insert time over this table's rows only
+        row = self.frame(table_name).orderBy(F.col("inserted_time").desc()).first()
         if row is None or row["last_processed_commit"] is None:
             return None
         return Checkpoint(row["table_name"], row["path"], row["last_processed_commit"], row["inserted_time"])
