@@ -198,3 +198,18 @@ def test_stream_mirror_is_exact_in_small_micro_batches(spark, tmp_table_dir):
     snap = lambda t: sorted((r["id"], r["v"], r["_commit_time"]) for r in t.snapshot(with_meta=True).collect())
     assert snap(dst) == snap(src)
     assert sorted(r["id"] for r in dst.snapshot().collect()) == ["a", "c"]
+
+
+def test_reader_never_skips_a_batch_finished_mid_read(spark, tmp_table_dir):
+    t = mk_table(spark, f"{tmp_table_dir}/t")
+    store = CheckpointStore(spark, f"{tmp_table_dir}/ckpt")
+    source = CommitLogSource(t, mode="changes")
+    t.write(spark.createDataFrame([("a", 1, "a1")], SCHEMA))
+    t.pin()  # the reader has pinned what it will read ...
+    other = CommitLogTable.open(spark, t.path)
+    other.write(spark.createDataFrame([("b", 1, "b1")], SCHEMA))  # ... then a batch lands
+    rows, pending = IncrementalReader(store, source).read()
+    assert ids(rows) == ["a"]
+    pending.commit()
+    rows, pending = IncrementalReader(store, CommitLogSource(CommitLogTable.open(spark, t.path), "changes")).read()
+    assert ids(rows) == ["b"]  # picked up by the next run, not lost

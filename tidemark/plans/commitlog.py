@@ -237,15 +237,23 @@ class CommitLogTable:
         """Finished log batch directory names, oldest first."""
         return self._finished("log")
 
-    def commits(self) -> list[str]:
-        """M2: finished commit times ascending, from directory metadata (no scan)."""
-        finished = set(self.batches())
+    def commits(self, pinned: bool = False) -> list[str]:
+        """M2: finished commit times ascending, from directory metadata (no scan).
+
+        ``pinned``: only commits of the batches and base the following reads
+        will see — what a reader must use to choose its range end, so a batch
+        finishing in between is never skipped by a checkpoint.
+        """
+        if pinned:
+            batches, base = self.pin()
+        else:
+            batches, base = self.batches(), self.base_end()
+        finished = set(batches)
         out: set[str] = set()
         for p in fs.glob_names(self.spark, f"{self.path}/log/{BATCH_COL}=*/{COMMIT_COL}=*"):
             batch, commit = p.rstrip("/").split("/")[-2:]
             if batch in finished:
                 out.add(commit.split("=", 1)[1])
-        base = self.base_end()
         if base:
             out.add(base)
         return sorted(out)

@@ -34,8 +34,7 @@ class CommitLogSource:
         self.path = table.path
 
     def last_after(self, begin: str | None, max_commits: int | None) -> str | None:
-        self.table.pin()
-        commits = [c for c in self.table.commits() if begin is None or c > begin]
+        commits = [c for c in self.table.commits(pinned=True) if begin is None or c > begin]
         if max_commits:
             commits = commits[:max_commits]
         return commits[-1] if commits else None
