@@ -9,8 +9,8 @@ one write:
 3. create-if-missing with the key scope from ``index_type`` (K4, K18),
 4. the commit itself with its operation (K1, K5),
 5. compression, file sizing and key bloom filters (K9, K10, K13),
-6. COPY_ON_WRITE compaction every ``compact_every`` commits (K6),
-7. clustering rewrite (K8), version retention (K11),
+6. every ``compact_every`` commits: clustering rewrite when enabled (K8),
+   else COPY_ON_WRITE compaction (K6); version retention (K11),
 8. catalog registration (K12).
 """
 
@@ -99,11 +99,15 @@ def upsert_table(spark: SparkSession, df: DataFrame, config: WriteConfig) -> str
     commit = table.write(rows, operation=config.method, options=config.write_options())
     if commit is None:
         return None
-    if config.table_type == "COPY_ON_WRITE" and config.compact_every > 0:
-        maintenance.compact_if_due(table, config.compact_every, config.write_options())
-    if parse_flag(config.enable_clustering) and config.clustering_column not in (None, "", "default"):
+    clustering = parse_flag(config.enable_clustering) and config.clustering_column not in (None, "", "default")
+    due = config.compact_every > 0 and maintenance.commits_since_base(table) >= config.compact_every
+    if due and clustering:
+        # clustering rewrites the base sorted, so it stands in for compaction;
+        # both run on the commit cadence, never on every write
         cols = [c.strip() for c in config.clustering_column.split(",")]
         maintenance.cluster(table, cols, CLUSTER_TARGET_BYTES, config.write_options())
+    elif due and config.table_type == "COPY_ON_WRITE":
+        table.compact(config.write_options())
     if parse_flag(config.enable_cleaner) and config.compact_every > 0:
         maintenance.retain_versions_if_due(table, RETAINED_VERSIONS, config.compact_every)
     if parse_flag(config.enable_hive_sync):
