@@ -2,8 +2,9 @@
 
 The compacted base of a table is a plain (optionally partitioned) parquet
 dataset; it is registered as an external table of the session catalog and
-its partitions recovered, so SQL users see the table by name. Re-registering
-after a later compaction points the table at the newer base.
+its partitions recovered, so SQL users see the table by name — the table as
+of its last compaction (a read-optimized view). Re-registering after a later
+compaction points the table at the newer base.
 """
 
 from __future__ import annotations
@@ -17,8 +18,18 @@ from tidemark.functions.columns import COMMIT_COL, DELETED_COL
 from tidemark.plans.commitlog import CommitLogTable
 
 
-def register(spark: SparkSession, table: CommitLogTable, name: str, database: str | None = None) -> str:
-    if table.compact() is None:
+def register(
+    spark: SparkSession, table: CommitLogTable, name: str, database: str | None = None, refresh: bool = False
+) -> str:
+    """Register the table's compacted base (its read-optimized view).
+
+    The base is compacted here only when there is none yet, or on
+    ``refresh``; otherwise the catalog follows the compaction cadence and
+    re-registering is metadata work only.
+    """
+    if table.base_end() is None or refresh:
+        table.compact()
+    if table.base_end() is None:
         raise ValueError("nothing to register: the table has no commits")
     parts = list(table.spec.partition_by)
     if len(table.base_paths()) > 1 and len(parts) > 1:
