@@ -105,4 +105,6 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, max_p
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        # on a busy cluster size post-shuffle partitions by bytes, not core count
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
