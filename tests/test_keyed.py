@@ -114,3 +114,14 @@ def test_job_args():
     assert job_args(["--JOB_NAME", "etl", "--x", "1"], ["JOB_NAME"]) == {"JOB_NAME": "etl", "x": "1"}
     with pytest.raises(ValueError):
         job_args(["--x", "1"], ["JOB_NAME"])
+
+
+def test_metrics_accept_text_amounts(spark):
+    from tidemark.operators.metrics import order_metrics
+
+    joined = spark.createDataFrame(
+        [(1, "10.50", "2024-01-01"), (1, "oops", "2024-01-03"), (2, "7", "2024-01-02")],
+        "customer_id int, order_value string, order_date string",
+    )
+    got = {r["customer_id"]: (r["n_orders"], r["total_value"]) for r in order_metrics(joined).collect()}
+    assert got == {1: (2, 10.5), 2: (1, 7.0)}

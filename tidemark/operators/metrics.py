@@ -24,7 +24,9 @@ def order_metrics(
     (``decimal(18,2)`` keeps it exact for text items)."""
     return joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        F.sum(F.col(value).cast("decimal(18,2)")).cast(total_type).alias("total_value"),
+        # try_cast: amounts may arrive as text; a malformed one is NULL (not
+        # summed) instead of failing the job under ANSI casts
+        F.sum(F.col(value).try_cast("decimal(18,2)")).cast(total_type).alias("total_value"),
         F.min(date).alias("first_order"),
         F.max(date).alias("last_order"),
     )
