@@ -213,3 +213,35 @@ def test_reader_never_skips_a_batch_finished_mid_read(spark, tmp_table_dir):
     pending.commit()
     rows, pending = IncrementalReader(store, CommitLogSource(CommitLogTable.open(spark, t.path), "changes")).read()
     assert ids(rows) == ["b"]  # picked up by the next run, not lost
+
+
+def test_sinks_never_collect_to_the_driver(spark, tmp_table_dir, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    df = spark.range(1000).select(
+        (F.col("id") % 7).alias("customer_id"), F.col("id").alias("order_id"), (F.col("id") * 1.5).alias("value")
+    )
+    out = f"{tmp_table_dir}/ext"
+    os.makedirs(out)
+
+    def make_client(root=out):
+        import os as _os
+        import uuid as _uuid
+
+        class Client:
+            def put_batch(self, items):
+                with open(_os.path.join(root, _uuid.uuid4().hex), "w") as fh:
+                    fh.write(str(len(items)))
+
+        return Client()
+
+    def refuse(*_a, **_k):
+        raise AssertionError("rows were pulled to the driver")
+
+    for name in ("collect", "toPandas", "toLocalIterator"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+    KeyedSink(spark, f"{tmp_table_dir}/kv", "customer_id", "order_id").put(df)
+    put_partitions(df, make_client, "customer_id", "order_id", batch_size=100)
+    monkeypatch.undo()
+    assert sum(int(open(os.path.join(out, f)).read()) for f in os.listdir(out)) == 1000
+    assert KeyedSink(spark, f"{tmp_table_dir}/kv", "customer_id", "order_id").items().count() == 1000
