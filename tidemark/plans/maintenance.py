@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fs
-from tidemark.functions.columns import DELETED_COL
+from tidemark.functions.columns import COMMIT_COL, DELETED_COL
+from tidemark.operators.keyed import RANK_COL, ranked, retain_latest_versions
 from tidemark.plans.commitlog import BATCH_COL, CommitLogTable, WriteOptions
 
 
@@ -65,19 +66,74 @@ def cluster(
     return end
 
 
-def retain_versions(table: CommitLogTable, n: int) -> DataFrame:
-    """Keep the ``n`` newest versions per key.
+def _history_dirs(table: CommitLogTable) -> list[str]:
+    return table._finished("history")
+
 
-    Writes ``history/_batch=<end>`` with those versions, compacts the table,
-    then removes log batches the base covers. Returns the retained versions.
+def retain_versions(table: CommitLogTable, n: int) -> DataFrame:
+    """Keep the ``n`` newest versions per key, over the whole table life.
+
+    The kept versions are the previous history plus the live log, ranked
+    together, so a key keeps ``n`` versions in total however often retention
+    runs. Versions at or before a key's newest delete are dropped with it.
+    Then the table is compacted, log batches the base covers are removed,
+    older history and base directories no reader needs are deleted. Returns
+    the retained versions (with ``version_rank``).
     """
     end = table.last_commit()
-    history = f"{table.path}/history/{BATCH_COL}={end}"
-    if end is not None and not fs.exists(table.spark, history):
-        table.versions(n).write.mode("errorifexists").parquet(history)
+    if end is None:
+        return table.versions(n)
+    target = f"{table.path}/history/{BATCH_COL}={end}"
+    if not fs.exists(table.spark, target):
+        keys = table.spec.resolve_keys
+        log = table.log()
+        previous = _history_dirs(table)
+        candidates = log
+        if previous:
+            prev_end = previous[-1].split("=", 1)[1]
+            old = table.spark.read.parquet(f"{table.path}/history/{previous[-1]}").drop("version_rank")
+            old = old.withColumn(DELETED_COL, F.lit(False))
+            candidates = log.filter(F.col(COMMIT_COL) > F.lit(prev_end)).unionByName(old, allowMissingColumns=True)
+        order = table._order(candidates)
+        data = candidates.filter(~F.col(DELETED_COL))
+        # at most n versions per (key, commit) before the key-level join, so
+        # a hot key meets the delete join with at most n rows per commit
+        data = ranked(data, [*keys, COMMIT_COL], order, n).drop(RANK_COL)
+        if table.has_tombstones():
+            tombs = (
+                candidates.filter(F.col(DELETED_COL)).groupBy(*keys).agg(F.max(COMMIT_COL).alias("__tm_tomb"))
+            )
+            cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs["__tm_tomb"]]
+            data = data.join(tombs, on=cond, how="left_anti")
+        kept = retain_latest_versions(data, keys, order, n).drop(DELETED_COL)
+        staging = f"{table.path}/_staging/history-{end}"
+        kept.write.mode("errorifexists").parquet(staging)
+        fs.rename(table.spark, staging, target)
         table.compact()
         table.drop_log_through(end)
-    return table.spark.read.parquet(history) if end is not None else table.versions(n)
+        for d in previous:
+            fs.delete(table.spark, f"{table.path}/history/{d}")
+        drop_unused_bases(table)
+    return table.spark.read.parquet(target)
+
+
+def drop_unused_bases(table: CommitLogTable) -> list[str]:
+    """Delete base directories that no partition is read from any more.
+
+    Partition-scoped tables read each partition from the newest base holding
+    it, so older bases stay while one of their partitions is still current;
+    everything else is a superseded copy.
+    """
+    table._pinned = None
+    used = {p.split("/base/", 1)[1].split("/", 1)[0] for p in table.base_paths()}
+    newest = table.base_dir()
+    if newest:
+        used.add(newest)
+    gone = [d for d in table._finished("base") if d not in used]
+    for d in gone:
+        fs.delete(table.spark, f"{table.path}/base/{d}")
+    table._pinned = None
+    return gone
 
 
 def retain_versions_if_due(table: CommitLogTable, n: int, every: int) -> None:
