@@ -9,6 +9,28 @@ Everything is built from Spark built-ins (DataFrame, SQL, windows, joins,
 Structured Streaming); there are no custom Catalyst rules.
 """
 
-from tidemark.session import build_session, scratch_dir
+from tidemark.plans.checkpoint import CheckpointStore
+from tidemark.plans.commitlog import CommitLogTable, TableSpec, WriteOptions
+from tidemark.plans.incremental import ChangeFeedSource, CommitLogSource, IncrementalReader
+from tidemark.plans.write_config import WriteConfig, upsert_table
+from tidemark.session import build_session, scale_conf, scratch_dir
+from tidemark.sinks.keyed import KeyedSink, put_partitions
+from tidemark.sources.loaders import Loaders
 
-__all__ = ["build_session", "scratch_dir"]
+__all__ = [
+    "ChangeFeedSource",
+    "CheckpointStore",
+    "CommitLogSource",
+    "CommitLogTable",
+    "IncrementalReader",
+    "KeyedSink",
+    "Loaders",
+    "TableSpec",
+    "WriteConfig",
+    "WriteOptions",
+    "build_session",
+    "put_partitions",
+    "scale_conf",
+    "scratch_dir",
+    "upsert_table",
+]

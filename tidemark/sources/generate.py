@@ -49,6 +49,8 @@ def customers_from_ids(ids: DataFrame, id_col: str = "i") -> DataFrame:
 
 def orders_from_ids(ids: DataFrame, n_customers: int | Column, id_col: str = "i") -> DataFrame:
     """S11 over an id column; ``customer_id`` drawn from ``0..n_customers-1``."""
+    if isinstance(n_customers, int) and n_customers < 1:
+        raise ValueError("orders need at least one customer to belong to")
     i = F.col(id_col).cast("bigint")
     priority = F.element_at(F.array(*[F.lit(p) for p in PRIORITIES]), (_mix(i, 31, 5, len(PRIORITIES)) + 1).cast("int"))
     day = F.date_sub(F.lit(ANCHOR_DAY).cast("date"), _mix(i, 17, 3, ORDER_DAYS_BACK + 1).cast("int"))
