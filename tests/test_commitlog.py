@@ -349,3 +349,16 @@ def test_unused_bases_are_dropped(spark, tmp_table_dir):
     t.compact()  # now nothing is read from the first base
     assert maintenance.drop_unused_bases(t) == [first]
     assert rows(t.snapshot()) == [("a", 2, "a2"), ("b", 2, "b2")]
+
+
+def test_snapshot_joins_only_touched_partitions_of_the_base(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir, partition_by=("state",), key_scope="partition")
+    t.write(spark.createDataFrame([("a", "NY", 1, "a1"), ("b", "CA", 1, "b1"), ("c", "TX", 1, "c1")], SCHEMA))
+    t.compact()
+    t.write(spark.createDataFrame([("a", "NY", 2, "a2")], SCHEMA))
+    snap = t.snapshot()
+    plan = snap._jdf.queryExecution().executedPlan().toString()
+    base_scans = [line for line in plan.splitlines() if "Scan parquet" in line and "/base/" in line]
+    # every base scan is restricted by a partition filter on the touched value
+    assert base_scans and all("PartitionFilters: [" in line and "NY" in line for line in base_scans)
+    assert rows(snap, ("id", "state", "v")) == [("a", "NY", "a2"), ("b", "CA", "b1"), ("c", "TX", "c1")]

@@ -540,9 +540,28 @@ class CommitLogTable:
         keys = self.spec.resolve_keys
         after = log.filter(F.col(COMMIT_COL) > F.lit(base_end))
         touched = after.select(*keys).distinct()
+        quiet = None
+        if self._partial_bases():
+            # Base rows of partitions no later commit wrote to (known from
+            # directory names) skip the key joins entirely.
+            hit = self._partition_match(self.touched_partitions(base_end))
+            quiet = base.filter(~F.coalesce(hit, F.lit(False)))
+            base = base.filter(hit)
         untouched = base.join(touched, on=keys, how="left_anti")
         redo = self._resolve(base.join(touched, on=keys, how="left_semi").unionByName(after))
-        return self._finish(untouched.unionByName(redo), with_meta)
+        out = untouched.unionByName(redo)
+        if quiet is not None:
+            out = quiet.unionByName(out)
+        return self._finish(out, with_meta)
+
+    def _partition_match(self, partition_dirs: list[str]):
+        """Predicate: the first partition column is one of ``partition_dirs``."""
+        values = [unquote(d.split("=", 1)[1]) for d in partition_dirs]
+        first = F.col(self.spec.partition_by[0])
+        cond = first.cast("string").isin([v for v in values if v != NULL_PARTITION])
+        if NULL_PARTITION in values:
+            cond = cond | first.isNull()
+        return cond
 
     def _finish(self, df: DataFrame, with_meta: bool) -> DataFrame:
         df = df.drop(DELETED_COL)
@@ -629,12 +648,7 @@ class CommitLogTable:
             # Only partitions written since the base are re-resolved and
             # rewritten; the filter reaches both scans as a partition filter.
             touched = self.touched_partitions(base_end)
-            values = [unquote(d.split("=", 1)[1]) for d in touched]
-            first = F.col(parts[0])
-            cond = first.cast("string").isin([v for v in values if v != NULL_PARTITION])
-            if NULL_PARTITION in values:
-                cond = cond | first.isNull()
-            snap = snap.filter(cond)
+            snap = snap.filter(self._partition_match(touched))
         rows = snap.hint("rebalance", *parts) if parts else snap
         self.write_base(rows, end, options, touched)
         return end
