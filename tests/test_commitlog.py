@@ -362,3 +362,12 @@ def test_snapshot_joins_only_touched_partitions_of_the_base(spark, tmp_table_dir
     # every base scan is restricted by a partition filter on the touched value
     assert base_scans and all("PartitionFilters: [" in line and "NY" in line for line in base_scans)
     assert rows(snap, ("id", "state", "v")) == [("a", "NY", "a2"), ("b", "CA", "b1"), ("c", "TX", "c1")]
+
+
+def test_explicit_commit_time_collision_fails_cleanly(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    c = t.write(spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA))
+    with pytest.raises(Exception):
+        t.write(spark.createDataFrame([("b", "x", 1, "b1")], SCHEMA), commit_time=c)
+    assert t.batches() == [f"_batch={c}"]
+    assert rows(t.snapshot()) == [("a", 1, "a1")]

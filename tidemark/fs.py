@@ -47,9 +47,14 @@ def qualify(spark: SparkSession, path: str) -> str:
 
 
 def rename(spark: SparkSession, src: str, dst: str) -> None:
-    """Move ``src`` to ``dst`` (atomic for directories on HDFS and local disks)."""
+    """Move ``src`` to ``dst`` (atomic for directories on HDFS and local disks).
+
+    An existing ``dst`` is an error: Hadoop would move ``src`` inside it.
+    """
     fs, s = _fs_and_path(spark, src)
     _, d = _fs_and_path(spark, dst)
+    if fs.exists(d):
+        raise FileExistsError(f"{dst} exists; {src} was left in place")
     fs.mkdirs(d.getParent())
     if not fs.rename(s, d):
         raise OSError(f"could not rename {src} to {dst}")
