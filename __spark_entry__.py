@@ -83,12 +83,20 @@ _ORACLES: dict[str, str] = {
         _BI + "SELECT * FROM b WHERE NOT EXISTS "
         "(SELECT 1 FROM i_src WHERE i_src.user_id = b.user_id AND i_src.value > 200)"
     ),
+    "event_time_delete_reinsert": (
+        _BI + ", d AS (SELECT DISTINCT user_id FROM i_src WHERE value > 200) "
+        "SELECT event_id, ts, user_id, event_type, value, commit_time FROM "
+        "(SELECT *, 0 AS src FROM b WHERE user_id NOT IN (SELECT user_id FROM d) "
+        "UNION ALL SELECT *, 1 AS src FROM i) "
+        "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, src DESC, event_id DESC) = 1"
+    ),
     "snapshot_read": _SNAPSHOT,
     "incremental_latest_state": (
         f"SELECT * FROM ({_LOG}) WHERE commit_time > '2024010107' "
         f"QUALIFY row_number() OVER (PARTITION BY o_custkey {_LOG_ORDER}) = 1"
     ),
     "incremental_changes": f"SELECT * FROM ({_LOG}) WHERE commit_time > '2024010107'",
+    "incremental_after_compaction": f"SELECT * FROM ({_SNAPSHOT}) WHERE commit_time > '2024010103'",
     "incremental_event_time": (
         f"SELECT * FROM (SELECT * FROM ({_LOG}) QUALIFY row_number() OVER "
         "(PARTITION BY o_custkey ORDER BY o_orderdate DESC, commit_time DESC, o_orderkey DESC) = 1) "

@@ -46,6 +46,8 @@ LOG_FIRST_COMMIT = 2024010100
 LOG_COMMITS = 10
 INC_BEGIN_LOG = "2024010107"
 INC_BEGIN_DAY = "20001231"
+COMPACT_AT = "2024010105"
+INC_BEGIN_AFTER_COMPACTION = "2024010103"
 DELETE_VALUE_ABOVE = 200
 SQL_TRANSFORM = (
     "SELECT o_orderkey, o_custkey, o_totalprice, upper(o_orderstatus) AS status "
@@ -185,6 +187,18 @@ def keyed_delete(spark: SparkSession, sf: str) -> DataFrame:
     return table.snapshot()
 
 
+def event_time_delete_reinsert(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 D11 under event time: upsert B, delete the users with an incoming
+    event above the limit, upsert I. Deleted users come back only with
+    versions written after the delete."""
+    stored, incoming = _feeds(events_changelog(spark, sf))
+    table = _events_table(spark, "ev_et_delete", mode="event_time")
+    table.write(stored, "upsert")
+    table.delete(incoming.filter(F.col("value") > DELETE_VALUE_ABOVE))
+    table.write(incoming, "upsert")
+    return table.snapshot()
+
+
 def snapshot_read(spark: SparkSession, sf: str) -> DataFrame:
     """Latest order per customer over the ten-commit log."""
     return _with_commit_col(_log_table(spark, sf).snapshot(with_meta=True))
@@ -206,6 +220,21 @@ def incremental_event_time(spark: SparkSession, sf: str) -> DataFrame:
     return _with_commit_col(table.incremental(INC_BEGIN_LOG, mode="latest_state"))
 
 
+def incremental_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """The first six log commits are compacted and their log is
+    removed before the rest arrives; the increment after 2024010103 is still
+    exact (changed keys come from the base too)."""
+    spec = TableSpec(name="orders_log", keys=("o_custkey",), precombine="o_orderdate",
+                     tie_breakers=("o_orderkey",), table_type="MERGE_ON_READ")
+    table = CommitLogTable.create(spark, scratch_dir(spark, "orders_log_c"), spec)
+    log = orders_log(spark, sf)
+    table.import_changelog(log.filter(F.col("commit_time") <= COMPACT_AT), "commit_time")
+    table.compact()
+    table.drop_log_through(table.base_end())
+    table.import_changelog(log.filter(F.col("commit_time") > COMPACT_AT), "commit_time")
+    return _with_commit_col(table.incremental(INC_BEGIN_AFTER_COMPACTION, mode="latest_state"))
+
+
 def retain_latest_versions(spark: SparkSession, sf: str) -> DataFrame:
     """The three newest versions per customer."""
     versions = _log_table(spark, sf).versions(3)
@@ -446,6 +475,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_latest_state": incremental_latest_state,
     "incremental_changes": incremental_changes,
     "incremental_event_time": incremental_event_time,
+    "incremental_after_compaction": incremental_after_compaction,
+    "event_time_delete_reinsert": event_time_delete_reinsert,
     "retain_latest_versions": retain_latest_versions,
     "compacted_snapshot": compacted_snapshot,
     "commit_timeline": commit_timeline,
