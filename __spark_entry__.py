@@ -75,6 +75,10 @@ _ORACLES: dict[str, str] = {
         f"SELECT * FROM ({_EV}) QUALIFY row_number() OVER "
         "(PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1"
     ),
+    "upsert_table_scope": (
+        _BI + "SELECT * FROM i UNION ALL "
+        "SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.user_id = b.user_id)"
+    ),
     "put_if_absent": (
         _BI + "SELECT * FROM b UNION ALL "
         "SELECT * FROM i WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.user_id = i.user_id)"

@@ -170,6 +170,20 @@ def upsert_partition_scope(spark: SparkSession, sf: str) -> DataFrame:
     return table.snapshot()
 
 
+def upsert_table_scope(spark: SparkSession, sf: str) -> DataFrame:
+    """K4 table scope: partitioned by event type, keyed by user alone — a
+    user's row moves between partitions when a newer event has another type."""
+    stored, incoming = _feeds(events_changelog(spark, sf))
+    spec = TableSpec(
+        name="ev_table_scope", keys=("user_id",), precombine="ts", tie_breakers=("event_id",),
+        partition_by=("event_type",), key_scope="table", table_type="MERGE_ON_READ",
+    )
+    table = CommitLogTable.create(spark, scratch_dir(spark, "ev_table_scope"), spec)
+    table.write(stored, "upsert")
+    table.write(incoming, "upsert")
+    return table.snapshot()
+
+
 def put_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     """Stored users keep their row; new users are added from I."""
     stored, incoming = _feeds(events_changelog(spark, sf))
@@ -469,6 +483,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_incoming_wins": upsert_incoming_wins,
     "upsert_event_time": upsert_event_time,
     "upsert_partition_scope": upsert_partition_scope,
+    "upsert_table_scope": upsert_table_scope,
     "put_if_absent": put_if_absent,
     "keyed_delete": keyed_delete,
     "snapshot_read": snapshot_read,
