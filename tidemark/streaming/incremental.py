@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import fs
 from tidemark.functions.columns import COMMIT_COL, DELETED_COL
 from tidemark.plans.commitlog import BATCH_COL, CommitLogTable, per_commit_winners
 
@@ -29,6 +30,32 @@ def change_stream(source: CommitLogTable, max_files_per_trigger: int | None = No
     return reader.parquet(f"{source.path}/log").drop(BATCH_COL)
 
 
+BOOTSTRAP_MARK = "_tidemark_bootstrap"
+
+
+def _bootstrap(source: CommitLogTable, target: CommitLogTable, checkpoint_location: str) -> str | None:
+    """First start only: copy the source's compacted base into the target.
+
+    Log batches the base covers may be gone already, so a new mirror starts
+    from the base and streams only commits after its end. The end is kept
+    in a marker inside the stream checkpoint, so restarts apply the same cut.
+    """
+    marks = fs.glob_names(source.spark, f"{checkpoint_location}/{BOOTSTRAP_MARK}-*")
+    if marks:
+        end = marks[0].rsplit(f"{BOOTSTRAP_MARK}-", 1)[1]
+        return end or None
+    if fs.exists(source.spark, f"{checkpoint_location}/offsets"):
+        return None  # a stream that started before this marker existed
+    source._pinned = None
+    end = source.base_end()
+    if end is not None:
+        base = source._base()
+        target.import_changelog(base.drop(DELETED_COL), COMMIT_COL)
+    fs.mkdirs(source.spark, checkpoint_location)
+    fs.touch(source.spark, f"{checkpoint_location}/{BOOTSTRAP_MARK}-{end or ''}")
+    return end
+
+
 def upsert_stream(
     source: CommitLogTable,
     target: CommitLogTable,
@@ -50,9 +77,12 @@ def upsert_stream(
         finally:
             batch.unpersist()
 
+    changes = change_stream(source, max_files_per_trigger)
+    start_after = _bootstrap(source, target, checkpoint_location)
+    if start_after is not None:
+        changes = changes.filter(F.col(COMMIT_COL) > F.lit(start_after))
     writer = (
-        change_stream(source, max_files_per_trigger)
-        .writeStream.foreachBatch(apply)
+        changes.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
