@@ -264,3 +264,19 @@ def test_new_mirror_bootstraps_from_a_compacted_source(spark, tmp_table_dir):
     upsert_stream(src, dst, ckpt).awaitTermination()
     assert snap(dst) == snap(src)
     assert len(dst.incremental(None, mode="changes").collect()) == 4  # a2, b1 (base), c1, b5: no duplicates
+
+
+def test_expand_heterogeneous_items(spark):
+    from tidemark.sources.items import expand_items
+
+    df = spark.createDataFrame(
+        [(1, '{"k": 1, "tags": [{"a": 1}]}'), (2, '{"k": "x", "amt": 1.5}'), (3, '{"amt": 10.25, "m": {"z": true}}')],
+        "id long, props string",
+    )
+    out = expand_items(df, "props", keep=["id"])
+    types = dict(out.dtypes)
+    # missing keys are NULL, mixed types stay whole as VARIANT, amounts exact
+    assert types["amt"] == "decimal(4,2)" and types["k"] == "variant"
+    assert types["m"] == "struct<z:boolean>" and types["tags"] == "array<struct<a:bigint>>"
+    got = {r["id"]: r for r in out.collect()}
+    assert str(got[3]["amt"]) == "10.25" and got[1]["amt"] is None and got[3]["k"] is None
