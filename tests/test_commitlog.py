@@ -371,3 +371,11 @@ def test_explicit_commit_time_collision_fails_cleanly(spark, tmp_table_dir):
         t.write(spark.createDataFrame([("b", "x", 1, "b1")], SCHEMA), commit_time=c)
     assert t.batches() == [f"_batch={c}"]
     assert rows(t.snapshot()) == [("a", 1, "a1")]
+
+
+def test_import_with_batch_id_is_idempotent(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    df = spark.createDataFrame([("a", "x", 1, "a1", "100"), ("b", "x", 1, "b1", "101")], SCHEMA + ", ct string")
+    assert t.import_changelog(df, "ct", batch_id="replay-1") is not None
+    assert t.import_changelog(df, "ct", batch_id="replay-1") is None  # the replay is a no-op
+    assert len(t.incremental(None, mode="changes").collect()) == 2

@@ -369,20 +369,27 @@ class CommitLogTable:
         commit_col: str,
         options: WriteOptions | None = None,
         with_tombstones: bool = False,
+        batch_id: str | None = None,
     ) -> str | None:
         """Load many commits in one job: ``commit_col`` holds each row's commit
         time (an ``insert`` per commit, rows kept as they are).
 
         ``with_tombstones``: ``df`` carries a boolean ``_deleted`` column whose
         true rows are deletes (used to mirror another table's log).
+        ``batch_id``: a caller-chosen batch name that makes the import
+        idempotent — a replay of an id already written does nothing.
         """
         options = options or WriteOptions()
+        if batch_id is not None:
+            name = f"{batch_id}{DELETE_SUFFIX}" if with_tombstones else batch_id
+            if fs.exists(self.spark, f"{self.path}/log/{BATCH_COL}={name}"):
+                return None
         rows = df.withColumnRenamed(commit_col, COMMIT_COL) if commit_col != COMMIT_COL else df
         rows = rows.withColumn(COMMIT_COL, F.col(COMMIT_COL).cast("string"))
         schema = self._merge_schema(self._storage_schema(rows))
         deleted = F.coalesce(F.col(DELETED_COL), F.lit(False)) if with_tombstones else F.lit(False)
         rows = self._guard_keys(rows.withColumn(DELETED_COL, deleted))
-        batch = _next_commit_time(self.last_commit())
+        batch = batch_id or _next_commit_time(self.last_commit())
         if with_tombstones:
             batch = f"{batch}{DELETE_SUFFIX}"
         written = self._write_batch(rows, batch, options)

@@ -13,6 +13,8 @@ from its checkpoint.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -67,13 +69,18 @@ def upsert_stream(
     """Mirror ``source`` into ``target`` (same keys and ordering), one target
     batch per micro-batch."""
     keys = source.spec.resolve_keys
+    # epochs of this stream map to fixed batch names: a micro-batch replayed
+    # after a failure finds its batch already written and does nothing
+    stream_tag = hashlib.sha1(checkpoint_location.encode("utf-8")).hexdigest()[:10]
 
-    def apply(batch: DataFrame, _epoch: int) -> None:
+    def apply(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()  # read once: tombstone check and the write
         try:
             has_deletes = not batch.filter(F.col(DELETED_COL)).isEmpty()
             versions = per_commit_winners(batch, keys, source._order(batch))
-            target.import_changelog(versions, COMMIT_COL, with_tombstones=has_deletes)
+            target.import_changelog(
+                versions, COMMIT_COL, with_tombstones=has_deletes, batch_id=f"s{stream_tag}-{epoch:012d}"
+            )
         finally:
             batch.unpersist()
 
