@@ -379,3 +379,16 @@ def test_import_with_batch_id_is_idempotent(spark, tmp_table_dir):
     assert t.import_changelog(df, "ct", batch_id="replay-1") is not None
     assert t.import_changelog(df, "ct", batch_id="replay-1") is None  # the replay is a no-op
     assert len(t.incremental(None, mode="changes").collect()) == 2
+
+
+def test_snapshot_after_compaction_lists_only_newer_batches(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    for i in range(3):
+        t.write(spark.createDataFrame([(f"k{i}", "x", i, f"v{i}")], SCHEMA))
+    t.compact()
+    t.write(spark.createDataFrame([("k9", "x", 9, "v9")], SCHEMA))
+    plan = t.snapshot()._jdf.queryExecution().executedPlan().toString()
+    log_scans = [line for line in plan.splitlines() if "Scan parquet" in line and "/log/" in line]
+    # three older batches are covered by the base and never listed
+    assert log_scans and all("InMemoryFileIndex(1 paths)" in line for line in log_scans)
+    assert len(rows(t.snapshot())) == 4

@@ -444,9 +444,28 @@ class CommitLogTable:
         batches, base_end = self.pin()
         return not batches and base_end is None
 
-    def log(self) -> DataFrame:
-        """Every version in the visible log batches, tombstones included."""
+    def _batch_commits(self) -> dict[str, list[str]]:
+        """Commit times inside each pinned batch (one glob call, cached with the pin)."""
         batches, _ = self.pin()
+        if getattr(self, "_batch_commit_cache", None) is None or self._batch_commit_cache[0] is not self._pinned:
+            found: dict[str, list[str]] = {b: [] for b in batches}
+            for p in fs.glob_names(self.spark, f"{self.path}/log/{BATCH_COL}=*/{COMMIT_COL}=*"):
+                batch, commit = p.rstrip("/").split("/")[-2:]
+                if batch in found:
+                    found[batch].append(commit.split("=", 1)[1])
+            self._batch_commit_cache = (self._pinned, found)
+        return self._batch_commit_cache[1]
+
+    def log(self, after: str | None = None) -> DataFrame:
+        """Every version in the visible log batches, tombstones included.
+
+        ``after``: only batches holding a commit later than this are listed
+        and read at all (rows are not filtered here; callers filter by commit).
+        """
+        batches, _ = self.pin()
+        if after is not None:
+            commits = self._batch_commits()
+            batches = [b for b in batches if any(c > after for c in commits.get(b, []))]
         if not batches:
             return self._empty().drop(BATCH_COL)
         paths = [f"{self.path}/log/{b}" for b in batches]
@@ -538,7 +557,7 @@ class CommitLogTable:
         base_end = self.pin()[1]
         if as_of is not None and base_end is not None and as_of < base_end:
             raise ValueError("as_of is older than the compacted base")
-        log = self.log()
+        log = self.log(after=base_end)
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
         base = self._base()
@@ -602,8 +621,14 @@ class CommitLogTable:
             raise ValueError(f"mode must be one of {INCREMENT_MODES}")
         if self._is_empty():
             return self._finish(self._empty().drop(BATCH_COL), with_meta)
-        log = self.log()
         base_end = self.pin()[1]
+        # batches with no commit after the earliest one needed are not listed
+        needed_after = begin
+        if mode == "latest_state" and not (
+            self.spec.merge_mode == "incoming_wins" and (base_end is None or (begin or "") >= base_end)
+        ):
+            needed_after = base_end  # the generic path reads the history after the base
+        log = self.log(after=needed_after)
         in_range = F.lit(True)
         if begin is not None:
             in_range = in_range & (F.col(COMMIT_COL) > F.lit(begin))
