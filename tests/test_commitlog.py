@@ -392,3 +392,19 @@ def test_snapshot_after_compaction_lists_only_newer_batches(spark, tmp_table_dir
     # three older batches are covered by the base and never listed
     assert log_scans and all("InMemoryFileIndex(1 paths)" in line for line in log_scans)
     assert len(rows(t.snapshot())) == 4
+
+
+def test_overtaken_batch_is_restamped_after_the_newest_commit(spark, tmp_table_dir):
+    from tidemark.functions.columns import COMMIT_COL, DELETED_COL
+    from tidemark.plans.commitlog import WriteOptions
+
+    t = table(spark, tmp_table_dir)
+    stale = "20000101000000000"  # a commit time taken before another writer published
+    newer = t.write(spark.createDataFrame([("b", "x", 1, "b1")], SCHEMA))
+    staged = spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA).withColumn(DELETED_COL, F.lit(False))
+    name = t._write_batch(staged.withColumn(COMMIT_COL, F.lit(stale)), stale, WriteOptions(), restamp=stale)
+    assert name > newer
+    commits = CommitLogTable.open(spark, tmp_table_dir).commits()
+    assert stale not in commits and commits[-1] == name and commits[0] == newer
+    # an incremental reader that consumed `newer` still sees the late batch
+    assert rows(CommitLogTable.open(spark, tmp_table_dir).incremental(newer, mode="changes")) == [("a", 1, "a1")]

@@ -292,11 +292,20 @@ class CommitLogTable:
             )
         return out
 
-    def _write_batch(self, rows: DataFrame, batch: str, options: WriteOptions) -> bool:
-        """Write one batch; False (and nothing visible) when it held no rows.
+    def _write_batch(
+        self, rows: DataFrame, batch: str, options: WriteOptions, restamp: str | None = None
+    ) -> str | None:
+        """Write one batch; returns its published name, None (nothing visible)
+        when it held no rows.
 
         Emptiness is read from the written directories, not from a separate
         ``isEmpty()`` job, so an expensive input plan runs exactly once.
+
+        ``restamp`` (single-commit batches): the batch's commit time. If a
+        newer commit was published while this batch was being written, the
+        commit directory is renamed to a later time before publishing (the
+        time lives only in directory names), so readers never see a commit
+        appear behind one they already consumed.
         """
         parts = list(self.spec.partition_by)
         rebalance = options.rebalance if options.rebalance is not None else bool(parts)
@@ -316,9 +325,15 @@ class CommitLogTable:
         writer.partitionBy(COMMIT_COL, *parts).parquet(staging)
         if not fs.glob_names(self.spark, f"{staging}/{COMMIT_COL}=*"):
             fs.delete(self.spark, staging)  # K15: an empty batch creates no commit
-            return False
+            return None
+        if restamp is not None:
+            latest = self.last_commit()
+            if latest is not None and latest >= restamp:
+                later = _next_commit_time(latest)
+                fs.rename(self.spark, f"{staging}/{COMMIT_COL}={restamp}", f"{staging}/{COMMIT_COL}={later}")
+                batch = batch.replace(restamp, later, 1)
         fs.rename(self.spark, staging, f"{self.path}/log/{BATCH_COL}={batch}")
-        return True
+        return batch
 
     def write(
         self,
@@ -355,10 +370,13 @@ class CommitLogTable:
         rows = self._guard_keys(rows)
         commit = commit_time or _next_commit_time(self.last_commit())
         batch = f"{commit}{DELETE_SUFFIX}" if operation == "delete" else commit
-        written = self._write_batch(rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options)
+        written = self._write_batch(
+            rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options, restamp=None if commit_time else commit
+        )
         self._pinned = None
         if not written:
             return None
+        commit = written.removesuffix(DELETE_SUFFIX)
         if schema != self._schema:
             self._write_meta(commit, schema)
         return commit
