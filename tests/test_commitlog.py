@@ -408,3 +408,17 @@ def test_overtaken_batch_is_restamped_after_the_newest_commit(spark, tmp_table_d
     assert stale not in commits and commits[-1] == name and commits[0] == newer
     # an incremental reader that consumed `newer` still sees the late batch
     assert rows(CommitLogTable.open(spark, tmp_table_dir).incremental(newer, mode="changes")) == [("a", 1, "a1")]
+
+
+def test_lookup_pushes_the_key_filter_into_the_scans(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    t.write(spark.createDataFrame([(f"k{i}", "x", i, f"v{i}") for i in range(20)], SCHEMA))
+    t.compact()
+    t.write(spark.createDataFrame([("k3", "x", 9, "v3b")], SCHEMA))
+    found = t.lookup("id", ["k3", "k7"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Scan parquet" in line]
+    assert scans and all("PushedFilters: [" in line and "In(id, [k3,k7])" in line for line in scans)
+    assert rows(found) == [("k3", 9, "v3b"), ("k7", 7, "v7")]
+    with pytest.raises(ValueError):
+        t.lookup("v", ["x"])

@@ -607,6 +607,17 @@ class CommitLogTable:
             cond = cond | first.isNull()
         return cond
 
+    def lookup(self, key: str, values: list, with_meta: bool = False) -> DataFrame:
+        """Current rows for some values of one key column (K13 point lookup).
+
+        The filter is on a resolution key, so Catalyst pushes it below the
+        ranking window into every scan; parquet min/max statistics and the key
+        bloom filters (``enable_meta_data_indexing``) then skip row groups.
+        """
+        if key not in self.spec.resolve_keys:
+            raise ValueError(f"{key} is not a key of this table")
+        return self.snapshot(with_meta=with_meta).filter(F.col(key).isin(values))
+
     def _finish(self, df: DataFrame, with_meta: bool) -> DataFrame:
         df = df.drop(DELETED_COL)
         return df if with_meta else df.drop(COMMIT_COL)
