@@ -280,3 +280,13 @@ def test_expand_heterogeneous_items(spark):
     assert types["m"] == "struct<z:boolean>" and types["tags"] == "array<struct<a:bigint>>"
     got = {r["id"]: r for r in out.collect()}
     assert str(got[3]["amt"]) == "10.25" and got[1]["amt"] is None and got[3]["k"] is None
+
+
+def test_item_field_reads_typed_attributes(spark):
+    from tidemark.sources.items import item_field
+
+    df = spark.createDataFrame([(1, '{"k": 69, "s": "x"}'), (2, '{"s": 5}')], "id long, props string")
+    got = {r["id"]: (r["k"], r["s"]) for r in df.select(
+        "id", item_field("props", "$.k", "bigint").alias("k"), item_field("props", "$.s", "string").alias("s")
+    ).collect()}
+    assert got == {1: (69, "x"), 2: (None, "5")}

@@ -199,3 +199,5 @@ def test_rows_to_frame_and_gold_helper_and_file_cap(spark, tmp_table_dir):
                     max_records_per_file=2)
     upsert_table(spark, batch(spark, [(str(i), "n", "NY", "2024-01-01") for i in range(10)]).coalesce(1), capped)
     assert len(glob.glob(f"{tmp_table_dir}/capped/log/**/*.parquet", recursive=True)) >= 5  # K9
+    layout = maintenance.file_layout(spark, f"{tmp_table_dir}/capped/log")
+    assert layout.count() >= 5 and layout.filter("length <= 0").isEmpty()

@@ -40,12 +40,6 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def qualify(spark: SparkSession, path: str) -> str:
-    """Fully qualified form of ``path`` (adds the scheme)."""
-    fs, p = _fs_and_path(spark, path)
-    return str(fs.makeQualified(p).toString())
-
-
 def rename(spark: SparkSession, src: str, dst: str) -> None:
     """Move ``src`` to ``dst`` (atomic for directories on HDFS and local disks).
 

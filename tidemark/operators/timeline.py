@@ -1,4 +1,4 @@
-"""Commit-timeline operators over a commit-time column.
+"""Commit-timeline operators over a commit-time column.
 
 These run on any DataFrame that carries a commit-time column — a commit-log
 table's ``_commit_time`` or a change feed derived from a date column. The
@@ -48,8 +48,3 @@ def last_commit(
     if max_commits:
         rng = commit_timeline(rng, commit_col, max_commits).withColumnRenamed("commit_time", commit_col)
     return rng.agg(F.max(commit_col).alias("last_processed_commit"))
-
-
-def is_empty(df: DataFrame) -> bool:
-    """T4: emptiness without a full count."""
-    return df.isEmpty()

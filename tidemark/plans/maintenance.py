@@ -23,13 +23,6 @@ def commits_since_base(table: CommitLogTable) -> int:
     return sum(1 for c in table.commits() if end is None or c > end)
 
 
-def compact_if_due(table: CommitLogTable, every: int, options: WriteOptions | None = None) -> str | None:
-    """COPY_ON_WRITE: fold the log into a new base every ``every`` commits."""
-    if commits_since_base(table) >= every:
-        return table.compact(options)
-    return None
-
-
 def table_bytes(spark: SparkSession, path: str) -> int:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
