@@ -434,7 +434,7 @@ def load_join_items(spark: SparkSession, sf: str) -> DataFrame:
         ],
     }
     sink = KeyedSink(spark, f"{root}/items", "customer_id", "order_id", name="orders_items")
-    jobs.load_join_deliver(spark, payload, sink, cview, oview)
+    jobs.load_join_deliver(spark, payload, sink, cview, oview, unique_keys=True)
     return sink.items()
 
 

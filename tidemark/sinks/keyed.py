@@ -80,12 +80,19 @@ class KeyedSink:
             self._table = CommitLogTable.create(self.spark, self.path, spec)
         return self._table
 
-    def put(self, df: DataFrame, options: WriteOptions | None = None) -> str | None:
-        """Write every row of ``df`` as an item; returns the commit time."""
+    def put(self, df: DataFrame, options: WriteOptions | None = None, unique_keys: bool = False) -> str | None:
+        """Write every row of ``df`` as an item; returns the commit time.
+
+        ``unique_keys``: the batch is expected to hold one row per item key
+        (e.g. a join of two keyed snapshots), so the pre-combine shuffle is
+        skipped. Without ``order_by`` this is safe even if the expectation
+        fails: reads resolve leftover duplicates with the same ordering the
+        pre-combine would have used.
+        """
         items = _item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
         # With order_by the batch is already one row per key; without it the
         # upsert pre-combines on every attribute so the winner is deterministic.
-        op = "insert" if self.order_by else "upsert"
+        op = "insert" if (self.order_by or unique_keys) else "upsert"
         return self.ensure().write(items, operation=op, options=options)
 
     def items(self) -> DataFrame:
