@@ -290,3 +290,15 @@ def test_item_field_reads_typed_attributes(spark):
         "id", item_field("props", "$.k", "bigint").alias("k"), item_field("props", "$.s", "string").alias("s")
     ).collect()}
     assert got == {1: (69, "x"), 2: (None, "5")}
+
+
+def test_unique_keys_put_gives_the_same_items_even_with_duplicates(spark, tmp_table_dir):
+    batch = spark.createDataFrame(
+        [(1, 10, "a"), (1, 10, "b"), (2, 20, "c"), (2, 21, "d")], "customer_id long, order_id long, value string"
+    )
+    plain = KeyedSink(spark, f"{tmp_table_dir}/plain", "customer_id", "order_id")
+    fast = KeyedSink(spark, f"{tmp_table_dir}/fast", "customer_id", "order_id")
+    plain.put(batch)
+    fast.put(batch, unique_keys=True)
+    as_rows = lambda s: sorted(tuple(r) for r in s.items().collect())
+    assert as_rows(fast) == as_rows(plain) == [(1, 10, "b"), (2, 20, "c"), (2, 21, "d")]
