@@ -302,3 +302,12 @@ def test_unique_keys_put_gives_the_same_items_even_with_duplicates(spark, tmp_ta
     fast.put(batch, unique_keys=True)
     as_rows = lambda s: sorted(tuple(r) for r in s.items().collect())
     assert as_rows(fast) == as_rows(plain) == [(1, 10, "b"), (2, 20, "c"), (2, 21, "d")]
+
+
+def test_sink_put_if_absent_keeps_stored_items(spark, tmp_table_dir):
+    sink = KeyedSink(spark, f"{tmp_table_dir}/kv", "customer_id", "order_id")
+    schema = "customer_id long, order_id long, value string"
+    sink.put(spark.createDataFrame([(1, 10, "stored")], schema))
+    sink.put_if_absent(spark.createDataFrame([(1, 10, "new"), (2, 20, "added")], schema))
+    assert sink.put_if_absent(spark.createDataFrame([(2, 20, "again")], schema)) is None
+    assert sorted(tuple(r) for r in sink.items().collect()) == [(1, 10, "stored"), (2, 20, "added")]

@@ -95,6 +95,17 @@ class KeyedSink:
         op = "insert" if (self.order_by or unique_keys) else "upsert"
         return self.ensure().write(items, operation=op, options=options)
 
+    def put_if_absent(self, df: DataFrame, options: WriteOptions | None = None) -> str | None:
+        """K21 on the store: write only items whose key is not stored yet;
+        stored items are left as they are. Returns the commit time (None when
+        every key was present)."""
+        items = _item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
+        table = self.ensure()
+        if table.last_commit() is not None:
+            items = items.join(table.snapshot().select(*self.keys), on=self.keys, how="left_anti")
+        op = "insert" if self.order_by else "upsert"
+        return table.write(items, operation=op, options=options)
+
     def items(self) -> DataFrame:
         """Current items, one per key."""
         return CommitLogTable.open(self.spark, self.path).snapshot()
