@@ -182,6 +182,14 @@ _ORACLES: dict[str, str] = {
         "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
         "JOIN orders o ON c.c_custkey = o.o_custkey"
     ),
+    "load_join_items_incremental": (
+        "SELECT c.c_custkey AS customer_id, o.o_orderkey AS order_id, n.n_name AS city, "
+        "c.c_name AS customer_name, concat('c', CAST(c.c_custkey AS VARCHAR), '@example.com') AS email, "
+        "o.o_orderpriority AS order_name, CAST(o.o_totalprice AS VARCHAR) AS order_value, "
+        "CAST(o.o_orderdate AS VARCHAR) AS order_date "
+        "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey "
+        "JOIN orders o ON c.c_custkey = o.o_custkey WHERE o.o_orderstatus = 'O'"
+    ),
     "customer_metrics_items": (
         "SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, CAST(count(*) AS VARCHAR) AS n_orders, "
         "CAST(CAST(sum(CAST(o.o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(18, 2)) AS VARCHAR) AS total_value, "

@@ -438,6 +438,35 @@ def load_join_items(spark: SparkSession, sf: str) -> DataFrame:
     return sink.items()
 
 
+def load_join_items_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 S3 S4 C3 K17 on tables: a first run delivers every order and stores
+    its checkpoint; the open orders are then re-sent to the orders table, and
+    the second run delivers exactly those (orders INC, customers FULL)."""
+    root = scratch_dir(spark, "join_items_inc")
+    customers = customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
+    orders = _t(spark, sf, "orders")
+    jobs.seed_tables(
+        spark, customers, orders_view(orders), f"{root}/customers", f"{root}/orders",
+        customer_precombine=None, catalog_sync=False,
+    )
+    tag = root.rsplit("-", 1)[1]
+    cview, oview = f"tm_jii_customers_{tag}", f"tm_jii_orders_{tag}"
+    payload = {
+        "check_point_buckets": f"{root}/checkpoints",
+        "source": [
+            {"source_type": "TABLE", "table_name": "orders", "spark_table_name": oview,
+             "path": f"{root}/orders", "type": "INC"},
+            {"source_type": "TABLE", "table_name": "customers", "spark_table_name": cview,
+             "path": f"{root}/customers", "type": "FULL"},
+        ],
+    }
+    jobs.load_join_deliver(spark, payload, KeyedSink(spark, f"{root}/items", "customer_id", "order_id"), cview, oview)
+    CommitLogTable.open(spark, f"{root}/orders").write(orders_view(orders.filter(F.col("o_orderstatus") == "O")))
+    second = KeyedSink(spark, f"{root}/items_second_run", "customer_id", "order_id")
+    jobs.load_join_deliver(spark, payload, second, cview, oview)
+    return second.items()
+
+
 def customer_metrics_items(spark: SparkSession, sf: str) -> DataFrame:
     """Per-customer metrics delivered as text items keyed by customer."""
     joined = joins.customer_orders(
@@ -508,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gen_orders": gen_orders,
     "customer_order_metrics": customer_order_metrics,
     "load_join_items": load_join_items,
+    "load_join_items_incremental": load_join_items_incremental,
     "customer_metrics_items": customer_metrics_items,
     "clustered_rewrite": clustered_rewrite,
     "stream_upsert": stream_upsert,
