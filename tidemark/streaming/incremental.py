@@ -64,10 +64,16 @@ def upsert_stream(
     checkpoint_location: str,
     available_now: bool = True,
     processing_time: str | None = None,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 1000,
 ) -> StreamingQuery:
     """Mirror ``source`` into ``target`` (same keys and ordering), one target
-    batch per micro-batch."""
+    batch per micro-batch.
+
+    Micro-batches are bounded (``max_files_per_trigger``, about 128 GB at
+    128 MB files) because each one is persisted once for its two uses; the
+    mirror is exact however the backlog is split, and ``availableNow`` still
+    drains all of it.
+    """
     keys = source.spec.resolve_keys
     # epochs of this stream map to fixed batch names: a micro-batch replayed
     # after a failure finds its batch already written and does nothing
