@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import COMMIT_COL, DELETED_COL
 from tidemark.plans.commitlog import CommitLogTable
 
+PARTITIONS_PER_STATEMENT = 500
+
 
 def register(
     spark: SparkSession, table: CommitLogTable, name: str, database: str | None = None, refresh: bool = False
@@ -53,8 +55,11 @@ def register(
         spark.sql(f"ALTER TABLE {qualified} RECOVER PARTITIONS")
         return qualified
     # partition-scoped tables compact only touched partitions: each partition
-    # is registered at its own (newest) base directory
+    # is registered at its own (newest) base directory, many per statement
+    specs = []
     for path in paths:
         value = unquote(path.rstrip("/").rsplit("/", 1)[1].split("=", 1)[1]).replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS PARTITION (`{parts[0]}` = '{value}') LOCATION '{path}'")
+        specs.append(f"PARTITION (`{parts[0]}` = '{value}') LOCATION '{path}'")
+    for i in range(0, len(specs), PARTITIONS_PER_STATEMENT):
+        spark.sql(f"ALTER TABLE {qualified} ADD IF NOT EXISTS " + " ".join(specs[i : i + PARTITIONS_PER_STATEMENT]))
     return qualified
