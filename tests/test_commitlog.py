@@ -422,3 +422,11 @@ def test_lookup_pushes_the_key_filter_into_the_scans(spark, tmp_table_dir):
     assert rows(found) == [("k3", 9, "v3b"), ("k7", 7, "v7")]
     with pytest.raises(ValueError):
         t.lookup("v", ["x"])
+
+
+def test_half_written_metadata_is_ignored(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    t.write(spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA))
+    with open(f"{tmp_table_dir}/_meta/.v99999999999999999.json.dead.tmp", "w") as fh:
+        fh.write('{"version": "9999')  # a writer died mid-write
+    assert rows(CommitLogTable.open(spark, tmp_table_dir).snapshot()) == [("a", 1, "a1")]

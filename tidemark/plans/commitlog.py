@@ -34,6 +34,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from dataclasses import asdict, dataclass, field, replace
 from urllib.parse import unquote
 
@@ -197,7 +198,11 @@ class CommitLogTable:
         if not fsys.exists(p):
             raise FileNotFoundError(f"no tidemark table at {path}")
         names = sorted(
-            (st.getPath().getName() for st in fsys.listStatus(p) if st.getPath().getName().endswith(".json")),
+            (
+                st.getPath().getName()
+                for st in fsys.listStatus(p)
+                if st.getPath().getName().startswith("v") and st.getPath().getName().endswith(".json")
+            ),
             key=lambda n: (len(n), n),
         )
         stream = fsys.open(jvm.org.apache.hadoop.fs.Path(f"{meta_dir}/{names[-1]}"))
@@ -211,15 +216,21 @@ class CommitLogTable:
         return cls(spark, path, spec, schema)
 
     def _write_meta(self, version: str, schema: T.StructType | None) -> None:
+        """Write a metadata version atomically: a hidden temporary file is
+        renamed into place, so readers never parse a half-written document."""
         doc = {"version": version, "spec": asdict(self.spec), "schema": schema.jsonValue() if schema else None}
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_meta/v{version}.json")
-        fsys = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        out = fsys.create(p, True)
+        final = f"{self.path}/_meta/v{version}.json"
+        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_meta/.v{version}.json.{uuid.uuid4().hex[:8]}.tmp")
+        fsys = tmp.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        out = fsys.create(tmp, True)
         try:
             out.write(bytearray(json.dumps(doc).encode("utf-8")))
         finally:
             out.close()
+        fsys.delete(jvm.org.apache.hadoop.fs.Path(final), False)  # a rewrite of the same version
+        if not fsys.rename(tmp, jvm.org.apache.hadoop.fs.Path(final)):
+            raise OSError(f"could not publish {final}")
         self._schema = schema
 
     @property
