@@ -766,20 +766,16 @@ class CommitLogTable:
         """
         if self.base_end() is None or self.base_end() < end:
             raise ValueError("compact up to end before dropping the log")
-        gone = []
-        for b in self.batches():
-            commits = [
-                d.split("=", 1)[1]
-                for d in fs.list_dirs(self.spark, f"{self.path}/log/{b}")
-                if d.startswith(f"{COMMIT_COL}=")
-            ]
-            if commits and max(commits) <= end:
-                fs.delete(self.spark, f"{self.path}/log/{b}")
-                gone.append(b)
-        if gone:
+        self._pinned = None
+        covered = [b for b, commits in self._batch_commits().items() if commits and max(commits) <= end]
+        if covered:
+            # the marker goes first: if the job dies half way, readers already
+            # refuse `changes` over the range instead of returning part of it
             fs.touch(self.spark, f"{self.path}/_meta/{DROP_MARK}{end}")
+        for b in covered:
+            fs.delete(self.spark, f"{self.path}/log/{b}")
         self._pinned = None
-        return gone
+        return covered
 
     def with_spec(self, **changes) -> CommitLogTable:
         """Same storage read with a different spec (e.g. merge mode)."""
