@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import glob
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import keyed
@@ -201,3 +203,17 @@ def test_rows_to_frame_and_gold_helper_and_file_cap(spark, tmp_table_dir):
     assert len(glob.glob(f"{tmp_table_dir}/capped/log/**/*.parquet", recursive=True)) >= 5  # K9
     layout = maintenance.file_layout(spark, f"{tmp_table_dir}/capped/log")
     assert layout.count() >= 5 and layout.filter("length <= 0").isEmpty()
+
+
+def test_write_methods_through_the_config(spark, tmp_table_dir):
+    cfg = config(tmp_table_dir, enable_partition=False, table_type="MERGE_ON_READ", method="bulk_insert")
+    upsert_table(spark, batch(spark, [("1", "a", "NY", "2024-01-01"), ("1", "a-dup", "NY", "2024-01-02"),
+                                      ("2", "b", "CA", "2024-01-01")]), cfg)
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    assert len(t.incremental(None, mode="changes").collect()) == 3  # bulk_insert keeps every row
+    cfg.method = "delete"
+    upsert_table(spark, batch(spark, [("1", None, None, None)]), cfg)
+    assert [r["customer_id"] for r in t.snapshot().collect()] == ["2"]
+    cfg.method = "merge"
+    with pytest.raises(ValueError):
+        upsert_table(spark, batch(spark, [("3", "c", "TX", "2024-01-01")]), cfg)
