@@ -213,7 +213,9 @@ def test_write_methods_through_the_config(spark, tmp_table_dir):
     assert len(t.incremental(None, mode="changes").collect()) == 3  # bulk_insert keeps every row
     cfg.method = "delete"
     upsert_table(spark, batch(spark, [("1", None, None, None)]), cfg)
-    assert [r["customer_id"] for r in t.snapshot().collect()] == ["2"]
+    # `t` keeps its pinned view until refreshed (the delete came through another instance)
+    assert sorted(r["customer_id"] for r in t.snapshot().collect()) == ["1", "2"]
+    assert [r["customer_id"] for r in t.refresh().snapshot().collect()] == ["2"]
     cfg.method = "merge"
     with pytest.raises(ValueError):
         upsert_table(spark, batch(spark, [("3", "c", "TX", "2024-01-01")]), cfg)

@@ -458,6 +458,13 @@ class CommitLogTable:
             + part_fields
         )
 
+    def refresh(self) -> CommitLogTable:
+        """Drop the pinned view: the next read sees every batch finished by
+        then. A table instance otherwise keeps one consistent view across its
+        reads until it writes itself (``CommitLogTable.open`` also starts fresh)."""
+        self._pinned = None
+        return self
+
     def pin(self) -> tuple[list[str], str | None]:
         """Fix the visible batches and base for the following reads;
         returns (batch names, base end)."""

@@ -117,7 +117,7 @@ def drop_unused_bases(table: CommitLogTable) -> list[str]:
     it, so older bases stay while one of their partitions is still current;
     everything else is a superseded copy.
     """
-    table._pinned = None
+    table.refresh()
     used = {p.split("/base/", 1)[1].split("/", 1)[0] for p in table.base_paths()}
     newest = table.base_dir()
     if newest:
@@ -125,7 +125,7 @@ def drop_unused_bases(table: CommitLogTable) -> list[str]:
     gone = [d for d in table._finished("base") if d not in used]
     for d in gone:
         fs.delete(table.spark, f"{table.path}/base/{d}")
-    table._pinned = None
+    table.refresh()
     return gone
 
 

@@ -48,7 +48,7 @@ def _bootstrap(source: CommitLogTable, target: CommitLogTable, checkpoint_locati
         return end or None
     if fs.exists(source.spark, f"{checkpoint_location}/offsets"):
         return None  # a stream that started before this marker existed
-    source._pinned = None
+    source.refresh()
     end = source.base_end()
     if end is not None:
         base = source._base()
