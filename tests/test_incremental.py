@@ -311,3 +311,14 @@ def test_sink_put_if_absent_keeps_stored_items(spark, tmp_table_dir):
     sink.put_if_absent(spark.createDataFrame([(1, 10, "new"), (2, 20, "added")], schema))
     assert sink.put_if_absent(spark.createDataFrame([(2, 20, "again")], schema)) is None
     assert sorted(tuple(r) for r in sink.items().collect()) == [(1, 10, "stored"), (2, 20, "added")]
+
+
+def test_loader_type_aliases(spark, tmp_table_dir):
+    t = mk_table(spark, f"{tmp_table_dir}/t")
+    t.write(spark.createDataFrame([("a", 1, "a1")], SCHEMA))
+    payload = {"source": [{"source_type": "LAKE", "table_name": "t", "spark_table_name": "aliased",
+                           "path": t.path, "type": "FULL"}]}
+    with pytest.raises(ValueError):
+        Loaders(payload, spark)
+    Loaders(payload, spark, type_aliases={"LAKE": "TABLE"}).load()
+    assert ids(spark.table("aliased")) == ["a"]

@@ -82,11 +82,28 @@ class LoadResult:
 
 
 class Loaders:
-    def __init__(self, payload: dict, spark: SparkSession, on_error: str = "raise"):
+    """Load every source of a payload into a temp view.
+
+    ``type_aliases`` maps other ``source_type`` names onto ours (e.g. an
+    existing payload's lake-table kind onto ``TABLE``), so a payload written
+    for another loader can be used as it is.
+    """
+
+    def __init__(
+        self,
+        payload: dict,
+        spark: SparkSession,
+        on_error: str = "raise",
+        type_aliases: dict[str, str] | None = None,
+    ):
         if on_error not in ("raise", "skip"):
             raise ValueError("on_error must be 'raise' or 'skip'")
         self.spark = spark
-        self.specs = [SourceSpec.from_dict(s) for s in payload.get("source", [])]
+        aliases = type_aliases or {}
+        self.specs = [
+            SourceSpec.from_dict({**s, "source_type": aliases.get(s.get("source_type"), s.get("source_type"))})
+            for s in payload.get("source", [])
+        ]
         root = payload.get("check_point_buckets")
         self.store = CheckpointStore(spark, root) if root else None
         self.on_error = on_error
