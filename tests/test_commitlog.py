@@ -430,3 +430,15 @@ def test_half_written_metadata_is_ignored(spark, tmp_table_dir):
     with open(f"{tmp_table_dir}/_meta/.v99999999999999999.json.dead.tmp", "w") as fh:
         fh.write('{"version": "9999')  # a writer died mid-write
     assert rows(CommitLogTable.open(spark, tmp_table_dir).snapshot()) == [("a", 1, "a1")]
+
+
+def test_reads_before_the_base_are_refused(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir, merge_mode="event_time")
+    c1 = t.write(spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA))
+    t.write(spark.createDataFrame([("a", "x", 2, "a2")], SCHEMA))
+    t.compact()
+    with pytest.raises(ValueError):
+        t.snapshot(as_of=c1)  # the versions before the base end are folded
+    with pytest.raises(ValueError):
+        t.incremental(None, end=c1)
+    assert rows(t.snapshot(as_of=t.base_end())) == [("a", 2, "a2")]
