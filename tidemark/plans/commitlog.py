@@ -61,6 +61,7 @@ TABLE_TYPES = ("COPY_ON_WRITE", "MERGE_ON_READ")
 INCREMENT_MODES = ("latest_state", "changes")
 COMMIT_FORMAT = "%Y%m%d%H%M%S%f"  # rendered to 17 digits (milliseconds)
 DELETE_SUFFIX = "~delete"  # batch-name mark of a commit holding tombstones
+UNIQUE_SUFFIX = "~u"  # batch-name mark of an upsert commit: one row per key
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL value
 DROP_MARK = "dropped-through-"  # _meta marker: log batches up to this commit removed
 
@@ -176,6 +177,7 @@ class CommitLogTable:
         self.spec = spec
         self._schema = schema
         self._pinned: tuple[list[str], str | None] | None = None
+        self._fast_path = True  # off for views with another spec (``with_spec``)
 
     # ------------------------------------------------------------------ meta
     @classmethod
@@ -380,14 +382,15 @@ class CommitLogTable:
             rows = rows.withColumn(DELETED_COL, F.lit(False))
         rows = self._guard_keys(rows)
         commit = commit_time or _next_commit_time(self.last_commit())
-        batch = f"{commit}{DELETE_SUFFIX}" if operation == "delete" else commit
+        suffix = {"delete": DELETE_SUFFIX, "upsert": UNIQUE_SUFFIX}.get(operation, "")
+        batch = f"{commit}{suffix}"
         written = self._write_batch(
             rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options, restamp=None if commit_time else commit
         )
         self._pinned = None
         if not written:
             return None
-        commit = written.removesuffix(DELETE_SUFFIX)
+        commit = written.removesuffix(DELETE_SUFFIX).removesuffix(UNIQUE_SUFFIX)
         if schema != self._schema:
             self._write_meta(commit, schema)
         return commit
@@ -596,6 +599,16 @@ class CommitLogTable:
         log = self.log(after=base_end)
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
+        batches, _ = self.pin()
+        if (
+            self._fast_path
+            and base_end is None
+            and as_of is None
+            and len(batches) == 1
+            and batches[0].endswith(UNIQUE_SUFFIX)
+        ):
+            # a single upsert batch holds one row per key already: no ranking
+            return self._finish(log.filter(~F.col(DELETED_COL)), with_meta)
         base = self._base()
         if base is None:
             return self._finish(self._resolve(log), with_meta)
@@ -786,4 +799,6 @@ class CommitLogTable:
 
     def with_spec(self, **changes) -> CommitLogTable:
         """Same storage read with a different spec (e.g. merge mode)."""
-        return CommitLogTable(self.spark, self.path, replace(self.spec, **changes), self._schema)
+        view = CommitLogTable(self.spark, self.path, replace(self.spec, **changes), self._schema)
+        view._fast_path = False  # batches were made unique under the stored spec
+        return view
