@@ -4,7 +4,7 @@ Layout under the table path::
 
     _meta/v<version>.json                          spec + schema, newest wins
     _meta/dropped-through-<end>                    retention removed log up to <end>
-    log/_batch=<id>[~delete]/_commit_time=<t>/[<part>=<v>/]part-*.parquet
+    log/_batch=<id>[~delete|~u]/_commit_time=<t>/[<part>=<v>/]part-*.parquet
     log/_batch=<id>/_SUCCESS                       the batch is visible once this exists
     base/_batch=<end>~<stamp>/[<part>=<v>/]part-*.parquet   compacted snapshot
 
