@@ -205,14 +205,12 @@ def test_reader_never_skips_a_batch_finished_mid_read(spark, tmp_table_dir):
     store = CheckpointStore(spark, f"{tmp_table_dir}/ckpt")
     source = CommitLogSource(t, mode="changes")
     t.write(spark.createDataFrame([("a", 1, "a1")], SCHEMA))
-    t.pin()  # the reader has pinned what it will read ...
-    other = CommitLogTable.open(spark, t.path)
-    other.write(spark.createDataFrame([("b", 1, "b1")], SCHEMA))  # ... then a batch lands
-    rows, pending = IncrementalReader(store, source).read()
-    assert ids(rows) == ["a"]
-    pending.commit()
-    rows, pending = IncrementalReader(store, CommitLogSource(CommitLogTable.open(spark, t.path), "changes")).read()
-    assert ids(rows) == ["b"]  # picked up by the next run, not lost
+    end = source.last_after(None, None)  # the cycle has chosen its range end ...
+    CommitLogTable.open(spark, t.path).write(spark.createDataFrame([("b", 1, "b1")], SCHEMA))  # ... a batch lands
+    assert ids(source.read_range(None, end)) == ["a"]  # not in this cycle
+    store.write(source.table_name, source.path, end)
+    rows, _ = IncrementalReader(store, source).read()
+    assert ids(rows) == ["b"]  # picked up by the next cycle, not lost
 
 
 def test_sinks_never_collect_to_the_driver(spark, tmp_table_dir, monkeypatch):
@@ -322,3 +320,14 @@ def test_loader_type_aliases(spark, tmp_table_dir):
         Loaders(payload, spark)
     Loaders(payload, spark, type_aliases={"LAKE": "TABLE"}).load()
     assert ids(spark.table("aliased")) == ["a"]
+
+
+def test_long_lived_reader_sees_other_writers(spark, tmp_table_dir):
+    t = mk_table(spark, f"{tmp_table_dir}/t")
+    t.write(spark.createDataFrame([("a", 1, "a1")], SCHEMA))
+    reader = IncrementalReader(CheckpointStore(spark, f"{tmp_table_dir}/ckpt"), CommitLogSource(t, "changes"))
+    rows, pending = reader.read()
+    pending.commit()
+    CommitLogTable.open(spark, t.path).write(spark.createDataFrame([("b", 1, "b1")], SCHEMA))  # another writer
+    rows, pending = reader.read()
+    assert ids(rows) == ["b"]

@@ -34,6 +34,9 @@ class CommitLogSource:
         self.path = table.path
 
     def last_after(self, begin: str | None, max_commits: int | None) -> str | None:
+        # each read cycle starts from a fresh view (other writers' commits
+        # included) and keeps it for read_range
+        self.table.refresh()
         commits = [c for c in self.table.commits(pinned=True) if begin is None or c > begin]
         if max_commits:
             commits = commits[:max_commits]
