@@ -730,7 +730,8 @@ class CommitLogTable:
         """
         self._pinned = None
         batches, base_end = self.pin()
-        end = self.last_commit()
+        pinned = self.commits(pinned=True)  # the base holds exactly what it claims
+        end = pinned[-1] if pinned else None
         if end is None or (base_end == end and not force):
             return base_end
         parts = list(self.spec.partition_by)

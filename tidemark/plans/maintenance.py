@@ -44,7 +44,9 @@ def cluster(
     record keys extend the range key: one sort value shared by a third of the
     rows still spreads over several files, which stay contiguous in it.
     """
-    end = table.last_commit()
+    table.refresh()  # the base written below must hold every commit up to `end`
+    pinned = table.commits(pinned=True)
+    end = pinned[-1] if pinned else None
     if end is None:
         return None
     # size from everything the snapshot reads: the log and the base in use
@@ -73,7 +75,9 @@ def retain_versions(table: CommitLogTable, n: int) -> DataFrame:
     older history and base directories no reader needs are deleted. Returns
     the retained versions (with ``version_rank``).
     """
-    end = table.last_commit()
+    table.refresh()  # history and compaction must cover every commit up to `end`
+    pinned = table.commits(pinned=True)
+    end = pinned[-1] if pinned else None
     if end is None:
         return table.versions(n)
     target = f"{table.path}/history/{BATCH_COL}={end}"

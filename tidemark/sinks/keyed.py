@@ -100,7 +100,7 @@ class KeyedSink:
         stored items are left as they are. Returns the commit time (None when
         every key was present)."""
         items = _item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
-        table = self.ensure()
+        table = self.ensure().refresh()  # stored keys as of now, other writers included
         if table.last_commit() is not None:
             items = items.join(table.snapshot().select(*self.keys), on=self.keys, how="left_anti")
         op = "insert" if self.order_by else "upsert"
