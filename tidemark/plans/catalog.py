@@ -29,6 +29,7 @@ def register(
     ``refresh``; otherwise the catalog follows the compaction cadence and
     re-registering is metadata work only.
     """
+    table.refresh()  # register what is there now, not what an old view saw
     if table.base_end() is None or refresh:
         table.compact()
     if table.base_end() is None:
