@@ -456,3 +456,13 @@ def test_single_upsert_batch_snapshot_skips_the_window(spark, tmp_table_dir):
     assert rows(t.snapshot()) == [("a", 0, "a0"), ("b", 1, "b1")]
     view = table(spark, f"{tmp_table_dir}-2").with_spec(key_scope="table")
     assert view._fast_path is False
+
+
+def test_writes_keep_columns_added_by_another_instance(spark, tmp_table_dir):
+    first = table(spark, tmp_table_dir)
+    first.write(spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA))
+    other = CommitLogTable.open(spark, tmp_table_dir)
+    other.write(spark.createDataFrame([("b", "x", 1, "b1", 7)], SCHEMA + ", extra int"))
+    first.write(spark.createDataFrame([("c", "x", 1, "c1")], SCHEMA))  # its cached schema lacks `extra`
+    snap = CommitLogTable.open(spark, tmp_table_dir).snapshot()
+    assert sorted(tuple(r) for r in snap.select("id", "extra").collect()) == [("a", None), ("b", 7), ("c", None)]

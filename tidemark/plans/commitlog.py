@@ -193,6 +193,20 @@ class CommitLogTable:
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> CommitLogTable:
+        doc = cls._read_meta(spark, path)
+        spec = TableSpec(**doc["spec"])
+        schema = T.StructType.fromJson(doc["schema"]) if doc.get("schema") else None
+        return cls(spark, path, spec, schema)
+
+    def _reload_schema(self) -> None:
+        """Take the newest stored schema before merging a write into it, so
+        columns added through another instance are never dropped."""
+        doc = self._read_meta(self.spark, self.path)
+        if doc.get("schema"):
+            self._schema = T.StructType.fromJson(doc["schema"])
+
+    @staticmethod
+    def _read_meta(spark: SparkSession, path: str) -> dict:
         meta_dir = f"{path.rstrip('/')}/_meta"
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(meta_dir)
@@ -212,10 +226,7 @@ class CommitLogTable:
             text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        doc = json.loads(text)
-        spec = TableSpec(**doc["spec"])
-        schema = T.StructType.fromJson(doc["schema"]) if doc.get("schema") else None
-        return cls(spark, path, spec, schema)
+        return json.loads(text)
 
     def _write_meta(self, version: str, schema: T.StructType | None) -> None:
         """Write a metadata version atomically: a hidden temporary file is
@@ -364,6 +375,7 @@ class CommitLogTable:
         if operation not in OPERATIONS:
             raise ValueError(f"operation must be one of {OPERATIONS}, got {operation!r}")
         options = options or WriteOptions()
+        self._reload_schema()
         spec = self.spec
         keys = spec.resolve_keys
         if operation == "delete":
@@ -412,6 +424,7 @@ class CommitLogTable:
         idempotent — a replay of an id already written does nothing.
         """
         options = options or WriteOptions()
+        self._reload_schema()
         if batch_id is not None:
             name = f"{batch_id}{DELETE_SUFFIX}" if with_tombstones else batch_id
             if fs.exists(self.spark, f"{self.path}/log/{BATCH_COL}={name}"):
