@@ -331,3 +331,18 @@ def test_long_lived_reader_sees_other_writers(spark, tmp_table_dir):
     CommitLogTable.open(spark, t.path).write(spark.createDataFrame([("b", 1, "b1")], SCHEMA))  # another writer
     rows, pending = reader.read()
     assert ids(rows) == ["b"]
+
+
+def test_loader_caps_an_incremental_catch_up(spark, tmp_table_dir):
+    t = mk_table(spark, f"{tmp_table_dir}/t")
+    for i in range(5):
+        t.write(spark.createDataFrame([(f"k{i}", i, f"v{i}")], SCHEMA))
+    payload = {"check_point_buckets": f"{tmp_table_dir}/ckpt",
+               "source": [{"source_type": "TABLE", "table_name": "t", "spark_table_name": "capped",
+                           "path": t.path, "type": "INC", "increment_mode": "changes", "max_commits": 2}]}
+    seen = []
+    for _ in range(4):
+        result = Loaders(payload, spark).load()
+        seen.append(ids(spark.table("capped")))
+        result.commit()
+    assert seen == [["k0", "k1"], ["k2", "k3"], ["k4"], []]
