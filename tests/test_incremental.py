@@ -346,3 +346,12 @@ def test_loader_caps_an_incremental_catch_up(spark, tmp_table_dir):
         seen.append(ids(spark.table("capped")))
         result.commit()
     assert seen == [["k0", "k1"], ["k2", "k3"], ["k4"], []]
+
+
+def test_loader_projects_table_sources(spark, tmp_table_dir):
+    t = mk_table(spark, f"{tmp_table_dir}/t")
+    t.write(spark.createDataFrame([("a", 1, "a1")], SCHEMA))
+    payload = {"source": [{"source_type": "TABLE", "table_name": "t", "spark_table_name": "projected",
+                           "path": t.path, "type": "FULL", "select": ["id", "upper(v) AS v_upper"]}]}
+    Loaders(payload, spark).load()
+    assert [tuple(r) for r in spark.table("projected").collect()] == [("a", "A1")]
