@@ -355,3 +355,12 @@ def test_loader_projects_table_sources(spark, tmp_table_dir):
                            "path": t.path, "type": "FULL", "select": ["id", "upper(v) AS v_upper"]}]}
     Loaders(payload, spark).load()
     assert [tuple(r) for r in spark.table("projected").collect()] == [("a", "A1")]
+
+
+def test_keyed_sink_with_hash_key_only(spark, tmp_table_dir):
+    sink = KeyedSink(spark, f"{tmp_table_dir}/kv", "customer_id", attributes=["total"], order_by=["seq"])
+    df = spark.createDataFrame([(1, 10.0, 1, "x"), (1, 12.5, 2, "y"), (2, 3.0, 1, "z")],
+                               "customer_id long, total double, seq int, other string")
+    sink.put(df)
+    got = sorted(tuple(r) for r in sink.items().collect())
+    assert got == [(1, "12.5"), (2, "3.0")] and sink.items().columns == ["customer_id", "total"]
