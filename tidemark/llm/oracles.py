@@ -42,6 +42,21 @@ SELECT k.doc_id, k.size, CAST(k.source_size AS BIGINT) AS source_size, k.target,
 FROM k LEFT JOIN top ON k.source IS NOT DISTINCT FROM top.source AND k.doc_id IS NOT DISTINCT FROM top.doc_id AND k.h = top.h
 """
 
+_ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
+_OP2 = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')),
+e AS (SELECT *, {_ESCAPED.format('text')} AS body,
+  {_ESCAPED.format("replace(replace(role, '%', '%25'), chr(10), '%0A')")} AS head FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(head) + length(body) + {len('<|im_start|>') + 1 + len('<|im_end|>') + 1}) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 ORACLES = {
+    "op2_chat_format": _OP2,
     "op1_mix_sources": _OP1,
 }

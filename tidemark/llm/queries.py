@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing
+from tidemark.llm import chat, mixing, packing, quality
 from tidemark.llm.common import read
 
 
@@ -13,6 +13,25 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(read(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of what reads back from every rendered conversation, and from conversation -1."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat.probe(spark))
+    return chat.digests(chat.format_events(chat.turn_events(rows)))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in packed sequences."""
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_chat_format": op2_chat_format,
+    "op6_quality": op6_quality,
+    "op8_best_fit": op8_best_fit,
 }

@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 SEGMENT = 1 << 20
 U = np.uint64
@@ -43,8 +44,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(lower-cased bytes, offsets of each text) of a string column; null is empty."""
+def raw_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets of each text) of a string column; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -53,7 +54,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
-    return _LOWER[data], offsets - offsets[0]
+    return data, offsets - offsets[0]
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As ``raw_bytes``, with A-Z lower-cased."""
+    data, offsets = raw_bytes(column)
+    return _LOWER[data], offsets
 
 
 def _cuts(space: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -107,7 +114,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 *
     """Slices of the batches with about ``most`` bytes of text (or a single longer text) each."""
     for batch in batches:
         lengths = np.cumsum(np.nan_to_num(np.array(
-            pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), np.float64)))
+            pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), np.float64)))
         at = 0
         while at < batch.num_rows:
             base = lengths[at - 1] if at else 0
