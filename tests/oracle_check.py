@@ -23,10 +23,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def _norm(v):
-    if v is None or (isinstance(v, float) and pd.isna(v)):
+    if v is None or v is pd.NA or (isinstance(v, float) and pd.isna(v)):
         return "NULL"
     if isinstance(v, float):
-        return repr(round(v, 6))
+        # pandas turns a long column with nulls into floats
+        return str(int(v)) if v.is_integer() else repr(round(v, 6))
     if isinstance(v, pd.Timestamp):
         return v.to_pydatetime().isoformat()
     if hasattr(v, "isoformat"):
