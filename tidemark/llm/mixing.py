@@ -29,7 +29,7 @@ from tidemark.llm.common import n_words, written
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-RANK_BUCKETS = 1 << 16
+RANK_BUCKETS = 1 << 13
 
 
 def _units(docs: DataFrame) -> DataFrame:

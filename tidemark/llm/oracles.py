@@ -56,7 +56,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+_OP3 = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT *, CAST(octet_length(payload) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p),
+w AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS winner FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN winner IS NULL OR winner IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN winner IS DISTINCT FROM page_id THEN winner END AS refers_to
+FROM w
+"""
+
 ORACLES = {
+    "op3_warc": _OP3,
     "op2_chat_format": _OP2,
     "op1_mix_sources": _OP1,
 }

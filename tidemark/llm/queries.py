@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, mixing, packing, quality
+from tidemark.llm import chat, mixing, packing, quality, warc
 from tidemark.llm.common import read
 
 
@@ -19,6 +19,12 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_events(chat.turn_events(rows)))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archive written of them."""
+    records = warc.archive(read(spark, sf_dir, "pages"))[1]
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -32,6 +38,7 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
+    "op3_warc": op3_warc,
     "op6_quality": op6_quality,
     "op8_best_fit": op8_best_fit,
 }
