@@ -66,7 +66,22 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM w
 """
 
+_OP5 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) > 1 THEN list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) ELSE w END AS s FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+u AS (SELECT doc_id, unnest(s) AS x FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a AS x, b AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON e.a = r.y),
+m AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT doc_id, n AS n_shingles, coalesce(least(doc_id, y), doc_id) AS component_id, coalesce(least(doc_id, y), doc_id) = doc_id AS kept
+FROM n LEFT JOIN m ON m.x = doc_id
+"""
+
 ORACLES = {
+    "op5_near_duplicates": _OP5,
     "op3_warc": _OP3,
     "op2_chat_format": _OP2,
     "op1_mix_sources": _OP1,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, mixing, packing, quality, warc
+from tidemark.llm import chat, mixing, neardup, packing, quality, warc
 from tidemark.llm.common import read
 
 
@@ -25,6 +25,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return neardup.document_groups(read(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document."""
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
@@ -39,6 +44,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
     "op3_warc": op3_warc,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op8_best_fit": op8_best_fit,
 }
