@@ -11,14 +11,14 @@ from tidemark.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the table read back.
 
     Cuts the lineage: the rows stay readable after executors are lost, and
     rows whose order depends on a shuffle are fixed once.
     """
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, mixing, neardup, packing, quality, warc
+from tidemark.llm import chat, ctw, mixing, neardup, packing, quality, warc
 from tidemark.llm.common import read
 
 
@@ -40,6 +40,11 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model and base log10 probability of every document."""
+    return ctw.score_texts(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
@@ -47,4 +52,5 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
     "op8_best_fit": op8_best_fit,
+    "op9_lm_scores": op9_lm_scores,
 }
