@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import chat, ctw, mixing, neardup, packing, quality, warc
+from tidemark.llm import chat, ctw, forest, mixing, neardup, packing, quality, tokens, topk, warc
 from tidemark.llm.common import read
 
 
@@ -25,6 +26,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best integer inner products of every twentieth vector."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return neardup.document_groups(read(spark, sf_dir, "documents"))
@@ -35,6 +41,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every twentieth vector."""
+    return forest.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in packed sequences."""
     return packing.pack_documents(read(spark, sf_dir, "documents"))
@@ -45,12 +56,20 @@ def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_texts(read(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return tokens.token_counts(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
     "op3_warc": op3_warc,
+    "op4_exact_top_k": op4_exact_top_k,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality": op6_quality,
+    "op7_nearest": op7_nearest,
     "op8_best_fit": op8_best_fit,
     "op9_lm_scores": op9_lm_scores,
+    "op10_token_counts": op10_token_counts,
 }
