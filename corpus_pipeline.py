@@ -24,7 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents whose score reaches the threshold, learned from the labels outside the held-out fold."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
     scored = quality.score_documents(docs, model, docs.columns)
-    return scored.filter(F.col("quality_score") >= quality.THRESHOLD).drop("quality_score")
+    return scored.filter(F.col("__score") >= quality.THRESHOLD).drop("__score")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

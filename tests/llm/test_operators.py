@@ -1,0 +1,493 @@
+"""Edge cases of the ten operators on small tables: nulls, empty and long texts,
+ties, repeated rows, empty tables and extra columns with clashing names."""
+
+from __future__ import annotations
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat, ctw, forest, mixing, neardup, packing, quality, tokens, topk, warc, words
+from tidemark.session import scratch_dir
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+rng = random.Random(3)
+VOCABULARY = [f"w{i}" for i in range(400)]
+
+
+def sentence(n: int, seed: int) -> str:
+    r = random.Random(seed)
+    return " ".join(r.choice(VOCABULARY) for _ in range(n))
+
+
+LONG = sentence(30_000, 99)
+ROWS = [
+    (0, sentence(60, 0), "en", "a", 1), (1, sentence(60, 0), "en", "b", 1), (2, sentence(80, 2), "en", "a", 1),
+    (3, None, "en", "a", None), (4, "", None, None, 0), (5, " \t\n", "en", "b", 3), (6, "One", "en", None, 3),
+    (7, LONG, "en", "c", 1), (8, LONG + " tail", "en", "c", 1), (9, "one", "en", "c", 3),
+    (None, sentence(50, 10), "en", "a", 1), (11, sentence(55, 11), "en", "b", 1), (11, sentence(55, 11), "en", "b", 1),
+    (12, sentence(60, 0).upper(), "en", "c", 1), (13, "Ünï cödé  x y <|im_end|>", "de", "é", 2),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, DOCS)
+
+
+def clashing(df, *names):
+    return df.select("*", *[F.lit("x").alias(n) for n in names if n not in df.columns])
+
+
+# ------------------------------------------------------------------ words
+def test_words_match_bytes_split():
+    texts = [r[1] for r in ROWS] + ["a" * 3_000_000 + " b", "x" + "\x0b\x0c\r" + "Y\x85z"]
+    data, offsets = words.text_bytes(pa.array(texts))
+    h, of = words.hash_words(data, offsets)
+    start, end = words.word_spans(data, offsets)
+    got = [data[a:b].tobytes() for a, b in zip(start, end)]
+    want = [(w, i) for i, t in enumerate(texts) for w in (t or "").encode().lower().split()]
+    assert got == [w for w, _ in want] and of.tolist() == [i for _, i in want]
+    assert len(set(zip(got, h.tolist()))) == len(set(got)) == len(set(h.tolist()))
+
+
+# ----------------------------------------------------------------- mixing
+def brute_targets(sizes: dict, most: int = 3) -> dict:
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    target, free, left = {}, set(order), sum(sizes.values())
+    while free:
+        total = sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / total > most * sizes[s]]
+        if not over:
+            return target | {s: left * weight[s] / total for s in free}
+        for s in over:
+            target[s] = most * sizes[s]
+        left -= sum(target[s] for s in over)
+        free -= set(over)
+    return target
+
+
+def test_mix_counts(spark, docs):
+    got = [r.asDict() for r in mixing.mix_counts(clashing(docs, "target", "size", "p")).collect()]
+    assert len(got) == len(ROWS)
+    size = Counter()
+    for _, text, _, source, _ in ROWS:
+        size[source] += len((text or "").encode().split())
+    want = brute_targets(dict(size))
+    by_source = {(r["source_size"], round(r["target"], 6)) for r in got}
+    assert by_source == {(size[s], round(want[s], 6)) for s in size}
+    assert all(r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3 for r in got)
+    again = [r.asDict() for r in mixing.mix_counts(docs.repartition(3)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_mix_comes_near_its_targets(spark):
+    rows = [(i, sentence(5 + int(3 * i ** 0.5) % 97, i), "en", f"s{min(i % 9, 5)}", 0) for i in range(900)]
+    docs = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix_counts(docs).groupBy("source_size", "target").agg(F.sum("taken").alias("t")).collect()
+    assert all(abs(r["t"] - r["target"]) <= 0.02 * r["target"] for r in got)
+    out = mixing.mix_sources(clashing(docs, "target", "copies", "x"))
+    assert out.columns == [*docs.columns, "target", "copies", "x"]
+    assert out.count() == mixing.mix_counts(docs).agg(F.sum("copies")).first()[0]
+
+
+def test_pareto_ranks_follow_inclusion_odds(spark):
+    """Within one size class, the taken extra copies are those of the smallest random numbers."""
+    docs = spark.createDataFrame([(i, sentence(20, i), "en", "ab"[i % 3 == 0], 0) for i in range(300)], DOCS)
+    units, plan = mixing.mix_plan(docs)
+    rows = mixing._expected(mixing._with(units, plan), 3).withColumn("n", mixing._copies()).toPandas()
+    for _, g in rows.groupby("source"):
+        g = g.sort_values("__q")
+        more = (g["n"] - g["__sure"]).tolist()
+        assert sum(a < b for a, b in zip(more, more[1:])) <= 1  # at most the document that tops up
+
+
+def test_mix_empty(spark):
+    assert mixing.mix_counts(spark.createDataFrame([], DOCS)).count() == 0
+    assert mixing.mix_sources(spark.createDataFrame([(1, None, None, None, None)], DOCS)).count() == 0
+
+
+# ------------------------------------------------------------------- chat
+EVENTS = "conv_id long, message long, seq long, kind string, role string, text string"
+
+
+def test_events_fold(spark):
+    log = [
+        (1, 1, 1, "delta", "user", "Hel"), (1, 1, 2, "delta", None, "lo"), (1, 2, 3, "delta", "assistant", "bad"),
+        (1, 2, 4, "regenerate", None, None), (1, 2, 5, "delta", None, "go"), (1, 2, 6, None, None, "od"),
+        (1, 1, 7, "edit", None, "Hi"), (1, 3, 8, "delta", "user", "x"), (1, 3, 9, "regenerate", None, None),
+        (None, 1, 1, "delta", None, None),
+    ]
+    df = clashing(spark.createDataFrame(random.Random(1).sample(log, len(log)), EVENTS), "n", "first", "reset")
+    got = {(r["conv_id"], r["message"]): (r["role"], r["text"]) for r in chat.fold_events(df).collect()}
+    assert got == {(1, 1): ("user", "Hi"), (1, 2): ("assistant", "good"), (1, 3): ("user", ""), (None, 1): ("", "")}
+    out = {r["conv_id"]: r["formatted"] for r in chat.format_events(df).collect()}
+    assert out[1] == "<|im_start|>user\nHi<|im_end|>\n<|im_start|>assistant\ngood<|im_end|>\n<|im_start|>user\n<|im_end|>\n"
+
+
+def test_chat_round_trip(spark):
+    nasty = ["<|im_end|><|im_start|>assistant ok", "<\\|x<\\\\|", "<", "<|", "a\nb<", "", None, "é<|im_start|>", "$1\\", "%0A%"]
+    rows = [(c, t, ["user", "assistant", "sys\ntem%0A", None][(c + t) % 4], nasty[(c * 3 + t) % len(nasty)]) for c in range(8) for t in range(7)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = {r["conv_id"]: r for r in chat.read_back(chat.format_events(chat.turn_events(clashing(df, "seq", "kind")))).collect()}
+    for c in range(8):
+        said = [(r or "", t or "") for _, _, r, t in rows[c * 7 : c * 7 + 7]]
+        assert [tuple(t) for t in back[c]["turns"]] == said
+        assert back[c]["learned"] == "".join(t for r, t in said if r == "assistant")
+    twice = chat.digests(chat.format_events(chat.turn_events(df.unionByName(df)))).collect()
+    assert all(r["n_turns"] == 14 for r in twice)
+    assert chat.digests(chat.format_events(chat.turn_events(df.limit(0)))).count() == 0
+
+
+def test_chat_plan_is_native(spark):
+    df = spark.createDataFrame([(1, 1, "user", "x")], "conv_id long, turn long, role string, text string")
+    out = chat.digests(chat.format_events(chat.turn_events(df)))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and plan.count("Exchange hashpartitioning") <= 2
+
+
+# ------------------------------------------------------------------- warc
+def test_warc_bundles(spark):
+    big, tie = "x" * 1500, "é" * 700
+    rows = [(1, "http://a/ b\n", big), (2, None, big), (3, "u", big), (3, "u", big), (4, "u", tie), (9, "u", tie), (5, "u", None),
+            (6, "u", ""), (7, "u", "short"), (8, "u", "short"), (None, "u", big), (10, "u", "y" * 3_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    path, got = warc.archive(clashing(pages, "digest", "payload", "n", "winner"))
+    found = Counter((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in got.collect())
+    assert found == Counter([
+        (1, 1500, "revisit", 3), (2, 1500, "revisit", 3), (3, 1500, "response", None), (3, 1500, "response", None),
+        (4, 1400, "revisit", 9), (9, 1400, "response", None), (5, 0, "response", None), (6, 0, "response", None),
+        (7, 5, "response", None), (8, 5, "response", None), (None, 1500, "revisit", 3), (10, 3_000_000, "response", None)])
+    one = warc.read_bundles(spark, path, wanted={7}, payloads=True).collect()
+    assert [bytes(r["payload"]) for r in one] == [b"short"]
+    # any Zstandard reader opens a bundle; frames and offsets of the index agree with the records
+    for f in spark.read.format("binaryFile").load(path).collect():
+        data = bytes(f["content"])
+        reader = warc.BundleReader(data)
+        whole = b"".join(reader.frame(i) for i in range(len(reader.sizes) - 1))
+        plain = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
+        assert plain == whole
+    assert warc.write_bundles(warc.decide(pages.limit(0)), (empty := scratch_dir(spark, "warc"))) is None
+    assert spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(empty).filter("length > 4").count() == 0
+
+
+def test_warc_frames_hold_several_records():
+    b = warc.Bundle(1000)
+    for i in range(50):
+        b.add(i, warc.write_record(i, "u", b"p" * 90, "00" * 20, 7))
+    reader = warc.BundleReader(b.finish())
+    assert len({f for _, f, _ in reader.index}) > 5 and [r["page_id"] for _, _, r in reader.records()] == list(range(50))
+
+
+# ---------------------------------------------------------------- vectors
+VEC = "vec_id long, embedding array<float>, label int"
+
+
+def vector_rows():
+    r = np.random.default_rng(5)
+    rows = [(i, r.normal(size=8).astype(float).tolist(), 0) for i in range(0, 400)]
+    rows += [(1000 + i, [1.0] * 8, 0) for i in range(300)]
+    rows += [(2000, None, 0), (2020, [1.0, None] * 4, 0), (2040, [float("nan")] * 8, 0), (2060, [float("inf")] + [0.0] * 7, 0),
+             (2080, [0.0] * 8, 0), (2100, [0.5] * 5, 0), (None, [1.0] * 8, 0), (20, rows[20][1], 0)]
+    return rows
+
+
+def brute_neighbours(rows, score, k, skip_zero=False):
+    good, seen = [], set()
+    for i, v, _ in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v) or (skip_zero and not any(v)):
+            continue
+        v = tuple(np.float32(x) for x in v) + (np.float32(0),) * (8 - len(v))
+        if (i, v) not in seen:
+            seen.add((i, v))
+            good.append((i, np.array(v, np.float64)))
+    out = {}
+    for i, q in good:
+        if i % 20 == 0:
+            out[i] = sorted(((-score(q, v), j) for j, v in good if j != i))[:k]
+    return out
+
+
+@pytest.mark.parametrize("block_rows", [4096, 64])
+def test_exact_top_k(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
+    rows = vector_rows()
+    got = topk.top_k(clashing(spark.createDataFrame(rows, VEC), "v", "score", "qid"), F.col("vec_id") % 20 == 0).toPandas()
+    want = brute_neighbours(rows, lambda q, v: int((np.floor(64 * q) * np.floor(64 * v)).sum()), 20)
+    assert set(got.query_id) == set(want)
+    for i, g in got.groupby("query_id"):
+        g = g.sort_values("rank")
+        assert g["rank"].tolist() == list(range(1, 21))
+        assert list(zip(-g.score, g.vec_id)) == want[i]
+    assert topk.top_k(spark.createDataFrame([], VEC), F.lit(True)).count() == 0
+    assert topk.top_k(spark.createDataFrame([(0, [1.0], 0)], VEC), F.lit(True)).count() == 0
+
+
+def test_forest_finds_most(spark):
+    rows = vector_rows()
+    df = clashing(spark.createDataFrame(rows, VEC), "v", "score", "block")
+    want = brute_neighbours(rows, lambda q, v: float(q @ v), 20, skip_zero=True)
+    all_seen = forest.nearest(df, F.col("vec_id") % 20 == 0).toPandas()
+    assert set(all_seen.query_id) == set(want)
+    for i, g in all_seen.groupby("query_id"):
+        g = g.sort_values("rank")
+        assert np.allclose(g.score, [-s for s, _ in want[i]]) and g.vec_id.is_unique
+    few = forest.nearest(df, F.col("vec_id") % 20 == 0, share=0.3, least=10).toPandas()
+    hits = sum(len(set(g.vec_id) & {j for _, j in want[i]}) for i, g in few.groupby("query_id"))
+    assert hits >= 0.7 * sum(len(w) for w in want.values())
+    assert forest.nearest(spark.createDataFrame([], VEC), F.lit(True)).count() == 0
+
+
+# -------------------------------------------------------------- near dups
+def brute_components(rows):
+    sets = []
+    for i, text, *_ in rows:
+        w = (text or "").encode().lower().split()
+        sets.append({(a, b) for a, b in zip(w, w[1:])} if len(w) > 1 else {tuple(w)} if w else set())
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                parent[root(a)] = root(b)
+    ids = {}
+    for a, r in enumerate(rows):
+        ids.setdefault(root(a), []).append(r[0])
+    name = {k: min((i for i in v if i is not None), default=None) for k, v in ids.items()}
+    return [(r[0], len(s), name[root(a)] if s else r[0]) for a, (r, s) in enumerate(zip(rows, sets))]
+
+
+def near_copies(n: int, seed: int):
+    """A chain and a cloud of near copies of one text."""
+    r = random.Random(seed)
+    base = sentence(120, seed).split()
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(r.randint(0, 14)):
+            w[r.randrange(len(w))] = r.choice(VOCABULARY)
+        rows.append((100 + i, " ".join(w), "en", "a", 0))
+        if i % 10 == 0:
+            base = w
+    return rows
+
+
+@pytest.mark.parametrize("star, block", [(512, 1024), (7, 16)])
+def test_near_duplicate_components(spark, monkeypatch, star, block):
+    monkeypatch.setattr(neardup, "STAR", star)
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    rows = ROWS + near_copies(150, 4)
+    random.Random(2).shuffle(rows)
+    docs = clashing(spark.createDataFrame(rows, DOCS), "node", "sig", "root", "text_hash")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in neardup.document_groups(docs).collect()), key=str)
+    assert got == sorted(brute_components(rows), key=str)
+    if star == 512:
+        left = neardup.drop_near_duplicates(docs)
+        assert left.columns == docs.columns
+        kept = Counter(r["doc_id"] for r in left.collect())
+        want = {c for _, n, c in brute_components(rows) if n} | {i for i, n, _ in brute_components(rows) if not n}
+        assert set(kept) == want and kept[11] == 1
+
+
+def test_near_duplicates_of_an_empty_table(spark):
+    assert neardup.document_groups(spark.createDataFrame([], DOCS)).count() == 0
+    only = spark.createDataFrame([(1, None, "", "", 0), (2, "", "", "", 0)], DOCS)
+    assert [r["component_id"] for r in neardup.document_groups(only).orderBy("doc_id").collect()] == [1, 2]
+
+
+def test_signature_recall():
+    """Pairs of similarity 0.8 agree on T coordinates or more."""
+    r = np.random.default_rng(1)
+    least = 64
+    for _ in range(400):
+        x = r.integers(0, 2**63, 900, dtype=np.uint64)
+        a, b = np.unique(x[:100]), np.unique(np.concatenate([x[:89], x[200:211]]))  # 89 of 111
+        least = min(least, int((neardup.signature(a) == neardup.signature(b)).sum()))
+    assert least >= neardup.T
+
+
+# ---------------------------------------------------------------- quality
+def test_quality_learns_and_scores_everything(spark, docs):
+    good = [(1000 + i, sentence(40, 500 + i), "en", "a", 0) for i in range(120)]
+    bad = [(2000 + i, " ".join(w + "###" for w in sentence(40, 900 + i).split()), "en", "a", 0) for i in range(60)]
+    table = clashing(spark.createDataFrame(good + bad, DOCS).unionByName(docs), "score", "label", "counts", "predicted", "quality")
+    labels = [(i, 1, 0) for i, *_ in good] + [(i, 0, 0) for i, *_ in bad] + [(77777, 1, 0), (None, 1, 0), (1001, None, 0), (1002, 1, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = quality.quality_scores(table, labels).toPandas()
+    assert len(out) == len(good) + len(bad) + len(ROWS) and out.score.between(0, 1).all()
+    assert out[out.doc_id.between(1000, 1119)].predicted.all() and not out[out.doc_id.between(2000, 2059)].predicted.any()
+    assert all(h == (zlib.crc32(str(int(i)).encode()) % 5 == 0) for i, h in zip(out.doc_id.fillna(-1), out.held_out) if i >= 0)
+    none = quality.quality_scores(table, labels.limit(0)).toPandas()
+    assert (none.score == 0.5).all()
+    assert quality.quality_scores(table.limit(0), labels).count() == 0
+
+
+# ---------------------------------------------------------------- packing
+def naive_best_fit(sizes, sources, clusters, capacity, per_source):
+    pieces = sorted(((min(capacity, s - p), d, p // capacity) for d, s in enumerate(sizes) for p in range(0, max(s, 1), capacity)),
+                    key=lambda x: (-x[0], x[1], x[2]))
+    bins, out = [], []
+    for size, d, p in pieces:
+        repeated = clusters[d] is not None and clusters.count(clusters[d]) > 1
+        fits = [(b["left"], i) for i, b in enumerate(bins) if b["left"] >= max(size, 1)
+                and b["sources"].count(sources[d]) < per_source and not (repeated and clusters[d] in b["clusters"])]
+        if fits:
+            i = min(fits)[1]
+        else:
+            i = len(bins)
+            bins.append({"left": capacity, "sources": [], "clusters": []})
+        bins[i]["left"] -= size
+        bins[i]["sources"].append(sources[d])
+        bins[i]["clusters"].append(clusters[d])
+        out.append((d, p, i, size))
+    return out
+
+
+def test_best_fit_equals_naive_search():
+    r = random.Random(8)
+    for _ in range(30):
+        n = r.randint(0, 60)
+        sizes = [r.randint(1, 70) for _ in range(n)]
+        sources = [r.choice(["a", "b", "c", None]) for _ in range(n)]
+        clusters = [r.choice([None, "x", "y", *map(str, range(9))]) for _ in range(n)]
+        assert packing.best_fit(sizes, sources, clusters, 50, 2) == naive_best_fit(sizes, sources, clusters, 50, 2)
+
+
+def test_packing_keeps_everything_within_its_constraints(spark, docs):
+    many = docs.unionByName(docs).unionByName(spark.createDataFrame([(500 + i, sentence(r, i), "en", "hot", 0) for i, r in enumerate([300, 7, 90] * 60)], DOCS))
+    got = packing.pack_documents(clashing(many, "size", "bin", "shard", "__row"), capacity=256, shard_rows=50).toPandas()
+    assert sorted(got[got.piece == 0].doc_id.fillna(-1)) == sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in many.collect())
+    assert (got.groupby(["shard", "bin"]).piece_size.sum() <= 256).all()
+    assert (got.groupby(["shard", "bin", "source"], dropna=False).size() <= 2).all()
+    words_of = sum(len((r["text"] or "").encode().split()) + 1 for r in many.collect())
+    assert got.piece_size.sum() == words_of and got.shard.nunique() > 2
+    for _, rows in packing.whole_sequences(got):
+        assert rows.start.tolist() == [0, *rows.piece_size.cumsum().tolist()[:-1]]
+    assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+# -------------------------------------------------------------- LM scores
+def brute_ctw(training: list[list[tuple[bytes, int]]], word: bytes, symbol: int, depth: int = ctw.DEPTH) -> float:
+    """log10 P(word | symbol) by context trees held as dictionaries."""
+    counts: dict = {}
+
+    def steps(w, s):
+        filling = ctw.FILLING
+        said = filling * (depth - 1) + bytes([ctw.SYMBOLS[s]]) + (w if w == ctw.END_WORD else w + b" ")
+        for i in range(depth, len(said)):
+            context, symbol_ = said[i - depth : i][::-1], said[i]
+            for k in range(8):
+                yield context, (256 | symbol_) >> (8 - k), symbol_ >> (7 - k) & 1
+
+    for doc in training:
+        for w, s in doc:
+            for context, node, bit in steps(w, s):
+                for d in range(depth + 1):
+                    counts.setdefault((node, context[:d]), [0, 0])[bit] += 1
+    children: dict = {}
+    for node, context in counts:
+        if context:
+            children.setdefault((node, context[:-1]), set()).add((node, context))
+
+    def kt(n):
+        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.log(math.pi) - math.lgamma(sum(n) + 1)
+
+    mixed: dict = {}
+    for key in sorted(counts, key=lambda x: -len(x[1])):
+        own = kt(counts[key])
+        below = sum(mixed[c] for c in children.get(key, ()))
+        mixed[key] = own if len(key[1]) == depth else math.log(0.5 * math.exp(own) + 0.5 * math.exp(below)) if max(own, below) > -600 else np.logaddexp(own, below) - math.log(2)
+
+    total = 0.0
+    for context, node, bit in steps(word, symbol):
+        p = 0.5
+        for d in range(depth, -1, -1):
+            n = counts.get((node, context[:d]), [0, 0])
+            one = (n[1] + 0.5) / (sum(n) + 1)
+            w = 1.0 if d == depth else math.exp(kt(n) - math.log(2) - mixed[node, context[:d]]) if sum(n) else 0.5
+            p = w * one + (1 - w) * p if d < depth else one
+        total += math.log10(p if bit else 1 - p)
+    return total
+
+
+def test_lm_scores_equal_brute_force(spark, docs):
+    rows = [r for r in ROWS if r[0] not in (7, 8)] + [(50 + i, sentence(30, 40 + i) + " ünï THE the the", "en", "a", 0) for i in range(20)]
+    df = clashing(spark.createDataFrame(rows, DOCS), "hash", "block", "c", "held")
+    out = ctw.score_texts(df).toPandas()
+    texts = [[*(r[1] or "").encode().lower().split(), ctw.END_WORD] for r in rows]
+    held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 == 2 for r in rows]
+    c = Counter(w for t, h in zip(texts, held) if not h for w in t)
+    n, v = sum(c.values()), len(c)
+    hash_of = lambda w: int(words.hash_words(*words.text_bytes(pa.array([w.decode()])))[0].view(np.int64)[0])
+    often = sorted((w for w in c if w != ctw.END_WORD), key=lambda w: (-c[w], hash_of(w)))[: ctw.TOPICS]
+    topic = {w: i + 1 for i, w in enumerate(often)}
+
+    def pairs(t):
+        last, out = 0, []
+        for w in t:
+            out.append((w, last))
+            last = topic.get(w, last)
+        return out
+
+    training = [pairs(t) for t, h in zip(texts, held) if not h]
+    want = []
+    for t in texts[-6:] + texts[:6]:
+        want.append(sum(brute_ctw(training, w, s) for w, s in pairs(t)[:4]))
+    # whole texts for the counts and the base, the first words' bytes for the model
+    base = {}
+    for r, t, h in zip(rows, texts, held):
+        base[r[0]] = (h, len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t))
+    assert len(out) == len(rows)
+    for r in out.itertuples():
+        h, length, known, total, b = base[None if pd.isna(r.doc_id) else int(r.doc_id)]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (h, length, known, total) and r.base_score == pytest.approx(b)
+        assert r.score < 0 and r.bits_per_byte > 0
+    short = spark.createDataFrame([(9000 + i, " ".join(w.decode() for w, _ in pairs(t)[:3]), "", "", 0) for i, t in enumerate(texts[-6:])], DOCS)
+    both = ctw.score_texts(df.select(*docs.columns).unionByName(short), held=(F.col("doc_id") >= 9000) | F.coalesce(ctw.held_out(F.col("doc_id")), F.lit(False)))
+    got = {r["doc_id"]: r["score"] for r in both.filter("doc_id >= 9000").collect()}
+    for i, t in enumerate(texts[-6:]):
+        said = pairs([w for w, _ in pairs(t)[:3]] + [ctw.END_WORD])
+        assert got[9000 + i] == pytest.approx(sum(brute_ctw(training, w, s) for w, s in said), rel=1e-9)
+    assert ctw.score_texts(spark.createDataFrame([], DOCS)).count() == 0
+
+
+# ----------------------------------------------------------------- tokens
+def test_token_counts(spark, docs):
+    table = clashing(docs, "shard", "file", "number", "n_tokens", "tokens")
+    got = sorted(((r["doc_id"], r["n_tokens"]) for r in tokens.token_counts(table).collect()), key=str)
+    coder = tokens.encoder()
+    assert got == sorted(((r[0], len(coder.encode_ordinary(r[1] or ""))) for r in ROWS), key=str)
+    assert tokens.token_counts(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 1000])
+def test_scan_stitches_blocks(spark, block):
+    """Documents over many blocks, empty ones, two separators in a row, halves that look like a separator."""
+    end = tokens.END_OF_DOCUMENT
+    low, high = end & 255, end >> 8
+    lengths = [0, 5, 0, 0, 9, 1, 2]
+    ids = []
+    for n in lengths:
+        ids += [low << 8 | high] * n + [end]
+    ids += [high | low << 8] * 4
+    data = np.array(ids, "<u2").tobytes()
+    path = scratch_dir(spark, "flat")
+    row = spark.createDataFrame([(bytearray(data[:-2]),)], "v binary").select(F.col("v").cast("string").alias("v"))
+    row.coalesce(1).write.option("encoding", "ISO-8859-1").option("lineSep", data[-2:].decode("latin-1")).text(path)
+    got = [(r["number"], r["n_tokens"], r["finished"]) for r in tokens.scan_flat(spark, path, block_tokens=block).orderBy("number").collect()]
+    assert got == [*((i, n, True) for i, n in enumerate(lengths)), (len(lengths), 4, False)]

@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, label:
 
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``quality_score`` in 0..1 for every document's whole text."""
+    """The columns ``keep`` with ``__score`` in 0..1 for every document's whole text."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*[f"`{c}`" for c in keep]).schema
 
@@ -176,10 +176,10 @@ def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame
         for batch in text_batches(batches, "__text"):
             scores = held.value.score(term_counts(batch.column("__text")))
             arrays = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores, pa.float64())], names=[*keep, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores, pa.float64())], names=[*keep, "__score"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
-    return rows.mapInArrow(score, schema.add("quality_score", "double"))
+    return rows.mapInArrow(score, schema.add("__score", "double"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -191,5 +191,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     """doc_id, held_out, score and predicted for every document."""
     model = fit(docs, labels, ~held_out(F.col("doc_id")))
     return score_documents(docs, model, ["doc_id"]).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
-        (F.col("quality_score") >= threshold).cast("int").alias("predicted"))
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+        (F.col("__score") >= threshold).cast("int").alias("predicted"))
