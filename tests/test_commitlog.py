@@ -146,7 +146,7 @@ def test_more_than_fifty_commits(spark, tmp_table_dir):
     )
     t.import_changelog(df, "ct")
     assert len(t.commits()) == 60
-    first50 = [r[0] for r in commit_timeline(t.log(), "_commit_time").collect()]
+    first50 = [r[0] for r in commit_timeline(t.log(), "_commit_time", 50).collect()]
     assert first50 == [str(1000 + i) for i in range(50)]
 
 
@@ -394,7 +394,7 @@ def test_snapshot_after_compaction_lists_only_newer_batches(spark, tmp_table_dir
     assert len(rows(t.snapshot())) == 4
 
 
-def test_overtaken_batch_is_restamped_after_the_newest_commit(spark, tmp_table_dir):
+def test_overtaken_batch_is_refused(spark, tmp_table_dir):
     from tidemark.functions.columns import COMMIT_COL, DELETED_COL
     from tidemark.plans.commitlog import WriteOptions
 
@@ -402,12 +402,86 @@ def test_overtaken_batch_is_restamped_after_the_newest_commit(spark, tmp_table_d
     stale = "20000101000000000"  # a commit time taken before another writer published
     newer = t.write(spark.createDataFrame([("b", "x", 1, "b1")], SCHEMA))
     staged = spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA).withColumn(DELETED_COL, F.lit(False))
-    name = t._write_batch(staged.withColumn(COMMIT_COL, F.lit(stale)), stale, WriteOptions(), restamp=stale)
-    assert name > newer
-    commits = CommitLogTable.open(spark, tmp_table_dir).commits()
-    assert stale not in commits and commits[-1] == name and commits[0] == newer
-    # an incremental reader that consumed `newer` still sees the late batch
-    assert rows(CommitLogTable.open(spark, tmp_table_dir).incremental(newer, mode="changes")) == [("a", 1, "a1")]
+    with pytest.raises(ValueError, match="published meanwhile"):
+        t._write_batch(staged.withColumn(COMMIT_COL, F.lit(stale)), stale, WriteOptions(), newest=True)
+    assert CommitLogTable.open(spark, tmp_table_dir).commits() == [newer]
+
+
+def _import(spark, t, *rows):
+    df = spark.createDataFrame([r[:-1] for r in rows], SCHEMA)
+    times = {r[0]: r[-1] for r in rows}
+    of = F.lit(None).cast("string")
+    for k, c in times.items():
+        of = F.when(F.col("id") == k, c).otherwise(of)
+    return t.import_changelog(df.withColumn("c", of), "c")
+
+
+def test_commit_order_is_refused_or_kept(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    _import(spark, t, ("a", "x", 1, "a1", "2024010105"))
+    with pytest.raises(ValueError, match="widths"):
+        _import(spark, t, ("b", "x", 1, "b1", "9"), ("c", "x", 1, "c1", "10"))
+    t.compact()
+    with pytest.raises(ValueError, match="compacted base"):
+        _import(spark, t, ("b", "x", 1, "b1", "2024010103"))
+    with pytest.raises(ValueError, match="does not sort after"):
+        t.write(spark.createDataFrame([("b", "x", 1, "b1")], SCHEMA), commit_time="2024010105")
+    t.write(spark.createDataFrame([("a", "x", 2, "a2")], SCHEMA))
+    assert rows(t.snapshot()) == [("a", 2, "a2")]
+
+
+def test_no_time_of_ours_after_other_letters(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    _import(spark, t, ("a", "x", 1, "a1", "c0001"))
+    with pytest.raises(ValueError, match="pass commit_time"):
+        t.write(spark.createDataFrame([("a", "x", 2, "a2")], SCHEMA))
+    t.write(spark.createDataFrame([("a", "x", 2, "a2")], SCHEMA), commit_time="c0002")
+    assert rows(t.snapshot()) == [("a", 2, "a2")]
+
+
+def test_bounded_reads_after_compaction(spark, tmp_table_dir):
+    t = table(spark, tmp_table_dir)
+    commits = [t.write(spark.createDataFrame([("a", "x", i, f"a{i}"), (f"k{i}", "x", i, "k")], SCHEMA)) for i in range(4)]
+    t.compact()
+    got = t.incremental(commits[0], commits[1], mode="latest_state")
+    assert sorted(r["v"] for r in got.collect()) == ["a1", "k"]
+    t.drop_log_through(t.base_end())
+    with pytest.raises(ValueError, match="removed"):
+        t.incremental(commits[0], commits[1], mode="latest_state")
+    with pytest.raises(ValueError, match="retention"):
+        t.versions(2)
+
+
+def test_retention_keeps_keys_of_the_base_and_counts_apart(spark, tmp_table_dir):
+    from tidemark.plans.maintenance import retain_versions
+
+    t = table(spark, tmp_table_dir)
+    t.write(spark.createDataFrame([("old", "x", 1, "o")], SCHEMA))
+    t.compact()
+    t.drop_log_through(t.base_end())
+    for i in range(3):
+        t.write(spark.createDataFrame([("a", "x", i, f"a{i}")], SCHEMA))
+    assert sorted(r["v"] for r in retain_versions(t, 3).collect()) == ["a0", "a1", "a2", "o"]
+    assert sorted(r["v"] for r in retain_versions(t, 1).collect()) == ["a2", "o"]
+
+
+def test_type_drift_and_other_settings_are_refused(spark, tmp_table_dir):
+    from dataclasses import replace
+
+    t = table(spark, tmp_table_dir)
+    t.write(spark.createDataFrame([("a", "x", 1, "a1")], SCHEMA))
+    with pytest.raises(ValueError, match="types differ"):
+        t.write(spark.createDataFrame([("a", "x", 1, 5)], SCHEMA.replace("v string", "v long")))
+    with pytest.raises(ValueError, match="other settings"):
+        CommitLogTable.create(spark, tmp_table_dir, replace(t.spec, merge_mode="event_time"))
+
+
+def test_keys_only_upsert(spark, tmp_table_dir):
+    from tidemark.plans.commitlog import TableSpec
+
+    t = CommitLogTable.create(spark, tmp_table_dir, TableSpec(name="keys", keys=("id",)))
+    t.write(spark.createDataFrame([("a",), ("a",), ("b",)], "id string"))
+    assert sorted(r["id"] for r in t.snapshot().collect()) == ["a", "b"]
 
 
 def test_lookup_pushes_the_key_filter_into_the_scans(spark, tmp_table_dir):
@@ -439,8 +513,8 @@ def test_reads_before_the_base_are_refused(spark, tmp_table_dir):
     t.compact()
     with pytest.raises(ValueError):
         t.snapshot(as_of=c1)  # the versions before the base end are folded
-    with pytest.raises(ValueError):
-        t.incremental(None, end=c1)
+    # a bounded increment is answered from the log while that is whole
+    assert rows(t.incremental(None, end=c1)) == [("a", 1, "a1")]
     assert rows(t.snapshot(as_of=t.base_end())) == [("a", 2, "a2")]
 
 

@@ -162,9 +162,17 @@ def _end_of(base_dir: str) -> str:
 
 
 def _next_commit_time(last: str | None) -> str:
+    """The present time, or the next one after ``last`` if that is later.
+
+    Commit times compare as text, so a table whose last commit does not sort
+    before any time we can make (other letters or another width) takes no new
+    time of ours: pass one explicitly.
+    """
     now = _dt.datetime.now(_dt.timezone.utc).strftime(COMMIT_FORMAT)[:17]
-    if last is not None and len(last) == 17 and last.isdigit() and now <= last:
-        return str(int(last) + 1)
+    if last is not None and now <= last:
+        if len(last) == 17 and last.isdigit():
+            return str(int(last) + 1)
+        raise ValueError(f"no commit time of now sorts after the last commit {last!r}; pass commit_time")
     return now
 
 
@@ -186,7 +194,11 @@ class CommitLogTable:
         if fs.exists(spark, f"{path.rstrip('/')}/_meta"):
             if not exist_ok:
                 raise FileExistsError(path)
-            return cls.open(spark, path)
+            table = cls.open(spark, path)
+            other = [k for k, v in asdict(spec).items() if asdict(table.spec)[k] != v]
+            if other:
+                raise ValueError(f"the table at {path} was created with other settings: {', '.join(other)}")
+            return table
         table = cls(spark, path, spec, None)
         table._write_meta("0", None)
         return table
@@ -303,7 +315,14 @@ class CommitLogTable:
     def _merge_schema(self, incoming: T.StructType) -> T.StructType:
         if self._schema is None:
             return incoming
-        have = {f.name for f in self._schema.fields}
+        have = {f.name: f for f in self._schema.fields}
+        drift = [
+            f"{f.name}: {have[f.name].dataType.simpleString()} is stored, {f.dataType.simpleString()} was given"
+            for f in incoming.fields
+            if f.name in have and have[f.name].dataType.simpleString() != f.dataType.simpleString()
+        ]
+        if drift:
+            raise ValueError("column types differ from the table's: " + "; ".join(drift))
         return T.StructType(self._schema.fields + [f for f in incoming.fields if f.name not in have])
 
     def _guard_keys(self, df: DataFrame) -> DataFrame:
@@ -316,20 +335,18 @@ class CommitLogTable:
             )
         return out
 
-    def _write_batch(
-        self, rows: DataFrame, batch: str, options: WriteOptions, restamp: str | None = None
-    ) -> str | None:
+    def _write_batch(self, rows: DataFrame, batch: str, options: WriteOptions, floor: str | None = None, newest: bool = False) -> str | None:
         """Write one batch; returns its published name, None (nothing visible)
         when it held no rows.
 
         Emptiness is read from the written directories, not from a separate
         ``isEmpty()`` job, so an expensive input plan runs exactly once.
 
-        ``restamp`` (single-commit batches): the batch's commit time. If a
-        newer commit was published while this batch was being written, the
-        commit directory is renamed to a later time before publishing (the
-        time lives only in directory names), so readers never see a commit
-        appear behind one they already consumed.
+        ``floor``: the base's end when the write began. A batch with a commit at
+        or before it would never be read, and commits of other widths would
+        sort wrongly as text; either is refused before anything is published.
+        ``newest``: also refuse when another commit was published meanwhile that
+        the batch does not sort after (a table has one writer).
         """
         parts = list(self.spec.partition_by)
         rebalance = options.rebalance if options.rebalance is not None else bool(parts)
@@ -350,15 +367,30 @@ class CommitLogTable:
         if not fs.glob_names(self.spark, f"{staging}/{COMMIT_COL}=*"):
             fs.delete(self.spark, staging)  # K15: an empty batch creates no commit
             return None
-        if restamp is not None:
-            latest = self.last_commit()
-            if latest is not None and latest >= restamp:
-                later = _next_commit_time(latest)
-                fs.rename(self.spark, f"{staging}/{COMMIT_COL}={restamp}", f"{staging}/{COMMIT_COL}={later}")
-                batch = batch.replace(restamp, later, 1)
+        new = sorted(p.rstrip("/").rsplit("=", 1)[1] for p in fs.glob_names(self.spark, f"{staging}/{COMMIT_COL}=*"))
+        try:
+            self._check_order(new, floor)
+            last = self.last_commit() if newest else None
+            if last is not None and new[0] <= last:
+                raise ValueError(f"commit {new[0]} does not sort after {last}, published meanwhile")
+        except ValueError:
+            fs.delete(self.spark, staging)
+            raise
         fs.rename(self.spark, staging, f"{self.path}/log/{BATCH_COL}={batch}")
         return batch
 
+    def _check_order(self, new: list[str], floor: str | None) -> None:
+        """Commit times order as text, so a batch has one width, another width than
+        the last commit's must sort after it, and none may be at or before the base."""
+        if NULL_PARTITION in new:
+            raise ValueError("NULL commit time")
+        widths = sorted({len(c) for c in new})
+        last = self.last_commit()
+        if len(widths) > 1 or (last and new and len(last) != widths[0] and new[0] <= last):
+            raise ValueError(f"commit times of widths {widths} do not order as text (last commit {last})")
+        if floor is not None and new and new[0] <= floor:
+            raise ValueError(f"commit {new[0]} is not after the compacted base, which ends at {floor}")
+
     def write(
         self,
         df: DataFrame,
@@ -389,15 +421,20 @@ class CommitLogTable:
         else:
             rows = df.drop(*[c for c in META_COLS if c in df.columns])
             if operation == "upsert":
-                rows = precombine(rows, keys, spec.precombine, self._tie_breakers(rows))
+                ties = self._tie_breakers(rows)
+                # keys alone leave nothing to choose by
+                rows = precombine(rows, keys, spec.precombine, ties) if spec.precombine or ties else rows.dropDuplicates(keys)
             schema = self._merge_schema(self._storage_schema(rows))
             rows = rows.withColumn(DELETED_COL, F.lit(False))
         rows = self._guard_keys(rows)
-        commit = commit_time or _next_commit_time(self.last_commit())
+        last = self.last_commit()
+        commit = commit_time or _next_commit_time(last)
+        if last is not None and commit_time is not None and commit_time <= last:
+            raise ValueError(f"commit {commit_time} does not sort after the last commit {last}")
         suffix = {"delete": DELETE_SUFFIX, "upsert": UNIQUE_SUFFIX}.get(operation, "")
         batch = f"{commit}{suffix}"
         written = self._write_batch(
-            rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options, restamp=None if commit_time else commit
+            rows.withColumn(COMMIT_COL, F.lit(commit)), batch, options, floor=self.base_end(), newest=True
         )
         self._pinned = None
         if not written:
@@ -434,10 +471,10 @@ class CommitLogTable:
         schema = self._merge_schema(self._storage_schema(rows))
         deleted = F.coalesce(F.col(DELETED_COL), F.lit(False)) if with_tombstones else F.lit(False)
         rows = self._guard_keys(rows.withColumn(DELETED_COL, deleted))
-        batch = batch_id or _next_commit_time(self.last_commit())
+        batch = batch_id or _dt.datetime.now(_dt.timezone.utc).strftime(COMMIT_FORMAT)[:17] + uuid.uuid4().hex[:6]
         if with_tombstones:
             batch = f"{batch}{DELETE_SUFFIX}"
-        written = self._write_batch(rows, batch, options)
+        written = self._write_batch(rows, batch, options, floor=self.base_end())
         self._pinned = None
         if not written:
             return None
@@ -714,10 +751,23 @@ class CommitLogTable:
             return self._finish(log.filter(in_range & ~F.col(DELETED_COL)), with_meta)
         if self.spec.merge_mode == "incoming_wins" and (base_end is None or (begin or "") >= base_end):
             return self._finish(self._resolve(log.filter(in_range)), with_meta)
-        if end is not None and base_end is not None and end < base_end:
-            raise ValueError("end is older than the compacted base")
         keys = self.spec.resolve_keys
+        if end is not None and base_end is not None and end < base_end:
+            # the base is newer than the range: its log answers, while it is whole
+            dropped = self.dropped_through()
+            if dropped is not None:
+                raise ValueError(f"end is older than the compacted base and the log up to {dropped} was removed")
+            log = self.log().filter(F.col(COMMIT_COL) <= F.lit(end))
+            if self.spec.merge_mode == "incoming_wins":
+                return self._finish(self._resolve(log.filter(in_range)), with_meta)
+            changed = log.filter(in_range).select(*keys).distinct()
+            return self._finish(self._resolve(log.join(changed, on=keys, how="left_semi")).filter(in_range), with_meta)
         base = self._base()
+        if self.spec.merge_mode == "incoming_wins" and base is not None:
+            # a base row keeps its own commit, and one at or before begin never wins
+            # against a row in range: one ranking over both, no joins
+            history = log.filter(F.col(COMMIT_COL) > F.lit(base_end))
+            return self._finish(self._resolve(base.unionByName(history).filter(in_range)), with_meta)
         history = log if base_end is None else log.filter(F.col(COMMIT_COL) > F.lit(base_end))
         if end is not None:
             history = history.filter(F.col(COMMIT_COL) <= F.lit(end))
@@ -776,9 +826,10 @@ class CommitLogTable:
         stamp = _dt.datetime.now(_dt.timezone.utc).strftime(COMMIT_FORMAT)
         name = f"{BATCH_COL}={end}~{stamp}"
         staging = f"{self.path}/_staging/base-{name}"
-        rows.write.mode("errorifexists").option("compression", options.compression).partitionBy(
-            *self.spec.partition_by
-        ).parquet(staging)
+        writer = rows.write.mode("errorifexists").option("compression", options.compression)
+        if options.max_records_per_file:
+            writer = writer.option("maxRecordsPerFile", options.max_records_per_file)
+        writer.options(**options.parquet_options).partitionBy(*self.spec.partition_by).parquet(staging)
         for d in partitions or []:
             if not fs.exists(self.spark, f"{staging}/{d}"):
                 fs.mkdirs(self.spark, f"{staging}/{d}")
@@ -788,6 +839,9 @@ class CommitLogTable:
 
     def versions(self, n: int, rank_col: str = "version_rank") -> DataFrame:
         """The ``n`` newest versions per key in table order (tombstones excluded)."""
+        dropped = self.dropped_through()
+        if dropped is not None:
+            raise ValueError(f"versions up to {dropped} were removed from the log by retention; read the history it keeps")
         live = self.log().filter(~F.col(DELETED_COL))
         return retain_latest_versions(live, self.spec.resolve_keys, self._order(live), n, rank_col).drop(
             DELETED_COL
