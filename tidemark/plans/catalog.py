@@ -9,46 +9,67 @@ compaction points the table at the newer base.
 
 from __future__ import annotations
 
+import re
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import COMMIT_COL, DELETED_COL
-from tidemark.plans.commitlog import CommitLogTable
+from tidemark.plans.commitlog import CommitLogTable, WriteOptions
 
 PARTITIONS_PER_STATEMENT = 500
 
 
+def _refuse_foreign(spark: SparkSession, qualified: str, path: str) -> None:
+    """Raise if the name belongs to anything but an external table below ``path`` (whose data a drop keeps)."""
+    if not spark.catalog.tableExists(qualified.replace("`", "")):
+        return
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {qualified}").collect()}
+    own = re.sub(r"^file:/+", "/", path).rstrip("/") + "/"
+    if facts.get("Type") != "EXTERNAL" or not re.sub(r"^file:/+", "/", facts.get("Location", "")).startswith(own):
+        raise ValueError(f"{qualified} exists and is not a registration of the table at {path}")
+
+
 def register(
-    spark: SparkSession, table: CommitLogTable, name: str, database: str | None = None, refresh: bool = False
+    spark: SparkSession,
+    table: CommitLogTable,
+    name: str,
+    database: str | None = None,
+    refresh: bool = False,
+    options: WriteOptions | None = None,
 ) -> str:
-    """Register the table's compacted base (its read-optimized view).
+    """Register the table's compacted base.
 
-    The base is compacted here only when there is none yet, or on
-    ``refresh``; otherwise the catalog follows the compaction cadence and
-    re-registering is metadata work only.
+    A COPY_ON_WRITE table shows its latest commit: the base is brought up to it
+    first. A MERGE_ON_READ table shows its read-optimized view, as of its last
+    compaction (said in the catalog table's comment), unless ``refresh``.
+    A table or view of that name that is not an external table below this
+    table's path is refused, never dropped.
     """
     table.refresh()  # register what is there now, not what an old view saw
-    if table.base_end() is None or refresh:
-        table.compact()
+    current = table.spec.table_type == "COPY_ON_WRITE"
+    if table.base_end() is None or refresh or current:
+        table.compact(options)
     if table.base_end() is None:
         raise ValueError("nothing to register: the table has no commits")
     parts = list(table.spec.partition_by)
     if len(table.base_paths()) > 1 and len(parts) > 1:
         # multi-level partitions spread over several bases: fold them into one
-        table.compact(force=True)
+        table.compact(options, force=True)
     qualified = f"`{database}`.`{name}`" if database else f"`{name}`"
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    _refuse_foreign(spark, qualified, table.path)
     spark.sql(f"DROP TABLE IF EXISTS {qualified}")
     columns = [f for f in table.schema.fields if f.name not in parts]
     columns += [T.StructField(COMMIT_COL, T.StringType()), T.StructField(DELETED_COL, T.BooleanType())]
     columns += [table.schema[p] for p in parts]
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     partition_clause = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    comment = "latest commit" if current else "as of the last compaction"
     location = f"{table.path}/base/{table.base_dir()}"
-    spark.sql(f"CREATE TABLE {qualified} ({ddl}) USING parquet {partition_clause} LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {qualified} ({ddl}) USING parquet {partition_clause} LOCATION '{location}' COMMENT '{comment}'")
     if not parts:
         return qualified
     paths = table.base_paths()

@@ -7,6 +7,7 @@ services become calls). Rewrites go to new directories made visible by their
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +56,10 @@ def cluster(
     )
     n_files = max(1, stored // max(1, target_file_bytes) + 1)
     snap = table.snapshot(with_meta=True).withColumn(DELETED_COL, F.lit(False))
-    range_key = [*sort_columns, *[k for k in table.spec.resolve_keys if k not in sort_columns]]
+    # partition columns lead, so each file belongs to one partition and the
+    # partitioned write finds its rows in order
+    lead = list(table.spec.partition_by)
+    range_key = list(dict.fromkeys([*lead, *sort_columns, *table.spec.resolve_keys]))
     rows = snap.repartitionByRange(int(n_files), *range_key).sortWithinPartitions(*range_key)
     table.write_base(rows, end, options)
     return end
@@ -65,7 +69,7 @@ def _history_dirs(table: CommitLogTable) -> list[str]:
     return table._finished("history")
 
 
-def retain_versions(table: CommitLogTable, n: int) -> DataFrame:
+def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None = None) -> DataFrame:
     """Keep the ``n`` newest versions per key, over the whole table life.
 
     The kept versions are the previous history plus the live log, ranked
@@ -80,17 +84,21 @@ def retain_versions(table: CommitLogTable, n: int) -> DataFrame:
     end = pinned[-1] if pinned else None
     if end is None:
         return table.versions(n)
-    target = f"{table.path}/history/{BATCH_COL}={end}"
+    target = f"{table.path}/history/{BATCH_COL}={end}~{n}"
     if not fs.exists(table.spark, target):
         keys = table.spec.resolve_keys
         log = table.log()
         previous = _history_dirs(table)
         candidates = log
         if previous:
-            prev_end = previous[-1].split("=", 1)[1]
+            prev_end = previous[-1].split("=", 1)[1].split("~")[0]
             old = table.spark.read.parquet(f"{table.path}/history/{previous[-1]}").drop("version_rank")
             old = old.withColumn(DELETED_COL, F.lit(False))
             candidates = log.filter(F.col(COMMIT_COL) > F.lit(prev_end)).unionByName(old, allowMissingColumns=True)
+        elif table.dropped_through() is not None:
+            # the log was cut without a history: its older keys live in the base
+            after = log.filter(F.col(COMMIT_COL) > F.lit(table.base_end()))
+            candidates = after.unionByName(table._base(), allowMissingColumns=True)
         order = table._order(candidates)
         data = candidates.filter(~F.col(DELETED_COL))
         # at most n versions per (key, commit) before the key-level join, so
@@ -103,10 +111,11 @@ def retain_versions(table: CommitLogTable, n: int) -> DataFrame:
             cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs["__tm_tomb"]]
             data = data.join(tombs, on=cond, how="left_anti")
         kept = retain_latest_versions(data, keys, order, n).drop(DELETED_COL)
-        staging = f"{table.path}/_staging/history-{end}"
-        kept.write.mode("errorifexists").parquet(staging)
+        staging = f"{table.path}/_staging/history-{end}-{n}-{uuid.uuid4().hex[:8]}"
+        compression = (options or WriteOptions()).compression
+        kept.write.mode("errorifexists").option("compression", compression).parquet(staging)
         fs.rename(table.spark, staging, target)
-        table.compact()
+        table.compact(options)
         table.drop_log_through(end)
         for d in previous:
             fs.delete(table.spark, f"{table.path}/history/{d}")
@@ -133,9 +142,9 @@ def drop_unused_bases(table: CommitLogTable) -> list[str]:
     return gone
 
 
-def retain_versions_if_due(table: CommitLogTable, n: int, every: int) -> None:
+def retain_versions_if_due(table: CommitLogTable, n: int, every: int, options: WriteOptions | None = None) -> None:
     if len(table.batches()) >= every:
-        retain_versions(table, n)
+        retain_versions(table, n, options)
 
 
 def analyze(spark: SparkSession, qualified_name: str, columns: Sequence[str]) -> DataFrame:

@@ -79,6 +79,8 @@ class WriteConfig:
         if parse_flag(self.enable_meta_data_indexing):
             # Key lookups and data skipping: parquet bloom filters on the keys
             # next to the footer min/max statistics parquet always writes.
+            # sized by each file's own number of keys
+            extra["parquet.bloom.filter.adaptive.enabled"] = "true"
             for k in self.record_id.split(","):
                 extra[f"parquet.bloom.filter.enabled#{k.strip()}"] = "true"
         return WriteOptions(
@@ -108,10 +110,11 @@ def upsert_table(spark: SparkSession, df: DataFrame, config: WriteConfig) -> str
         maintenance.cluster(table, cols, CLUSTER_TARGET_BYTES, config.write_options())
     elif due and config.table_type == "COPY_ON_WRITE":
         table.compact(config.write_options())
-    if parse_flag(config.enable_cleaner) and config.compact_every > 0:
-        maintenance.retain_versions_if_due(table, RETAINED_VERSIONS, config.compact_every)
+    if parse_flag(config.enable_cleaner):
+        # without a compaction cadence the cleaner runs after every write
+        maintenance.retain_versions_if_due(table, RETAINED_VERSIONS, max(1, config.compact_every), config.write_options())
     if parse_flag(config.enable_hive_sync):
-        catalog.register(spark, table, config.table_name, config.glue_database)
+        catalog.register(spark, table, config.table_name, config.glue_database, options=config.write_options())
     return commit
 
 
