@@ -116,12 +116,15 @@ def test_job_args():
         job_args(["--x", "1"], ["JOB_NAME"])
 
 
-def test_metrics_accept_text_amounts(spark):
+def test_metrics_sum_text_amounts_and_refuse_what_is_none(spark):
     from tidemark.operators.metrics import order_metrics
 
+    schema = "customer_id int, order_value string, order_date string"
     joined = spark.createDataFrame(
-        [(1, "10.50", "2024-01-01"), (1, "oops", "2024-01-03"), (2, "7", "2024-01-02")],
-        "customer_id int, order_value string, order_date string",
+        [(1, "10.50", "2024-01-01"), (1, "123456789012345678", "2024-01-03"), (1, "1.005", "2024-01-03"), (2, "7", "2024-01-02")], schema
     )
-    got = {r["customer_id"]: (r["n_orders"], r["total_value"]) for r in order_metrics(joined).collect()}
-    assert got == {1: (2, 10.5), 2: (1, 7.0)}
+    got = {r["customer_id"]: (r["n_orders"], str(r["total_value"])) for r in order_metrics(joined, total_type="decimal(38,3)").collect()}
+    assert got == {1: (3, "123456789012345689.505"), 2: (1, "7.000")}
+    bad = joined.unionByName(spark.createDataFrame([(1, "oops", "2024-01-03")], schema))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        order_metrics(bad).collect()

@@ -13,7 +13,7 @@ def test_scratch_lives_under_the_checkpoint_dir(spark):
 
 def test_scale_conf_sizes_partitions_from_input():
     tb = scale_conf(100 * 10**12)
-    assert tb["spark.sql.shuffle.partitions"] == "200000"  # capped
+    assert tb["spark.sql.shuffle.partitions"] == str(-(-100 * 10**12 // (256 * 2**20)))
     small = scale_conf(10 * 2**30)
     assert small["spark.sql.shuffle.partitions"] == "40"  # 10 GiB / 256 MiB
     assert small["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)

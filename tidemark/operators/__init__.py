@@ -1,6 +1,6 @@
 """Relational operators: keyed merge primitives, joins, timeline, metrics."""
 
-from tidemark.operators.joins import broadcast_if_small, customer_orders, customer_orders_sql
+from tidemark.operators.joins import customer_orders, customer_orders_sql
 from tidemark.operators.keyed import (
     delete_keys,
     latest_per_key,
@@ -15,7 +15,6 @@ from tidemark.operators.timeline import begin_instant, commit_timeline, last_com
 
 __all__ = [
     "begin_instant",
-    "broadcast_if_small",
     "commit_timeline",
     "customer_orders",
     "customer_orders_sql",

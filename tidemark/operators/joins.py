@@ -4,8 +4,7 @@ The flagship is the reference's SQL text run over whatever views the loader
 registered: customers JOIN orders ON customer_id. Strategy is left to
 Catalyst + AQE: sort-merge on ``customer_id`` for two large sides (AQE's
 skew-join splits a customer that owns a third of all orders), broadcast when
-a side's size is proven small. ``broadcast_if_small`` is the explicit form of
-that check for callers that want the hint.
+a side's size is measured to be small.
 """
 
 from __future__ import annotations
@@ -59,15 +58,3 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("o.order_value"),
         F.col("o.order_date"),
     )
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only after proving ``df`` has at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()``, which stops reading as soon
-    as the bound is exceeded; above it the frame is returned unchanged and the
-    planner/AQE choose a shuffle join.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

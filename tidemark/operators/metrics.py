@@ -3,8 +3,9 @@
 The reference's title promises aggregates pushed to the key-value table; the
 metrics are a ``groupBy(customer_id)`` with partial aggregation before the
 shuffle, so a customer owning a third of the orders costs one row per map
-task at the exchange. Money is summed as DECIMAL(18,2) so the total does not
-depend on the order rows are added in.
+task at the exchange. Money is summed as a wide DECIMAL so the total does not
+depend on the order rows are added in; text that is no amount, or one too
+large for it, fails the job.
 """
 
 from __future__ import annotations
@@ -19,14 +20,15 @@ def order_metrics(
     value: str = "order_value",
     date: str = "order_date",
     total_type: str = "double",
+    scale: int = 10,
 ) -> DataFrame:
-    """``total_type`` is the type of the exact DECIMAL total on output
-    (``decimal(18,2)`` keeps it exact for text items)."""
+    """``total_type`` is the type of the exact DECIMAL(38, ``scale``) total on
+    output (``decimal(18,2)`` keeps it exact for text items)."""
+    # 28 digits of a row's amount leave ten for the sum
+    amount = F.col(value).cast(f"decimal(28,{scale})")
     return joined.groupBy(key).agg(
         F.count(F.lit(1)).alias("n_orders"),
-        # try_cast: amounts may arrive as text; a malformed one is NULL (not
-        # summed) instead of failing the job under ANSI casts
-        F.sum(F.col(value).try_cast("decimal(18,2)")).cast(total_type).alias("total_value"),
+        F.sum(amount).cast(total_type).alias("total_value"),
         F.min(date).alias("first_order"),
         F.max(date).alias("last_order"),
     )

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 TIMELINE_CAP = 50
 
 
-def commit_timeline(df: DataFrame, commit_col: str, limit: int | None = TIMELINE_CAP) -> DataFrame:
-    """Distinct commit times ascending, first ``limit``.
+def commit_timeline(df: DataFrame, commit_col: str, limit: int | None = None) -> DataFrame:
+    """Distinct commit times ascending, all or the first ``limit``.
 
     Plans as partial+final aggregate then ``TakeOrderedAndProject``: only the
     distinct values cross the shuffle, and only ``limit`` reach the driver.

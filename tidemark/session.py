@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Read from the session (``spark.checkpoint.dir`` or the context's
     checkpoint directory). Only when neither is set — local tests — a fresh
-    folder is created and registered.
+    folder is created and registered; elsewhere a missing setting is an error,
+    as a machine-local folder would lose what other machines write.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -62,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -90,7 +93,7 @@ def job_args(argv: list[str], required: list[str]) -> dict[str, str]:
     return found
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, max_partitions: int = 200_000) -> dict[str, str]:
+def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Shuffle and scan sizing for a job reading ``input_bytes``.
 
     Shuffle partitions start at about one per ``partition_bytes`` of input so
@@ -98,7 +101,7 @@ def scale_conf(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024, max_p
     small ones toward the advisory size and splits skewed ones. Scan splits
     use the same size, so a task reads at most that much parquet.
     """
-    n = max(1, min(max_partitions, -(-input_bytes // partition_bytes)))
+    n = max(1, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
