@@ -47,7 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 # --------------------------------------------------------------- oracle SQL
 _EV = "SELECT event_id, ts, user_id, event_type, value, strftime(ts, '%Y%m%d') AS commit_time FROM events"
-_B_SRC = f"SELECT * FROM ({_EV}) WHERE event_type IN ('click', 'purchase', 'view')"
+_B_SRC = f"SELECT * FROM ({_EV}) WHERE event_type IS NULL OR event_type NOT IN ('error', 'signup')"
 _I_SRC = f"SELECT * FROM ({_EV}) WHERE event_type IN ('error', 'signup')"
 _LATEST_USER = "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
 _BI = (

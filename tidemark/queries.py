@@ -40,7 +40,6 @@ from tidemark.sources.tables import customers_view, orders_view, read_table
 from tidemark.streaming.incremental import upsert_stream
 
 # Fixed values of the query catalogue (mirrored in the oracle SQL).
-STORED_FEEDS = ("click", "purchase", "view")
 INCOMING_FEEDS = ("error", "signup")
 LOG_FIRST_COMMIT = 2024010100
 LOG_COMMITS = 10
@@ -66,9 +65,9 @@ def events_changelog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _feeds(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
-    stored = ev.filter(F.col("event_type").isin(*STORED_FEEDS))
-    incoming = ev.filter(F.col("event_type").isin(*INCOMING_FEEDS))
-    return stored, incoming
+    """Events stored before and events coming in; unknown and NULL types are stored ones."""
+    is_incoming = F.coalesce(F.col("event_type").isin(*INCOMING_FEEDS), F.lit(False))
+    return ev.filter(~is_incoming), ev.filter(is_incoming)
 
 
 def orders_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,7 +269,7 @@ def compacted_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def commit_timeline(spark: SparkSession, sf: str) -> DataFrame:
     """First 50 commit days of orders."""
     orders = _t(spark, sf, "orders").select(commit_time_of("o_orderdate").alias("oc"))
-    return timeline.commit_timeline(orders, "oc")
+    return timeline.commit_timeline(orders, "oc", timeline.TIMELINE_CAP)
 
 
 def begin_instant(spark: SparkSession, sf: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import stringify
+from tidemark.functions.columns import orderable_columns, stringify
 from tidemark.operators.keyed import precombine
 from tidemark.plans.commitlog import CommitLogTable, TableSpec, WriteOptions
 
@@ -37,7 +37,8 @@ def _item_frame(
     keys = [hash_key] + ([range_key] if range_key else [])
     attrs = [c for c in (attributes if attributes is not None else df.columns) if c not in keys]
     if order_by:
-        df = precombine(df, keys, None, list(order_by))
+        # the other columns break ties, so a retry keeps the same row
+        df = precombine(df, keys, None, [*order_by, *orderable_columns(df, exclude=[*keys, *order_by])])
     return stringify(df.select(*keys, *attrs), attrs)
 
 

@@ -10,6 +10,8 @@ then ``from_json`` parses with the merged schema.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def read_items(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 def variant_schema_to_ddl(schema: str) -> str:
     """``OBJECT<k: BIGINT>`` (variant schema text) -> ``STRUCT<k: BIGINT>``."""
-    return schema.replace("OBJECT<", "STRUCT<")
+    # a type stands at the start, behind a field's colon or inside a list; names stay
+    return re.sub(r"(^|: |ARRAY<)OBJECT<", r"\1STRUCT<", schema)
 
 
 def infer_json_schema(df: DataFrame, json_col: str) -> str:
@@ -36,6 +39,8 @@ def infer_json_schema(df: DataFrame, json_col: str) -> str:
 def expand_items(df: DataFrame, json_col: str, schema: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Parse ``json_col`` into top-level columns next to ``keep``."""
     ddl = schema or infer_json_schema(df, json_col)
+    if not ddl.startswith("STRUCT<") and schema is None:
+        return df.select(*(keep or []))  # no items, so no fields
     parsed: Column = F.from_json(F.col(json_col), ddl)
     return df.select(*(keep or []), parsed.alias("__item")).select(*(keep or []), "__item.*")
 

@@ -35,7 +35,7 @@ def change_stream(source: CommitLogTable, max_files_per_trigger: int | None = No
 BOOTSTRAP_MARK = "_tidemark_bootstrap"
 
 
-def _bootstrap(source: CommitLogTable, target: CommitLogTable, checkpoint_location: str) -> str | None:
+def _bootstrap(source: CommitLogTable, target: CommitLogTable, checkpoint_location: str, tag: str) -> str | None:
     """First start only: copy the source's compacted base into the target.
 
     Log batches the base covers may be gone already, so a new mirror starts
@@ -52,7 +52,8 @@ def _bootstrap(source: CommitLogTable, target: CommitLogTable, checkpoint_locati
     end = source.base_end()
     if end is not None:
         base = source._base()
-        target.import_changelog(base.drop(DELETED_COL), COMMIT_COL)
+        # a fixed name: a copy repeated after a crash before the marker does nothing
+        target.import_changelog(base.drop(DELETED_COL), COMMIT_COL, batch_id=f"s{tag}-base")
     fs.mkdirs(source.spark, checkpoint_location)
     fs.touch(source.spark, f"{checkpoint_location}/{BOOTSTRAP_MARK}-{end or ''}")
     return end
@@ -69,9 +70,7 @@ def upsert_stream(
     """Mirror ``source`` into ``target`` (same keys and ordering), one target
     batch per micro-batch.
 
-    Micro-batches are bounded (``max_files_per_trigger``, about 128 GB at
-    128 MB files) because each one is persisted once for its two uses; the
-    mirror is exact however the backlog is split, and ``availableNow`` still
+    Micro-batches are bounded by ``max_files_per_trigger``; the mirror is exact however the backlog is split, and ``availableNow`` still
     drains all of it.
     """
     keys = source.spec.resolve_keys
@@ -80,18 +79,12 @@ def upsert_stream(
     stream_tag = hashlib.sha1(checkpoint_location.encode("utf-8")).hexdigest()[:10]
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()  # read once: tombstone check and the write
-        try:
-            has_deletes = not batch.filter(F.col(DELETED_COL)).isEmpty()
-            versions = per_commit_winners(batch, keys, source._order(batch))
-            target.import_changelog(
-                versions, COMMIT_COL, with_tombstones=has_deletes, batch_id=f"s{stream_tag}-{epoch:012d}"
-            )
-        finally:
-            batch.unpersist()
+        # any micro-batch may hold tombstones, so none has to be read twice
+        versions = per_commit_winners(batch, keys, source._order(batch))
+        target.import_changelog(versions, COMMIT_COL, with_tombstones=True, batch_id=f"s{stream_tag}-{epoch:012d}")
 
     changes = change_stream(source, max_files_per_trigger)
-    start_after = _bootstrap(source, target, checkpoint_location)
+    start_after = _bootstrap(source, target, checkpoint_location, stream_tag)
     if start_after is not None:
         changes = changes.filter(F.col(COMMIT_COL) > F.lit(start_after))
     writer = (
