@@ -209,12 +209,32 @@ _ORACLES: dict[str, str] = {
     ),
     "clustered_rewrite": "SELECT * FROM events",
     "stream_upsert": _SNAPSHOT,
+    "object_inventory": f"SELECT DISTINCT commit_time, true AS has_files FROM ({_LOG})",
+    "retention_job": (
+        f"SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey {_LOG_ORDER}) AS INTEGER) AS version_rank "
+        f"FROM ({_LOG}) QUALIFY version_rank <= 3"
+    ),
+    "capped_catch_up_after_compaction": (
+        f"SELECT * FROM ({_LOG}) WHERE commit_time > '2024010103' AND commit_time <= '2024010105' "
+        f"QUALIFY row_number() OVER (PARTITION BY o_custkey {_LOG_ORDER}) = 1"
+    ),
+    "catalog_after_second_upsert": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, "
+        "CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders"
+    ),
+    "checkpoint_reset": "SELECT o_orderkey, o_orderdate FROM orders",
+    "empty_increment": (
+        f"SELECT count(*) AS n_rows, false AS has_checkpoint FROM orders WHERE {_OC} > (SELECT max({_OC}) FROM orders)"
+    ),
+    "empty_write_guard": f"SELECT *, true AS unchanged FROM ({_SNAPSHOT})",
+    "item_attribute_subset": (
+        "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer"
+    ),
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per query (``object_inventory`` has none: its rows are file
-    paths under a fresh folder; it gets the rows-only check)."""
+    """DuckDB SQL per query that SQL can express."""
     llm = dict(_LLM_ORACLES)
     if _pipeline is not None and _pipeline.ORACLE_SQL:
         llm["pipeline"] = _pipeline.ORACLE_SQL

@@ -16,6 +16,7 @@ Two kinds of source are supported:
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -50,8 +51,13 @@ class CommitLogSource:
 
 
 class ChangeFeedSource:
-    def __init__(self, df: DataFrame, commit: str | Column, table_name: str, path: str = ""):
+    """``day_col``: the date or timestamp column whose day (``yyyyMMdd``) is the
+    commit time. Ranges are then also given as bounds on that column, which
+    reach the scan and let parquet statistics skip what lies outside."""
+
+    def __init__(self, df: DataFrame, commit: str | Column, table_name: str, path: str = "", day_col: str | None = None):
         self.commit_col = "_commit_time"
+        self.day_col = day_col
         commit_expr = F.col(commit) if isinstance(commit, str) else commit
         self.df = df.withColumn(self.commit_col, commit_expr.cast("string"))
         self.table_name = table_name
@@ -59,7 +65,7 @@ class ChangeFeedSource:
 
     def last_after(self, begin: str | None, max_commits: int | None) -> str | None:
         # One aggregate job; only the single max value reaches the driver.
-        row = last_commit(self.df, self.commit_col, begin, max_commits).first()
+        row = last_commit(self._days(self.df, begin, None), self.commit_col, begin, max_commits).first()
         return row[0] if row else None
 
     def read_range(self, begin: str | None, end: str) -> DataFrame:
@@ -67,7 +73,16 @@ class ChangeFeedSource:
         cond = c <= F.lit(end)
         if begin is not None:
             cond = cond & (c > F.lit(begin))
-        return self.df.filter(cond)
+        return self._days(self.df, begin, end).filter(cond)
+
+    def _days(self, df: DataFrame, begin: str | None, end: str | None) -> DataFrame:
+        if self.day_col is None:
+            return df
+        kind = df.schema[self.day_col].dataType
+        day_after = lambda x: F.lit(datetime.strptime(x, "%Y%m%d") + timedelta(days=1)).cast(kind)
+        if begin is not None:
+            df = df.filter(F.col(self.day_col) >= day_after(begin))
+        return df if end is None else df.filter(F.col(self.day_col) < day_after(end))
 
     def empty(self) -> DataFrame:
         return self.df.limit(0)

@@ -10,7 +10,7 @@ every row.
 Shared inputs (mirrored in the oracle SQL):
 
 * ``EV``  — events with ``commit_time = yyyyMMdd(ts)``.
-* ``B``   — the stored batch: events of the click / purchase / view feeds.
+* ``B``   — the stored batch: events of all other feeds, unknown ones too.
 * ``I``   — the incoming batch: events of the error / signup feeds.
 * ``LOG`` — every order as a change of its customer, committed at
   ``2024010100 + o_orderkey % 10`` (ten commits).
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tidemark import jobs
 from tidemark.functions.columns import COMMIT_COL, commit_time_of
 from tidemark.operators import joins, keyed, metrics, timeline
+from tidemark.plans import maintenance
 from tidemark.plans.checkpoint import CheckpointStore
 from tidemark.plans.commitlog import CommitLogTable, TableSpec
 from tidemark.plans.incremental import ChangeFeedSource, IncrementalReader
@@ -281,7 +282,7 @@ def begin_instant(spark: SparkSession, sf: str) -> DataFrame:
 def _advance(spark: SparkSession, sf: str, max_commits: int | None) -> DataFrame:
     store = CheckpointStore(spark, scratch_dir(spark, "checkpoints"))
     orders = _t(spark, sf, "orders")
-    source = ChangeFeedSource(orders, commit_time_of("o_orderdate"), "orders", f"{sf}/orders.parquet")
+    source = ChangeFeedSource(orders, commit_time_of("o_orderdate"), "orders", f"{sf}/orders.parquet", day_col="o_orderdate")
     store.write("orders", source.path, INC_BEGIN_DAY)
     rows, pending = IncrementalReader(store, source, max_commits).read()
     rows.write.format("noop").mode("overwrite").save()  # the consumer, then progress
@@ -499,10 +500,87 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def object_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Data files of the order log, searched for the last commit."""
+    """Commits whose data files a search of the order log's inventory finds."""
     table = _log_table(spark, sf)
     inv = inventory.object_inventory(spark, f"{table.path}/log", glob="*.parquet")
-    return inventory.find_similar(inv, f"{COMMIT_COL}={LOG_FIRST_COMMIT + LOG_COMMITS - 1}/")
+    found = inventory.find_similar(inv, f"{COMMIT_COL}=[0-9]+/").filter("length > 0")
+    commit = F.regexp_extract("path", f"{COMMIT_COL}=([0-9]+)/", 1).alias("commit_time")
+    return found.groupBy(commit).agg((F.count(F.lit(1)) > 0).alias("has_files"))
+
+
+def retention_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Retention run twice, the second time after more commits; three versions stay per customer."""
+    spec = TableSpec(name="orders_log", keys=("o_custkey",), precombine="o_orderdate",
+                     tie_breakers=("o_orderkey",), table_type="MERGE_ON_READ")
+    table = CommitLogTable.create(spark, scratch_dir(spark, "orders_log_r"), spec)
+    log = orders_log(spark, sf)
+    table.import_changelog(log.filter(F.col("commit_time") <= COMPACT_AT), "commit_time")
+    maintenance.retain_versions(table, 3)
+    table.import_changelog(log.filter(F.col("commit_time") > COMPACT_AT), "commit_time")
+    kept = maintenance.retain_versions(table, 3)
+    return _with_commit_col(kept).withColumn("version_rank", F.col("version_rank").cast("int"))
+
+
+def capped_catch_up_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole log is compacted; an increment bounded at 2024010105 is still answered, from the log."""
+    table = _log_table(spark, sf)
+    table.compact()
+    return _with_commit_col(table.incremental(INC_BEGIN_AFTER_COMPACTION, COMPACT_AT, mode="latest_state"))
+
+
+def catalog_after_second_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders, then the open ones at twice the price; SQL on the registered table sees both."""
+    name = "orders_cow_" + scratch_dir(spark, "c").rsplit("-", 1)[1]
+    config = WriteConfig(
+        glue_database=None, table_name=name, record_id="o_orderkey", precomb_key="o_orderdate",
+        table_type="COPY_ON_WRITE", partition_fields=None, enable_partition=False, enable_cleaner=False,
+        enable_hive_sync=True, enable_clustering=False, enable_meta_data_indexing=False,
+        use_sql_transformer=False, sql_transformer_query=None, target_path=scratch_dir(spark, name),
+        compression="gzip",
+    )
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice")
+    upsert_table(spark, orders, config)
+    again = orders.filter(F.col("o_orderstatus") == "O").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    upsert_table(spark, again, config)
+    return spark.sql(f"SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_totalprice FROM {name}")
+
+
+def checkpoint_reset(spark: SparkSession, sf: str) -> DataFrame:
+    """C4: after a reset the next incremental read delivers every order again."""
+    store = CheckpointStore(spark, scratch_dir(spark, "checkpoints"))
+    source = ChangeFeedSource(_t(spark, sf, "orders"), commit_time_of("o_orderdate"), "orders", f"{sf}/orders.parquet", day_col="o_orderdate")
+    _, pending = IncrementalReader(store, source).read()
+    pending.commit()
+    store.reset("orders")
+    rows, _ = IncrementalReader(store, source).read()
+    return rows.select("o_orderkey", "o_orderdate")
+
+
+def empty_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """T4 A2: nothing is new after the last commit, so the read is empty and stores no checkpoint."""
+    store = CheckpointStore(spark, scratch_dir(spark, "checkpoints"))
+    source = ChangeFeedSource(_t(spark, sf, "orders"), commit_time_of("o_orderdate"), "orders", f"{sf}/orders.parquet", day_col="o_orderdate")
+    _, pending = IncrementalReader(store, source).read()
+    pending.commit()
+    rows, nothing = IncrementalReader(store, source).read()
+    return rows.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("has_checkpoint", F.lit(nothing is not None))
+
+
+def empty_write_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """An upsert that selects nothing creates no commit and leaves the table as it was."""
+    table = _log_table(spark, sf)
+    before = table.commits()
+    none = orders_log(spark, sf).filter(F.col("o_orderkey") < 0).drop("commit_time")
+    created = table.write(none, "upsert")
+    same = created is None and CommitLogTable.open(spark, table.path).commits() == before
+    return _with_commit_col(table.snapshot(with_meta=True)).withColumn("unchanged", F.lit(same))
+
+
+def item_attribute_subset(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers delivered as items with two of their attributes."""
+    sink = KeyedSink(spark, scratch_dir(spark, "kv_subset"), "c_custkey", attributes=["c_name", "c_nationkey"])
+    sink.put(_t(spark, sf, "customer"))
+    return sink.items().select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_nationkey")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -541,4 +619,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_rewrite": clustered_rewrite,
     "stream_upsert": stream_upsert,
     "object_inventory": object_inventory,
+    "retention_job": retention_job,
+    "capped_catch_up_after_compaction": capped_catch_up_after_compaction,
+    "catalog_after_second_upsert": catalog_after_second_upsert,
+    "checkpoint_reset": checkpoint_reset,
+    "empty_increment": empty_increment,
+    "empty_write_guard": empty_write_guard,
+    "item_attribute_subset": item_attribute_subset,
 }
