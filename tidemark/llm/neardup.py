@@ -8,11 +8,12 @@ fewer than ``T`` of ``K`` with a chance below one in a million.
 
 - Prefix: a pair with ``T`` common keys shares one among the ``K - T + 1`` keys
   that come first in any fixed order, for either node. Keys go by rising
-  frequency, so only rare ones are posted. The frequencies come from a sketch
-  of fixed size over all nodes; what it gets wrong costs time, never pairs.
-- Skip: the lists of a posting key are merged by size class first (sizes more
-  than 20% apart cannot link), agreements are counted over whole signatures,
-  and pairs below ``T`` are left out.
+  frequency. Of a node's keys those that no other node has come first and need
+  no list, so of its ``m`` shared keys the ``m - T + 1`` rarest are posted, and a
+  node with fewer than ``T`` shared keys is posted nowhere.
+- Skip: sets whose sizes are more than 20% apart cannot link, so lists without
+  two close sizes and pairs of far sizes are passed over; agreements are
+  counted over whole signatures, and pairs below ``T`` are left out.
 - Links are confirmed on the full sets of the whole texts.
 
 A list is not expanded into all its pairs. First every member meets the list's
@@ -33,7 +34,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,10 +43,9 @@ from tidemark.llm.words import U, hash_words, mix, text_batches, text_bytes
 
 K = 64
 T = 34
-SKETCH = 1 << 21
-SLICE = 1 << 13
 STAR = 512
 BLOCK = 1024
+BUCKET_ROWS = 4096
 
 _A = mix(np.arange(1, K + 1, dtype=U)) | U(1)
 _B = mix(np.arange(1, K + 1, dtype=U) + U(1 << 32))
@@ -92,7 +91,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sigs.append(None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-             pa.array(sigs, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "node", "sig"])
+             pa.array(sigs, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "print", "sig"])
 
 
 def _keys(sigs: np.ndarray) -> np.ndarray:
@@ -103,37 +102,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, K)
 
 
-def _sketch(nodes: DataFrame) -> np.ndarray:
-    """Key counts in SKETCH places: task-wise partial counts, summed by slice; SKETCH numbers reach the driver."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
-        for batch in batches:
-            keys = _keys(_matrix(batch.column(0)))
-            total += np.bincount((keys & U(SKETCH - 1)).astype(np.int64).ravel(), minlength=SKETCH)
-        parts = [total[i : i + SLICE].astype(np.int32) for i in range(0, SKETCH, SLICE)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names=["slice", "counts"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(SLICE, np.int64)
-        for x in pdf["counts"]:
-            total += np.frombuffer(x, np.int32)
-        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "counts": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
-
-    parts = nodes.select("sig").mapInArrow(count, "slice int, counts binary").groupBy("slice").applyInPandas(add, "slice int, counts binary")
-    out = np.zeros(SKETCH, np.int32)
-    for row in parts.toLocalIterator():
-        out[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(row["counts"], np.int32)
-    return out
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All keys of every node, with their coordinates."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 2048):
+            b = batch.slice(lo, 2048)
+            keys = _keys(_matrix(b.column("sig")))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel().view(np.int64)), b.column("node").take(pa.array(np.repeat(np.arange(b.num_rows), K))),
+                 pa.array(np.tile(np.arange(K, dtype=np.int8), b.num_rows))], names=["key", "node", "coordinate"])
 
 
-def prefix(sigs: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, whether each is among its node's K - T + 1 rarest)."""
-    keys = _keys(sigs)
-    often = sketch[(keys & U(SKETCH - 1)).astype(np.int64)].astype(np.float64) + (keys >> U(12)).astype(np.float64) / 2.0**53
-    # the order is the same for all nodes: frequency, then the key itself
-    place = np.argsort(np.argsort(often, axis=1, kind="stable"), axis=1, kind="stable")
-    return keys, place < K - T + 1
+def _postings(nodes: DataFrame) -> DataFrame:
+    """(node, n_shingles, mask, posted): the keys each node is posted under; ``mask`` has their coordinates as bits."""
+    spelled = nodes.select("node", "sig").mapInArrow(_spell, "key long, node long, coordinate byte")
+    often = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = spelled.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key", "coordinate"))).alias("x"))
+    posted = shared.filter(F.size("x") >= T).withColumn("x", F.slice("x", 1, F.size("x") - (T - 1)))
+    bits = F.aggregate("x", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["coordinate"].cast("int"))))
+    posted = posted.select("node", bits.alias("mask"), F.transform("x", lambda x: x["key"]).alias("posted"))
+    return posted.join(nodes.select("node", "n_shingles"), "node")
 
 
 def _similar_size(a: Column, b: Column) -> Column:
@@ -145,12 +133,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round is written to the shared folder; the roots are the smallest nodes.
     """
-    now, seen = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"), None
+    now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while True:
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == seen or not state[0]:
+        # done when the links are stars: every node has one link, to a node without any
+        ends = now.select("b").distinct().join(now.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
+        if ends.isEmpty() and now.groupBy("a").count().filter("count > 1").isEmpty():
             break
-        seen = tuple(state)
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -175,9 +163,9 @@ def _confirm(groups: DataFrame, texts: DataFrame) -> DataFrame:
                 if 100 * common >= 80 * (len(x) + len(y) - common):
                     a.append(node[n])
                     b.append(node[at[p]])
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return groups.join(texts, "node").groupBy("group").applyInArrow(check, "a binary, b binary")
+    return groups.join(texts, "node").groupBy("group").applyInArrow(check, "a long, b long")
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -190,13 +178,13 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     a = nodes.select(F.col("node").alias("a"), F.col("sig").alias("sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(count, "a binary, b binary")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(count, "a long, b long")
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
     """Groups of a pivot (a) and at most about STAR of its partners (b)."""
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts"))
-    group = lambda part: F.concat_ws("|", F.hex("a"), part.cast("string"))
+    group = lambda part: F.concat_ws("|", F.col("a").cast("string"), part.cast("string"))
     members = pairs.join(degree, "a").select(
         group(F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"), F.lit(1).alias("idx"), F.col("b").alias("node"), F.array(F.lit(0)).alias("partners"))
     centres = degree.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).select(
@@ -204,101 +192,113 @@ def _stars(pairs: DataFrame) -> DataFrame:
     return members.unionByName(centres)
 
 
-def _across(lists: DataFrame, nodes: DataFrame, held) -> DataFrame:
+def _across(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     """Groups (group, idx, node, partners) of pairs across components that may still link.
 
-    ``lists`` has (key, node, n_shingles, comp). A list goes in blocks of about
-    BLOCK rows against each other, so a task holds two blocks at most.
+    ``lists`` has (key, node, n_shingles, mask, comp). Short lists share buckets of
+    about BUCKET_ROWS rows; a long one goes in blocks of about BLOCK rows against
+    each other, so a task holds one bucket or two blocks.
     """
+    buckets = max(1, -(-lists.count() // BUCKET_ROWS))
     blocks = lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = lists.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n_shingles", "comp")
+    i, j = F.least("own", "other").cast("string"), F.greatest("own", "other").cast("string")
+    group = F.when(F.col("blocks") == 1, F.pmod("key", F.lit(buckets)).cast("string")).otherwise(F.concat_ws("|", F.col("key").cast("string"), i, j))
+    dealt = dealt.select(group.alias("group"), "key", "own", (F.col("blocks") > 1).alias("long"), (i == j).alias("same"), "node", "n_shingles", "mask", "comp")
     dealt = dealt.join(nodes.select("node", "sig"), "node")
 
     def compare(rows: pa.Table) -> pa.Table:
-        key, i, j = (rows.column(c)[0].as_py() for c in ("key", "i", "j"))
-        key, node = U(key & (1 << 64) - 1), rows.column("node").to_pylist()
-        sigs = _matrix(rows.column("sig"))
-        size = rows.column("n_shingles").to_numpy().astype(np.float64)
-        comp = rows.column("comp").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        own = rows.column("own").to_numpy()
-        order = np.argsort(size, kind="stable")
-        keys, first = prefix(sigs, held.value)
-        partners: dict[int, list[int]] = {}
-        limit = size[order] / 0.8
-        for at, x in enumerate(order):
-            # sizes rise, so what may link with x from here on is one run
-            stop = int(np.searchsorted(size[order], limit[at] * (1 + 1e-12), side="right"))
-            near = order[at + 1 : stop]
-            near = near[(comp[near] != comp[x]) & ((i == j) | (own[near] != own[x]))]
-            if not len(near):
-                continue
-            same = sigs[near] == sigs[x]
-            good = same.sum(1) >= T
-            near, same = near[good], same[good] & first[near[good]] & first[x]
-            lowest = np.where(same, keys[x], ~U(0)).min(1)
-            for y in near[lowest == key]:
-                partners.setdefault(int(x), []).append(int(y))
-        used = sorted({*partners, *(y for ys in partners.values() for y in ys)})
-        return pa.table({
-            "group": pa.array([f"{key}|{i}|{j}"] * len(used), pa.string()), "idx": pa.array(used, pa.int32()),
-            "node": pa.array([node[u] for u in used], pa.binary()),
-            "partners": pa.array([partners.get(u, []) for u in used], pa.list_(pa.int32()))})
-
-    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "group string, idx int, node binary, partners array<int>")
+        rows = rows.sort_by([("key", "ascending"), ("n_shingles", "ascending")])
+        key, size, comp, own, node = (rows.column(c).to_numpy() for c in ("key", "n_shingles", "comp", "own", "node"))
+        crossing = bool(rows.column("long")[0].as_py() and not rows.column("same")[0].as_py())
+        sigs, key = _matrix(rows.column("sig")), key.view(U)
+        keys = _keys(sigs)
+        first = (rows.column("mask").to_numpy().view(U)[:, None] >> np.arange(K, dtype=U) & U(1)).astype(bool)
+        left, right, at = [], [], np.arange(len(key) - 1)
+        step = 1
+        while len(at):
+            # within a list sizes rise: a row that is too large ends the run of its predecessor
+            at = at[at + step < len(key)]
+            at = at[(key[at] == key[at + step]) & (size[at] * 100 >= size[at + step] * 80)]
+            x, y = at, at + step
+            good = comp[x] != comp[y]
+            if crossing:
+                good &= own[x] != own[y]
+            x, y = x[good], y[good]
+            for lo in range(0, len(x), 1 << 16):
+                a, b = x[lo : lo + (1 << 16)], y[lo : lo + (1 << 16)]
+                same = sigs[a] == sigs[b]
+                many = same.sum(1) >= T
+                a, b, same = a[many], b[many], same[many]
+                # settled in the list of the pair's first common key
+                lowest = np.where(same & first[a] & first[b], keys[a], ~U(0)).min(1)
+                mine = lowest == key[a]
+                left.append(node[a[mine]])
+                right.append(node[b[mine]])
+            step += 1
+        left = np.concatenate([*left, np.zeros(0, np.int64)])
+        right = np.concatenate([*right, np.zeros(0, np.int64)])
+        used, place = np.unique(np.concatenate([left, right]), return_inverse=True)
+        partners: list[list[int]] = [[] for _ in used]
+        for a, b in zip(place[: len(left)], place[len(left) :], strict=True):
+            partners[a].append(b)
+        group = rows.column("group")[0].as_py()
+        return pa.table({"group": pa.array([group] * len(used), pa.string()), "idx": pa.array(np.arange(len(used)), pa.int32()),
+                         "node": pa.array(used, pa.int64()), "partners": pa.array(partners, pa.list_(pa.int32()))})
+
+    return dealt.groupBy("group").applyInArrow(compare, "group string, idx int, node long, partners array<int>")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id, node and root of every row (a written table)."""
+    """doc_id, text_hash, n_shingles, component_id and root (its component's node; null without words) of every row."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    signed = written(rows.mapInArrow(_sign, "doc_id long, text_hash long, n_shingles long, node binary, sig binary"), "dedup-signed")
-    some = signed.filter("node is not null")
-    nodes = written(some.dropDuplicates(["node"]).select("node", "doc_id", "text_hash", "n_shingles", "sig"), "dedup-nodes")
-    held = docs.sparkSession.sparkContext.broadcast(_sketch(nodes))
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, first = prefix(_matrix(batch.column("sig")), held.value)
-            # a place counted once holds a key that no other node has
-            first &= held.value[(keys & U(SKETCH - 1)).astype(np.int64)] > 1
-            row, col = np.nonzero(first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[row, col].view(np.int64)), batch.column("node").take(pa.array(row)), batch.column("n_shingles").take(pa.array(row))],
-                names=["key", "node", "n_shingles"])
-
-    postings = nodes.select("node", "n_shingles", "sig").mapInArrow(post, "key long, node binary, n_shingles long")
-    postings = written(postings, "dedup-postings")
-    heads = postings.groupBy("key").agg(F.min(F.struct("node", "n_shingles")).alias("p"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    lists = written(postings.join(heads.select("key", "p"), "key"), "dedup-lists")
+    signed = written(rows.mapInArrow(_sign, "doc_id long, text_hash long, n_shingles long, print binary, sig binary"), "dedup-signed")
+    some = signed.filter("print is not null").dropDuplicates(["print"]).withColumn("node", F.monotonically_increasing_id())
+    nodes = written(some.select("node", "print", "doc_id", "text_hash", "n_shingles", "sig"), "dedup-nodes")
+    posted = written(_postings(nodes), "dedup-posted")
+    postings = posted.select(F.explode("posted").alias("key"), "node", "n_shingles", "mask")
+    heads = postings.groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("node"), "node", "n_shingles")).alias("p"), F.count(F.lit(1)).alias("n"),
+        F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"), (F.sum("n_shingles") - F.min("n_shingles") - F.max("n_shingles")).alias("mid"))
+    # lists of two or three members show by their sums whether any two sizes are close
+    close = F.when(F.col("n") == 2, _similar_size(F.col("lo"), F.col("hi"))).when(
+        F.col("n") == 3, _similar_size(F.col("lo"), F.col("mid")) | _similar_size(F.col("mid"), F.col("hi"))).otherwise(F.col("n") > 3)
+    lists = written(postings.join(heads.filter(close).select("key", "p"), "key"), "dedup-lists")
     met = lists.filter((F.col("node") != F.col("p.node")) & _similar_size(F.col("n_shingles"), F.col("p.n_shingles")))
     met = met.select(F.col("p.node").alias("a"), F.col("node").alias("b")).distinct()
     agreed = written(_agreeing(met, nodes), "dedup-agreed")
 
-    def texts(wanted: DataFrame) -> DataFrame:
-        """(node, text) of the wanted nodes, from one row of each."""
-        of = nodes.join(wanted.select("node").distinct(), "node").select("node", "doc_id", "text_hash")
-        kept = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").alias("d").join(
-            of.alias("o"), (F.col("d.text_hash") == F.col("o.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")))
-        return kept.select("node", "text").dropDuplicates(["node"])
+    # texts of the nodes that may link, from one row of each
+    of = nodes.join(lists.select("node").distinct(), "node").select("node", "doc_id", "text_hash").alias("o")
+    texts = rows.alias("d").join(of, (F.col("d.text_hash") == F.col("o.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")))
+    texts = texts.select("node", "text")
+    repeated = signed.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if not repeated.isEmpty():
+        texts = texts.dropDuplicates(["node"])
+    texts = written(texts, "dedup-texts", compression="zstd")
 
-    stars = _stars(agreed)
-    links = written(_confirm(stars, texts(stars)), "dedup-links")
+    links = written(_confirm(_stars(agreed), texts), "dedup-links")
     comp = components(links)
 
-    open_lists = lists.select("key", "node", "n_shingles").join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    open_lists = lists.drop("p").join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
     open_lists = written(open_lists, "dedup-open")
     mixed = open_lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    rest = written(_across(open_lists.join(mixed, "key"), nodes, held), "dedup-across")
-    links = links.unionByName(_confirm(rest, texts(rest)))
-    comp = components(links)
-
-    named = signed.select("doc_id", "text_hash", "n_shingles", "node").join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = written(_across(open_lists.join(mixed, "key"), nodes), "dedup-across")
+    # the components found so far are the nodes of the second round
+    bridges = _confirm(rest, texts).join(comp.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
+        comp.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+    joined = components(bridges.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("last"))
+
+    named = signed.select("doc_id", "text_hash", "n_shingles", "print").join(nodes.select("print", "node"), "print", "left")
+    named = named.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = named.join(joined, "root", "left").withColumn("root", F.coalesce("last", "root")).drop("last")
     named = written(named, "dedup-named")
     least = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "root", "left")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least"))
-    return out.select("doc_id", "text_hash", "n_shingles", "node", "root", component.alias("component_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", "root", component.alias("component_id"))
 
 
 def document_groups(docs: DataFrame) -> DataFrame:
