@@ -245,6 +245,10 @@ def test_forest_finds_most(spark):
     few = forest.nearest(df, F.col("vec_id") % 20 == 0, share=0.3, least=10).toPandas()
     hits = sum(len(set(g.vec_id) & {j for _, j in want[i]}) for i, g in few.groupby("query_id"))
     assert hits >= 0.7 * sum(len(w) for w in want.values())
+    # a crowd under one longest prefix: trees go on down their arrays
+    crowd = [(i, (np.ones(8) + np.random.default_rng(i).normal(size=8) * 0.01).tolist(), 0) for i in range(1500)]
+    near = forest.nearest(spark.createDataFrame(crowd, VEC), F.col("vec_id") % 20 == 0, share=0.0, least=60).toPandas()
+    assert set(near.query_id) == set(range(0, 1500, 20)) and (near.groupby("query_id").vec_id.nunique() <= 20).all()
     assert forest.nearest(spark.createDataFrame([], VEC), F.lit(True)).count() == 0
 
 

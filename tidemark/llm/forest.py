@@ -168,7 +168,8 @@ def nearest(table: DataFrame, is_query: Column, k: int = K, share: float = SHARE
             bits[down] += 1
             a, b = _under(places, string[down], bits[down], length)
             go = b - a >= part
-            down, first[down[go]], last[down[go]] = down[go], a[go], b[go]
+            down = down[go]
+            first[down], last[down] = a[go], b[go]
             down = down[bits[down] < length]
         out_q, out_x, out_s = [], [], []
         for i, (a, b) in enumerate(zip(first, last, strict=True)):
