@@ -42,10 +42,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import crc_mod, written
 from tidemark.llm.words import SEGMENT, U, hash_words, text_batches, text_bytes, word_spans
 
-DEPTH = 6
+DEPTH = 5
 TOPICS = 12
-BLOCK_BYTES = 12 * SEGMENT
-PART_WORDS = 100_000
+BLOCK_BYTES = 24 * SEGMENT
+PART_WORDS = 300_000
 END_HASH, END_WORD = 0, b"\n"
 
 #: Symbols before a word: none or one of TOPICS; bytes that UTF-8 never uses. Then filling.
