@@ -16,15 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, neardup, packing, quality
-from tidemark.llm.common import read
+from tidemark.llm.common import free_name, read
 from tidemark.session import scratch_dir
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold, learned from the labels outside the held-out fold."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
-    scored = quality.score_documents(docs, model, docs.columns)
-    return scored.filter(F.col("__score") >= quality.THRESHOLD).drop("__score")
+    name = free_name(docs, "score")
+    scored = quality.score_documents(docs, model, docs.columns, name)
+    return scored.filter(F.col(name) >= quality.THRESHOLD).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

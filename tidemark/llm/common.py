@@ -22,6 +22,13 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column has it."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text as long; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

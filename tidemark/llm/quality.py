@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod
+from tidemark.llm.common import crc_mod, free_name
 from tidemark.llm.words import U, hash_words, mix, raw_bytes, text_batches, word_spans
 
 DIMS = 2048
@@ -167,19 +167,20 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, label:
     return Model(idf, basis, v.astype(np.float32), y, prior, k)
 
 
-def score_documents(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` with ``__score`` in 0..1 for every document's whole text."""
+def score_documents(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns ``keep`` and a score in 0..1, called ``name``, for every document's whole text."""
+    text = free_name(docs, "__text")
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = docs.select(*[f"`{c}`" for c in keep]).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "__text"):
-            scores = held.value.score(term_counts(batch.column("__text")))
+        for batch in text_batches(batches, text):
+            scores = held.value.score(term_counts(batch.column(text)))
             arrays = [batch.column(i) for i in range(len(keep))]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores, pa.float64())], names=[*keep, "__score"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores, pa.float64())], names=[*keep, name])
 
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
-    return rows.mapInArrow(score, schema.add("__score", "double"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias(text))
+    return rows.mapInArrow(score, schema.add(name, "double"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -191,5 +192,5 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     """doc_id, held_out, score and predicted for every document."""
     model = fit(docs, labels, ~held_out(F.col("doc_id")))
     return score_documents(docs, model, ["doc_id"]).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
-        (F.col("__score") >= threshold).cast("int").alias("predicted"))
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))
