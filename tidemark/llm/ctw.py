@@ -54,7 +54,7 @@ FILLING = b"\x20"
 
 BLOCKS = ("kind int, block long, idx int, hash long, word binary, n_train long, "
           "doc_id long, held boolean, n_tokens long, n_bytes long, ids binary")
-PARTS = "kind int, part string, idx int, key long, weight long, hash long, symbol int, c long, ids binary"
+PARTS = "kind int, part string, key long, weight long, hash long, symbol int, c long, word binary"
 
 _LN2 = np.log(2.0)
 
@@ -172,32 +172,41 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("idx", pa.int32()), ("hash", pa.int64()), ("word", pa.binary()),
                            ("n_train", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()),
                            ("n_bytes", pa.int64()), ("ids", pa.binary())])
-        for rows, count in ((docs, n), (words, v)):
+        # the hashes of all words by number, in one row
+        numbers = {"kind": pa.array([2], pa.int32()), "block": pa.array([block], pa.int64()),
+                   "ids": pa.array([np.concatenate([found[order].view(np.int64), [END_HASH]]).tobytes()], pa.binary())}
+        for rows, count in ((docs, n), (words, v), (numbers, 1)):
             yield pa.RecordBatch.from_arrays([rows.get(c, pa.nulls(count, types.field(c).type)) for c in names], schema=types)
 
 
-def _pairs(key, docs: pa.Table, words: pa.Table) -> pa.Table:
-    """Distinct (word, symbol before it) of a block with training counts."""
-    idx, n = words.column("idx").to_numpy(), words.num_rows
-    topic, hashes = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    topic[idx], hashes[idx] = words.column("topic").to_numpy(), words.column("hash").to_numpy()
-    codes, train = [], []
-    for x, held in zip(docs.column("ids").to_pylist(), docs.column("held").to_pylist(), strict=True):
-        ids = np.frombuffer(x, np.uint32).astype(np.int64)
-        codes.append(ids << 4 | symbols_before(topic[ids]))
-        train.append(np.full(len(ids), not held))
-    code, at = np.unique(np.concatenate(codes), return_inverse=True)
-    weight = np.bincount(at, np.concatenate(train), len(code)).astype(np.int64)
-    return pa.table({"block": pa.array(np.full(len(code), docs.column("block")[0].as_py()), pa.int64()), "idx": pa.array(code >> 4, pa.int32()),
-                     "symbol": pa.array(code & 15, pa.int32()), "hash": pa.array(hashes[code >> 4]), "weight": pa.array(weight)})
+def _pairs(topics: list[int]):
+    def pair(rows: pa.Table) -> pa.Table:
+        """Distinct (word, symbol before it) of a block with training counts."""
+        kind, ids, held = (rows.column(c).to_pylist() for c in ("kind", "ids", "held"))
+        hashes = np.frombuffer(ids[kind.index(2)], np.int64)
+        topic = np.zeros(len(hashes), np.int64)
+        for i, h in enumerate(topics):
+            topic[hashes == h] = i + 1
+        codes, train = [], []
+        for what, x, out in zip(kind, ids, held, strict=True):
+            if what == 0:
+                said = np.frombuffer(x, np.uint32).astype(np.int64)
+                codes.append(said << 4 | symbols_before(topic[said]))
+                train.append(np.full(len(said), not out))
+        code, at = np.unique(np.concatenate(codes), return_inverse=True)
+        weight = np.bincount(at, np.concatenate(train), len(code)).astype(np.int64)
+        return pa.table({"block": pa.array(np.full(len(code), rows.column("block")[0].as_py()), pa.int64()), "idx": pa.array(code >> 4, pa.int32()),
+                         "symbol": pa.array(code & 15, pa.int32()), "hash": pa.array(hashes[code >> 4]), "weight": pa.array(weight)})
+
+    return pair
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words as numbers of byte keys, and each part's distinct keys with training weights."""
+    """Words dealt to parts, and each part's distinct byte keys with training weights."""
     from pyspark import TaskContext
 
-    types = pa.schema([("kind", pa.int32()), ("part", pa.string()), ("idx", pa.int32()), ("key", pa.int64()), ("weight", pa.int64()),
-                       ("hash", pa.int64()), ("symbol", pa.int32()), ("c", pa.int64()), ("ids", pa.binary())])
+    types = pa.schema([("kind", pa.int32()), ("part", pa.string()), ("key", pa.int64()), ("weight", pa.int64()),
+                       ("hash", pa.int64()), ("symbol", pa.int32()), ("c", pa.int64()), ("word", pa.binary())])
     task, number, held = TaskContext.get().partitionId(), 0, []
 
     def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -205,12 +214,11 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, lengths = word_keys(rows.column("word").to_pylist(), rows.column("symbol").to_numpy())
         found, at = np.unique(keys, return_inverse=True)
         weight = np.bincount(at, np.repeat(rows.column("weight").to_numpy(), lengths), len(found)).astype(np.int64)
-        at, cut = at.astype(np.uint32), np.concatenate([[0], np.cumsum(lengths)])
         words = {"kind": pa.array([0] * n, pa.int32()), "part": pa.array([part] * n), "hash": rows.column("hash").combine_chunks(),
                  "symbol": rows.column("symbol").combine_chunks(), "c": rows.column("c").combine_chunks(),
-                 "ids": pa.array([at[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())}
+                 "word": rows.column("word").combine_chunks()}
         k = len(found)
-        asked = {"kind": pa.array([1] * k, pa.int32()), "part": pa.array([part] * k), "idx": pa.array(np.arange(k), pa.int32()),
+        asked = {"kind": pa.array([1] * k, pa.int32()), "part": pa.array([part] * k),
                  "key": pa.array(found), "weight": pa.array(weight)}
         for x, count in ((words, n), (asked, k)):
             arrays = [x.get(f.name, pa.nulls(count, f.type)) for f in types]
@@ -250,18 +258,21 @@ def _upper_levels(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _word_scores(key, rows: pa.Table, scored: pa.Table) -> pa.Table:
-    p = np.zeros(scored.num_rows)
-    p[scored.column("idx").to_numpy()] = scored.column("p").to_numpy()
-    ids = [np.frombuffer(x, np.uint32) for x in rows.column("ids").to_pylist()]
-    return pa.table({"hash": rows.column("hash"), "symbol": rows.column("symbol"), "c": rows.column("c"), "p": pa.array([float(p[i].sum()) for i in ids], pa.float64())})
+    known = scored.column("key").to_numpy()
+    order = np.argsort(known)
+    keys, lengths = word_keys(rows.column("word").to_pylist(), rows.column("symbol").to_numpy())
+    p = scored.column("p").to_numpy()[order][np.searchsorted(known[order], keys)]
+    total = np.add.reduceat(p, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
+    return pa.table({"hash": rows.column("hash"), "symbol": rows.column("symbol"), "c": rows.column("c"), "p": pa.array(total)})
 
 
 def _document_scores(n_train: int, v: int):
     def score(key, rows: pa.Table, words: pa.Table) -> pa.Table:
-        idx, symbol = words.column("idx").to_numpy(), words.column("symbol").to_numpy()
+        at, held = words.column("at").to_numpy(), words.column("c").to_numpy()
+        idx, symbol = at >> 8, at >> 4 & 15
         n = int(idx.max()) + 1
         c, topic, p = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, 16))
-        c[idx], topic[idx], p[idx, symbol] = words.column("c").to_numpy(), words.column("topic").to_numpy(), words.column("p").to_numpy()
+        c[idx], topic[idx], p[idx, symbol] = held, at & 15, words.column("p").to_numpy()
         base = np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))
         known, bases, scores = [], [], []
         for x in rows.column("ids").to_pylist():
@@ -299,14 +310,15 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
         topic = F.when(F.col("hash") == row["hash"], i + 1).otherwise(topic)
 
     of = blocks.filter("kind = 0").select("block", "doc_id", "held", "n_tokens", "n_bytes", "ids")
-    numbered = words.select(F.col("block").alias("of_block"), "idx", "hash", topic.alias("topic"))
-    pairs = of.select("block", "held", "ids").groupBy("block").cogroup(numbered.groupBy("of_block")).applyInArrow(
-        _pairs, "block long, idx int, symbol int, hash long, weight long")
+    pairs = blocks.filter("kind <> 1").select("kind", "block", "held", "ids").groupBy("block").applyInArrow(
+        _pairs([row["hash"] for row in often]), "block long, idx int, symbol int, hash long, weight long")
     pairs = written(pairs, "lm-pairs", compression="zstd")
-    distinct = pairs.groupBy("hash", "symbol").agg(F.sum("weight").alias("weight")).join(vocabulary, "hash")
+    # dealt by word, so the sums and the join that follows share one exchange
+    distinct = pairs.select("hash", "symbol", "weight").repartition("hash").groupBy("hash", "symbol").agg(F.sum("weight").alias("weight"))
+    distinct = distinct.join(vocabulary, "hash")
 
     parts = written(distinct.select("hash", "symbol", "weight", "c", "word").mapInArrow(_parts, PARTS), "lm-parts", compression="zstd")
-    asked = parts.filter("kind = 1").select("part", "idx", "key", "weight")
+    asked = parts.filter("kind = 1").select("part", "key", "weight")
     keys = asked.groupBy("key").agg(F.sum("weight").alias("weight")).withColumn("subtree", F.shiftright("key", 8 * (DEPTH - 1)))
     keys = written(keys, "lm-keys")
     fixed, share = _upper_levels(keys.groupBy("subtree").applyInArrow(_lower_levels, "before int, prefix int, n0 double, n1 double, mixed double"))
@@ -318,11 +330,13 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
         return pa.table({"key": rows.column("key"), "p": pa.array(p)})
 
     p = keys.groupBy("subtree").applyInArrow(probabilities, "key long, p double")
-    slices = asked.join(p, "key").select(F.col("part").alias("of_part"), "idx", "p")
-    scored = parts.filter("kind = 0").select("part", "hash", "symbol", "c", "ids").groupBy("part").cogroup(
+    slices = asked.join(p, "key").select(F.col("part").alias("of_part"), "key", "p")
+    scored = parts.filter("kind = 0").select("part", "hash", "symbol", "c", "word").groupBy("part").cogroup(
         slices.groupBy("of_part")).applyInArrow(_word_scores, "hash long, symbol int, c long, p double")
     per_block = pairs.select("block", "idx", "symbol", "hash").join(scored, ["hash", "symbol"])
-    per_block = per_block.select(F.col("block").alias("of_block"), "idx", "symbol", "c", "p", topic.alias("topic"))
+    # word number, symbol before it and its own topic in one number
+    at = F.col("idx").cast("long") * 256 + F.col("symbol") * 16 + topic
+    per_block = per_block.select(F.col("block").alias("of_block"), at.alias("at"), "c", "p")
     return of.groupBy("block").cogroup(per_block.groupBy("of_block")).applyInArrow(
         _document_scores(int(counts["n"] or 0), int(counts["v"])),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
