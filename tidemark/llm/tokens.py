@@ -3,10 +3,12 @@
 A flat file is the token ids of its documents one after another, two bytes
 each, every document closed by the end-of-document id. There is no index.
 
-Writing: documents go to shards by a hash, sorted by id inside a shard, and are
-encoded as they stream to Spark's text writer, whose line separator is the two
-bytes of the end-of-document id. So each row becomes its tokens and one
-separator, the file is flat, and commits are Spark's.
+Writing: tasks encode their documents as they stream and hand them, in order, to
+Spark's text writer, whose line separator is the two bytes of the
+end-of-document id. So each row becomes its tokens and one separator, the file
+is flat, and commits are Spark's. A task begins a new shard after about
+``SHARD_BYTES``. The same job writes the documents' ids, as records of one
+width in the same order, to files of their own; no text is shuffled.
 
 Scanning: files are read as binary and cut into blocks of ``BLOCK_TOKENS``. Each
 block is searched for the separator at once (only at token positions, so two
@@ -25,13 +27,15 @@ repeated rows are documents of their own. Control strings in texts are ordinary
 from __future__ import annotations
 
 import base64
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark import fs
 from tidemark.session import scratch_dir
 
 #: Folder with the public vocabularies and the module that names their pattern.
@@ -39,7 +43,8 @@ TOKENIZERS = "/opt/tokenizers"
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_OF_DOCUMENT = 50256
 BLOCK_TOKENS = 1 << 18
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 32 << 20
+ID = "<Bq"  # whether there is an id, the id
 
 _loaded: dict = {}
 
@@ -60,35 +65,57 @@ def encoder(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
     return _loaded[folder, vocabulary]
 
 
-def _sharded(docs: DataFrame, shards: int) -> DataFrame:
-    """doc_id, text, text_hash and shard; equal ids with equal texts are interchangeable."""
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    named = named.withColumn("text_hash", F.xxhash64("text"))
-    return named.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(shards)).cast("int"))
+def write_flat(docs: DataFrame, path: str, folder: str = TOKENIZERS, end: int = END_OF_DOCUMENT, shard_bytes: int = SHARD_BYTES) -> None:
+    """Write the documents' tokens below ``kind=tokens/shard=<s>`` and their ids, in the same order, below ``kind=ids``."""
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-def shard_count(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
-    """Shards of about ``shard_bytes`` of text."""
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return int(max(1, -(-size // shard_bytes)))
+        coder, part, shard, filled, row = encoder(folder), TaskContext.get().partitionId(), 0, 0, 0
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                b = batch.slice(lo, 256)
+                data, shards = [], []
+                for x in b.column("text").to_pylist():
+                    if filled >= shard_bytes:
+                        shard, filled = shard + 1, 0
+                    data.append(np.array(coder.encode_ordinary(x), "<u2").tobytes())
+                    shards.append(f"{part}-{shard}")
+                    filled += len(data[-1]) + 2
+                ids = [struct.pack(ID, x is not None, x or 0) for x in b.column("doc_id").to_pylist()]
+                n, at = b.num_rows, pa.array(np.arange(row, row + b.num_rows))
+                row += n
+                for kind, values in (("tokens", data), ("ids", ids)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind] * n), pa.array(shards), at, pa.array(values, pa.binary())], names=["kind", "shard", "row", "data"])
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    flat = rows.mapInArrow(encode, "kind string, shard string, row long, data binary").sortWithinPartitions("kind", "shard", "row")
+    flat.select(F.col("data").cast("string").alias("value"), "kind", "shard").write.partitionBy("kind", "shard").option(
+        "encoding", "ISO-8859-1").option("lineSep", end.to_bytes(2, "little").decode("latin-1")).text(path)
 
-def write_flat(docs: DataFrame, path: str, shards: int, folder: str = TOKENIZERS, end: int = END_OF_DOCUMENT) -> None:
-    """Write the documents' tokens as flat files, one folder ``shard=<n>`` each."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(folder)
+def read_ids(spark: SparkSession, path: str) -> DataFrame:
+    """(shard, number, doc_id) from the id files below ``path``."""
+    width = struct.calcsize(ID) + 2
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                b = batch.slice(lo, 256)
-                ids = [np.array(coder.encode_ordinary(x), "<u2").tobytes() for x in b.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), b.column("shard")], names=["data", "shard"])
+            for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                at = range(0, len(content), width)
+                found = [struct.unpack_from(ID, content, i) for i in at]
+                for lo in range(0, len(found), 20_000):
+                    some = found[lo : lo + 20_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard] * len(some)), pa.array(np.arange(lo, lo + len(some))), pa.array([x if has else None for has, x in some], pa.int64())],
+                        names=["shard", "number", "doc_id"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.select(_shard("path").alias("shard"), "content").mapInArrow(unpack, "shard string, number long, doc_id long")
+
 
-    rows = _sharded(docs, shards).repartition(shards, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "text_hash")
-    flat = rows.select("text", "shard").mapInArrow(encode, "data binary, shard int")
-    separator = end.to_bytes(2, "little").decode("latin-1")
-    flat.select(F.col("data").cast("string").alias("value"), "shard").sortWithinPartitions("shard").write.partitionBy("shard").option(
-        "encoding", "ISO-8859-1").option("lineSep", separator).text(path)
+def _shard(path: str) -> Column:
+    return F.regexp_extract(path, r"shard=([0-9]+-[0-9]+)/", 1)
 
 
 def scan_flat(spark: SparkSession, path: str, end: int = END_OF_DOCUMENT, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -128,16 +155,10 @@ def scan_flat(spark: SparkSession, path: str, end: int = END_OF_DOCUMENT, block_
 
 
 def token_counts(docs: DataFrame, path: str | None = None, folder: str = TOKENIZERS) -> DataFrame:
-    """(doc_id, n_tokens): write the documents as flat token files, scan these and name the counts.
-
-    The files hold no ids; the shard's order (id, then text) names the n-th document.
-    """
-    path = path or scratch_dir(docs.sparkSession, "flat-tokens")
-    shards = shard_count(docs)
-    write_flat(docs, path, shards, folder)
-    counted = scan_flat(docs.sparkSession, path)
-    shard = F.regexp_extract("file", r"shard=(\d+)", 1).cast("int")
-    counted = counted.select(shard.alias("shard"), "number", "n_tokens")
-    order = Window.partitionBy("shard").orderBy(F.col("doc_id").asc_nulls_first(), "text_hash")
-    named = _sharded(docs, shards).select("shard", "doc_id", (F.row_number().over(order) - 1).cast("long").alias("number"))
-    return named.join(counted, ["shard", "number"]).select("doc_id", "n_tokens")
+    """(doc_id, n_tokens): write the documents as flat token files, scan these and name the counts."""
+    spark, path = docs.sparkSession, path or scratch_dir(docs.sparkSession, "flat-tokens")
+    write_flat(docs, path, folder)
+    if not fs.exists(spark, f"{path}/kind=ids"):
+        return spark.range(0).select(F.col("id").alias("doc_id"), F.col("id").alias("n_tokens"))
+    counted = scan_flat(spark, f"{path}/kind=tokens").select(_shard("file").alias("shard"), "number", "n_tokens")
+    return read_ids(spark, f"{path}/kind=ids").join(counted, ["shard", "number"]).select("doc_id", "n_tokens")
