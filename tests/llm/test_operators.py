@@ -233,6 +233,23 @@ def test_exact_top_k(spark, monkeypatch, block_rows):
     assert topk.top_k(spark.createDataFrame([(0, [1.0], 0)], VEC), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_exact_top_k_searches_every_piece_some_query_needs(spark, seed):
+    """Points along a half circle in one block of several pieces; three queries of different norms."""
+    r = np.random.default_rng(seed)
+    angle = r.uniform(0, np.pi, 4000)
+    v = 100 * np.c_[np.cos(angle), np.sin(angle)]
+    v[:3] *= r.uniform(0.9, 1, 3)[:, None]
+    df = spark.createDataFrame([(i, x, 0) for i, x in enumerate(v.tolist())], "vec_id long, embedding array<double>, cluster int")
+    got = topk.top_k(df, F.col("vec_id") < 3).toPandas()
+    whole = np.floor(64 * v).astype(np.int64)
+    for i in range(3):
+        scores = whole @ whole[i]
+        want = [j for j in np.lexsort((np.arange(len(v)), -scores)) if j != i][:20]
+        g = got[got.query_id == i].sort_values("rank")
+        assert g.vec_id.tolist() == want and g.score.tolist() == scores[want].tolist()
+
+
 def test_forest_finds_most(spark):
     rows = vector_rows()
     df = clashing(spark.createDataFrame(rows, VEC), "v", "score", "block")

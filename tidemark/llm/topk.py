@@ -9,8 +9,8 @@ so the best score possible there.
 
 A query first searches the annulus it would lie in itself; its k-th score so far
 is a threshold. Then it is sent to those annuli whose bound reaches the
-threshold, nearest first within a task, and leaves as soon as the bounds of
-what remains fall below its k-th score. Bounds are widened by a hair against
+threshold, nearest first within a task, and passes over every piece whose bound
+is below its k-th score. Bounds are widened by a hair against
 rounding; scores are exact integers.
 
 Pivots and the cut points come from a bounded sample (``SAMPLE`` rows) and the
@@ -163,7 +163,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = K) -> DataFrame:
         for piece in np.argsort(-best.max(0), kind="stable"):
             go = np.flatnonzero(best[:, piece] >= least)
             if not len(go):
-                break  # pieces come by falling bounds of the whole batch
+                continue  # a later piece's bound can be higher for another query
             a, b = pieces[piece]
             scores = _exact(v[a:b], q[go])
             for row, i in zip(scores, go, strict=True):
