@@ -269,6 +269,22 @@ def test_forest_finds_most(spark):
     assert forest.nearest(spark.createDataFrame([], VEC), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("n", [2_000, 17_000])
+def test_forest_recall_follows_one_rule_at_all_sizes(spark, n):
+    """Unit vectors without structure, without the floor on rows seen."""
+    v = np.random.default_rng(n).normal(size=(n, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": v.tolist()}), "vec_id long, embedding array<double>")
+    got = forest.nearest(df, F.col("vec_id") % (n // 40) == 0, least=0).toPandas()
+    hits = 0
+    for i, g in got.groupby("query_id"):
+        scores = v @ v[i]
+        scores[i] = -np.inf
+        hits += len(set(g.vec_id) & set(np.argpartition(-scores, 20)[:20]))
+    asked = len(range(0, n, n // 40))
+    assert got.query_id.nunique() == asked and hits >= 0.9 * 20 * asked
+
+
 # -------------------------------------------------------------- near dups
 def brute_components(rows):
     sets = []

@@ -4,8 +4,10 @@ Each of ``TREES`` trees gives every vector a long bit string: signs and places o
 the largest coordinate after random rotations (cross-polytope hashing), several
 symbols one after the other. A tree is the array of these strings, sorted. A
 query descends to its longest prefix match in every tree; all trees then go up
-together, one bit at a time, until the rows under the prefixes, over all trees,
-reach ``candidates``. Those rows are scored exactly.
+together, one bit at a time, until the distinct rows expected under the prefixes
+reach ``candidates``. Those rows are scored exactly. A row is under the prefixes of
+several trees; of ``n`` rows with ``c`` under each tree's prefix, ``n (1 - prod(1 - c / n))``
+are expected to differ.
 
 How far to go up follows from counts: a table of the rows under every prefix of
 ``TABLE_BITS`` bits per tree (bounded, whatever the number of rows) gives the
@@ -15,9 +17,9 @@ next longer prefix still are its part of the candidates. The arrays are cut into
 same table and split further by a hash of the id where a block is too large, so
 no group of rows has to fit a task.
 
-``candidates`` is ``SHARE`` of all rows and ``LEAST`` at least: on vectors without
-structure, which the recall of 0.9 must also hold for, the share of rows to see
-does not fall with their number. Other defined cases are in ``vectors``; zero
+``candidates`` is ``SHARE`` of all rows: on vectors without structure, which the
+recall of 0.9 must also hold for, the share of rows to see does not fall with their
+number. ``LEAST`` only adds rows to that on small tables; the recall holds without it. Other defined cases are in ``vectors``; zero
 vectors take no part.
 """
 
@@ -37,7 +39,7 @@ TREES = 24
 SYMBOLS = 4
 TABLE_BITS = 12
 BLOCK_ROWS = 8192
-SHARE = 0.25
+SHARE = 0.8
 LEAST = 4096
 SEED = 11
 
@@ -70,6 +72,11 @@ def _under(places: np.ndarray, string: np.ndarray, bits: np.ndarray, length: int
     return np.searchsorted(places, prefix << (length - bits)), np.searchsorted(places, (prefix + 1) << (length - bits))
 
 
+def distinct(counts: np.ndarray, n: int) -> float:
+    """Expected distinct rows of ``n`` in groups of the given sizes, one of every tree."""
+    return n * (1 - np.prod(1 - counts / n))
+
+
 def doubles(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double"))
 
@@ -86,7 +93,8 @@ def nearest(table: DataFrame, is_query: Column, k: int = K, share: float = SHARE
     turned, length = rotations(dim), symbol_bits(dim) * SYMBOLS
     table_bits = min(TABLE_BITS, length)
     wanted = max(least, int(share * n))
-    part = -(-wanted // len(turned))
+    # rows under each tree's prefix that make so many distinct ones
+    part = int(np.ceil(n * (1 - (1 - min(1.0, wanted / max(n, 1))) ** (1 / len(turned)))))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +146,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = K, share: float = SHARE
             top = s >> (length - table_bits)
             depth = np.zeros(len(s), np.int64)
             for b in range(table_bits + 1):
-                enough = np.array([level[b][trees, x >> (table_bits - b)].sum() >= wanted for x in top])
+                enough = np.array([distinct(level[b][trees, x >> (table_bits - b)], n) >= wanted for x in top])
                 depth[enough] = b
             q, names, own, bits = [], [], [], []
             for i, (string, prefix) in enumerate(zip(s, top, strict=True)):
