@@ -528,3 +528,10 @@ def test_scan_stitches_blocks(spark, block):
     row.coalesce(1).write.option("encoding", "ISO-8859-1").option("lineSep", data[-2:].decode("latin-1")).text(path)
     got = [(r["number"], r["n_tokens"], r["finished"]) for r in tokens.scan_flat(spark, path, block_tokens=block).orderBy("number").collect()]
     assert got == [*((i, n, True) for i, n in enumerate(lengths)), (len(lengths), 4, False)]
+
+
+def test_lm_depth_is_not_cut_for_the_disk_figure():
+    assert ctw.DEPTH >= 6
+    keys, _ = ctw.word_keys([b"abcdefg"], np.zeros(1, np.int64))
+    # the last byte before the space sees all six bytes before it
+    assert keys[6] == int.from_bytes(b"fedcbag", "big")

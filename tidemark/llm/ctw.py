@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import crc_mod, written
 from tidemark.llm.words import SEGMENT, U, hash_words, text_batches, text_bytes, word_spans
 
-DEPTH = 5
+DEPTH = 6
 TOPICS = 12
 BLOCK_BYTES = 24 * SEGMENT
 PART_WORDS = 300_000
