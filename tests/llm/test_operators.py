@@ -535,3 +535,63 @@ def test_lm_depth_is_not_cut_for_the_disk_figure():
     keys, _ = ctw.word_keys([b"abcdefg"], np.zeros(1, np.int64))
     # the last byte before the space sees all six bytes before it
     assert keys[6] == int.from_bytes(b"fedcbag", "big")
+
+
+def brute_running(training: list[bytes], text: bytes, depth: int = ctw.DEPTH) -> float:
+    """log10 P(text) by context trees over all bytes before, held as dictionaries."""
+    counts: dict = {}
+
+    def steps(t):
+        said = ctw.FILLING * depth + t
+        for i in range(depth, len(said)):
+            for k in range(8):
+                yield said[i - depth : i][::-1], (256 | said[i]) >> (8 - k), said[i] >> (7 - k) & 1
+
+    for t in training:
+        for context, node, bit in steps(t):
+            for d in range(depth + 1):
+                counts.setdefault((node, context[:d]), [0, 0])[bit] += 1
+    kt = lambda n: math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.log(math.pi) - math.lgamma(sum(n) + 1)
+    below: dict = {}
+    mixed: dict = {}
+    for key in sorted(counts, key=lambda x: -len(x[1])):
+        node, context = key
+        own = kt(counts[key])
+        mixed[key] = own if len(context) == depth else np.logaddexp(own, below[key]) - math.log(2)
+        if context:
+            up = node, context[:-1]
+            below[up] = below.get(up, 0.0) + mixed[key]
+    total = 0.0
+    for context, node, bit in steps(text):
+        p = 0.5
+        for d in range(depth, -1, -1):
+            n = counts.get((node, context[:d]), [0, 0])
+            one = (n[1] + 0.5) / (sum(n) + 1)
+            w = 1.0 if d == depth else math.exp(kt(n) - math.log(2) - mixed[node, context[:d]]) if sum(n) else 0.5
+            p = one if d == depth else w * one + (1 - w) * p
+        total += math.log10(p if bit else 1 - p)
+    return total
+
+
+def test_lm_contexts_run_over_spaces(spark, docs):
+    r = random.Random(8)
+    phrases = [(r.choice(["ab cd", "xy zw"]) + " ") * r.randint(1, 4) for _ in range(60)]
+    rows = [r for r in ROWS if r[0] not in (7, 8)] + [(50 + i, t, "en", "a", 0) for i, t in enumerate(phrases)]
+    rows += [(9000, "ab cd ab cd", "", "", 0), (9001, "ab zw xy cd", "", "", 0), (9002, None, "", "", 0)]
+    df = clashing(spark.createDataFrame(rows, DOCS), "hash", "block", "c", "held", "keys")
+    out = ctw.score_running_texts(df, held=F.col("doc_id") >= 9000).collect()
+    texts = [(i, b"".join(w + b" " for w in (t or "").encode().lower().split()) + ctw.END_WORD) for i, t, *_ in rows]
+    training = [t for i, t in texts if i is None or i < 9000]
+    got = {x["doc_id"]: x for x in out}
+    assert len(out) == len(rows)
+    for i, t in texts:
+        if i is not None and (i >= 9000 or i in (4, 6, 13, 50)):
+            assert got[i]["score"] == pytest.approx(brute_running(training, t), rel=1e-9)
+    # the words of both texts are known; only their order differs
+    assert got[9000]["score"] > got[9001]["score"] + 1
+    n, v = sum(t.count(b" ") + 1 for t in training), len({w for t in training for w in t.split()} | {ctw.END_WORD})
+    c = Counter(w for t in training for w in [*t.split(), ctw.END_WORD])
+    said = [*texts[-2][1].split(), ctw.END_WORD]
+    assert got[9001]["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in said))
+    assert (got[9001]["n_known"], got[9001]["n_tokens"], got[9001]["train_tokens"]) == (5, 5, n)
+    assert ctw.score_running_texts(spark.createDataFrame([], DOCS)).count() == 0

@@ -23,6 +23,14 @@ How the work is dealt out:
 - Probabilities travel back by joins on context, word and block. No model is
   broadcast, a task holds one block, one part of the vocabulary or one subtree.
 
+``score_texts`` is the model above. The registered query runs ``score_running_texts``,
+whose contexts are the ``DEPTH`` bytes before, whatever words they belong to:
+
+- Each block lists its distinct (context, byte) keys with training counts, packed into
+  one row per subtree (the last two bytes before); these rows are what is shuffled.
+- A task holds one subtree's keys and builds their trees one third byte at a time.
+- Probabilities go back in the order of the block's own keys, without the keys.
+
 The unigram base counts words as whole tokens with add-one smoothing.
 
 Defined cases: null and empty texts are the end mark alone; without training
@@ -33,9 +41,12 @@ time; a null id is scored like any other row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +56,7 @@ from tidemark.llm.words import SEGMENT, U, hash_words, text_batches, text_bytes,
 DEPTH = 6
 TOPICS = 12
 BLOCK_BYTES = 24 * SEGMENT
+RUN_BYTES = 12 * SEGMENT
 PART_WORDS = 300_000
 END_HASH, END_WORD = 0, b"\n"
 
@@ -137,12 +149,12 @@ class Tree:
         return np.log10(np.where(self.bit == 1, one, 1.0 - one)).sum(1)
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     names = [x.split()[0] for x in BLOCKS.split(", ")]
     part = TaskContext.get().partitionId()
-    for number, batch in enumerate(text_batches(batches, "text", BLOCK_BYTES)):
+    for number, batch in enumerate(text_batches(batches, "text", most)):
         block, n = part << 24 | number, batch.num_rows
         data, offsets = text_bytes(batch.column("text"))
         start, end = word_spans(data, offsets)
@@ -340,3 +352,146 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
     return of.groupBy("block").cogroup(per_block.groupBy("of_block")).applyInArrow(
         _document_scores(int(counts["n"] or 0), int(counts["v"])),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
+
+
+# ------------------------------------------- contexts over whole texts
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
+
+
+def _unpacked(x: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
+
+
+def running_keys(stream: np.ndarray, lengths: np.ndarray, depth: int = DEPTH) -> np.ndarray:
+    """Key of every byte of texts laid end to end: the ``depth`` bytes of its text before it, latest first, then itself."""
+    starts = np.cumsum(lengths) - lengths
+    place = np.arange(len(stream)) - np.repeat(starts, lengths)
+    key = np.zeros(len(stream), np.int64)
+    for back in range(1, depth + 1):
+        before = np.full(len(stream), FILLING[0], np.int64)
+        before[back:] = stream[:-back] if back < len(stream) else stream[:0]
+        key = key << 8 | np.where(place >= back, before, FILLING[0])
+    return key << 8 | stream
+
+
+def _block_texts(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """(documents, their bytes end to end, bytes of each, word numbers of each) of a block's rows."""
+    words = rows.filter(pc.equal(rows.column("kind"), 1)).sort_by("idx")
+    docs = rows.filter(pc.equal(rows.column("kind"), 0))
+    said = [w if w == END_WORD else w + b" " for w in words.column("word").to_pylist()]
+    ids = [np.frombuffer(x, np.uint32).astype(np.int64) for x in docs.column("ids").to_pylist()]
+    texts = [b"".join([said[i] for i in x.tolist()]) for x in ids]
+    return docs, np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64), ids
+
+
+def _block_keys(rows: pa.Table) -> pa.Table:
+    """A block's distinct byte keys with training weights, packed into a row per subtree."""
+    docs, stream, lengths, _ = _block_texts(rows)
+    train = ~docs.column("held").to_numpy()
+    coded, times = np.unique(running_keys(stream, lengths) << 1 | np.repeat(train, lengths), return_counts=True)
+    keys, first = np.unique(coded >> 1, return_index=True)
+    weight = np.add.reduceat(np.where(coded & 1, times, 0), first)
+    subtrees, at = np.unique(keys >> 8 * (DEPTH - 1), return_index=True)
+    cuts = [*at, len(keys)]
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+    return pa.table({
+        "block": pa.array([rows.column("block")[0].as_py()] * len(spans), pa.int64()), "subtree": pa.array(subtrees, pa.int32()),
+        "keys": pa.array([_packed(np.diff(keys[a:z], prepend=0)) for a, z in spans], pa.binary()),
+        "weights": pa.array([_packed(weight[a:z]) for a, z in spans], pa.binary())})
+
+
+def _subtree(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct keys of a subtree over all blocks, their weights, and each block's keys."""
+    of = [np.cumsum(_unpacked(x, np.int64)) for x in rows.column("keys").to_pylist()]
+    weights = np.concatenate([_unpacked(x, np.int64) for x in rows.column("weights").to_pylist()])
+    keys, at = np.unique(np.concatenate(of), return_inverse=True)
+    return keys, np.bincount(at, weights, len(keys)), of
+
+
+def _branches(keys: np.ndarray) -> Iterator[slice]:
+    """Keys of a subtree by their third context byte; only one branch's tree is held at a time."""
+    cuts = [*np.unique(keys >> 8 * (DEPTH - 2), return_index=True)[1], len(keys)]
+    yield from (slice(a, z) for a, z in zip(cuts[:-1], cuts[1:], strict=True))
+
+
+def _second_level(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Code, zeros, ones, evidence and mixed evidence of a subtree's depth-2 nodes."""
+    parts = []
+    for at in _branches(keys):
+        tree = Tree(keys[at], weights[at], 3)
+        parts.append((tree.code[3] >> 16 << 8 | tree.code[3] & 255, tree.n0[3], tree.n1[3], tree.mixed[3]))
+    below = [np.concatenate(x) for x in zip(*parts, strict=True)]
+    code, at = np.unique(below[0], return_inverse=True)
+    n0, n1, mixed = (np.bincount(at, x, len(code)) for x in below[1:])
+    kt = log_kt(n0, n1)
+    return code, n0, n1, kt, np.logaddexp(kt, mixed) - _LN2
+
+
+def _running_levels(rows: pa.Table) -> pa.Table:
+    """Counts and mixed evidence of the depth-2 nodes of one subtree."""
+    keys, weights, _ = _subtree(rows)
+    code, n0, n1, _, mixed = _second_level(keys, weights)
+    return pa.table({"before": pa.array(code >> 16, pa.int32()), "prefix": pa.array(code & 255, pa.int32()),
+                     "n0": pa.array(n0), "n1": pa.array(n1), "mixed": pa.array(mixed)})
+
+
+def _running_probabilities(fixed: np.ndarray, share: np.ndarray):
+    def score(rows: pa.Table) -> pa.Table:
+        """log10 P of every block's keys of one subtree, in their order."""
+        keys, weights, of = _subtree(rows)
+        code, n0, n1, kt, mixed = _second_level(keys, weights)
+        f, s = fixed[code >> 16, code & 255], share[code >> 16, code & 255]
+        own = np.exp(kt - _LN2 - mixed)
+        f, s = f + s * own * (n1 + 0.5) / (n0 + n1 + 1.0), s * (1 - own)
+        p = np.empty(len(keys))
+        for at in _branches(keys):
+            tree = Tree(keys[at], weights[at], 3)
+            up = np.searchsorted(code, tree.code[3] >> 16 << 8 | tree.code[3] & 255)
+            p[at] = tree.log10_probability(f[up], s[up])
+        return pa.table({"of_block": rows.column("block"), "idx": pa.nulls(len(of), pa.int32()), "c": pa.nulls(len(of), pa.int64()),
+                         "subtree": rows.column("subtree"), "p": pa.array([_packed(p[np.searchsorted(keys, x)]) for x in of], pa.binary())})
+
+    return score
+
+
+def _running_scores(n_train: int, v: int):
+    def score(key, rows: pa.Table, found: pa.Table) -> pa.Table:
+        docs, stream, lengths, ids = _block_texts(rows)
+        counts = found.filter(pc.is_valid(found.column("idx")))
+        c = np.zeros(counts.num_rows, np.int64)
+        c[counts.column("idx").to_numpy()] = counts.column("c").to_numpy()
+        base = np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))
+        p = np.concatenate([_unpacked(x, np.float64) for x in found.filter(pc.is_valid(found.column("p"))).sort_by("subtree").column("p").to_pylist()])
+        keys = running_keys(stream, lengths)
+        p = p[np.searchsorted(np.unique(keys), keys)]
+        scores = np.add.reduceat(p, np.cumsum(lengths) - lengths)
+        bits = -scores / np.log10(2.0) / docs.column("n_bytes").to_numpy()
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "held_out": docs.column("held"), "n_tokens": docs.column("n_tokens"),
+            "n_known": pa.array([int((c[x] > 0).sum()) for x in ids], pa.int64()), "train_tokens": pa.array([n_train] * len(ids), pa.int64()),
+            "base_score": pa.array([float(base[x].sum()) for x in ids], pa.float64()), "score": pa.array(scores, pa.float64()),
+            "bits_per_byte": pa.array(bits, pa.float64())})
+
+    return score
+
+
+def score_running_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
+    """As ``score_texts``, with contexts that run over spaces into all ``DEPTH`` bytes before."""
+    held = held_out(F.col("doc_id")) if held is None else held
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held, F.lit(False)).alias("held"))
+    blocks = written(rows.mapInArrow(partial(_scan, most=RUN_BYTES), BLOCKS).filter("kind < 2"), "lm-blocks", compression="zstd")
+    words = blocks.filter("kind = 1").select("block", "idx", "hash", "n_train")
+    vocabulary = written(words.groupBy("hash").agg(F.sum("n_train").alias("c")), "lm-words")
+    counts = vocabulary.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    texts = blocks.select("kind", "block", "idx", "word", "doc_id", "held", "n_tokens", "n_bytes", "ids")
+
+    keys = written(texts.groupBy("block").applyInArrow(_block_keys, "block long, subtree int, keys binary, weights binary"), "lm-keys")
+    fixed, share = _upper_levels(keys.groupBy("subtree").applyInArrow(_running_levels, "before int, prefix int, n0 double, n1 double, mixed double"))
+    p = keys.groupBy("subtree").applyInArrow(_running_probabilities(fixed, share), "of_block long, idx int, c long, subtree int, p binary")
+    known = words.join(vocabulary, "hash").select(
+        F.col("block").alias("of_block"), "idx", "c", F.lit(None).cast("int").alias("subtree"), F.lit(None).cast("binary").alias("p"))
+    return texts.groupBy("block").cogroup(p.unionByName(known).groupBy("of_block")).applyInArrow(
+        _running_scores(int(counts["n"] or 0), int(counts["v"])),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")

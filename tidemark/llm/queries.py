@@ -53,7 +53,7 @@ def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model and base log10 probability of every document."""
-    return ctw.score_texts(read(spark, sf_dir, "documents"))
+    return ctw.score_running_texts(read(spark, sf_dir, "documents"))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
