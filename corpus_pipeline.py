@@ -19,6 +19,9 @@ from tidemark.llm import mixing, neardup, packing, quality
 from tidemark.llm.common import free_name, read
 from tidemark.session import scratch_dir
 
+#: Words of a shingle in the near-dedup stage; op5's contract of two words holds for op5 alone.
+SHINGLE_WORDS = 5
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold, learned from the labels outside the held-out fold."""
@@ -29,8 +32,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
-    return neardup.drop_near_duplicates(docs)
+    """One document of each near-duplicate group by shingles of ``SHINGLE_WORDS`` words."""
+    return neardup.drop_near_duplicates(docs, SHINGLE_WORDS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

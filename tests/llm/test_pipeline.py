@@ -8,7 +8,7 @@ from collections import Counter
 import corpus_pipeline
 from pyspark.sql import functions as F
 from tests.llm.test_operators import DOCS, ROWS, brute_components, near_copies, sentence
-from tidemark.llm import mixing, packing, quality
+from tidemark.llm import mixing, neardup, packing, quality
 
 
 def stored(spark, docs, labels) -> str:
@@ -54,3 +54,16 @@ def test_stages_keep_the_columns_and_take_empty_tables(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns
     assert corpus_pipeline.run(spark, folder).count() == 0
+
+
+def test_near_dedup_stage_uses_five_word_shingles(spark):
+    """Scattered word changes: similar by two-word shingles, not by five-word ones; an equal copy still goes."""
+    words = [f"w{i}" for i in range(500)]
+    changed = [f"x{i}" if i % 25 == 12 else w for i, w in enumerate(words)]
+    tail = words[:-2] + ["y0", "y1"]
+    rows = [(1, " ".join(words), "en", "a", 0), (2, " ".join(changed), "en", "a", 0), (3, " ".join(tail), "en", "a", 0),
+            (4, "one two three", "en", "a", 0), (5, "One  two three", "en", "a", 0), (6, "one two four", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    stage = dict(corpus_pipeline.STAGES)["MinHash near-dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, docs, "").collect()) == [1, 2, 4, 6]
+    assert sorted(r["doc_id"] for r in neardup.drop_near_duplicates(docs, 2).collect()) == [1, 4, 6]

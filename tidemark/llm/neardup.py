@@ -1,6 +1,6 @@
 """Near-duplicate groups by a signature-coordinate inverted join.
 
-Every text becomes its set of distinct two-word shingles and a MinHash
+Every text becomes its set of distinct shingles of ``width`` words and a MinHash
 signature of ``K`` coordinates; each coordinate with its value is a posting
 key. Texts with equal sets are one node. Two nodes of similarity ``s`` agree
 on a coordinate with probability ``s``, so a linked pair (0.8 or more) agrees on
@@ -23,8 +23,8 @@ and only for pairs across components; each such pair is settled in one list,
 that of its first common key. So every pair of different components that may
 link is checked, and links within a component are not needed.
 
-Defined cases: texts without words are linked with nothing; a single word is its
-own shingle; rows that repeat an id are nodes by their text, and a component's
+Defined cases: texts without words are linked with nothing; a text of fewer words
+than a shingle is one shingle; rows that repeat an id are nodes by their text, and a component's
 id is the smallest id in it; null ids never name a component that has another
 id. Rows without an id stay unless linked with a row that has one.
 """
@@ -32,6 +32,7 @@ id. Rows without an id stay unless linked with a row that has one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 from tidemark.llm.words import U, hash_words, mix, text_batches, text_bytes
 
+WIDTH = 2
 K = 64
 T = 34
 STAR = 512
@@ -52,18 +54,27 @@ _B = mix(np.arange(1, K + 1, dtype=U) + U(1 << 32))
 _AT = np.arange(K, dtype=U) << U(32)
 
 
-def shingle_sets(column: pa.Array) -> list[np.ndarray]:
-    """Sorted distinct 64-bit hashes of the two-word shingles of every text."""
+def shingle_sets(column: pa.Array, width: int = WIDTH) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the shingles of ``width`` words of every text."""
     data, offsets = text_bytes(column)
     word, text = hash_words(data, offsets)
-    pairs = mix(word[:-1] * U(3) + (word[1:] << U(1) | word[1:] >> U(63)))
+
+    def joined(h: np.ndarray, n: int, step: int) -> np.ndarray:
+        """Hashes of the runs of ``step`` words at the first n places."""
+        out = h[:n]
+        for i in range(1, step):
+            x = h[i : i + n]
+            out = mix(out * U(3) + (x << U(1) | x >> U(63)))
+        return out
+
+    runs = joined(word, max(0, len(word) - width + 1), width)
     bounds = np.searchsorted(text, np.arange(len(offsets)))
     out = []
     for a, z in zip(bounds[:-1], bounds[1:], strict=True):
-        if z - a >= 2:
-            out.append(np.unique(pairs[a : z - 1]))
+        if z - a >= width:
+            out.append(np.unique(runs[a : z - width + 1]))
         else:
-            out.append(mix(word[a:z] + U(7)))
+            out.append(mix(joined(word[a:z], min(1, z - a), z - a) + U(7)))
     return out
 
 
@@ -77,10 +88,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return (low >> U(32)).astype(np.uint32)
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in text_batches(batches, "text"):
         sizes, prints, sigs = [], [], []
-        for s in shingle_sets(batch.column("text")):
+        for s in shingle_sets(batch.column("text"), width):
             sizes.append(len(s))
             if len(s):
                 at = np.arange(1, len(s) + 1, dtype=U)
@@ -148,11 +159,11 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def _confirm(groups: DataFrame, texts: DataFrame) -> DataFrame:
+def _confirm(groups: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Links (a, b) among rows (group, idx, node, partners): node with each partner idx, on full sets."""
 
     def check(rows: pa.Table) -> pa.Table:
-        sets = shingle_sets(rows.column("text"))
+        sets = shingle_sets(rows.column("text"), width)
         at = {i: n for n, i in enumerate(rows.column("idx").to_pylist())}
         node = rows.column("node").to_pylist()
         a, b = [], []
@@ -250,10 +261,10 @@ def _across(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     return dealt.groupBy("group").applyInArrow(compare, "group string, idx int, node long, partners array<int>")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and root (its component's node; null without words) of every row."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    signed = written(rows.mapInArrow(_sign, "doc_id long, text_hash long, n_shingles long, print binary, sig binary"), "dedup-signed")
+    signed = written(rows.mapInArrow(partial(_sign, width=width), "doc_id long, text_hash long, n_shingles long, print binary, sig binary"), "dedup-signed")
     some = signed.filter("print is not null").dropDuplicates(["print"]).withColumn("node", F.monotonically_increasing_id())
     nodes = written(some.select("node", "print", "doc_id", "text_hash", "n_shingles", "sig"), "dedup-nodes")
     posted = written(_postings(nodes), "dedup-posted")
@@ -278,7 +289,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         texts = texts.dropDuplicates(["node"])
     texts = written(texts, "dedup-texts", compression="zstd")
 
-    links = written(_confirm(_stars(agreed), texts), "dedup-links")
+    links = written(_confirm(_stars(agreed), texts, width), "dedup-links")
     comp = components(links)
 
     open_lists = lists.drop("p").join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
@@ -286,7 +297,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mixed = open_lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     rest = written(_across(open_lists.join(mixed, "key"), nodes), "dedup-across")
     # the components found so far are the nodes of the second round
-    bridges = _confirm(rest, texts).join(comp.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
+    bridges = _confirm(rest, texts, width).join(comp.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
         comp.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
     joined = components(bridges.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")))
     joined = joined.select(F.col("node").alias("root"), F.col("root").alias("last"))
@@ -301,15 +312,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "text_hash", "n_shingles", "root", component.alias("component_id"))
 
 
-def document_groups(docs: DataFrame) -> DataFrame:
+def document_groups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id and kept per document."""
-    return near_duplicates(docs).select(
+    return near_duplicates(docs, width).select(
         "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One document of each group, with all its columns; texts without words all stay."""
-    found = written(near_duplicates(docs), "dedup-rows")
+    found = written(near_duplicates(docs, width), "dedup-rows")
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # one row of each component: repeated ids and equal texts count once
     first = stay.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("x")).select("x.*")

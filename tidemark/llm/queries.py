@@ -33,7 +33,7 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
-    return neardup.document_groups(read(spark, sf_dir, "documents"))
+    return neardup.document_groups(read(spark, sf_dir, "documents"), width=2)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
