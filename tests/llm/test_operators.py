@@ -254,28 +254,28 @@ def test_forest_finds_most(spark):
     rows = vector_rows()
     df = clashing(spark.createDataFrame(rows, VEC), "v", "score", "block")
     want = brute_neighbours(rows, lambda q, v: float(q @ v), 20, skip_zero=True)
-    all_seen = forest.nearest(df, F.col("vec_id") % 20 == 0).toPandas()
+    all_seen = forest.nearest(df, F.col("vec_id") % 20 == 0, share=1.0).toPandas()
     assert set(all_seen.query_id) == set(want)
     for i, g in all_seen.groupby("query_id"):
         g = g.sort_values("rank")
         assert np.allclose(g.score, [-s for s, _ in want[i]]) and g.vec_id.is_unique
-    few = forest.nearest(df, F.col("vec_id") % 20 == 0, share=0.3, least=10).toPandas()
+    few = forest.nearest(df, F.col("vec_id") % 20 == 0, share=0.3).toPandas()
     hits = sum(len(set(g.vec_id) & {j for _, j in want[i]}) for i, g in few.groupby("query_id"))
     assert hits >= 0.7 * sum(len(w) for w in want.values())
     # a crowd under one longest prefix: trees go on down their arrays
     crowd = [(i, (np.ones(8) + np.random.default_rng(i).normal(size=8) * 0.01).tolist(), 0) for i in range(1500)]
-    near = forest.nearest(spark.createDataFrame(crowd, VEC), F.col("vec_id") % 20 == 0, share=0.0, least=60).toPandas()
+    near = forest.nearest(spark.createDataFrame(crowd, VEC), F.col("vec_id") % 20 == 0, share=0.04).toPandas()
     assert set(near.query_id) == set(range(0, 1500, 20)) and (near.groupby("query_id").vec_id.nunique() <= 20).all()
     assert forest.nearest(spark.createDataFrame([], VEC), F.lit(True)).count() == 0
 
 
 @pytest.mark.parametrize("n", [2_000, 17_000])
 def test_forest_recall_follows_one_rule_at_all_sizes(spark, n):
-    """Unit vectors without structure, without the floor on rows seen."""
+    """Unit vectors without structure."""
     v = np.random.default_rng(n).normal(size=(n, 64))
     v /= np.linalg.norm(v, axis=1)[:, None]
     df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(n), "embedding": v.tolist()}), "vec_id long, embedding array<double>")
-    got = forest.nearest(df, F.col("vec_id") % (n // 40) == 0, least=0).toPandas()
+    got = forest.nearest(df, F.col("vec_id") % (n // 40) == 0).toPandas()
     hits = 0
     for i, g in got.groupby("query_id"):
         scores = v @ v[i]
@@ -286,11 +286,11 @@ def test_forest_recall_follows_one_rule_at_all_sizes(spark, n):
 
 
 # -------------------------------------------------------------- near dups
-def brute_components(rows):
+def brute_components(rows, width: int = 2):
     sets = []
     for i, text, *_ in rows:
         w = (text or "").encode().lower().split()
-        sets.append({(a, b) for a, b in zip(w, w[1:])} if len(w) > 1 else {tuple(w)} if w else set())
+        sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set())
     parent = list(range(len(rows)))
 
     def root(x):
@@ -373,6 +373,42 @@ def test_quality_learns_and_scores_everything(spark, docs):
     assert (none.score == 0.5).all()
     assert quality.quality_scores(table.limit(0), labels).count() == 0
 
+def test_quality_labels_without_documents_change_nothing(spark):
+    good = [(i, sentence(40, i), "en", "a", 0) for i in range(60)]
+    bad = [(100 + i, " ".join(w + "$$" for w in sentence(40, 900 + i).split()), "en", "a", 0) for i in range(60)]
+    table = spark.createDataFrame(good + bad, DOCS)
+    labels = spark.createDataFrame([(r[0], int(r[0] < 100), 0) for r in good + bad], "doc_id long, quality int, toxic int")
+    strangers = spark.range(10_000, 30_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))
+    want = {r.doc_id: r.score for r in quality.quality_scores(table, labels).collect()}
+    got = {r.doc_id: r.score for r in quality.quality_scores(table, labels.unionByName(strangers)).collect()}
+    assert got == pytest.approx(want) and max(want.values()) - min(want.values()) > 0.3
+
+
+def test_quality_votes_equal_a_plain_loop():
+    """Cosines to every labelled row, the k nearest, their labels weighted by similarity, few words drawn to the prior."""
+    r = np.random.default_rng(5)
+    n, k = 400, 7
+    basis = r.normal(size=(quality.TERMS, 16)).astype(np.float32)
+    known = r.normal(size=(n, 16)).astype(np.float32)
+    known /= np.linalg.norm(known, axis=1, keepdims=True)
+    model = quality.Model(np.ones(quality.DIMS, np.float32), basis, known, r.integers(0, 2, n).astype(float), 0.4, k)
+    counts = r.poisson(0.05, size=(1100, quality.TERMS)).astype(np.float32)
+    counts[3] = 0
+    got = model.score(counts)
+    for i in range(0, 1100, 9):
+        if not counts[i].any():
+            assert got[i] == 0.4
+            continue
+        v = quality.weigh(counts[i : i + 1], model.idf)[0] @ basis
+        cosine = [float(v @ known[j]) / float(np.linalg.norm(v)) for j in range(n)]
+        near = sorted(range(n), key=lambda j: -cosine[j])[:k]
+        weight = [max(cosine[j], 1e-6) for j in near]
+        doubt = k * quality.EVEN_WORDS / (counts[i, quality.DIMS :].sum() + quality.EVEN_WORDS)
+        want = (sum(w * model.labels[j] for w, j in zip(weight, near)) + doubt * 0.4) / (sum(weight) + doubt)
+        assert got[i] == pytest.approx(want, abs=1e-5)
+    assert got[3] == 0.4
+
+
 
 # ---------------------------------------------------------------- packing
 def naive_best_fit(sizes, sources, clusters, capacity, per_source):
@@ -504,6 +540,16 @@ def test_lm_scores_equal_brute_force(spark, docs):
 
 
 # ----------------------------------------------------------------- tokens
+def test_token_counts_do_not_depend_on_the_session(spark, docs):
+    want = sorted(((r["doc_id"], r["n_tokens"]) for r in tokens.token_counts(docs).collect()), key=str)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        got = sorted(((r["doc_id"], r["n_tokens"]) for r in tokens.token_counts(docs).collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert got == want
+
+
 def test_token_counts(spark, docs):
     table = clashing(docs, "shard", "file", "number", "n_tokens", "tokens")
     got = sorted(((r["doc_id"], r["n_tokens"]) for r in tokens.token_counts(table).collect()), key=str)

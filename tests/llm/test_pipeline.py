@@ -32,7 +32,7 @@ def test_stages_equal_brute_force(spark):
     assert not set(good) & set(range(3000, 3050)) and Counter(range(4000, 4080)) == Counter(i for i in good if i and i >= 4000)
     # stage 2: one row per component of what is left
     left = [r for r in rows if (r[0] in set(good))]
-    names = brute_components(left)
+    names = brute_components(left, corpus_pipeline.SHINGLE_WORDS)
     ids = {c for _, n, c in names if n} | {i for i, n, _ in names if not n}
     kept = list({r[0]: r for r in left if r[0] in ids}.values())
     # stage 3: copies by the mix of those rows

@@ -19,8 +19,8 @@ no group of rows has to fit a task.
 
 ``candidates`` is ``SHARE`` of all rows: on vectors without structure, which the
 recall of 0.9 must also hold for, the share of rows to see does not fall with their
-number. ``LEAST`` only adds rows to that on small tables; the recall holds without it. Other defined cases are in ``vectors``; zero
-vectors take no part.
+number; never fewer than the ``k`` asked for and the query itself. Other defined cases are
+in ``vectors``; zero vectors take no part.
 """
 
 from __future__ import annotations
@@ -40,7 +40,6 @@ SYMBOLS = 4
 TABLE_BITS = 12
 BLOCK_ROWS = 8192
 SHARE = 0.8
-LEAST = 4096
 SEED = 11
 
 
@@ -81,7 +80,7 @@ def doubles(v: Column) -> Column:
     return F.transform(v, lambda x: x.cast("double"))
 
 
-def nearest(table: DataFrame, is_query: Column, k: int = K, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def nearest(table: DataFrame, is_query: Column, k: int = K, share: float = SHARE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found, by inner product, of rows where ``is_query`` holds."""
     usable = F.exists("v", lambda x: x != 0)
     rows = V.stored(V.clean(table, doubles(F.col("embedding")), usable).distinct(), "doubles")
@@ -92,7 +91,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = K, share: float = SHARE
     dim = int(held.agg(F.max(F.size("v"))).first()[0] or 1)
     turned, length = rotations(dim), symbol_bits(dim) * SYMBOLS
     table_bits = min(TABLE_BITS, length)
-    wanted = max(least, int(share * n))
+    wanted = max(k + 1, int(np.ceil(share * n)))
     # rows under each tree's prefix that make so many distinct ones
     part = int(np.ceil(n * (1 - (1 - min(1.0, wanted / max(n, 1))) ** (1 / len(turned)))))
 

@@ -136,13 +136,18 @@ def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, label: str = "quality",
         fit_rows: int = FIT_ROWS, rank: int = RANK, k: int = NEIGHBOURS) -> Model:
-    """Learn from at most ``fit_rows`` labelled documents for which ``train`` (of doc_id) holds."""
+    """Learn from at most ``fit_rows`` labelled documents for which ``train`` (of doc_id) holds.
+
+    Labels of ids without a document cannot be learned and do not count toward the bound.
+    """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label")).dropna()
     if train is not None:
         usable = usable.filter(train)
     usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    usable = usable.join(texts.select("doc_id"), "doc_id", "left_semi")
     usable = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(usable, "doc_id")
+    rows = texts.join(usable, "doc_id")
     rows = rows.mapInArrow(_sample_counts, "doc_id long, label int, counts binary")
     # a repeated id counts once; at most fit_rows rows of TERMS numbers reach the driver
     rows = rows.groupBy("doc_id").agg(F.max(F.struct("label", "counts")).alias("x")).orderBy("doc_id")

@@ -92,7 +92,7 @@ def write_flat(docs: DataFrame, path: str, folder: str = TOKENIZERS, end: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     flat = rows.mapInArrow(encode, "kind string, shard string, row long, data binary").sortWithinPartitions("kind", "shard", "row")
     flat.select(F.col("data").cast("string").alias("value"), "kind", "shard").write.partitionBy("kind", "shard").option(
-        "encoding", "ISO-8859-1").option("lineSep", end.to_bytes(2, "little").decode("latin-1")).text(path)
+        "maxRecordsPerFile", 0).option("encoding", "ISO-8859-1").option("lineSep", end.to_bytes(2, "little").decode("latin-1")).text(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +111,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                         names=["shard", "number", "doc_id"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select(_shard("path").alias("shard"), "content").mapInArrow(unpack, "shard string, number long, doc_id long")
+    whole = F.count("*").over(Window.partitionBy("shard")) == 1
+    files = files.select(_shard("path").alias("shard"), "content").withColumn(
+        "content", F.when(whole, F.col("content")).otherwise(F.raise_error(F.concat(F.lit("more than one file in shard "), "shard")).cast("binary")))
+    return files.mapInArrow(unpack, "shard string, number long, doc_id long")
 
 
 def _shard(path: str) -> Column:
