@@ -540,3 +540,15 @@ def test_writes_keep_columns_added_by_another_instance(spark, tmp_table_dir):
     first.write(spark.createDataFrame([("c", "x", 1, "c1")], SCHEMA))  # its cached schema lacks `extra`
     snap = CommitLogTable.open(spark, tmp_table_dir).snapshot()
     assert sorted(tuple(r) for r in snap.select("id", "extra").collect()) == [("a", None), ("b", 7), ("c", None)]
+
+
+def test_late_imports_are_refused(spark, tmp_table_dir):
+    """A commit before the newest would be in the snapshot but in no later increment."""
+    table = CommitLogTable.create(spark, f"{tmp_table_dir}/late", TableSpec(name="late", keys=("k",)))
+    rows = spark.createDataFrame([(1, "2024010105")], "k int, c string")
+    assert table.import_changelog(rows, "c")
+    late = spark.createDataFrame([(2, "2024010103")], "k int, c string")
+    with pytest.raises(ValueError, match="does not sort after"):
+        table.import_changelog(late, "c")
+    assert [r.k for r in table.snapshot().collect()] == [1] and table.commits() == ["2024010105"]
+    assert table.import_changelog(spark.createDataFrame([(3, "2024010106")], "k int, c string"), "c")

@@ -458,7 +458,9 @@ class CommitLogTable:
         ``with_tombstones``: ``df`` carries a boolean ``_deleted`` column whose
         true rows are deletes (used to mirror another table's log).
         ``batch_id``: a caller-chosen batch name that makes the import
-        idempotent — a replay of an id already written does nothing.
+        idempotent — a replay of an id already written does nothing. Without
+        one, commits that do not sort after the newest are refused: a reader
+        whose checkpoint is past them would never see them.
         """
         options = options or WriteOptions()
         self._reload_schema()
@@ -474,7 +476,7 @@ class CommitLogTable:
         batch = batch_id or _dt.datetime.now(_dt.timezone.utc).strftime(COMMIT_FORMAT)[:17] + uuid.uuid4().hex[:6]
         if with_tombstones:
             batch = f"{batch}{DELETE_SUFFIX}"
-        written = self._write_batch(rows, batch, options, floor=self.base_end())
+        written = self._write_batch(rows, batch, options, floor=self.base_end(), newest=batch_id is None)
         self._pinned = None
         if not written:
             return None
