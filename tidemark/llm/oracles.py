@@ -89,7 +89,25 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 20
 """
 
+_OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+h AS (SELECT *, CAST(len(u) AS BIGINT) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+  CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+       WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+         ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM s
+"""
+
 ORACLES = {
+    "op11_fill_in_middle": _OP11,
     "op4_exact_top_k": _OP4,
     "op5_near_duplicates": _OP5,
     "op3_warc": _OP3,

@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, ctw, forest, mixing, neardup, packing, quality, tokens, topk, warc
+from tidemark.llm import chat, ctw, forest, middle, mixing, neardup, packing, quality, tokens, topk, warc
 from tidemark.llm.common import read
 
 
@@ -61,6 +61,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's fill-in-middle form and of the text restored from it."""
+    return middle.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
@@ -72,4 +77,5 @@ QUERIES = {
     "op8_best_fit": op8_best_fit,
     "op9_lm_scores": op9_lm_scores,
     "op10_token_counts": op10_token_counts,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
