@@ -106,7 +106,32 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT)
 FROM s
 """
 
+_OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(total) AS ln FROM k GROUP BY lang),
+x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.total FROM g JOIN k USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+gn AS (SELECT lang, source, sum(n) AS gn FROM x GROUP BY ALL),
+p AS (SELECT x.lang, x.source, x.term, x.n, 1 + (1000000000::HUGEINT * (x.n + 5)) // (gn.gn + 5 * v.v) AS p,
+  1 + (1000000000::HUGEINT * (x.total + 5)) // (v.ln + 5 * v.v) AS q
+  FROM x JOIN gn USING (lang, source) JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+both AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM both QUALIFY part = 'pair' OR rank <= 50
+"""
+
 ORACLES = {
+    "op12_source_divergence": _OP12,
     "op11_fill_in_middle": _OP11,
     "op4_exact_top_k": _OP4,
     "op5_near_duplicates": _OP5,

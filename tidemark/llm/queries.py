@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, ctw, forest, middle, mixing, neardup, packing, quality, tokens, topk, warc
+from tidemark.llm import chat, ctw, divergence, forest, middle, mixing, neardup, packing, quality, tokens, topk, warc
 from tidemark.llm.common import read
 
 
@@ -66,6 +66,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return middle.digests(read(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, from each other and in the terms they use more."""
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
@@ -78,4 +83,5 @@ QUERIES = {
     "op9_lm_scores": op9_lm_scores,
     "op10_token_counts": op10_token_counts,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_divergence": op12_source_divergence,
 }
