@@ -121,16 +121,54 @@ p AS (SELECT x.lang, x.source, x.term, x.n, 1 + (1000000000::HUGEINT * (x.n + 5)
   1 + (1000000000::HUGEINT * (x.total + 5)) // (v.ln + 5 * v.v) AS q
   FROM x JOIN gn USING (lang, source) JOIN v USING (lang)),
 pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
-both AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
+found AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(pairs.value, 0) AS value
   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
   LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
   UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
   CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
-FROM both QUALIFY part = 'pair' OR rank <= 50
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _walks(rounds: int = 20) -> str:
+    """The rounds of both walks, one statement each."""
+    out = []
+    for i in range(1, rounds + 1):
+        out.append(f"""s{i} AS MATERIALIZED (SELECT walk, host, CAST(sum(base) + (sum(flow) * 85) // 100 AS BIGINT) AS mass FROM (
+  SELECT walk, host, (mass * 15) // 100 AS base, 0 AS flow FROM s0
+  UNION ALL SELECT w.walk, w.dst, 0, CAST((s.mass::HUGEINT * w.n) // w.whole AS BIGINT) FROM s{i - 1} s JOIN ways w ON w.walk = s.walk AND w.host = s.host) GROUP BY ALL)""")
+    return ",\n".join(out)
+
+
+_OP13 = rf"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, html, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT r, page_id, html, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_AZ}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+a AS (SELECT host AS src, unnest(regexp_extract_all(html, '<a[ \t\r\n\f][^<>]*?href[ \t\r\n\f]*=[ \t\r\n\f]*["'']?([^"'' \t\r\n\f<>]+)', 1, 'i')) AS link FROM u),
+b AS (SELECT src, regexp_replace(link, '^(https?:)?//', '', 'i') AS rest FROM a WHERE regexp_matches(link, '^(https?:)?//', 'i') AND src <> ''),
+l AS (SELECT -row_number() OVER () AS r, src, translate(regexp_extract(rest, '^([^/?#]*)', 1), {_AZ}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM b),
+links AS (SELECT * FROM l WHERE host <> '' AND host <> src),
+rules (v, rule, ends, start) AS (VALUES ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+  ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
+urls AS (SELECT r, host, path FROM u UNION ALL SELECT r, host, path FROM links),
+fit AS (SELECT r, host, rule, v FROM urls JOIN rules ON (host = ends OR ends_with(host, '.' || ends)) AND starts_with(path, start)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(rule) DESC) = 1),
+seeds AS (SELECT v AS walk, host, count(*) AS n FROM fit GROUP BY ALL),
+s0 AS MATERIALIZED (SELECT walk, host, CAST((n::HUGEINT * 1000000000000000) // sum(n) OVER (PARTITION BY walk) AS BIGINT) AS mass FROM seeds),
+edges AS (SELECT src, host AS dst, count(*) AS n FROM links GROUP BY ALL),
+both_ways AS (SELECT 'allow' AS walk, src AS host, dst, n FROM edges UNION ALL SELECT 'block', dst, src, n FROM edges),
+ways AS MATERIALIZED (SELECT *, sum(n) OVER (PARTITION BY walk, host) AS whole FROM both_ways),
+{_walks()},
+m AS (SELECT host, CAST(coalesce(sum(mass) FILTER (walk = 'allow'), 0) AS BIGINT) AS trust, CAST(coalesce(sum(mass) FILTER (walk = 'block'), 0) AS BIGINT) AS distrust FROM s20 GROUP BY host)
+SELECT u.page_id, u.host, u.path, fit.rule, coalesce(fit.v, CASE WHEN m.distrust > m.trust THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(m.trust, 0) AS trust, coalesce(m.distrust, 0) AS distrust
+FROM u LEFT JOIN fit ON fit.r = u.r LEFT JOIN m ON m.host = u.host
 """
 
 ORACLES = {
+    "op13_url_verdicts": _OP13,
     "op12_source_divergence": _OP12,
     "op11_fill_in_middle": _OP11,
     "op4_exact_top_k": _OP4,

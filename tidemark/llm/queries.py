@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, ctw, divergence, forest, middle, mixing, neardup, packing, quality, tokens, topk, warc
+from tidemark.llm import chat, ctw, divergence, forest, linkgraph, middle, mixing, neardup, packing, quality, tokens, topk, warc
 from tidemark.llm.common import read
 
 
@@ -71,6 +71,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def op13_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url by rules, and by trust and distrust of its host where none fits."""
+    return linkgraph.judge(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_chat_format": op2_chat_format,
@@ -84,4 +89,5 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_source_divergence": op12_source_divergence,
+    "op13_url_verdicts": op13_url_verdicts,
 }
