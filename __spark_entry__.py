@@ -227,12 +227,23 @@ _ORACLES: dict[str, str] = {
         f"SELECT count(*) AS n_rows, false AS has_checkpoint FROM orders WHERE {_OC} > (SELECT max({_OC}) FROM orders)"
     ),
     "empty_write_guard": f"SELECT *, true AS unchanged FROM ({_SNAPSHOT})",
+    "metrics_after_changes": (
+        "SELECT o.o_custkey AS customer_id, count(*) AS n_orders, "
+        "CAST(sum(CAST(CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS DECIMAL(18, 2))) AS DOUBLE) AS total_value, "
+        "min(CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END) AS first_order, "
+        "max(CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END) AS last_order "
+        "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN orders o ON c.c_custkey = o.o_custkey "
+        "WHERE o_orderstatus IS DISTINCT FROM 'P' GROUP BY o.o_custkey"
+    ),
     "item_attribute_subset": (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer"
     ),
 }
 
 
+_ORACLES["stream_join_items"] = _ORACLES["load_join_items_incremental"]
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per query that SQL can express."""
     llm = dict(_LLM_ORACLES)

@@ -9,6 +9,8 @@ a side's size is measured to be small.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,9 +46,9 @@ def customer_orders_sql(spark: SparkSession, customers: str = "customers", order
     return spark.sql(CUSTOMER_ORDERS_SQL.format(customers=customers, orders=orders))
 
 
-def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def customer_orders(customers: DataFrame, orders: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """J1 + P1 in DataFrame form: one row per matching (customer, order) pair;
-    NULL keys never match."""
+    NULL keys never match. ``keep``: further columns of the orders."""
     c, o = customers.alias("c"), orders.alias("o")
     return c.join(o, F.col("c.customer_id") == F.col("o.customer_id"), "inner").select(
         F.col("c.customer_id"),
@@ -57,4 +59,5 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
         F.col("o.name").alias("order_name"),
         F.col("o.order_value"),
         F.col("o.order_date"),
+        *[F.col(f"o.{c}") for c in keep],
     )

@@ -636,12 +636,15 @@ class CommitLogTable:
             reduced,
         )
 
-    def snapshot(self, as_of: str | None = None, with_meta: bool = False) -> DataFrame:
+    def snapshot(self, as_of: str | None = None, with_meta: bool = False, of: DataFrame | None = None) -> DataFrame:
         """The table as of its last (or ``as_of``) commit, one row per key.
 
         With a compacted base only log commits after the base are read (the
         commit filter prunes directories) and only the keys they touch are
-        re-resolved against the base.
+        re-resolved: every commit after the base wins over it (``incoming_wins``,
+        the base is read once), or is ranked with it (``event_time``).
+        ``of``: only these resolution keys; other versions are left out before
+        the ranking.
         """
         if self._is_empty():
             return self._finish(self._empty().drop(BATCH_COL), with_meta)
@@ -651,6 +654,8 @@ class CommitLogTable:
         log = self.log(after=base_end)
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
+        if of is not None:
+            log = log.join(of, on=self.spec.resolve_keys, how="left_semi")
         batches, _ = self.pin()
         if (
             self._fast_path
@@ -665,6 +670,8 @@ class CommitLogTable:
         if base is None:
             return self._finish(self._resolve(log), with_meta)
         keys = self.spec.resolve_keys
+        if of is not None:
+            base = base.join(of, on=keys, how="left_semi")
         after = log.filter(F.col(COMMIT_COL) > F.lit(base_end))
         touched = after.select(*keys).distinct()
         quiet = None
@@ -675,7 +682,9 @@ class CommitLogTable:
             quiet = base.filter(~F.coalesce(hit, F.lit(False)))
             base = base.filter(hit)
         untouched = base.join(touched, on=keys, how="left_anti")
-        redo = self._resolve(base.join(touched, on=keys, how="left_semi").unionByName(after))
+        if self.spec.merge_mode == "event_time":
+            after = base.join(touched, on=keys, how="left_semi").unionByName(after)
+        redo = self._resolve(after)
         out = untouched.unionByName(redo)
         if quiet is not None:
             out = quiet.unionByName(out)

@@ -32,6 +32,7 @@ from tidemark.plans import maintenance
 from tidemark.plans.checkpoint import CheckpointStore
 from tidemark.plans.commitlog import CommitLogTable, TableSpec
 from tidemark.plans.incremental import ChangeFeedSource, IncrementalReader
+from tidemark.plans.metrics_view import MaintainedMetrics
 from tidemark.plans.write_config import WriteConfig, upsert_table
 from tidemark.session import scratch_dir
 from tidemark.sinks.keyed import KeyedSink
@@ -39,6 +40,7 @@ from tidemark.sources import generate, inventory, items
 from tidemark.sources.loaders import Loaders
 from tidemark.sources.tables import customers_view, orders_view, read_table
 from tidemark.streaming.incremental import upsert_stream
+from tidemark.streaming.join import join_stream
 
 # Fixed values of the query catalogue (mirrored in the oracle SQL).
 INCOMING_FEEDS = ("error", "signup")
@@ -583,6 +585,43 @@ def item_attribute_subset(spark: SparkSession, sf: str) -> DataFrame:
     return sink.items().select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_nationkey")
 
 
+def metrics_after_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 S3: metrics kept up to date from increments. A first commit holds the open and the pending
+    orders; the second adds the filled ones and moves the open ones (double price, a day later); the
+    third deletes the pending ones. Each is merged into the stored metrics on its own."""
+    orders, status = _t(spark, sf, "orders"), F.col("o_orderstatus")
+    spec = TableSpec(name="orders", keys=("order_id",), key_scope="table", table_type="MERGE_ON_READ")
+    table = CommitLogTable.create(spark, scratch_dir(spark, "orders_m"), spec)
+    kept = MaintainedMetrics(spark, table, scratch_dir(spark, "customer_metrics"))
+    filled = F.coalesce(status == "F", F.lit(False))
+    table.write(orders_view(orders.filter(~filled)))
+    kept.refresh()
+    moved = orders_view(orders.filter(status == "O")).withColumns(
+        {"order_value": F.col("order_value") * 2, "order_date": F.col("order_date") + F.expr("INTERVAL 1 DAY")})
+    table.write(orders_view(orders.filter(filled)).unionByName(moved))
+    kept.refresh()
+    table.delete(orders_view(orders.filter(status == "P")))
+    kept.refresh()
+    return kept.read(customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation")))
+
+
+def stream_join_items(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 §2.9: the orders table's commits as a stream, joined with the customers and delivered as
+    items. A first run delivers every order; the open orders are then sent again, and the restarted
+    stream delivers exactly those."""
+    root = scratch_dir(spark, "stream_join")
+    orders = _t(spark, sf, "orders")
+    spec = TableSpec(name="orders", keys=("order_id",), key_scope="table", table_type="MERGE_ON_READ")
+    table = CommitLogTable.create(spark, f"{root}/orders", spec)
+    customers = customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
+    table.write(orders_view(orders))
+    join_stream(table, customers, KeyedSink(spark, f"{root}/items", "customer_id", "order_id"), f"{root}/progress").awaitTermination()
+    table.write(orders_view(orders.filter(F.col("o_orderstatus") == "O")))
+    second = KeyedSink(spark, f"{root}/items_second_run", "customer_id", "order_id")
+    join_stream(table, customers, second, f"{root}/progress").awaitTermination()
+    return second.items()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_orders_join": customer_orders_join,
     "precombine_latest": precombine_latest,
@@ -626,4 +665,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "empty_increment": empty_increment,
     "empty_write_guard": empty_write_guard,
     "item_attribute_subset": item_attribute_subset,
+    "metrics_after_changes": metrics_after_changes,
+    "stream_join_items": stream_join_items,
 }
