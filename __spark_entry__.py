@@ -235,12 +235,40 @@ _ORACLES: dict[str, str] = {
         "FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN orders o ON c.c_custkey = o.o_custkey "
         "WHERE o_orderstatus IS DISTINCT FROM 'P' GROUP BY o.o_custkey"
     ),
+    "gen_orders_for_customers": (
+        "WITH c AS (SELECT o_custkey AS id, row_number() OVER (ORDER BY o_custkey) - 1 AS number FROM "
+        "(SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL)) "
+        "SELECT o_orderkey AS order_id, substring(concat('order ', CAST(o_orderkey AS VARCHAR)), 1, 20) AS name, "
+        "CAST(10 + (o_orderkey * 104729 + 7) % 991 AS VARCHAR) AS order_value, "
+        "['LOW', 'MEDIUM', 'HIGH'][CAST((o_orderkey * 31 + 5) % 3 AS INTEGER) + 1] AS priority, "
+        "strftime(DATE '2024-01-30' - CAST((o_orderkey * 17 + 3) % 31 AS INTEGER), '%Y-%m-%d') AS order_date, "
+        "c.id AS customer_id FROM orders JOIN c ON c.number = (o_orderkey * 7919 + 13) % (SELECT count(*) FROM c)"
+    ),
+    "small_file_rewrite": "SELECT * FROM orders",
+    "clustered_layout": (
+        "SELECT event_type, count(*) AS n_rows, CAST(0 AS BIGINT) AS overlapping FROM events GROUP BY event_type"
+    ),
+    "column_stats": (
+        "SELECT 'o_orderkey' AS column_name, CAST(min(o_orderkey) AS VARCHAR) AS min, CAST(max(o_orderkey) AS VARCHAR) AS max, "
+        "count(*) - count(o_orderkey) AS num_nulls, true AS distinct_near FROM orders "
+        "UNION ALL SELECT 'o_custkey', CAST(min(o_custkey) AS VARCHAR), CAST(max(o_custkey) AS VARCHAR), count(*) - count(o_custkey), true FROM orders "
+        "UNION ALL SELECT 'o_orderstatus', NULL, NULL, count(*) - count(o_orderstatus), true FROM orders"
+    ),
+    "checkpoint_observed": (
+        f"SELECT count(*) AS n_rows, max({_OC}) AS last_processed_commit FROM orders WHERE {_OC} > '20001231'"
+    ),
+    "item_writer_put": (
+        "SELECT o_custkey AS customer_id, o_orderkey AS order_id, "
+        "CAST(CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS VARCHAR) AS order_value, "
+        "CAST(o_orderdate AS VARCHAR) AS order_date FROM orders"
+    ),
     "item_attribute_subset": (
         "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer"
     ),
 }
 
 
+_ORACLES["item_segments_join"] = _ORACLES["customer_orders_join"]
 _ORACLES["stream_join_items"] = _ORACLES["load_join_items_incremental"]
 
 

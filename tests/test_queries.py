@@ -80,6 +80,17 @@ def test_change_feed_bounds_reach_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate,2001-01-01" in pushed and "LessThan(o_orderdate,2002-01-01" in pushed
 
 
+def test_loader_feeds_are_pruned_too(spark):
+    from tidemark.queries import incremental_join_full
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        plan = _plan(incremental_join_full(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(o_orderdate,2001-01-01" in plan and "LessThan(o_orderdate," in plan
+
+
 def test_incoming_wins_snapshot_is_one_shuffle(spark):
     from tidemark.queries import _log_table
 

@@ -16,10 +16,11 @@ Two kinds of source are supported:
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.operators.timeline import last_commit
@@ -75,6 +76,11 @@ class ChangeFeedSource:
             cond = cond & (c > F.lit(begin))
         return self._days(self.df, begin, end).filter(cond)
 
+    def read_after(self, begin: str | None) -> DataFrame:
+        """Rows with a commit after ``begin``, without an upper bound."""
+        c = F.col(self.commit_col)
+        return self._days(self.df, begin, None).filter(c.isNotNull() if begin is None else c > F.lit(begin))
+
     def _days(self, df: DataFrame, begin: str | None, end: str | None) -> DataFrame:
         if self.day_col is None:
             return df
@@ -122,3 +128,28 @@ class IncrementalReader:
         rows = self.source.read_range(begin, end)
         pending = PendingCheckpoint(self.store, Checkpoint(self.source.table_name, self.source.path, end))
         return rows, pending
+
+
+class ObservedReader:
+    """S3 with the range end taken from the sink's own job.
+
+    ``IncrementalReader`` looks for the last commit before it reads; here the rows after the
+    checkpoint go to the sink at once, and ``DataFrame.observe`` gives their number and last
+    commit as they pass. One scan instead of two. The range has no upper bound until then, so
+    use it for sources that do not change while they are read (files listed once, a pinned
+    table). A sink that fails stores nothing.
+    """
+
+    def __init__(self, store: CheckpointStore, source: ChangeFeedSource):
+        self.store, self.source = store, source
+
+    def deliver(self, sink: Callable[[DataFrame], object]) -> Checkpoint | None:
+        """Give the new rows to ``sink``, which must run exactly one action over them; then store the checkpoint."""
+        current = self.store.read(self.source.table_name)
+        seen = Observation()
+        commit = F.col(self.source.commit_col)
+        rows = self.source.read_after(current.last_processed_commit if current else None)
+        sink(rows.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.max(commit).alias("last_commit")))
+        if not seen.get["n_rows"] or seen.get["last_commit"] is None:
+            return None
+        return PendingCheckpoint(self.store, Checkpoint(self.source.table_name, self.source.path, seen.get["last_commit"])).commit()

@@ -154,6 +154,19 @@ def analyze(spark: SparkSession, qualified_name: str, columns: Sequence[str]) ->
     return spark.sql(f"DESCRIBE EXTENDED {qualified_name}")
 
 
+#: What the catalog keeps about a column; distinct counts are approximate (HyperLogLog, see spark.sql.statistics.ndv.maxError).
+STATISTICS = ("min", "max", "num_nulls", "distinct_count", "avg_col_len", "max_col_len")
+
+
+def column_stats(spark: SparkSession, qualified_name: str, columns: Sequence[str]) -> DataFrame:
+    """The stored statistics of ``columns``, one row each, values as text (null where the catalog has none)."""
+    rows = []
+    for c in columns:
+        facts = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {qualified_name} `{c}`").collect()}
+        rows.append((c, *[None if facts.get(s) in (None, "NULL") else facts[s] for s in STATISTICS]))
+    return spark.createDataFrame(rows, ", ".join(["column_name string", *[f"{s} string" for s in STATISTICS]]))
+
+
 def file_layout(spark: SparkSession, path: str) -> DataFrame:
     """Data files under ``path`` with their sizes (K9 checks)."""
     return (

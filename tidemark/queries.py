@@ -28,15 +28,16 @@ from pyspark.sql import functions as F
 from tidemark import jobs
 from tidemark.functions.columns import COMMIT_COL, commit_time_of
 from tidemark.operators import joins, keyed, metrics, timeline
-from tidemark.plans import maintenance
+from tidemark.plans import catalog, layout, maintenance
 from tidemark.plans.checkpoint import CheckpointStore
 from tidemark.plans.commitlog import CommitLogTable, TableSpec
-from tidemark.plans.incremental import ChangeFeedSource, IncrementalReader
+from tidemark.plans.incremental import ChangeFeedSource, IncrementalReader, ObservedReader
 from tidemark.plans.metrics_view import MaintainedMetrics
 from tidemark.plans.write_config import WriteConfig, upsert_table
 from tidemark.session import scratch_dir
-from tidemark.sinks.keyed import KeyedSink
+from tidemark.sinks.keyed import KeyedSink, item_frame
 from tidemark.sources import generate, inventory, items
+from tidemark.sources.item_files import current_items, put_items
 from tidemark.sources.loaders import Loaders
 from tidemark.sources.tables import customers_view, orders_view, read_table
 from tidemark.streaming.incremental import upsert_stream
@@ -314,7 +315,7 @@ def incremental_join_full(spark: SparkSession, sf: str) -> DataFrame:
         "source": [
             {"source_type": "PARQUET", "table_name": "orders", "spark_table_name": oname,
              "path": f"{sf}/orders.parquet", "type": "INC",
-             "commit_expr": "date_format(o_orderdate, 'yyyyMMdd')"},
+             "commit_expr": "date_format(o_orderdate, 'yyyyMMdd')", "day_col": "o_orderdate"},
             {"source_type": "PARQUET", "table_name": "customer", "spark_table_name": cname,
              "path": f"{sf}/customer.parquet", "type": "FULL"},
         ],
@@ -622,6 +623,89 @@ def stream_join_items(spark: SparkSession, sf: str) -> DataFrame:
     return second.items()
 
 
+def item_segments_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders exported as items, scanned by segments through the loader and joined with the customers."""
+    root = scratch_dir(spark, "order_export")
+    orders = orders_view(_t(spark, sf, "orders"))
+    orders.select(F.to_json(F.struct(*orders.columns))).write.text(root)
+    tag = root.rsplit("-", 1)[1]
+    names = {k: f"tm_seg_{k}_{tag}" for k in ("customers", "orders")}
+    customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation")).createOrReplaceTempView(f"{names['customers']}_all")
+    payload = {
+        "source": [
+            {"source_type": "ITEMS", "spark_table_name": names["orders"], "path": root, "segments": 16,
+             "schema": "order_id long, customer_id long, name string, order_value double, order_date timestamp_ntz"},
+            {"source_type": "SQL", "spark_table_name": names["customers"], "query": f"SELECT * FROM {names['customers']}_all"},
+        ]
+    }
+    Loaders(payload, spark).load()
+    return joins.customer_orders_sql(spark, names["customers"], names["orders"])
+
+
+def item_writer_put(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders put as items by the data source's tasks, then the open ones at twice the price; the last put wins."""
+    path = scratch_dir(spark, "item_files")
+    orders, keys = _t(spark, sf, "orders"), ("customer_id", "order_id")
+    attributes = ["order_value", "order_date"]
+    put_items(item_frame(orders_view(orders), *keys, attributes), path, "2024010100")
+    again = orders_view(orders.filter(F.col("o_orderstatus") == "O")).withColumn("order_value", F.col("order_value") * 2)
+    put_items(item_frame(again, *keys, attributes), path, "2024010101")
+    return current_items(spark, path, "customer_id long, order_id long, order_value string, order_date string", keys)
+
+
+def gen_orders_for_customers(spark: SparkSession, sf: str) -> DataFrame:
+    """One order per order key, its customer drawn from a sparse set of ids: customers that have orders."""
+    orders = _t(spark, sf, "orders")
+    return generate.orders_for_customers(orders.select(F.col("o_orderkey").alias("i")), orders, "o_custkey")
+
+
+def small_file_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    """K9: orders stored in small files by status, rewritten to files of about 256 KiB within each folder."""
+    root = scratch_dir(spark, "small_files")
+    _t(spark, sf, "orders").repartition(24).write.partitionBy("o_orderstatus").parquet(f"{root}/in")
+    layout.rewrite_small_files(spark, f"{root}/in", f"{root}/out", 128 * 1024, 256 * 1024, ["o_orderstatus"])
+    return spark.read.parquet(f"{root}/out").withColumn("o_orderstatus", F.col("o_orderstatus").cast("string"))
+
+
+def clustered_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """K8: events clustered by time within their type, in about 24 files; no two files of a type overlap."""
+    spec = TableSpec(name="ev_layout", keys=("event_id",), precombine="ts", partition_by=("event_type",), key_scope="partition")
+    table = CommitLogTable.create(spark, scratch_dir(spark, "ev_layout"), spec)
+    table.write(_t(spark, sf, "events"), "insert")
+    maintenance.cluster(table, ["ts"], maintenance.table_bytes(spark, f"{table.path}/log") // 24)
+    rows = spark.read.option("basePath", f"{table.path}/base/{table.base_dir()}").parquet(*table.base_paths())
+    report = layout.clustering_report(rows, ["ts", "event_id"], ["event_type"])
+    return report.select("event_type", "n_rows", "overlapping")
+
+
+def column_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the orders' columns from the catalog; the distinct count is held against the exact one."""
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    name = "orders_stats_" + scratch_dir(spark, "s").rsplit("-", 1)[1]
+    spec = TableSpec(name=name, keys=("o_orderkey",), key_scope="table", table_type="MERGE_ON_READ")
+    table = CommitLogTable.create(spark, scratch_dir(spark, name), spec)
+    table.write(orders, "insert")
+    catalog.register(spark, table, name)
+    maintenance.analyze(spark, name, orders.columns)
+    stats = maintenance.column_stats(spark, name, orders.columns)
+    exact = spark.table(name).agg(*[F.count_distinct(c).alias(c) for c in orders.columns]).unpivot([], orders.columns, "column_name", "exact")
+    # the catalog's estimate may be off by three times its standard error
+    near = F.abs(F.col("distinct_count").cast("double") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.15)
+    return stats.join(exact, "column_name").select(
+        "column_name", "min", "max", F.col("num_nulls").cast("long").alias("num_nulls"), near.alias("distinct_near"))
+
+
+def checkpoint_observed(spark: SparkSession, sf: str) -> DataFrame:
+    """The checkpoint's commit is observed while the rows go to the sink, in one scan."""
+    store = CheckpointStore(spark, scratch_dir(spark, "checkpoints"))
+    store.write("orders", f"{sf}/orders.parquet", INC_BEGIN_DAY)
+    source = ChangeFeedSource(_t(spark, sf, "orders"), commit_time_of("o_orderdate"), "orders", f"{sf}/orders.parquet", day_col="o_orderdate")
+    out = scratch_dir(spark, "observed")
+    ObservedReader(store, source).deliver(lambda rows: rows.write.parquet(out))
+    latest = store.read("orders")
+    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("last_processed_commit", F.lit(latest.last_processed_commit))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_orders_join": customer_orders_join,
     "precombine_latest": precombine_latest,
@@ -667,4 +751,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_attribute_subset": item_attribute_subset,
     "metrics_after_changes": metrics_after_changes,
     "stream_join_items": stream_join_items,
+    "item_segments_join": item_segments_join,
+    "item_writer_put": item_writer_put,
+    "gen_orders_for_customers": gen_orders_for_customers,
+    "small_file_rewrite": small_file_rewrite,
+    "clustered_layout": clustered_layout,
+    "column_stats": column_stats,
+    "checkpoint_observed": checkpoint_observed,
 }

@@ -27,13 +27,14 @@ from tidemark.operators.keyed import precombine
 from tidemark.plans.commitlog import CommitLogTable, TableSpec, WriteOptions
 
 
-def _item_frame(
+def item_frame(
     df: DataFrame,
     hash_key: str,
-    range_key: str | None,
-    attributes: Sequence[str] | None,
-    order_by: Sequence[str] | None,
+    range_key: str | None = None,
+    attributes: Sequence[str] | None = None,
+    order_by: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Keys and attributes (as text) of every item; with ``order_by`` one per key."""
     keys = [hash_key] + ([range_key] if range_key else [])
     attrs = [c for c in (attributes if attributes is not None else df.columns) if c not in keys]
     if order_by:
@@ -90,7 +91,7 @@ class KeyedSink:
         fails: reads resolve leftover duplicates with the same ordering the
         pre-combine would have used.
         """
-        items = _item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
+        items = item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
         # With order_by the batch is already one row per key; without it the
         # upsert pre-combines on every attribute so the winner is deterministic.
         op = "insert" if (self.order_by or unique_keys) else "upsert"
@@ -100,7 +101,7 @@ class KeyedSink:
         """K21 on the store: write only items whose key is not stored yet;
         stored items are left as they are. Returns the commit time (None when
         every key was present)."""
-        items = _item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
+        items = item_frame(df, self.hash_key, self.range_key, self.attributes, self.order_by)
         table = self.ensure().refresh()  # stored keys as of now, other writers included
         if table.last_commit() is not None:
             items = items.join(table.snapshot().select(*self.keys), on=self.keys, how="left_anti")
@@ -128,7 +129,7 @@ def put_partitions(
     batches. Puts are idempotent by key, so task retries and speculative
     copies are safe.
     """
-    items = _item_frame(df, hash_key, range_key, attributes, order_by)
+    items = item_frame(df, hash_key, range_key, attributes, order_by)
     keys = [hash_key] + ([range_key] if range_key else [])
     # Partition on the full item key: each key is still sent by exactly one
     # task, and a hash key owning a large share of items spreads over tasks.

@@ -7,7 +7,8 @@ an existing table) and the output is deterministic. Values follow the
 reference's shapes: every column is text except the ids, ``order_value`` is
 an integer 10..1000 rendered as text, ``priority`` one of three levels,
 ``order_date`` a ``yyyy-MM-dd`` day within 30 days of the anchor, and every
-order's ``customer_id`` is one of the generated customers (ids ``0..n-1``).
+order's ``customer_id`` is one of the generated customers (ids ``0..n-1``), or
+of a given set of ids (``orders_for_customers``).
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.numbering import dense_numbers
+
 # The reference's order priorities and date window.
 PRIORITIES = ("LOW", "MEDIUM", "HIGH")
 ORDER_DAYS_BACK = 30
@@ -64,6 +67,21 @@ def orders_from_ids(ids: DataFrame, n_customers: int | Column, id_col: str = "i"
     )
 
 
+def orders_for_customers(ids: DataFrame, customers: DataFrame, customer_col: str, id_col: str = "i") -> DataFrame:
+    """S11 over given customers: every order draws, with replacement, one of the ids in ``customers``.
+
+    Any set of ids will do, sparse or of another type: ids are numbered densely and the draws
+    joined to the numbers, so every order has a customer of the set.
+    """
+    numbered, n = dense_numbers(customers, customer_col)
+    if n < 1:
+        raise ValueError("orders need at least one customer to belong to")
+    drawn = orders_from_ids(ids, n, id_col)
+    numbered = numbered.select(F.col("number").alias("__tm_draw"), F.col(customer_col).alias("__tm_id"))
+    met = drawn.join(numbered, drawn["customer_id"] == numbered["__tm_draw"])
+    return met.select(*[c for c in drawn.columns if c != "customer_id"], F.col("__tm_id").alias("customer_id"))
+
+
 def generate_customers(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
     return customers_from_ids(spark.range(0, n, 1, num_partitions).withColumnRenamed("id", "i"))
 

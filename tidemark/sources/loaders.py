@@ -10,8 +10,9 @@ its checkpoint) and registered as a temp view under ``spark_table_name``:
 
 ``TABLE`` is a tidemark commit-log table (the reference's lake table),
 ``PARQUET`` a plain dataset (INC needs ``commit_expr``, a SQL expression
-giving each row's commit time), ``ITEMS`` a key-value item export
-(schema inferred), ``SQL`` a view defined by ``query`` over views loaded
+giving each row's commit time; where that is a date column's day, naming it as
+``day_col`` brings the range to the scan), ``ITEMS`` a key-value item export
+(schema inferred; with ``schema`` it is scanned by ``segments`` tasks), ``SQL`` a view defined by ``query`` over views loaded
 before it.
 
 Unknown kinds always raise (decision D7). Read errors raise unless
@@ -35,6 +36,7 @@ from tidemark.plans.incremental import (
     IncrementalReader,
     PendingCheckpoint,
 )
+from tidemark.sources.item_files import scan_items
 from tidemark.sources.items import read_items
 
 SOURCE_TYPES = ("TABLE", "PARQUET", "ITEMS", "SQL")
@@ -53,6 +55,9 @@ class SourceSpec:
     select: tuple[str, ...] | None = None
     increment_mode: str = "latest_state"
     max_commits: int | None = None
+    schema: str | None = None
+    segments: int | None = None
+    day_col: str | None = None
 
     @classmethod
     def from_dict(cls, d: dict) -> SourceSpec:
@@ -113,6 +118,8 @@ class Loaders:
         if spec.source_type == "SQL":
             return spark.sql(spec.query), None
         if spec.source_type == "ITEMS":
+            if spec.schema:
+                return scan_items(spark, spec.path, spec.schema, spec.segments), None
             return read_items(spark, spec.path), None
         if spec.source_type == "TABLE":
             table = CommitLogTable.open(spark, spec.path)
@@ -127,7 +134,7 @@ class Loaders:
                 return df, None
             if not spec.commit_expr:
                 raise ValueError(f"INC over PARQUET needs commit_expr ({spec.spark_table_name})")
-            source = ChangeFeedSource(df, F.expr(spec.commit_expr), spec.table_name or spec.spark_table_name, spec.path)
+            source = ChangeFeedSource(df, F.expr(spec.commit_expr), spec.table_name or spec.spark_table_name, spec.path, spec.day_col)
         if self.store is None:
             raise ValueError("INC sources need check_point_buckets")
         df, pending = IncrementalReader(self.store, source, spec.max_commits).read()
