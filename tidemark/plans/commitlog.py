@@ -78,6 +78,12 @@ def per_commit_winners(versions: DataFrame, keys: list[str], order: list[str]) -
     return data.unionByName(versions.filter(F.col(DELETED_COL)))
 
 
+def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join on resolution keys; a NULL partition value equals itself."""
+    right = right.select(*[F.col(k).alias(f"__tm_key_{i}") for i, k in enumerate(keys)])
+    return left.join(right, [left[k].eqNullSafe(right[f"__tm_key_{i}"]) for i, k in enumerate(keys)], how)
+
+
 def resolve_versions(
     versions: DataFrame,
     keys: list[str],
@@ -123,6 +129,7 @@ class TableSpec:
     key_scope: str = "partition"
     merge_mode: str = "incoming_wins"
     table_type: str = "COPY_ON_WRITE"
+    compression: str = "snappy"  # codec of writes and rewrites that name none (K10)
 
     def __post_init__(self):
         object.__setattr__(self, "keys", tuple([self.keys] if isinstance(self.keys, str) else self.keys))
@@ -195,7 +202,7 @@ class CommitLogTable:
             if not exist_ok:
                 raise FileExistsError(path)
             table = cls.open(spark, path)
-            other = [k for k, v in asdict(spec).items() if asdict(table.spec)[k] != v]
+            other = [k for k, v in asdict(spec).items() if k != "compression" and asdict(table.spec)[k] != v]
             if other:
                 raise ValueError(f"the table at {path} was created with other settings: {', '.join(other)}")
             return table
@@ -406,7 +413,7 @@ class CommitLogTable:
         """
         if operation not in OPERATIONS:
             raise ValueError(f"operation must be one of {OPERATIONS}, got {operation!r}")
-        options = options or WriteOptions()
+        options = options or WriteOptions(compression=self.spec.compression)
         self._reload_schema()
         spec = self.spec
         keys = spec.resolve_keys
@@ -462,7 +469,7 @@ class CommitLogTable:
         one, commits that do not sort after the newest are refused: a reader
         whose checkpoint is past them would never see them.
         """
-        options = options or WriteOptions()
+        options = options or WriteOptions(compression=self.spec.compression)
         self._reload_schema()
         if batch_id is not None:
             name = f"{batch_id}{DELETE_SUFFIX}" if with_tombstones else batch_id
@@ -655,7 +662,7 @@ class CommitLogTable:
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
         if of is not None:
-            log = log.join(of, on=self.spec.resolve_keys, how="left_semi")
+            log = key_join(log, of, self.spec.resolve_keys, "left_semi")
         batches, _ = self.pin()
         if (
             self._fast_path
@@ -671,7 +678,7 @@ class CommitLogTable:
             return self._finish(self._resolve(log), with_meta)
         keys = self.spec.resolve_keys
         if of is not None:
-            base = base.join(of, on=keys, how="left_semi")
+            base = key_join(base, of, keys, "left_semi")
         after = log.filter(F.col(COMMIT_COL) > F.lit(base_end))
         touched = after.select(*keys).distinct()
         quiet = None
@@ -681,9 +688,9 @@ class CommitLogTable:
             hit = self._partition_match(self.touched_partitions(base_end))
             quiet = base.filter(~F.coalesce(hit, F.lit(False)))
             base = base.filter(hit)
-        untouched = base.join(touched, on=keys, how="left_anti")
+        untouched = key_join(base, touched, keys, "left_anti")
         if self.spec.merge_mode == "event_time":
-            after = base.join(touched, on=keys, how="left_semi").unionByName(after)
+            after = key_join(base, touched, keys, "left_semi").unionByName(after)
         redo = self._resolve(after)
         out = untouched.unionByName(redo)
         if quiet is not None:
@@ -772,7 +779,7 @@ class CommitLogTable:
             if self.spec.merge_mode == "incoming_wins":
                 return self._finish(self._resolve(log.filter(in_range)), with_meta)
             changed = log.filter(in_range).select(*keys).distinct()
-            return self._finish(self._resolve(log.join(changed, on=keys, how="left_semi")).filter(in_range), with_meta)
+            return self._finish(self._resolve(key_join(log, changed, keys, "left_semi")).filter(in_range), with_meta)
         base = self._base()
         if self.spec.merge_mode == "incoming_wins" and base is not None:
             # a base row keeps its own commit, and one at or before begin never wins
@@ -788,9 +795,9 @@ class CommitLogTable:
         changed = changed.distinct()
         # cut each key to one version per commit before joining on the key,
         # so a hot key's history does not pile into one semi-join task
-        versions = per_commit_winners(history, keys, self._order(history)).join(changed, on=keys, how="left_semi")
+        versions = key_join(per_commit_winners(history, keys, self._order(history)), changed, keys, "left_semi")
         if base is not None:
-            versions = base.join(changed, on=keys, how="left_semi").unionByName(versions)
+            versions = key_join(base, changed, keys, "left_semi").unionByName(versions)
         out = self._resolve(versions, reduced=True).filter(in_range)
         return self._finish(out, with_meta)
 
@@ -833,7 +840,7 @@ class CommitLogTable:
         replaces; one left without rows (all keys deleted) is created empty so
         it hides the older base. Staged and renamed like log batches.
         """
-        options = options or WriteOptions()
+        options = options or WriteOptions(compression=self.spec.compression)
         stamp = _dt.datetime.now(_dt.timezone.utc).strftime(COMMIT_FORMAT)
         name = f"{BATCH_COL}={end}~{stamp}"
         staging = f"{self.path}/_staging/base-{name}"

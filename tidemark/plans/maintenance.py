@@ -112,7 +112,7 @@ def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None
             data = data.join(tombs, on=cond, how="left_anti")
         kept = retain_latest_versions(data, keys, order, n).drop(DELETED_COL)
         staging = f"{table.path}/_staging/history-{end}-{n}-{uuid.uuid4().hex[:8]}"
-        compression = (options or WriteOptions()).compression
+        compression = (options or WriteOptions(compression=table.spec.compression)).compression
         kept.write.mode("errorifexists").option("compression", compression).parquet(staging)
         fs.rename(table.spark, staging, target)
         table.compact(options)

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.flags import parse_flag
+from tidemark.plans import catalog, maintenance
 from tidemark.plans.commitlog import CommitLogTable, TableSpec, WriteOptions
 
 # The reference's sizes and limits for these features.
@@ -72,6 +73,7 @@ class WriteConfig:
             key_scope=INDEX_SCOPES[self.index_type],
             merge_mode=self.merge_mode,
             table_type=self.table_type,
+            compression=self.compression or "snappy",
         )
 
     def write_options(self) -> WriteOptions:
@@ -92,8 +94,6 @@ class WriteConfig:
 
 def upsert_table(spark: SparkSession, df: DataFrame, config: WriteConfig) -> str | None:
     """Write ``df`` to ``config.target_path``; returns the commit time (None if empty)."""
-    from tidemark.plans import catalog, maintenance  # local: maintenance imports this module
-
     rows = df
     if parse_flag(config.use_sql_transformer):
         rows = apply_sql_transform(spark, df, config.sql_transformer_query)
@@ -111,7 +111,7 @@ def upsert_table(spark: SparkSession, df: DataFrame, config: WriteConfig) -> str
     elif due and config.table_type == "COPY_ON_WRITE":
         table.compact(config.write_options())
     if parse_flag(config.enable_cleaner):
-        # without a compaction cadence the cleaner runs after every write
+        # without a compaction cadence the cleaner runs after every write, as the reference's does
         maintenance.retain_versions_if_due(table, RETAINED_VERSIONS, max(1, config.compact_every), config.write_options())
     if parse_flag(config.enable_hive_sync):
         catalog.register(spark, table, config.table_name, config.glue_database, options=config.write_options())
