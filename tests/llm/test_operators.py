@@ -455,88 +455,43 @@ def test_packing_keeps_everything_within_its_constraints(spark, docs):
 
 
 # -------------------------------------------------------------- LM scores
-def brute_ctw(training: list[list[tuple[bytes, int]]], word: bytes, symbol: int, depth: int = ctw.DEPTH) -> float:
-    """log10 P(word | symbol) by context trees held as dictionaries."""
-    counts: dict = {}
-
-    def steps(w, s):
-        filling = ctw.FILLING
-        said = filling * (depth - 1) + bytes([ctw.SYMBOLS[s]]) + (w if w == ctw.END_WORD else w + b" ")
-        for i in range(depth, len(said)):
-            context, symbol_ = said[i - depth : i][::-1], said[i]
-            for k in range(8):
-                yield context, (256 | symbol_) >> (8 - k), symbol_ >> (7 - k) & 1
-
-    for doc in training:
-        for w, s in doc:
-            for context, node, bit in steps(w, s):
-                for d in range(depth + 1):
-                    counts.setdefault((node, context[:d]), [0, 0])[bit] += 1
-    children: dict = {}
-    for node, context in counts:
-        if context:
-            children.setdefault((node, context[:-1]), set()).add((node, context))
-
-    def kt(n):
-        return math.lgamma(n[0] + 0.5) + math.lgamma(n[1] + 0.5) - math.log(math.pi) - math.lgamma(sum(n) + 1)
-
-    mixed: dict = {}
-    for key in sorted(counts, key=lambda x: -len(x[1])):
-        own = kt(counts[key])
-        below = sum(mixed[c] for c in children.get(key, ()))
-        mixed[key] = own if len(key[1]) == depth else math.log(0.5 * math.exp(own) + 0.5 * math.exp(below)) if max(own, below) > -600 else np.logaddexp(own, below) - math.log(2)
-
-    total = 0.0
-    for context, node, bit in steps(word, symbol):
-        p = 0.5
-        for d in range(depth, -1, -1):
-            n = counts.get((node, context[:d]), [0, 0])
-            one = (n[1] + 0.5) / (sum(n) + 1)
-            w = 1.0 if d == depth else math.exp(kt(n) - math.log(2) - mixed[node, context[:d]]) if sum(n) else 0.5
-            p = w * one + (1 - w) * p if d < depth else one
-        total += math.log10(p if bit else 1 - p)
-    return total
-
-
-def test_lm_scores_equal_brute_force(spark, docs):
+def test_lm_base_equals_brute_force(spark, docs):
     rows = [r for r in ROWS if r[0] not in (7, 8)] + [(50 + i, sentence(30, 40 + i) + " ünï THE the the", "en", "a", 0) for i in range(20)]
-    df = clashing(spark.createDataFrame(rows, DOCS), "hash", "block", "c", "held")
-    out = ctw.score_texts(df).toPandas()
+    out = ctw.score_texts(clashing(spark.createDataFrame(rows, DOCS), "keys", "block", "bin", "held", "score")).toPandas()
     texts = [[*(r[1] or "").encode().lower().split(), ctw.END_WORD] for r in rows]
     held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 == 2 for r in rows]
     c = Counter(w for t, h in zip(texts, held) if not h for w in t)
     n, v = sum(c.values()), len(c)
-    hash_of = lambda w: int(words.hash_words(*words.text_bytes(pa.array([w.decode()])))[0].view(np.int64)[0])
-    often = sorted((w for w in c if w != ctw.END_WORD), key=lambda w: (-c[w], hash_of(w)))[: ctw.TOPICS]
-    topic = {w: i + 1 for i, w in enumerate(often)}
-
-    def pairs(t):
-        last, out = 0, []
-        for w in t:
-            out.append((w, last))
-            last = topic.get(w, last)
-        return out
-
-    training = [pairs(t) for t, h in zip(texts, held) if not h]
-    want = []
-    for t in texts[-6:] + texts[:6]:
-        want.append(sum(brute_ctw(training, w, s) for w, s in pairs(t)[:4]))
-    # whole texts for the counts and the base, the first words' bytes for the model
-    base = {}
-    for r, t, h in zip(rows, texts, held):
-        base[r[0]] = (h, len(t), sum(c[w] > 0 for w in t), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t))
-    assert len(out) == len(rows)
-    for r in out.itertuples():
-        h, length, known, total, b = base[None if pd.isna(r.doc_id) else int(r.doc_id)]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (h, length, known, total) and r.base_score == pytest.approx(b)
-        assert r.score < 0 and r.bits_per_byte > 0
-    short = spark.createDataFrame([(9000 + i, " ".join(w.decode() for w, _ in pairs(t)[:3]), "", "", 0) for i, t in enumerate(texts[-6:])], DOCS)
-    both = ctw.score_texts(df.select(*docs.columns).unionByName(short), held=(F.col("doc_id") >= 9000) | F.coalesce(ctw.held_out(F.col("doc_id")), F.lit(False)))
-    got = {r["doc_id"]: r["score"] for r in both.filter("doc_id >= 9000").collect()}
-    for i, t in enumerate(texts[-6:]):
-        said = pairs([w for w, _ in pairs(t)[:3]] + [ctw.END_WORD])
-        assert got[9000 + i] == pytest.approx(sum(brute_ctw(training, w, s) for w, s in said), rel=1e-9)
-    assert ctw.score_texts(spark.createDataFrame([], DOCS)).count() == 0
+    want = Counter((r[0], h, len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t), 6)) for r, t, h in zip(rows, texts, held))
+    got = Counter((None if pd.isna(r.doc_id) else int(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out.itertuples())
+    assert got == want and (out.score < 0).all() and (out.bits_per_byte > 0).all()
+
+
+def test_lm_lists_pack_without_loss():
+    r = np.random.default_rng(2)
+    x = np.unique(r.integers(-(2**62), 2**62, 1000))
+    assert (ctw.unpack_sorted(ctw.pack_sorted(x)) == x).all() and (ctw._numbers(ctw._planes(x)).view(np.int64) == x).all()
+    p = np.concatenate([-r.exponential(size=1000), [0.0, -1e-300, -40.0]])
+    assert np.allclose(ctw.unpack_shares(ctw.pack_shares(p)), p, rtol=1e-11, atol=0)
+
+
+@pytest.mark.parametrize("merge, trees", [(5, 3), (4_000_000, 50_000)])
+def test_lm_bins_merge_in_bounded_steps(monkeypatch, merge, trees):
+    monkeypatch.setattr(ctw, "MERGE_KEYS", merge)
+    monkeypatch.setattr(ctw, "TREE_KEYS", trees)
+    r = np.random.default_rng(4)
+    want, merged = Counter(), ctw._Merged()
+    for _ in range(20):
+        keys = np.unique(r.integers(0, 60, 12))
+        weights = r.integers(0, 5, len(keys))
+        merged.add(ctw.pack_sorted(keys), ctw._planes(weights))
+        want.update(dict(zip(keys.tolist(), weights.tolist())))
+    keys, sums = merged.sums()
+    assert dict(zip(keys.tolist(), sums.tolist())) == dict(want) | {k: 0 for k in keys.tolist() if k not in want}
+    keys = np.unique(r.integers(0, 2**28, 500))
+    spans = list(ctw._chunks(keys))
+    assert [x for s in spans for x in keys[s].tolist()] == keys.tolist()
+    assert len({int(k) for s in spans for k in np.unique(keys[s] >> 24)}) == sum(len(np.unique(keys[s] >> 24)) for s in spans)
 
 
 # ----------------------------------------------------------------- tokens
@@ -578,9 +533,10 @@ def test_scan_stitches_blocks(spark, block):
 
 def test_lm_depth_is_not_cut_for_the_disk_figure():
     assert ctw.DEPTH >= 6
-    keys, _ = ctw.word_keys([b"abcdefg"], np.zeros(1, np.int64))
-    # the last byte before the space sees all six bytes before it
-    assert keys[6] == int.from_bytes(b"fedcbag", "big")
+    keys, lengths = ctw.running_keys([b"abcdefg ", b"", b"x"])
+    # every byte sees the six bytes of its own text before it, the latest first
+    assert keys[6] == int.from_bytes(b"fedcbag", "big") and keys[0] == keys[8] - 23 == int.from_bytes(b"      a", "big")
+    assert len(keys) == 9 and lengths.tolist() == [8, 0, 1]
 
 
 def brute_running(training: list[bytes], text: bytes, depth: int = ctw.DEPTH) -> float:
@@ -625,7 +581,7 @@ def test_lm_contexts_run_over_spaces(spark, docs):
     rows = [r for r in ROWS if r[0] not in (7, 8)] + [(50 + i, t, "en", "a", 0) for i, t in enumerate(phrases)]
     rows += [(9000, "ab cd ab cd", "", "", 0), (9001, "ab zw xy cd", "", "", 0), (9002, None, "", "", 0)]
     df = clashing(spark.createDataFrame(rows, DOCS), "hash", "block", "c", "held", "keys")
-    out = ctw.score_running_texts(df, held=F.col("doc_id") >= 9000).collect()
+    out = ctw.score_texts(df, held=F.col("doc_id") >= 9000).collect()
     texts = [(i, b"".join(w + b" " for w in (t or "").encode().lower().split()) + ctw.END_WORD) for i, t, *_ in rows]
     training = [t for i, t in texts if i is None or i < 9000]
     got = {x["doc_id"]: x for x in out}
@@ -640,4 +596,4 @@ def test_lm_contexts_run_over_spaces(spark, docs):
     said = [*texts[-2][1].split(), ctw.END_WORD]
     assert got[9001]["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in said))
     assert (got[9001]["n_known"], got[9001]["n_tokens"], got[9001]["train_tokens"]) == (5, 5, n)
-    assert ctw.score_running_texts(spark.createDataFrame([], DOCS)).count() == 0
+    assert ctw.score_texts(spark.createDataFrame([], DOCS)).count() == 0

@@ -2,71 +2,62 @@
 
 A text is its lower-cased words, each followed by a space, then one end mark.
 Every byte is eight binary decisions (255 nodes of a byte tree), each with
-a context tree of its own over ``DEPTH`` symbols: the word's bytes so far, latest
-first, then one symbol for the frequent word seen last in the text (the
-``TOPICS`` most frequent words of the training texts stand in for what was said
-before), then filling. So a word's probability depends on the word and that
-symbol alone. Every tree node has a Krichevsky-Trofimov estimate from the training
-counts, and the weighted mixture over all depths gives the probability:
-``P_w = (P_kt + product of the children's P_w) / 2``. A word's probability is
-the product over its bytes; code length per byte follows.
+a context tree of its own over the ``DEPTH`` bytes before, latest first, whatever words
+they belong to; before the start of a text stands filling. Every tree node has a
+Krichevsky-Trofimov estimate from the training counts, and the weighted mixture over
+all depths gives the probability: ``P_w = (P_kt + product of the children's P_w) / 2``.
+A text's probability is the product over its bytes; code length per byte follows.
 
 How the work is dealt out:
 
-- One scan turns texts into blocks: documents as word numbers, and each block's
-  distinct words with training counts. Nothing later reads a text again.
-- Each block then lists its distinct pairs of word and symbol.
-- Words, pairs and byte contexts are counted by shuffles with partial counts before.
-- Trees are independent below the last two context bytes, so these deal them
-  out; the two uppermost levels are at most 256 x 255 nodes, whatever the corpus,
-  and only these reach the driver.
-- Probabilities travel back by joins on context, word and block. No model is
-  broadcast, a task holds one block, one part of the vocabulary or one subtree.
-
-``score_texts`` is the model above. The registered query runs ``score_running_texts``,
-whose contexts are the ``DEPTH`` bytes before, whatever words they belong to:
-
-- Each block lists its distinct (context, byte) keys with training counts, packed into
-  one row per subtree (the last two bytes before); these rows are what is shuffled.
-- A task holds one subtree's keys and builds their trees one third byte at a time.
-- Probabilities go back in the order of the block's own keys, without the keys.
+- One scan turns texts into blocks. A block is one row with its documents as word
+  numbers, and packed lists of its distinct (context, byte) keys and of its words, with
+  training counts. Lists are dealt to ``BINS`` by the last three context bytes (words: by
+  hash), a row per block and bin.
+- A bin's lists are merged as they stream by, so a task holds the distinct keys of one
+  bin, however many blocks there are, and builds the trees of some ten thousand keys at a
+  time. It gives the merged list and the nodes of depth 3.
+- Nodes of depth 2 are sums of these by a shuffle. The two uppermost levels are at most
+  256 x 255 nodes, whatever the corpus; only these reach the driver.
+- Bins then meet their nodes' shares of the levels above, and answer every block's list
+  with the probabilities of its keys, in the order of the list.
+- Blocks meet the answers: the one time that documents are shuffled.
+
+Probabilities travel with 36 bits of their mantissa (rounded; 7e-12 of the value). No model
+is broadcast.
 
 The unigram base counts words as whole tokens with add-one smoothing.
 
 Defined cases: null and empty texts are the end mark alone; without training
 texts all counts are 0 and every bit costs one bit; repeated rows count each
-time; a null id is scored like any other row.
+time; a null id is scored like any other row. Other columns take no part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import partial
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import crc_mod, written
-from tidemark.llm.words import SEGMENT, U, hash_words, text_batches, text_bytes, word_spans
+from tidemark.llm.words import SEGMENT, U, hash_words, mix, text_batches, text_bytes, word_spans
 
 DEPTH = 6
-TOPICS = 12
-BLOCK_BYTES = 24 * SEGMENT
-RUN_BYTES = 12 * SEGMENT
-PART_WORDS = 300_000
+BLOCK_BYTES = 12 * SEGMENT
+BINS = 1024
+#: Keys whose trees are built at once, and keys gathered before they are merged.
+TREE_KEYS = 50_000
+MERGE_KEYS = 4_000_000
 END_HASH, END_WORD = 0, b"\n"
-
-#: Symbols before a word: none or one of TOPICS; bytes that UTF-8 never uses. Then filling.
-SYMBOLS = np.array([0xC0, 0xC1, *range(0xF5, 0x100)], np.uint8)
 FILLING = b"\x20"
 
-BLOCKS = ("kind int, block long, idx int, hash long, word binary, n_train long, "
-          "doc_id long, held boolean, n_tokens long, n_bytes long, ids binary")
-PARTS = "kind int, part string, key long, weight long, hash long, symbol int, c long, word binary"
+BLOCK, KEYS, WORDS = range(3)
+ROWS = ("kind int, block long, bin int, keys binary, weights binary, "
+        "doc_ids array<long>, held array<boolean>, tokens array<long>, words binary, ids binary")
 
 _LN2 = np.log(2.0)
 
@@ -84,31 +75,6 @@ def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return log_gamma(n0 + 0.5) + log_gamma(n1 + 0.5) - np.log(np.pi) - log_gamma(n0 + n1 + 1.0)
 
 
-def word_keys(words: list[bytes], symbols: np.ndarray, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """(key of every byte of every word, number of bytes of each word).
-
-    A key is the context, latest first, then the byte itself.
-    """
-    ended = [w if w == END_WORD else w + b" " for w in words]
-    pad = FILLING * depth
-    stream = np.frombuffer(b"".join(pad + w for w in ended), np.uint8).astype(np.int64)
-    lengths = np.array([len(w) for w in ended], np.int64)
-    ends = np.cumsum(lengths + depth)
-    stream[ends - lengths - 1] = SYMBOLS[symbols]
-    at = np.arange(int(lengths.sum())) + np.repeat(ends - np.cumsum(lengths), lengths)
-    key = np.zeros(len(at), np.int64)
-    for back in range(1, depth + 1):
-        key = key << 8 | stream[at - back]
-    return key << 8 | stream[at], lengths
-
-
-def symbols_before(topic: np.ndarray) -> np.ndarray:
-    """Of each word of a text the topic (over 0) of the last word before it that has one."""
-    last = np.maximum.accumulate(np.where(topic > 0, np.arange(len(topic)), -1))
-    last = np.concatenate([[-1], last[:-1]])
-    return np.where(last >= 0, topic[last], 0)
-
-
 class Tree:
     """The nodes of all depths from ``depth`` up to ``top`` that the given keys touch.
 
@@ -149,116 +115,233 @@ class Tree:
         return np.log10(np.where(self.bit == 1, one, 1.0 - one)).sum(1)
 
 
-def _scan(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+# ------------------------------------------------------------ packed lists
+def _planes(x: np.ndarray, width: int = 8) -> bytes:
+    """The lower ``width`` bytes of 64-bit numbers, plane by plane, compressed."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T[:width]).tobytes(), 3)
+
+
+def _numbers(x: bytes, width: int = 8) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(x), np.uint8).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.reshape(-1).view(np.uint64)
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    return _planes(np.diff(x, prepend=x.dtype.type(0)))
+
+
+def unpack_sorted(x: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(x).view(np.int64))
+
+
+def pack_shares(p: np.ndarray) -> bytes:
+    """Doubles rounded to their upper 48 bits."""
+    return _planes((p.view(np.uint64) + U(0x8000)) >> U(16), 6)
+
+
+def unpack_shares(x: bytes) -> np.ndarray:
+    return (_numbers(x, 6) << U(16)).view(np.float64)
+
+
+def key_bins(keys: np.ndarray) -> np.ndarray:
+    """Bin of every key: by the last three bytes before."""
+    return (mix((keys >> 8 * (DEPTH - 2)).astype(U)) % U(BINS)).astype(np.int64)
+
+
+def hash_bins(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes.view(U)) % U(BINS)).astype(np.int64)
+
+
+def _spans(bins: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bin, first, behind) of the runs of sorted bins."""
+    found, first = np.unique(bins, return_index=True)
+    yield from zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(bins)], strict=True)
+
+
+# ------------------------------------------------------------------ blocks
+def running_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(key of every byte of the texts, bytes of each text).
+
+    A key is the ``DEPTH`` bytes of its text before it, latest first, then the byte itself.
+    """
+    pad = FILLING * DEPTH
+    lengths = np.array([len(t) for t in texts], np.int64)
+    stream = b"".join([pad + t for t in texts]) + bytes(8)
+    # eight bytes from DEPTH before every place: a little-endian number with the latest byte first
+    window = np.ndarray((len(stream) - 8,), "<u8", stream, strides=(1,))
+    own = np.ones(len(window), bool)
+    starts = np.cumsum(lengths + DEPTH) - lengths
+    for back in range(1, DEPTH + 1):
+        own[starts - back] = False
+    at = np.flatnonzero(own) - DEPTH
+    seen = window[at]
+    return ((seen & U((1 << 8 * DEPTH) - 1)) << U(8) | seen >> U(8 * DEPTH) & U(255)).view(np.int64), lengths
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    names = [x.split()[0] for x in BLOCKS.split(", ")]
+    types = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("bin", pa.int32()), ("keys", pa.binary()), ("weights", pa.binary()),
+                       ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("tokens", pa.list_(pa.int64())),
+                       ("words", pa.binary()), ("ids", pa.binary())])
     part = TaskContext.get().partitionId()
-    for number, batch in enumerate(text_batches(batches, "text", most)):
+
+    def rows(n: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in types], schema=types)
+
+    def lists(kind: int, block: int, bins: np.ndarray, keys: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
+        spans = list(_spans(bins))
+        return rows(len(spans), kind=[kind] * len(spans), block=[block] * len(spans), bin=[b for b, _, _ in spans],
+                    keys=[pack_sorted(keys[a:z]) for _, a, z in spans], weights=[_planes(weights[a:z]) for _, a, z in spans])
+
+    for number, batch in enumerate(text_batches(batches, "text", BLOCK_BYTES)):
         block, n = part << 24 | number, batch.num_rows
         data, offsets = text_bytes(batch.column("text"))
         start, end = word_spans(data, offsets)
         word, text = hash_words(data, offsets)
         held = np.array(batch.column("held").to_pylist(), bool)
         found, first, number_of = np.unique(word, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        said = [raw[a:b] for a, b in zip(start[first], end[first], strict=True)]
+        # frequent words have small numbers; the end mark has the last one
         times = np.bincount(number_of, minlength=len(found))
-        train = np.bincount(number_of, (~held)[text], len(found)).astype(np.int64)
         order = np.argsort(-times, kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        ids = rank[number_of].astype(np.uint32)
-        end_mark = np.uint32(len(order)).tobytes()
         tokens = np.bincount(text, minlength=n)
-        size = np.bincount(text, end - start + 1, n).astype(np.int64)
-        cut = np.concatenate([[0], np.cumsum(tokens)])
-        docs = {"kind": pa.array([0] * n, pa.int32()), "block": pa.array([block] * n, pa.int64()), "doc_id": batch.column("doc_id"),
-                "held": pa.array(held), "n_tokens": pa.array(tokens + 1, pa.int64()), "n_bytes": pa.array(size + 1),
-                "ids": pa.array([ids[a:b].tobytes() + end_mark for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())}
-        raw, v = data.tobytes(), len(order) + 1
-        some = first[order]
-        words = {"kind": pa.array([1] * v, pa.int32()), "block": pa.array([block] * v, pa.int64()),
-                 "idx": pa.array(np.arange(v), pa.int32()),
-                 "hash": pa.array(np.concatenate([found[order].view(np.int64), [END_HASH]])),
-                 "word": pa.array([*(raw[a:b] for a, b in zip(start[some], end[some], strict=True)), END_WORD], pa.binary()),
-                 "n_train": pa.array(np.concatenate([train[order], [int((~held).sum())]]))}
-        types = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("idx", pa.int32()), ("hash", pa.int64()), ("word", pa.binary()),
-                           ("n_train", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("n_tokens", pa.int64()),
-                           ("n_bytes", pa.int64()), ("ids", pa.binary())])
-        # the hashes of all words by number, in one row
-        numbers = {"kind": pa.array([2], pa.int32()), "block": pa.array([block], pa.int64()),
-                   "ids": pa.array([np.concatenate([found[order].view(np.int64), [END_HASH]]).tobytes()], pa.binary())}
-        for rows, count in ((docs, n), (words, v), (numbers, 1)):
-            yield pa.RecordBatch.from_arrays([rows.get(c, pa.nulls(count, types.field(c).type)) for c in names], schema=types)
-
-
-def _pairs(topics: list[int]):
-    def pair(rows: pa.Table) -> pa.Table:
-        """Distinct (word, symbol before it) of a block with training counts."""
-        kind, ids, held = (rows.column(c).to_pylist() for c in ("kind", "ids", "held"))
-        hashes = np.frombuffer(ids[kind.index(2)], np.int64)
-        topic = np.zeros(len(hashes), np.int64)
-        for i, h in enumerate(topics):
-            topic[hashes == h] = i + 1
-        codes, train = [], []
-        for what, x, out in zip(kind, ids, held, strict=True):
-            if what == 0:
-                said = np.frombuffer(x, np.uint32).astype(np.int64)
-                codes.append(said << 4 | symbols_before(topic[said]))
-                train.append(np.full(len(said), not out))
-        code, at = np.unique(np.concatenate(codes), return_inverse=True)
-        weight = np.bincount(at, np.concatenate(train), len(code)).astype(np.int64)
-        return pa.table({"block": pa.array(np.full(len(code), rows.column("block")[0].as_py()), pa.int64()), "idx": pa.array(code >> 4, pa.int32()),
-                         "symbol": pa.array(code & 15, pa.int32()), "hash": pa.array(hashes[code >> 4]), "weight": pa.array(weight)})
-
-    return pair
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words dealt to parts, and each part's distinct byte keys with training weights."""
-    from pyspark import TaskContext
-
-    types = pa.schema([("kind", pa.int32()), ("part", pa.string()), ("key", pa.int64()), ("weight", pa.int64()),
-                       ("hash", pa.int64()), ("symbol", pa.int32()), ("c", pa.int64()), ("word", pa.binary())])
-    task, number, held = TaskContext.get().partitionId(), 0, []
-
-    def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        part, n = f"{task}-{number}", rows.num_rows
-        keys, lengths = word_keys(rows.column("word").to_pylist(), rows.column("symbol").to_numpy())
-        found, at = np.unique(keys, return_inverse=True)
-        weight = np.bincount(at, np.repeat(rows.column("weight").to_numpy(), lengths), len(found)).astype(np.int64)
-        words = {"kind": pa.array([0] * n, pa.int32()), "part": pa.array([part] * n), "hash": rows.column("hash").combine_chunks(),
-                 "symbol": rows.column("symbol").combine_chunks(), "c": rows.column("c").combine_chunks(),
-                 "word": rows.column("word").combine_chunks()}
-        k = len(found)
-        asked = {"kind": pa.array([1] * k, pa.int32()), "part": pa.array([part] * k),
-                 "key": pa.array(found), "weight": pa.array(weight)}
-        for x, count in ((words, n), (asked, k)):
-            arrays = [x.get(f.name, pa.nulls(count, f.type)) for f in types]
-            yield from pa.table([a.combine_chunks() if isinstance(a, pa.ChunkedArray) else a for a in arrays], schema=types).to_batches(20_000)
-
+        ids = np.insert(rank[number_of], np.cumsum(tokens), len(order))
+        yield rows(1, kind=[BLOCK], block=[block], doc_ids=[batch.column("doc_id").to_pylist()], held=[held], tokens=[tokens + 1],
+                   words=[zstandard.compress(b"\n".join(said[i] for i in order), 3)], ids=[_planes(ids, 4)])
+        # hashes by bin, then by value
+        hashes = np.concatenate([[END_HASH], found.view(np.int64)])
+        train = np.concatenate([[int((~held).sum())], np.bincount(number_of, (~held)[text], len(found)).astype(np.int64)])
+        by = np.lexsort((hashes, hash_bins(hashes)))
+        yield lists(WORDS, block, hash_bins(hashes)[by], hashes[by], train[by])
+        keys, lengths = running_keys(_texts([*(said[i] for i in order), END_WORD], ids, tokens + 1))
+        coded, times = np.unique(keys << 1 | np.repeat(~held, lengths), return_counts=True)
+        keys, first = np.unique(coded >> 1, return_index=True)
+        weight = np.add.reduceat(np.where(coded & 1, times, 0), first)
+        bins = key_bins(keys)
+        by = np.argsort(bins, kind="stable")
+        yield lists(KEYS, block, bins[by], keys[by], weight[by])
+
+
+def _texts(words: list[bytes], ids: np.ndarray, tokens: np.ndarray) -> list[bytes]:
+    """The bytes of texts given as word numbers, end marks included."""
+    said = [w + b" " for w in words[:-1]] + words[-1:]
+    ends = np.cumsum(tokens)
+    listed = ids.tolist()
+    return [b"".join([said[i] for i in listed[a:z]]) for a, z in zip(ends - tokens, ends, strict=True)]
+
+
+# -------------------------------------------------------------------- bins
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict]]:
+    """(bin, kind, columns as lists) of the runs of sorted rows; None for bin and kind at the end."""
     for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= PART_WORDS:
-            yield from done(pa.Table.from_batches(held))
-            number, held = number + 1, []
-    if held:
-        yield from done(pa.Table.from_batches(held))
-
-
-def _lower_levels(rows: pa.Table) -> pa.Table:
-    """Counts and mixed evidence of the depth-2 nodes of one subtree."""
-    tree = Tree(rows.column("key").to_numpy(), rows.column("weight").to_numpy(), 2)
-    code = tree.code[2]
-    return pa.table({"before": pa.array(code >> 16, pa.int32()), "prefix": pa.array(code & 255, pa.int32()),
-                     "n0": pa.array(tree.n0[2]), "n1": pa.array(tree.n1[2]), "mixed": pa.array(tree.mixed[2])})
+        if not batch.num_rows:
+            continue
+        bins, kinds = batch.column("bin").to_numpy(), batch.column("kind").to_numpy()
+        cuts = [0, *(np.flatnonzero((bins[1:] != bins[:-1]) | (kinds[1:] != kinds[:-1])) + 1).tolist(), len(bins)]
+        for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+            some = batch.slice(a, z - a)
+            yield int(bins[a]), int(kinds[a]), {c: some.column(c) for c in some.schema.names}
+    yield None, None, {}
+
+
+class _Merged:
+    """Lists of one bin, added up; memory follows the distinct keys."""
+
+    def __init__(self) -> None:
+        self.parts, self.held = [], 0
+
+    def add(self, keys: bytes, weights: bytes) -> None:
+        self.parts.append((unpack_sorted(keys), _numbers(weights).view(np.int64)))
+        self.held += len(self.parts[-1][0])
+        if self.held > MERGE_KEYS and len(self.parts) > 1:
+            self.parts = [self.sums()]
+            self.held = len(self.parts[0][0]) // 2  # gather as much again
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, at = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
+        weights = np.concatenate([w for _, w in self.parts])
+        order = np.argsort(at, kind="stable")
+        return keys, np.add.reduceat(weights[order], np.searchsorted(at[order], np.arange(len(keys))))
+
+
+def _merging(emit: Callable[[int, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> Callable:
+    """A map over lists sorted by bin: ``emit`` gets each bin's distinct keys and their weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, merged = None, _Merged()
+        for b, _, columns in _runs(batches):
+            if b != last and last is not None:
+                yield from emit(last, *merged.sums())
+                merged = _Merged()
+            last = b
+            if b is not None:
+                for keys, weights in zip(columns["keys"].to_pylist(), columns["weights"].to_pylist(), strict=True):
+                    merged.add(keys, weights)
+
+    return run
+
+
+def _chunks(keys: np.ndarray) -> Iterator[slice]:
+    """Sorted keys in runs of about TREE_KEYS that share no four bytes before."""
+    cuts = np.concatenate([np.unique(keys >> 8 * (DEPTH - 3), return_index=True)[1], [len(keys)]])
+    at = 0
+    while at < len(keys):
+        end = int(cuts[max(np.searchsorted(cuts, at + TREE_KEYS, side="right") - 1, np.searchsorted(cuts, at, side="right"))])
+        yield slice(at, end)
+        at = end
+
+
+def _parents(code: np.ndarray) -> np.ndarray:
+    return code >> 16 << 8 | code & 255
+
+
+_TREES = "kind int, bin int, keys binary, weights binary, code long, n0 double, n1 double, mixed double"
+
+
+def _trees(b: int, keys: np.ndarray, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A bin's merged list, and counts and mixed evidence of its nodes of depth 3."""
+    parts = [[], [], [], []]
+    for at in _chunks(keys):
+        tree = Tree(keys[at], weights[at], 4)
+        for x, y in zip(parts, (_parents(tree.code[4]), tree.n0[4], tree.n1[4], tree.mixed[4]), strict=True):
+            x.append(y)
+    below, n0, n1, mixed = map(np.concatenate, parts)
+    code, at = np.unique(below, return_inverse=True)
+    n0, n1, mixed = (np.bincount(at, x, len(code)) for x in (n0, n1, mixed))
+    mixed = np.logaddexp(log_kt(n0, n1), mixed) - _LN2
+    names = [x.split()[0] for x in _TREES.split(", ")]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([0], pa.int32()), pa.array([b], pa.int32()), pa.array([pack_sorted(keys)], pa.binary()), pa.array([_planes(weights)], pa.binary()),
+         pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.float64())] * 3], names=names)
+    for lo in range(0, len(code), 10_000):
+        n = len(code[lo : lo + 10_000])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, 1, np.int32)), pa.array(np.full(n, b, np.int32)), *[pa.nulls(n, pa.binary())] * 2,
+             *[pa.array(x[lo : lo + 10_000]) for x in (code, n0, n1, mixed)]], names=names)
+
+
+def _second_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Evidence and mixed evidence of nodes of depth 2 from the sums below them."""
+    for batch in batches:
+        n0, n1, below = (batch.column(c).to_numpy() for c in ("n0", "n1", "below"))
+        kt = log_kt(n0, n1)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("code", "n0", "n1")), pa.array(kt), pa.array(np.logaddexp(kt, below) - _LN2)],
+                                         names=["code", "n0", "n1", "kt", "mixed"])
 
 
 def _upper_levels(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """What the two uppermost levels contribute: fixed and share by (last byte, prefix); 65,536 numbers each."""
-    sums = nodes.groupBy("before", "prefix").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("mixed").alias("mixed"))
+    sums = nodes.groupBy(F.shiftright("code", 16).alias("before"), F.col("code").bitwiseAND(F.lit(255)).alias("prefix")).agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("mixed").alias("mixed")).toArrow()
     n0, n1, below = (np.zeros((256, 256)) for _ in range(3))
-    for r in sums.toLocalIterator():
-        n0[r["before"], r["prefix"]], n1[r["before"], r["prefix"]], below[r["before"], r["prefix"]] = r["n0"], r["n1"], r["mixed"]
+    at = sums.column("before").to_numpy(), sums.column("prefix").to_numpy()
+    n0[at], n1[at], below[at] = (sums.column(c).to_numpy() for c in ("n0", "n1", "mixed"))
     kt1 = log_kt(n0, n1)
     mixed1 = np.logaddexp(kt1, below) - _LN2
     r0, r1 = n0.sum(0), n1.sum(0)
@@ -269,38 +352,98 @@ def _upper_levels(nodes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return fixed, (1 - w0) * (1 - w1)
 
 
-def _word_scores(key, rows: pa.Table, scored: pa.Table) -> pa.Table:
-    known = scored.column("key").to_numpy()
-    order = np.argsort(known)
-    keys, lengths = word_keys(rows.column("word").to_pylist(), rows.column("symbol").to_numpy())
-    p = scored.column("p").to_numpy()[order][np.searchsorted(known[order], keys)]
-    total = np.add.reduceat(p, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-    return pa.table({"hash": rows.column("hash"), "symbol": rows.column("symbol"), "c": rows.column("c"), "p": pa.array(total)})
-
-
-def _document_scores(n_train: int, v: int):
-    def score(key, rows: pa.Table, words: pa.Table) -> pa.Table:
-        at, held = words.column("at").to_numpy(), words.column("c").to_numpy()
-        idx, symbol = at >> 8, at >> 4 & 15
-        n = int(idx.max()) + 1
-        c, topic, p = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, 16))
-        c[idx], topic[idx], p[idx, symbol] = held, at & 15, words.column("p").to_numpy()
-        base = np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))
-        known, bases, scores = [], [], []
-        for x in rows.column("ids").to_pylist():
-            ids = np.frombuffer(x, np.uint32).astype(np.int64)
-            known.append(int((c[ids] > 0).sum()))
-            bases.append(float(base[ids].sum()))
-            scores.append(float(p[ids, symbols_before(topic[ids])].sum()))
-        bits = -np.array(scores) / np.log10(2.0) / rows.column("n_bytes").to_numpy()
+def _passed_down(fixed: np.ndarray, share: np.ndarray, n0: np.ndarray, n1: np.ndarray, kt: np.ndarray, mixed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a level's nodes add to what comes from above, for the level below."""
+    own = np.exp(kt - _LN2 - mixed)
+    return fixed + share * own * (n1 + 0.5) / (n0 + n1 + 1.0), share * (1 - own)
+
+
+def _second_shares(fixed: np.ndarray, share: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = batch.column("code").to_numpy()
+            f, s = fixed[code >> 16, code & 255], share[code >> 16, code & 255]
+            f, s = _passed_down(f, s, *(batch.column(c).to_numpy() for c in ("n0", "n1", "kt", "mixed")))
+            yield pa.RecordBatch.from_arrays([batch.column("code"), pa.array(f), pa.array(s)], names=["up", "f", "s"])
+
+    return run
+
+
+def _answers(value: Callable[[np.ndarray, np.ndarray, dict], np.ndarray], pack: Callable[[np.ndarray], bytes], what: int) -> Callable:
+    """A map over rows sorted by bin and kind (0: the merged list, 1: nodes, 2: lists of blocks): ``value`` gives
+    a number for each merged key, and every block's list is answered by the numbers of its keys."""
+    names = ["of_block", "what", "of_bin", "data"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, nodes, keys, numbers = None, {}, None, None
+        for b, kind, columns in _runs(batches):
+            if b is None:
+                return
+            if b != last:
+                last, nodes, keys, numbers = b, {}, None, None
+            if kind == 0:
+                keys, weights = unpack_sorted(columns["keys"][0].as_py()), _numbers(columns["weights"][0].as_py()).view(np.int64)
+            elif kind == 1:
+                for c in ("code", "n0", "n1", "mixed", "f", "s"):
+                    nodes.setdefault(c, []).append(columns[c].to_numpy())
+            else:
+                if numbers is None:
+                    numbers = value(keys, weights, {c: np.concatenate(x) for c, x in nodes.items()})
+                data = [pack(numbers[np.searchsorted(keys, unpack_sorted(x))]) for x in columns["keys"].to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [columns["block"], pa.array(np.full(len(data), what, np.int32)), pa.array(np.full(len(data), b, np.int32)), pa.array(data, pa.binary())], names=names)
+
+    return run
+
+
+def _probabilities(keys: np.ndarray, weights: np.ndarray, nodes: dict) -> np.ndarray:
+    """log10 P of every key of a bin."""
+    order = np.argsort(nodes["code"])
+    code, n0, n1, mixed, f, s = (nodes[c][order] for c in ("code", "n0", "n1", "mixed", "f", "s"))
+    f, s = _passed_down(f, s, n0, n1, log_kt(n0, n1), mixed)
+    p = np.empty(len(keys))
+    for at in _chunks(keys):
+        tree = Tree(keys[at], weights[at], 4)
+        up = np.searchsorted(code, _parents(tree.code[4]))
+        p[at] = tree.log10_probability(f[up], s[up])
+    return p
+
+
+# --------------------------------------------------------------- documents
+def _document_scores(n_train: int, v: int) -> Callable:
+    def score(key, rows: pa.Table, found: pa.Table) -> pa.Table:
+        """Every document of a block, from the answers to the block's lists."""
+        block = {c: rows.column(c)[0].as_py() for c in rows.column_names}
+        got = {k: [x for _, x in sorted((b, x) for w, b, x in zip(*(found.column(c).to_pylist() for c in ("what", "of_bin", "data")), strict=True) if w == k)]
+               for k in (KEYS, WORDS)}
+        tokens = np.array(block["tokens"], np.int64)
+        ids = _numbers(block["ids"], 4).view(np.int64)
+        words = zstandard.decompress(block["words"]).split(b"\n") if len(tokens) < len(ids) else []
+        # counts came in the order of the words' hashes within their bins, the end mark's among them
+        hashes = np.concatenate([_word_hashes(words), [END_HASH]])
+        c = np.empty(len(hashes), np.int64)
+        c[np.lexsort((hashes, hash_bins(hashes)))] = np.concatenate([_numbers(x).view(np.int64) for x in got[WORDS]])
+        keys, lengths = running_keys(_texts([*words, END_WORD], ids, tokens))
+        distinct, at = np.unique(keys, return_inverse=True)
+        p = np.empty(len(distinct))
+        p[np.argsort(key_bins(distinct), kind="stable")] = np.concatenate([unpack_shares(x) for x in got[KEYS]])
+        scores = np.add.reduceat(p[at], np.cumsum(lengths) - lengths)
+        begin = np.cumsum(tokens) - tokens
+        base = np.add.reduceat(np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))[ids], begin)
+        known = np.add.reduceat((c > 0).astype(np.int64)[ids], begin)
         return pa.table({
-            "doc_id": rows.column("doc_id"), "held_out": rows.column("held"), "n_tokens": rows.column("n_tokens"),
-            "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n_train] * len(known), pa.int64()),
-            "base_score": pa.array(bases, pa.float64()), "score": pa.array(scores, pa.float64()), "bits_per_byte": pa.array(bits, pa.float64())})
+            "doc_id": pa.array(block["doc_ids"], pa.int64()), "held_out": pa.array(block["held"], pa.bool_()), "n_tokens": pa.array(tokens),
+            "n_known": pa.array(known), "train_tokens": pa.array([n_train] * len(tokens), pa.int64()), "base_score": pa.array(base),
+            "score": pa.array(scores), "bits_per_byte": pa.array(-scores / np.log10(2.0) / lengths)})
 
     return score
 
 
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    column = pa.array([b" ".join(words)], pa.large_binary()).cast(pa.large_string(), safe=False)
+    return hash_words(*text_bytes(column))[0].view(np.int64) if words else np.zeros(0, np.int64)
+
+
 def held_out(doc_id: Column) -> Column:
     """Ids whose crc32 leaves 2 when divided by 7; these are never learned from."""
     return crc_mod(doc_id, 7) == 2
@@ -310,188 +453,38 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
     """Model and base scores of every document, learned from those for which ``held`` is false."""
     held = held_out(F.col("doc_id")) if held is None else held
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held, F.lit(False)).alias("held"))
-    blocks = written(rows.mapInArrow(_scan, BLOCKS), "lm-blocks", compression="zstd")
-    words = blocks.filter("kind = 1")
-    vocabulary = words.groupBy("hash").agg(F.sum("n_train").alias("c"), F.min("word").alias("word"))
-    vocabulary = written(vocabulary, "lm-words")
-    counts = vocabulary.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    # TOPICS rows reach the driver
-    often = vocabulary.filter((F.col("hash") != END_HASH) & (F.col("c") > 0)).orderBy(F.desc("c"), "hash").limit(TOPICS).select("hash").collect()
-    topic = F.lit(0)
-    for i, row in enumerate(often):
-        topic = F.when(F.col("hash") == row["hash"], i + 1).otherwise(topic)
-
-    of = blocks.filter("kind = 0").select("block", "doc_id", "held", "n_tokens", "n_bytes", "ids")
-    pairs = blocks.filter("kind <> 1").select("kind", "block", "held", "ids").groupBy("block").applyInArrow(
-        _pairs([row["hash"] for row in often]), "block long, idx int, symbol int, hash long, weight long")
-    pairs = written(pairs, "lm-pairs", compression="zstd")
-    # dealt by word, so the sums and the join that follows share one exchange
-    distinct = pairs.select("hash", "symbol", "weight").repartition("hash").groupBy("hash", "symbol").agg(F.sum("weight").alias("weight"))
-    distinct = distinct.join(vocabulary, "hash")
-
-    parts = written(distinct.select("hash", "symbol", "weight", "c", "word").mapInArrow(_parts, PARTS), "lm-parts", compression="zstd")
-    asked = parts.filter("kind = 1").select("part", "key", "weight")
-    keys = asked.groupBy("key").agg(F.sum("weight").alias("weight")).withColumn("subtree", F.shiftright("key", 8 * (DEPTH - 1)))
-    keys = written(keys, "lm-keys")
-    fixed, share = _upper_levels(keys.groupBy("subtree").applyInArrow(_lower_levels, "before int, prefix int, n0 double, n1 double, mixed double"))
-
-    def probabilities(rows: pa.Table) -> pa.Table:
-        tree = Tree(rows.column("key").to_numpy(), rows.column("weight").to_numpy(), 2)
-        code = tree.code[2]
-        p = tree.log10_probability(fixed[code >> 16, code & 255], share[code >> 16, code & 255])
-        return pa.table({"key": rows.column("key"), "p": pa.array(p)})
-
-    p = keys.groupBy("subtree").applyInArrow(probabilities, "key long, p double")
-    slices = asked.join(p, "key").select(F.col("part").alias("of_part"), "key", "p")
-    scored = parts.filter("kind = 0").select("part", "hash", "symbol", "c", "word").groupBy("part").cogroup(
-        slices.groupBy("of_part")).applyInArrow(_word_scores, "hash long, symbol int, c long, p double")
-    per_block = pairs.select("block", "idx", "symbol", "hash").join(scored, ["hash", "symbol"])
-    # word number, symbol before it and its own topic in one number
-    at = F.col("idx").cast("long") * 256 + F.col("symbol") * 16 + topic
-    per_block = per_block.select(F.col("block").alias("of_block"), at.alias("at"), "c", "p")
-    return of.groupBy("block").cogroup(per_block.groupBy("of_block")).applyInArrow(
-        _document_scores(int(counts["n"] or 0), int(counts["v"])),
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
-
-
-# ------------------------------------------- contexts over whole texts
-def _packed(x: np.ndarray) -> bytes:
-    """64-bit numbers by byte planes, compressed."""
-    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
-
-
-def _unpacked(x: bytes, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(x), np.uint8).reshape(8, -1).T).reshape(-1).view(kind)
-
-
-def running_keys(stream: np.ndarray, lengths: np.ndarray, depth: int = DEPTH) -> np.ndarray:
-    """Key of every byte of texts laid end to end: the ``depth`` bytes of its text before it, latest first, then itself."""
-    starts = np.cumsum(lengths) - lengths
-    place = np.arange(len(stream)) - np.repeat(starts, lengths)
-    key = np.zeros(len(stream), np.int64)
-    for back in range(1, depth + 1):
-        before = np.full(len(stream), FILLING[0], np.int64)
-        before[back:] = stream[:-back] if back < len(stream) else stream[:0]
-        key = key << 8 | np.where(place >= back, before, FILLING[0])
-    return key << 8 | stream
-
-
-def _block_texts(rows: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(documents, their bytes end to end, bytes of each, word numbers of each) of a block's rows."""
-    words = rows.filter(pc.equal(rows.column("kind"), 1)).sort_by("idx")
-    docs = rows.filter(pc.equal(rows.column("kind"), 0))
-    said = [w if w == END_WORD else w + b" " for w in words.column("word").to_pylist()]
-    ids = [np.frombuffer(x, np.uint32).astype(np.int64) for x in docs.column("ids").to_pylist()]
-    texts = [b"".join([said[i] for i in x.tolist()]) for x in ids]
-    return docs, np.frombuffer(b"".join(texts), np.uint8), np.array([len(t) for t in texts], np.int64), ids
-
-
-def _block_keys(rows: pa.Table) -> pa.Table:
-    """A block's distinct byte keys with training weights, packed into a row per subtree."""
-    docs, stream, lengths, _ = _block_texts(rows)
-    train = ~docs.column("held").to_numpy()
-    coded, times = np.unique(running_keys(stream, lengths) << 1 | np.repeat(train, lengths), return_counts=True)
-    keys, first = np.unique(coded >> 1, return_index=True)
-    weight = np.add.reduceat(np.where(coded & 1, times, 0), first)
-    subtrees, at = np.unique(keys >> 8 * (DEPTH - 1), return_index=True)
-    cuts = [*at, len(keys)]
-    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
-    return pa.table({
-        "block": pa.array([rows.column("block")[0].as_py()] * len(spans), pa.int64()), "subtree": pa.array(subtrees, pa.int32()),
-        "keys": pa.array([_packed(np.diff(keys[a:z], prepend=0)) for a, z in spans], pa.binary()),
-        "weights": pa.array([_packed(weight[a:z]) for a, z in spans], pa.binary())})
-
-
-def _subtree(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Distinct keys of a subtree over all blocks, their weights, and each block's keys."""
-    of = [np.cumsum(_unpacked(x, np.int64)) for x in rows.column("keys").to_pylist()]
-    weights = np.concatenate([_unpacked(x, np.int64) for x in rows.column("weights").to_pylist()])
-    keys, at = np.unique(np.concatenate(of), return_inverse=True)
-    return keys, np.bincount(at, weights, len(keys)), of
-
-
-def _branches(keys: np.ndarray) -> Iterator[slice]:
-    """Keys of a subtree by their third context byte; only one branch's tree is held at a time."""
-    cuts = [*np.unique(keys >> 8 * (DEPTH - 2), return_index=True)[1], len(keys)]
-    yield from (slice(a, z) for a, z in zip(cuts[:-1], cuts[1:], strict=True))
-
-
-def _second_level(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Code, zeros, ones, evidence and mixed evidence of a subtree's depth-2 nodes."""
-    parts = []
-    for at in _branches(keys):
-        tree = Tree(keys[at], weights[at], 3)
-        parts.append((tree.code[3] >> 16 << 8 | tree.code[3] & 255, tree.n0[3], tree.n1[3], tree.mixed[3]))
-    below = [np.concatenate(x) for x in zip(*parts, strict=True)]
-    code, at = np.unique(below[0], return_inverse=True)
-    n0, n1, mixed = (np.bincount(at, x, len(code)) for x in below[1:])
-    kt = log_kt(n0, n1)
-    return code, n0, n1, kt, np.logaddexp(kt, mixed) - _LN2
-
-
-def _running_levels(rows: pa.Table) -> pa.Table:
-    """Counts and mixed evidence of the depth-2 nodes of one subtree."""
-    keys, weights, _ = _subtree(rows)
-    code, n0, n1, _, mixed = _second_level(keys, weights)
-    return pa.table({"before": pa.array(code >> 16, pa.int32()), "prefix": pa.array(code & 255, pa.int32()),
-                     "n0": pa.array(n0), "n1": pa.array(n1), "mixed": pa.array(mixed)})
-
-
-def _running_probabilities(fixed: np.ndarray, share: np.ndarray):
-    def score(rows: pa.Table) -> pa.Table:
-        """log10 P of every block's keys of one subtree, in their order."""
-        keys, weights, of = _subtree(rows)
-        code, n0, n1, kt, mixed = _second_level(keys, weights)
-        f, s = fixed[code >> 16, code & 255], share[code >> 16, code & 255]
-        own = np.exp(kt - _LN2 - mixed)
-        f, s = f + s * own * (n1 + 0.5) / (n0 + n1 + 1.0), s * (1 - own)
-        p = np.empty(len(keys))
-        for at in _branches(keys):
-            tree = Tree(keys[at], weights[at], 3)
-            up = np.searchsorted(code, tree.code[3] >> 16 << 8 | tree.code[3] & 255)
-            p[at] = tree.log10_probability(f[up], s[up])
-        return pa.table({"of_block": rows.column("block"), "idx": pa.nulls(len(of), pa.int32()), "c": pa.nulls(len(of), pa.int64()),
-                         "subtree": rows.column("subtree"), "p": pa.array([_packed(p[np.searchsorted(keys, x)]) for x in of], pa.binary())})
-
-    return score
-
-
-def _running_scores(n_train: int, v: int):
-    def score(key, rows: pa.Table, found: pa.Table) -> pa.Table:
-        docs, stream, lengths, ids = _block_texts(rows)
-        counts = found.filter(pc.is_valid(found.column("idx")))
-        c = np.zeros(counts.num_rows, np.int64)
-        c[counts.column("idx").to_numpy()] = counts.column("c").to_numpy()
-        base = np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))
-        p = np.concatenate([_unpacked(x, np.float64) for x in found.filter(pc.is_valid(found.column("p"))).sort_by("subtree").column("p").to_pylist()])
-        keys = running_keys(stream, lengths)
-        p = p[np.searchsorted(np.unique(keys), keys)]
-        scores = np.add.reduceat(p, np.cumsum(lengths) - lengths)
-        bits = -scores / np.log10(2.0) / docs.column("n_bytes").to_numpy()
-        return pa.table({
-            "doc_id": docs.column("doc_id"), "held_out": docs.column("held"), "n_tokens": docs.column("n_tokens"),
-            "n_known": pa.array([int((c[x] > 0).sum()) for x in ids], pa.int64()), "train_tokens": pa.array([n_train] * len(ids), pa.int64()),
-            "base_score": pa.array([float(base[x].sum()) for x in ids], pa.float64()), "score": pa.array(scores, pa.float64()),
-            "bits_per_byte": pa.array(bits, pa.float64())})
-
-    return score
-
-
-def score_running_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
-    """As ``score_texts``, with contexts that run over spaces into all ``DEPTH`` bytes before."""
-    held = held_out(F.col("doc_id")) if held is None else held
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(held, F.lit(False)).alias("held"))
-    blocks = written(rows.mapInArrow(partial(_scan, most=RUN_BYTES), BLOCKS).filter("kind < 2"), "lm-blocks", compression="zstd")
-    words = blocks.filter("kind = 1").select("block", "idx", "hash", "n_train")
-    vocabulary = written(words.groupBy("hash").agg(F.sum("n_train").alias("c")), "lm-words")
-    counts = vocabulary.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
-    texts = blocks.select("kind", "block", "idx", "word", "doc_id", "held", "n_tokens", "n_bytes", "ids")
-
-    keys = written(texts.groupBy("block").applyInArrow(_block_keys, "block long, subtree int, keys binary, weights binary"), "lm-keys")
-    fixed, share = _upper_levels(keys.groupBy("subtree").applyInArrow(_running_levels, "before int, prefix int, n0 double, n1 double, mixed double"))
-    p = keys.groupBy("subtree").applyInArrow(_running_probabilities(fixed, share), "of_block long, idx int, c long, subtree int, p binary")
-    known = words.join(vocabulary, "hash").select(
-        F.col("block").alias("of_block"), "idx", "c", F.lit(None).cast("int").alias("subtree"), F.lit(None).cast("binary").alias("p"))
-    return texts.groupBy("block").cogroup(p.unionByName(known).groupBy("of_block")).applyInArrow(
-        _running_scores(int(counts["n"] or 0), int(counts["v"])),
+    rows = written(rows.mapInArrow(_scan, ROWS), "lm-blocks", compression="zstd")
+    lists = {kind: rows.filter(F.col("kind") == kind).select("bin", F.lit(2).alias("kind"), "block", "keys", "weights") for kind in (KEYS, WORDS)}
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("bin").sortWithinPartitions("bin", "kind")
+
+    def merged_words(b: int, keys: np.ndarray, weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+        arrays = [[0], [b], [pack_sorted(keys)], [_planes(weights)], [int(weights.sum())], [int((weights > 0).sum())]]
+        kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(arrays, kinds, strict=True)], names=["kind", "bin", "keys", "weights", "n", "v"])
+
+    def no_nodes(df: DataFrame) -> DataFrame:
+        return df.select("kind", "bin", "keys", "weights")
+
+    words = dealt(lists[WORDS]).mapInArrow(_merging(merged_words), "kind int, bin int, keys binary, weights binary, n long, v long")
+    words = written(words, "lm-words", compression="zstd")
+    total = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    asked = no_nodes(words).unionByName(lists[WORDS].drop("weights"), allowMissingColumns=True)
+    schema = "of_block long, what int, of_bin int, data binary"
+    counted = dealt(asked).mapInArrow(_answers(lambda keys, weights, nodes: weights, _planes, WORDS), schema)
+
+    trees = written(dealt(lists[KEYS]).mapInArrow(_merging(_trees), _TREES), "lm-trees", compression="zstd")
+    nodes = trees.filter("kind = 1").select("kind", "bin", "code", "n0", "n1", "mixed")
+    up = F.shiftleft(F.shiftright("code", 16), 8) + F.col("code").bitwiseAND(F.lit(255))
+    second = nodes.groupBy(up.alias("code")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("mixed").alias("below"))
+    second = written(second.mapInArrow(_second_level, "code long, n0 double, n1 double, kt double, mixed double"), "lm-second")
+    shares = second.mapInArrow(_second_shares(*_upper_levels(second)), "up long, f double, s double")
+    nodes = nodes.withColumn("up", up).join(shares, "up").drop("up")
+    asked = no_nodes(trees.filter("kind = 0")).unionByName(nodes, allowMissingColumns=True).unionByName(lists[KEYS].drop("weights"), allowMissingColumns=True)
+    scored = dealt(asked).mapInArrow(_answers(_probabilities, pack_shares, KEYS), schema)
+
+    blocks = rows.filter(F.col("kind") == BLOCK).select("block", "doc_ids", "held", "tokens", "words", "ids")
+    return blocks.groupBy("block").cogroup(scored.unionByName(counted).groupBy("of_block")).applyInArrow(
+        _document_scores(int(total["n"] or 0), int(total["v"] or 0)),
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double")
