@@ -262,13 +262,38 @@ def test_forest_finds_most(spark):
     few = forest.nearest(df, F.col("vec_id") % 20 == 0, share=0.3).toPandas()
     hits = sum(len(set(g.vec_id) & {j for _, j in want[i]}) for i, g in few.groupby("query_id"))
     assert hits >= 0.7 * sum(len(w) for w in want.values())
-    # a crowd under one longest prefix: trees go on down their arrays
+    # a crowd under one longest prefix, over several shards
     crowd = [(i, (np.ones(8) + np.random.default_rng(i).normal(size=8) * 0.01).tolist(), 0) for i in range(1500)]
-    near = forest.nearest(spark.createDataFrame(crowd, VEC), F.col("vec_id") % 20 == 0, share=0.04).toPandas()
-    assert set(near.query_id) == set(range(0, 1500, 20)) and (near.groupby("query_id").vec_id.nunique() <= 20).all()
+    near = forest.nearest(spark.createDataFrame(crowd, VEC), F.col("vec_id") % 20 == 0, share=0.04, shard_rows=400).toPandas()
+    assert set(near.query_id) == set(range(0, 1500, 20)) and (near.groupby("query_id").vec_id.nunique() == 20).all()
     assert forest.nearest(spark.createDataFrame([], VEC), F.lit(True)).count() == 0
 
 
+def test_forest_descends_and_ascends_together():
+    """Against prefixes compared one by one: the deepest common level with enough rows, each row once."""
+    r = np.random.default_rng(6)
+    of = r.integers(0, 1 << forest.BITS, (300, 5)).astype(np.uint16)
+    of[:40, 2] = of[0, 2]
+    grown = forest.Forest(of)
+    for wanted in (1, 20, 120, 300):
+        for i, rows in enumerate(grown.candidates(of[:30], wanted)):
+            for bits in range(forest.BITS, -1, -1):
+                under = of >> (forest.BITS - bits) == of[i] >> (forest.BITS - bits) if bits else np.ones_like(of, bool)
+                share = under.sum(0) / 300
+                if 300 * (1 - np.prod(1 - share)) >= wanted:
+                    break
+            assert rows.tolist() == np.flatnonzero(under.any(1)).tolist()
+
+
+def test_forest_share_follows_the_structure():
+    r = np.random.default_rng(9)
+    loose = r.normal(size=(3000, 32))
+    tight = np.repeat(r.normal(size=(100, 32)), 30, 0) + 0.02 * r.normal(size=(3000, 32))
+    normals = forest.hyperplanes(32)
+    shares = [forest.share_for_recall(r.permutation(x / np.linalg.norm(x, axis=1)[:, None]), normals) for x in (loose, tight)]
+    assert shares[0] > 0.1 > shares[1] and forest.share_for_recall(loose[:10], normals) == 1.0
+
+
 @pytest.mark.parametrize("n", [2_000, 17_000])
 def test_forest_recall_follows_one_rule_at_all_sizes(spark, n):
     """Unit vectors without structure."""
