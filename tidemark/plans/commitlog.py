@@ -78,12 +78,6 @@ def per_commit_winners(versions: DataFrame, keys: list[str], order: list[str]) -
     return data.unionByName(versions.filter(F.col(DELETED_COL)))
 
 
-def key_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Semi or anti join on resolution keys; a NULL partition value equals itself."""
-    right = right.select(*[F.col(k).alias(f"__tm_key_{i}") for i, k in enumerate(keys)])
-    return left.join(right, [left[k].eqNullSafe(right[f"__tm_key_{i}"]) for i, k in enumerate(keys)], how)
-
-
 def resolve_versions(
     versions: DataFrame,
     keys: list[str],
@@ -495,6 +489,14 @@ class CommitLogTable:
         return self.write(keys_df, operation="delete", commit_time=commit_time)
 
     # ------------------------------------------------------------------ read
+    def _key_join(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        """Semi or anti join on the resolution keys. Record keys are never NULL, so plain equality lets
+        key filters reach both sides; a NULL partition value equals itself."""
+        keys = self.spec.resolve_keys
+        right = right.select(*[F.col(k).alias(f"__tm_key_{i}") for i, k in enumerate(keys)])
+        pairs = [(k, left[k], right[f"__tm_key_{i}"]) for i, k in enumerate(keys)]
+        return left.join(right, [a == b if k in self.spec.keys else a.eqNullSafe(b) for k, a, b in pairs], how)
+
     def _tie_breakers(self, df: DataFrame) -> list[str]:
         if self.spec.tie_breakers is not None:
             return list(self.spec.tie_breakers)
@@ -662,7 +664,7 @@ class CommitLogTable:
         if as_of is not None:
             log = log.filter(F.col(COMMIT_COL) <= F.lit(as_of))
         if of is not None:
-            log = key_join(log, of, self.spec.resolve_keys, "left_semi")
+            log = self._key_join(log, of, "left_semi")
         batches, _ = self.pin()
         if (
             self._fast_path
@@ -678,7 +680,7 @@ class CommitLogTable:
             return self._finish(self._resolve(log), with_meta)
         keys = self.spec.resolve_keys
         if of is not None:
-            base = key_join(base, of, keys, "left_semi")
+            base = self._key_join(base, of, "left_semi")
         after = log.filter(F.col(COMMIT_COL) > F.lit(base_end))
         touched = after.select(*keys).distinct()
         quiet = None
@@ -688,9 +690,9 @@ class CommitLogTable:
             hit = self._partition_match(self.touched_partitions(base_end))
             quiet = base.filter(~F.coalesce(hit, F.lit(False)))
             base = base.filter(hit)
-        untouched = key_join(base, touched, keys, "left_anti")
+        untouched = self._key_join(base, touched, "left_anti")
         if self.spec.merge_mode == "event_time":
-            after = key_join(base, touched, keys, "left_semi").unionByName(after)
+            after = self._key_join(base, touched, "left_semi").unionByName(after)
         redo = self._resolve(after)
         out = untouched.unionByName(redo)
         if quiet is not None:
@@ -779,7 +781,7 @@ class CommitLogTable:
             if self.spec.merge_mode == "incoming_wins":
                 return self._finish(self._resolve(log.filter(in_range)), with_meta)
             changed = log.filter(in_range).select(*keys).distinct()
-            return self._finish(self._resolve(key_join(log, changed, keys, "left_semi")).filter(in_range), with_meta)
+            return self._finish(self._resolve(self._key_join(log, changed, "left_semi")).filter(in_range), with_meta)
         base = self._base()
         if self.spec.merge_mode == "incoming_wins" and base is not None:
             # a base row keeps its own commit, and one at or before begin never wins
@@ -795,9 +797,9 @@ class CommitLogTable:
         changed = changed.distinct()
         # cut each key to one version per commit before joining on the key,
         # so a hot key's history does not pile into one semi-join task
-        versions = key_join(per_commit_winners(history, keys, self._order(history)), changed, keys, "left_semi")
+        versions = self._key_join(per_commit_winners(history, keys, self._order(history)), changed, "left_semi")
         if base is not None:
-            versions = key_join(base, changed, keys, "left_semi").unionByName(versions)
+            versions = self._key_join(base, changed, "left_semi").unionByName(versions)
         out = self._resolve(versions, reduced=True).filter(in_range)
         return self._finish(out, with_meta)
 
