@@ -496,8 +496,8 @@ def test_lm_lists_pack_without_loss():
     r = np.random.default_rng(2)
     x = np.unique(r.integers(-(2**62), 2**62, 1000))
     assert (ctw.unpack_sorted(ctw.pack_sorted(x)) == x).all() and (ctw._numbers(ctw._planes(x)).view(np.int64) == x).all()
-    p = np.concatenate([-r.exponential(size=1000), [0.0, -1e-300, -40.0]])
-    assert np.allclose(ctw.unpack_shares(ctw.pack_shares(p)), p, rtol=1e-11, atol=0)
+    p = np.concatenate([-r.exponential(size=1000), [0.0, -1e-300, -120.0]])
+    assert np.allclose(ctw.unpack_logs(ctw.pack_logs(p)), p, rtol=0, atol=6e-11)
 
 
 @pytest.mark.parametrize("merge, trees", [(5, 3), (4_000_000, 50_000)])
@@ -509,7 +509,7 @@ def test_lm_bins_merge_in_bounded_steps(monkeypatch, merge, trees):
     for _ in range(20):
         keys = np.unique(r.integers(0, 60, 12))
         weights = r.integers(0, 5, len(keys))
-        merged.add(ctw.pack_sorted(keys), ctw._planes(weights))
+        merged.add(keys, weights)
         want.update(dict(zip(keys.tolist(), weights.tolist())))
     keys, sums = merged.sums()
     assert dict(zip(keys.tolist(), sums.tolist())) == dict(want) | {k: 0 for k in keys.tolist() if k not in want}
@@ -600,7 +600,9 @@ def brute_running(training: list[bytes], text: bytes, depth: int = ctw.DEPTH) ->
     return total
 
 
-def test_lm_contexts_run_over_spaces(spark, docs):
+@pytest.mark.parametrize("piece", [40, 2 << 20])
+def test_lm_contexts_run_over_spaces(spark, docs, monkeypatch, piece):
+    monkeypatch.setattr(ctw, "PIECE_BYTES", piece)
     r = random.Random(8)
     phrases = [(r.choice(["ab cd", "xy zw"]) + " ") * r.randint(1, 4) for _ in range(60)]
     rows = [r for r in ROWS if r[0] not in (7, 8)] + [(50 + i, t, "en", "a", 0) for i, t in enumerate(phrases)]

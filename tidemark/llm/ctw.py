@@ -23,7 +23,7 @@ How the work is dealt out:
   with the probabilities of its keys, in the order of the list.
 - Blocks meet the answers: the one time that documents are shuffled.
 
-Probabilities travel with 36 bits of their mantissa (rounded; 7e-12 of the value). No model
+Probabilities travel as whole multiples of 2^-33 in log10 (rounded, 6e-11 at most). No model
 is broadcast.
 
 The unigram base counts words as whole tokens with add-one smoothing.
@@ -47,7 +47,9 @@ from tidemark.llm.common import crc_mod, written
 from tidemark.llm.words import SEGMENT, U, hash_words, mix, text_batches, text_bytes, word_spans
 
 DEPTH = 6
-BLOCK_BYTES = 12 * SEGMENT
+BLOCK_BYTES = 32 * SEGMENT
+#: Bytes of texts whose keys are held at once (or a single longer text).
+PIECE_BYTES = 2 * SEGMENT
 BINS = 1024
 #: Keys whose trees are built at once, and keys gathered before they are merged.
 TREE_KEYS = 50_000
@@ -136,13 +138,13 @@ def unpack_sorted(x: bytes) -> np.ndarray:
     return np.cumsum(_numbers(x).view(np.int64))
 
 
-def pack_shares(p: np.ndarray) -> bytes:
-    """Doubles rounded to their upper 48 bits."""
-    return _planes((p.view(np.uint64) + U(0x8000)) >> U(16), 6)
+def pack_logs(p: np.ndarray) -> bytes:
+    """Logarithms from -128 to 0, rounded to 2^-33."""
+    return _planes(np.rint(p * -(2.0**33)).astype(np.uint64), 5)
 
 
-def unpack_shares(x: bytes) -> np.ndarray:
-    return (_numbers(x, 6) << U(16)).view(np.float64)
+def unpack_logs(x: bytes) -> np.ndarray:
+    return _numbers(x, 5).astype(np.float64) * -(2.0**-33)
 
 
 def key_bins(keys: np.ndarray) -> np.ndarray:
@@ -219,21 +221,32 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         train = np.concatenate([[int((~held).sum())], np.bincount(number_of, (~held)[text], len(found)).astype(np.int64)])
         by = np.lexsort((hashes, hash_bins(hashes)))
         yield lists(WORDS, block, hash_bins(hashes)[by], hashes[by], train[by])
-        keys, lengths = running_keys(_texts([*(said[i] for i in order), END_WORD], ids, tokens + 1))
-        coded, times = np.unique(keys << 1 | np.repeat(~held, lengths), return_counts=True)
-        keys, first = np.unique(coded >> 1, return_index=True)
-        weight = np.add.reduceat(np.where(coded & 1, times, 0), first)
+        del data, raw, word, text, number_of, start, end
+        merged = _Merged()
+        for at, texts in _pieces([*(said[i] for i in order), END_WORD], ids, tokens + 1):
+            keys, lengths = running_keys(texts)
+            coded, times = np.unique(keys << 1 | np.repeat(~held[at], lengths), return_counts=True)
+            keys, first = np.unique(coded >> 1, return_index=True)
+            merged.add(keys, np.add.reduceat(np.where(coded & 1, times, 0), first))
+        keys, weight = merged.sums()
         bins = key_bins(keys)
         by = np.argsort(bins, kind="stable")
         yield lists(KEYS, block, bins[by], keys[by], weight[by])
 
 
-def _texts(words: list[bytes], ids: np.ndarray, tokens: np.ndarray) -> list[bytes]:
-    """The bytes of texts given as word numbers, end marks included."""
+def _pieces(words: list[bytes], ids: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[slice, list[bytes]]]:
+    """Texts given as word numbers, end marks included, some at a time: (which, their bytes)."""
     said = [w + b" " for w in words[:-1]] + words[-1:]
     ends = np.cumsum(tokens)
-    listed = ids.tolist()
-    return [b"".join([said[i] for i in listed[a:z]]) for a, z in zip(ends - tokens, ends, strict=True)]
+    sizes = np.array([len(w) for w in said], np.int64)
+    begin = ends - tokens
+    bytes_to = np.cumsum(np.add.reduceat(sizes[ids], begin)) if len(ids) else ends
+    at = 0
+    while at < len(tokens):
+        base = bytes_to[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(bytes_to, base + PIECE_BYTES, side="right")))
+        yield slice(at, end), [b"".join([said[i] for i in ids[a:z].tolist()]) for a, z in zip(begin[at:end], ends[at:end], strict=True)]
+        at = end
 
 
 # -------------------------------------------------------------------- bins
@@ -251,14 +264,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, dict]]:
 
 
 class _Merged:
-    """Lists of one bin, added up; memory follows the distinct keys."""
+    """Keys and weights, added up; memory follows the distinct keys."""
 
     def __init__(self) -> None:
         self.parts, self.held = [], 0
 
-    def add(self, keys: bytes, weights: bytes) -> None:
-        self.parts.append((unpack_sorted(keys), _numbers(weights).view(np.int64)))
-        self.held += len(self.parts[-1][0])
+    def add(self, keys: np.ndarray, weights: np.ndarray) -> None:
+        self.parts.append((keys, weights))
+        self.held += len(keys)
         if self.held > MERGE_KEYS and len(self.parts) > 1:
             self.parts = [self.sums()]
             self.held = len(self.parts[0][0]) // 2  # gather as much again
@@ -282,7 +295,7 @@ def _merging(emit: Callable[[int, np.ndarray, np.ndarray], Iterator[pa.RecordBat
             last = b
             if b is not None:
                 for keys, weights in zip(columns["keys"].to_pylist(), columns["weights"].to_pylist(), strict=True):
-                    merged.add(keys, weights)
+                    merged.add(unpack_sorted(keys), _numbers(weights).view(np.int64))
 
     return run
 
@@ -423,11 +436,16 @@ def _document_scores(n_train: int, v: int) -> Callable:
         hashes = np.concatenate([_word_hashes(words), [END_HASH]])
         c = np.empty(len(hashes), np.int64)
         c[np.lexsort((hashes, hash_bins(hashes)))] = np.concatenate([_numbers(x).view(np.int64) for x in got[WORDS]])
-        keys, lengths = running_keys(_texts([*words, END_WORD], ids, tokens))
-        distinct, at = np.unique(keys, return_inverse=True)
+        parts = []
+        for _, texts in _pieces([*words, END_WORD], ids, tokens):
+            keys, lengths = running_keys(texts)
+            own, at = np.unique(keys, return_inverse=True)
+            parts.append((own, at.astype(np.int32), lengths))
+        distinct = np.unique(np.concatenate([own for own, _, _ in parts]))
         p = np.empty(len(distinct))
-        p[np.argsort(key_bins(distinct), kind="stable")] = np.concatenate([unpack_shares(x) for x in got[KEYS]])
-        scores = np.add.reduceat(p[at], np.cumsum(lengths) - lengths)
+        p[np.argsort(key_bins(distinct), kind="stable")] = np.concatenate([unpack_logs(x) for x in got[KEYS]])
+        scores = np.concatenate([np.add.reduceat(p[np.searchsorted(distinct, own)][at], np.cumsum(n) - n) for own, at, n in parts])
+        lengths = np.concatenate([n for _, _, n in parts])
         begin = np.cumsum(tokens) - tokens
         base = np.add.reduceat(np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))[ids], begin)
         known = np.add.reduceat((c > 0).astype(np.int64)[ids], begin)
@@ -482,7 +500,7 @@ def score_texts(docs: DataFrame, held: Column | None = None) -> DataFrame:
     shares = second.mapInArrow(_second_shares(*_upper_levels(second)), "up long, f double, s double")
     nodes = nodes.withColumn("up", up).join(shares, "up").drop("up")
     asked = no_nodes(trees.filter("kind = 0")).unionByName(nodes, allowMissingColumns=True).unionByName(lists[KEYS].drop("weights"), allowMissingColumns=True)
-    scored = dealt(asked).mapInArrow(_answers(_probabilities, pack_shares, KEYS), schema)
+    scored = dealt(asked).mapInArrow(_answers(_probabilities, pack_logs, KEYS), schema)
 
     blocks = rows.filter(F.col("kind") == BLOCK).select("block", "doc_ids", "held", "tokens", "words", "ids")
     return blocks.groupBy("block").cogroup(scored.unionByName(counted).groupBy("of_block")).applyInArrow(
