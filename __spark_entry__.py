@@ -257,6 +257,11 @@ _ORACLES: dict[str, str] = {
     "checkpoint_observed": (
         f"SELECT count(*) AS n_rows, max({_OC}) AS last_processed_commit FROM orders WHERE {_OC} > '20001231'"
     ),
+    "gold_upsert": (
+        "SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 100000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
+        "o_orderdate, 'gz' AS codec FROM orders"
+    ),
+    "local_rows_join": "SELECT c_custkey, c_name, n_name AS state FROM customer JOIN nation ON c_nationkey = n_nationkey",
     "item_writer_put": (
         "SELECT o_custkey AS customer_id, o_orderkey AS order_id, "
         "CAST(CASE WHEN o_orderstatus = 'O' THEN o_totalprice * 2 ELSE o_totalprice END AS VARCHAR) AS order_value, "

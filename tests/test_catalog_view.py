@@ -89,3 +89,32 @@ def test_rewrites_keep_the_tables_codec(spark, tmp_table_dir):
     t.write(batch(spark, [("2", "b", "NY", "2024-01-02")]))
     found = glob.glob(f"{tmp_table_dir}/**/*.parquet", recursive=True)
     assert len(found) == 3 and all(f.endswith(".gz.parquet") for f in found)
+
+
+def test_retention_with_grace_leaves_what_open_readers_hold(spark, tmp_table_dir):
+    cfg = config(tmp_table_dir, table_type="MERGE_ON_READ", enable_partition=False)
+    for day in range(1, 4):
+        upsert_table(spark, batch(spark, [(str(i), f"n{i}-{day}", "NY", f"2024-01-0{day}") for i in range(5)]), cfg)
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    held = [t.snapshot(), t.incremental(t.commits()[0], mode="changes")]
+    maintenance.retain_versions(t, 2, grace=True)
+    assert [x.count() for x in held] == [5, 10]  # both still read the files they pinned
+    upsert_table(spark, batch(spark, [("9", "n9", "NY", "2024-01-09")]), cfg)
+    reader = CommitLogTable.open(spark, tmp_table_dir)
+    now = reader.snapshot()
+    kept = maintenance.retain_versions(CommitLogTable.open(spark, tmp_table_dir), 2, grace=True)
+    assert now.count() == 6 and kept.count() == 11
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    # the first run's log went with the second run, the second's own stays
+    assert len(t.batches()) == 1 and len(t._finished("history")) == 2 and t.snapshot().count() == 6
+
+
+def test_item_tables_are_compacted(spark, tmp_table_dir):
+    from tidemark.sinks.keyed import KeyedSink
+
+    sink = KeyedSink(spark, tmp_table_dir, "k", compact_every=2)
+    for i in range(5):
+        sink.put(spark.createDataFrame([("a", str(i)), (f"b{i}", "x")], "k string, v string"))
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    assert maintenance.commits_since_base(t) == 1
+    assert {r.k: r.v for r in sink.items().collect()} == {"a": "4"} | {f"b{i}": "x" for i in range(5)}

@@ -69,10 +69,11 @@ class CheckpointStore:
 
     def read(self, table_name: str) -> Checkpoint | None:
         """The table's checkpoint, or None (no row, or reset)."""
-        if not fs.exists(self.spark, self._table_dir(table_name)):
+        # folders are named by insert time: only the newest finished one is opened
+        done = [p.rsplit("/", 1)[0] for p in fs.glob_names(self.spark, f"{self._table_dir(table_name)}/*/_SUCCESS")]
+        if not done:
             return None
-        # one job: a top-1 by insert time over this table's rows only
-        row = self.frame(table_name).orderBy(F.col("inserted_time").desc()).first()
+        row = self.spark.read.schema(CHECKPOINT_SCHEMA).json(max(done, key=lambda d: d.rsplit("/", 1)[1])).first()
         if row is None or row["last_processed_commit"] is None:
             return None
         return Checkpoint(row["table_name"], row["path"], row["last_processed_commit"], row["inserted_time"])

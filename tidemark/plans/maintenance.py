@@ -69,7 +69,7 @@ def _history_dirs(table: CommitLogTable) -> list[str]:
     return table._finished("history")
 
 
-def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None = None) -> DataFrame:
+def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None = None, grace: bool = False) -> DataFrame:
     """Keep the ``n`` newest versions per key, over the whole table life.
 
     The kept versions are the previous history plus the live log, ranked
@@ -78,6 +78,9 @@ def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None
     Then the table is compacted, log batches the base covers are removed,
     older history and base directories no reader needs are deleted. Returns
     the retained versions (with ``version_rank``).
+
+    ``grace``: delete only what the run before had superseded already. Readers that
+    pinned the table before this run then finish; run it less often than they last.
     """
     table.refresh()  # history and compaction must cover every commit up to `end`
     pinned = table.commits(pinned=True)
@@ -116,15 +119,23 @@ def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None
         kept.write.mode("errorifexists").option("compression", compression).parquet(staging)
         fs.rename(table.spark, staging, target)
         table.compact(options)
-        table.drop_log_through(end)
-        for d in previous:
+        before = previous[-1].split("=", 1)[1].split("~")[0] if previous else None
+        if not grace:
+            table.drop_log_through(end)
+        elif before is not None:
+            table.drop_log_through(before)
+        for d in previous[:-1] if grace else previous:
             fs.delete(table.spark, f"{table.path}/history/{d}")
-        drop_unused_bases(table)
+        if not grace:
+            drop_unused_bases(table)
+        elif before is not None:
+            drop_unused_bases(table, before)
     return table.spark.read.parquet(target)
 
 
-def drop_unused_bases(table: CommitLogTable) -> list[str]:
-    """Delete base directories that no partition is read from any more.
+def drop_unused_bases(table: CommitLogTable, before: str | None = None) -> list[str]:
+    """Delete base directories that no partition is read from any more
+    (``before``: only those that end earlier than this commit).
 
     Partition-scoped tables read each partition from the newest base holding
     it, so older bases stay while one of their partitions is still current;
@@ -135,7 +146,8 @@ def drop_unused_bases(table: CommitLogTable) -> list[str]:
     newest = table.base_dir()
     if newest:
         used.add(newest)
-    gone = [d for d in table._finished("base") if d not in used]
+    ends = {d: d.split("=", 1)[1].split("~", 1)[0] for d in table._finished("base") if d not in used}
+    gone = [d for d, end in ends.items() if before is None or end < before]
     for d in gone:
         fs.delete(table.spark, f"{table.path}/base/{d}")
     table.refresh()

@@ -33,7 +33,7 @@ from tidemark.plans.checkpoint import CheckpointStore
 from tidemark.plans.commitlog import CommitLogTable, TableSpec
 from tidemark.plans.incremental import ChangeFeedSource, IncrementalReader, ObservedReader
 from tidemark.plans.metrics_view import MaintainedMetrics
-from tidemark.plans.write_config import WriteConfig, upsert_table
+from tidemark.plans.write_config import WriteConfig, upsert_table, upsert_to_gold
 from tidemark.session import scratch_dir
 from tidemark.sinks.keyed import KeyedSink, item_frame
 from tidemark.sources import generate, inventory, items
@@ -706,6 +706,29 @@ def checkpoint_observed(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("last_processed_commit", F.lit(latest.last_processed_commit))
 
 
+def gold_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders through the second helper; with each row the codec of the stored files."""
+    root = scratch_dir(spark, "gold")
+    name = "driver_earnings_" + root.rsplit("-", 1)[1]
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    upsert_to_gold(spark, orders, root, name, "o_orderkey", "o_orderdate", table_type="MERGE_ON_READ")
+    table = CommitLogTable.open(spark, f"{root}/gold/table_name={name}")
+    table.write(orders.filter("o_totalprice > 100000").withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    table.compact()
+    base = spark.read.parquet(*table.base_paths())
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.([a-z0-9]+)\.parquet$", 1)
+    return base.select(*orders.columns, codec.alias("codec"))
+
+
+def local_rows_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The nations (25 rows) as local rows with an explicit schema, joined with every customer."""
+    nation = _t(spark, sf, "nation").select("n_nationkey", "n_name")
+    rows = [r.asDict() for r in nation.collect()]  # a fixed dimension
+    states = generate.rows_to_frame(spark, rows, nation.schema)
+    customer = _t(spark, sf, "customer")
+    return customer.join(states, customer["c_nationkey"] == states["n_nationkey"]).select("c_custkey", "c_name", F.col("n_name").alias("state"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_orders_join": customer_orders_join,
     "precombine_latest": precombine_latest,
@@ -758,4 +781,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_layout": clustered_layout,
     "column_stats": column_stats,
     "checkpoint_observed": checkpoint_observed,
+    "gold_upsert": gold_upsert,
+    "local_rows_join": local_rows_join,
 }

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import orderable_columns, stringify
 from tidemark.operators.keyed import precombine
 from tidemark.plans.commitlog import CommitLogTable, TableSpec, WriteOptions
+from tidemark.plans.maintenance import commits_since_base
 
 
 def item_frame(
@@ -53,6 +54,7 @@ class KeyedSink:
         attributes: Sequence[str] | None = None,
         order_by: Sequence[str] | None = None,
         name: str = "items",
+        compact_every: int = 10,
     ):
         self.spark = spark
         self.path = path
@@ -61,6 +63,7 @@ class KeyedSink:
         self.attributes = list(attributes) if attributes is not None else None
         self.order_by = list(order_by) if order_by else None
         self.name = name
+        self.compact_every = compact_every  # puts between compactions, 0: never
         self._table: CommitLogTable | None = None
 
     @property
@@ -95,7 +98,14 @@ class KeyedSink:
         # With order_by the batch is already one row per key; without it the
         # upsert pre-combines on every attribute so the winner is deterministic.
         op = "insert" if (self.order_by or unique_keys) else "upsert"
-        return self.ensure().write(items, operation=op, options=options)
+        return self._compacted(self.ensure().write(items, operation=op, options=options), options)
+
+    def _compacted(self, commit: str | None, options: WriteOptions | None) -> str | None:
+        """Reads rank what was put since the last compaction, so that stays bounded."""
+        table = self.ensure()
+        if commit is not None and self.compact_every and commits_since_base(table.refresh()) >= self.compact_every:
+            table.compact(options)
+        return commit
 
     def put_if_absent(self, df: DataFrame, options: WriteOptions | None = None) -> str | None:
         """K21 on the store: write only items whose key is not stored yet;
@@ -106,7 +116,7 @@ class KeyedSink:
         if table.last_commit() is not None:
             items = items.join(table.snapshot().select(*self.keys), on=self.keys, how="left_anti")
         op = "insert" if self.order_by else "upsert"
-        return table.write(items, operation=op, options=options)
+        return self._compacted(table.write(items, operation=op, options=options), options)
 
     def items(self) -> DataFrame:
         """Current items, one per key."""
