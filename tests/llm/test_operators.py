@@ -349,8 +349,10 @@ def near_copies(n: int, seed: int):
     return rows
 
 
-@pytest.mark.parametrize("star, block", [(512, 1024), (7, 16)])
-def test_near_duplicate_components(spark, monkeypatch, star, block):
+@pytest.mark.parametrize("star, block, group", [(512, 1024, 32 << 20), (7, 16, 32 << 20), (512, 1024, 3000)])
+def test_near_duplicate_components(spark, monkeypatch, star, block, group):
+    """Groups split by rows, and by bytes of a few long texts."""
+    monkeypatch.setattr(neardup, "GROUP_BYTES", group)
     monkeypatch.setattr(neardup, "STAR", star)
     monkeypatch.setattr(neardup, "BLOCK", block)
     rows = ROWS + near_copies(150, 4)
@@ -624,3 +626,16 @@ def test_lm_contexts_run_over_spaces(spark, docs, monkeypatch, piece):
     assert got[9001]["base_score"] == pytest.approx(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in said))
     assert (got[9001]["n_known"], got[9001]["n_tokens"], got[9001]["train_tokens"]) == (5, 5, n)
     assert ctw.score_texts(spark.createDataFrame([], DOCS)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_of_many_sources(spark, seed):
+    """Levels rise over several rounds; ties, an empty source and the null source; no window over all sources."""
+    r = random.Random(seed)
+    sizes = {f"s{i:03d}": int(10 ** r.uniform(0, 6)) for i in range(60)} | {None: 5, "empty": 0, "s000": 1, "s001": 1}
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {x.source: x.target for x in mixing.source_targets(df).collect()}
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], rel=1e-12) for s in want)
+    plan = mixing.source_targets(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan

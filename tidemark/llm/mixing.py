@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import n_words, written
+from tidemark.operators.numbering import dense_numbers
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -50,22 +51,27 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
     """(source, source_size) -> with ``target``: all words shared by repeating weights in
     code-point order (null last), none above ``most`` times its source's size.
 
-    One row per source goes through the windows, not documents.
+    Sources are numbered by ranges. The level at which the others share what full sources
+    leave rises round by round, each a sum over sources, until no further source is full.
     """
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    every = Window.partitionBy()
+    numbers, n = dense_numbers(sizes, "source", "__i")
+    s = sizes.alias("s").join(numbers.alias("n"), F.col("s.source") == F.col("n.source"), "left").select(
+        "s.source", "s.source_size", F.coalesce("__i", F.lit(n)).alias("__i"))
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (F.col("__i") % len(weights) + 1).cast("int"))
-    s = sizes.withColumn("__i", F.row_number().over(order) - 1).withColumn("__w", w)
-    s = s.withColumn("__cap", F.col("source_size") * F.lit(float(most))).withColumn("__q", F.col("__cap") / F.col("__w"))
-    ranked = Window.orderBy("__q", "__i")
-    before = ranked.rowsBetween(Window.unboundedPreceding, -1)
-    after = ranked.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    # the level each source would get if all sources of a lower cap were full
-    level = (F.sum("source_size").over(every) - F.coalesce(F.sum("__cap").over(before), F.lit(0.0))) / F.sum("__w").over(after)
-    s = s.withColumn("__level", level)
-    free = F.min(F.when(F.col("__q") >= F.col("__level"), F.struct("__q", "__i", "__level"))).over(every)["__level"]
-    s = s.withColumn("__free", F.coalesce(free, F.lit(float("inf"))))
-    target = F.when(F.col("__q") <= F.col("__free"), F.col("__cap")).otherwise(F.col("__w") * F.col("__free"))
+    s = s.withColumn("__w", w).withColumn("__cap", F.col("source_size") * F.lit(float(most)))
+    s = written(s.withColumn("__q", F.col("__cap") / F.col("__w")), "mix-sources")
+    level = 0.0
+    while True:
+        full = F.col("__q") < F.lit(level)
+        left, open_weight = s.agg(
+            F.sum("source_size") - F.sum(F.when(full, F.col("__cap")).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("__w")))).first()
+        if not open_weight:
+            level = float("inf")
+            break
+        if left / open_weight <= level:
+            break
+        level = left / open_weight
+    target = F.when(F.col("__q") <= F.lit(level), F.col("__cap")).otherwise(F.col("__w") * F.lit(level))
     return s.select("source", "source_size", target.cast("double").alias("target"))
 
 

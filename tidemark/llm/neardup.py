@@ -36,6 +36,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,8 @@ T = 34
 STAR = 512
 BLOCK = 1024
 BUCKET_ROWS = 4096
+#: Bytes of text of a group of links to confirm; groups are split by rows and by bytes.
+GROUP_BYTES = 32 << 20
 
 _A = mix(np.arange(1, K + 1, dtype=U)) | U(1)
 _B = mix(np.arange(1, K + 1, dtype=U) + U(1 << 32))
@@ -102,7 +105,8 @@ def _sign(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBa
                 sigs.append(None)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-             pa.array(sigs, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "print", "sig"])
+             pa.array(sigs, pa.binary()), pc.binary_length(batch.column("text")).cast(pa.int64())],
+            names=["doc_id", "text_hash", "n_shingles", "print", "sig", "bytes"])
 
 
 def _keys(sigs: np.ndarray) -> np.ndarray:
@@ -125,14 +129,14 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
-    """(node, n_shingles, mask, posted): the keys each node is posted under; ``mask`` has their coordinates as bits."""
+    """(node, n_shingles, bytes, mask, posted): the keys each node is posted under; ``mask`` has their coordinates as bits."""
     spelled = nodes.select("node", "sig").mapInArrow(_spell, "key long, node long, coordinate byte")
     often = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = spelled.join(often, "key").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "key", "coordinate"))).alias("x"))
     posted = shared.filter(F.size("x") >= T).withColumn("x", F.slice("x", 1, F.size("x") - (T - 1)))
     bits = F.aggregate("x", F.lit(0).cast("long"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), x["coordinate"].cast("int"))))
     posted = posted.select("node", bits.alias("mask"), F.transform("x", lambda x: x["key"]).alias("posted"))
-    return posted.join(nodes.select("node", "n_shingles"), "node")
+    return posted.join(nodes.select("node", "n_shingles", "bytes"), "node")
 
 
 def _similar_size(a: Column, b: Column) -> Column:
@@ -192,9 +196,15 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(count, "a long, b long")
 
 
-def _stars(pairs: DataFrame) -> DataFrame:
-    """Groups of a pivot (a) and at most about STAR of its partners (b)."""
-    degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / STAR).cast("int").alias("parts"))
+def _parts(rows: int) -> Column:
+    """Into how many parts a group goes, so that each has about ``rows`` rows and GROUP_BYTES of text at most."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / rows), F.ceil(F.sum("bytes") / GROUP_BYTES), F.lit(1)).cast("int")
+
+
+def _stars(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Groups of a pivot (a) and some of its partners (b)."""
+    pairs = pairs.join(nodes.select(F.col("node").alias("b"), "bytes"), "b")
+    degree = pairs.groupBy("a").agg(_parts(STAR).alias("parts"))
     group = lambda part: F.concat_ws("|", F.col("a").cast("string"), part.cast("string"))
     members = pairs.join(degree, "a").select(
         group(F.pmod(F.xxhash64("b"), F.col("parts"))).alias("group"), F.lit(1).alias("idx"), F.col("b").alias("node"), F.array(F.lit(0)).alias("partners"))
@@ -206,12 +216,13 @@ def _stars(pairs: DataFrame) -> DataFrame:
 def _across(lists: DataFrame, nodes: DataFrame) -> DataFrame:
     """Groups (group, idx, node, partners) of pairs across components that may still link.
 
-    ``lists`` has (key, node, n_shingles, mask, comp). Short lists share buckets of
+    ``lists`` has (key, node, n_shingles, bytes, mask, comp). Short lists share buckets of
     about BUCKET_ROWS rows; a long one goes in blocks of about BLOCK rows against
-    each other, so a task holds one bucket or two blocks.
+    each other, so a task holds one bucket or two blocks. Long texts make for fewer
+    rows in either.
     """
-    buckets = max(1, -(-lists.count() // BUCKET_ROWS))
-    blocks = lists.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    buckets = int(lists.agg(_parts(BUCKET_ROWS)).first()[0] or 1)
+    blocks = lists.groupBy("key").agg(_parts(BLOCK).alias("blocks"))
     dealt = lists.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     i, j = F.least("own", "other").cast("string"), F.greatest("own", "other").cast("string")
@@ -264,11 +275,11 @@ def _across(lists: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and root (its component's node; null without words) of every row."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    signed = written(rows.mapInArrow(partial(_sign, width=width), "doc_id long, text_hash long, n_shingles long, print binary, sig binary"), "dedup-signed")
+    signed = written(rows.mapInArrow(partial(_sign, width=width), "doc_id long, text_hash long, n_shingles long, print binary, sig binary, bytes long"), "dedup-signed")
     some = signed.filter("print is not null").dropDuplicates(["print"]).withColumn("node", F.monotonically_increasing_id())
-    nodes = written(some.select("node", "print", "doc_id", "text_hash", "n_shingles", "sig"), "dedup-nodes")
+    nodes = written(some.select("node", "print", "doc_id", "text_hash", "n_shingles", "sig", "bytes"), "dedup-nodes")
     posted = written(_postings(nodes), "dedup-posted")
-    postings = posted.select(F.explode("posted").alias("key"), "node", "n_shingles", "mask")
+    postings = posted.select(F.explode("posted").alias("key"), "node", "n_shingles", "bytes", "mask")
     heads = postings.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("node"), "node", "n_shingles")).alias("p"), F.count(F.lit(1)).alias("n"),
         F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"), (F.sum("n_shingles") - F.min("n_shingles") - F.max("n_shingles")).alias("mid"))
@@ -289,7 +300,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         texts = texts.dropDuplicates(["node"])
     texts = written(texts, "dedup-texts", compression="zstd")
 
-    links = written(_confirm(_stars(agreed), texts, width), "dedup-links")
+    links = written(_confirm(_stars(agreed, nodes), texts, width), "dedup-links")
     comp = components(links)
 
     open_lists = lists.drop("p").join(comp, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
