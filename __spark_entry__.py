@@ -257,6 +257,16 @@ _ORACLES: dict[str, str] = {
     "checkpoint_observed": (
         f"SELECT count(*) AS n_rows, max({_OC}) AS last_processed_commit FROM orders WHERE {_OC} > '20001231'"
     ),
+    "partitioned_write_rows": (
+        "SELECT c_custkey AS customer_id, c_name AS name, n_name AS state, n_name AS city, "
+        "concat('c', CAST(c_custkey AS VARCHAR), '@example.com') AS email FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    ),
+    "sink_last_write_wins": (
+        "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS VARCHAR) AS l_shipdate, CAST(l_partkey AS VARCHAR) AS l_partkey, "
+        "CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice, CAST(l_quantity AS VARCHAR) AS l_quantity "
+        "FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+        "ORDER BY lineitem.l_shipdate DESC, lineitem.l_partkey DESC, lineitem.l_suppkey DESC, lineitem.l_extendedprice DESC, lineitem.l_quantity DESC) = 1"
+    ),
     "gold_upsert": (
         "SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 100000 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, "
         "o_orderdate, 'gz' AS codec FROM orders"

@@ -18,3 +18,19 @@ def test_scale_conf_sizes_partitions_from_input():
     assert small["spark.sql.shuffle.partitions"] == "40"  # 10 GiB / 256 MiB
     assert small["spark.sql.files.maxPartitionBytes"] == str(256 * 2**20)
     assert small["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+
+def test_scratch_scopes_clear_their_own_folders(spark):
+    from tidemark import fs
+    from tidemark.session import scratch_dir, scratch_scope
+
+    outside = scratch_dir(spark, "outside")
+    spark.range(3).write.parquet(outside)
+    with scratch_scope(spark):
+        a = scratch_dir(spark, "a")
+        spark.range(3).write.parquet(a)
+        with scratch_scope(spark):
+            b = scratch_dir(spark, "b")
+            spark.range(3).write.parquet(b)
+        assert fs.exists(spark, a) and not fs.exists(spark, b)
+    assert not fs.exists(spark, a) and fs.exists(spark, outside)

@@ -84,7 +84,6 @@ def resolve_versions(
     order: list[str],
     merge_mode: str,
     tombstones: bool = True,
-    reduced: bool = False,
 ) -> DataFrame:
     """Latest live version per key among ``versions`` (data rows and tombstones).
 
@@ -97,14 +96,13 @@ def resolve_versions(
     key), then the window on the same keys. Before that join the versions are
     cut to one per (key, commit) (``per_commit_winners``) so a hot key never
     lands whole in one join task; both steps are skipped when the input is
-    known to hold no tombstones (``reduced``: already cut).
+    known to hold no tombstones.
     """
     if merge_mode == "incoming_wins":
         return latest_per_key(versions, keys, order).filter(~F.col(DELETED_COL))
     if not tombstones:
         return latest_per_key(versions.filter(~F.col(DELETED_COL)), keys, order)
-    if not reduced:
-        versions = per_commit_winners(versions, keys, order)
+    versions = per_commit_winners(versions, keys, order)
     data = versions.filter(~F.col(DELETED_COL))
     tombs = versions.filter(F.col(DELETED_COL)).groupBy(*keys).agg(F.max(COMMIT_COL).alias(TOMB_COL))
     cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs[TOMB_COL]]
@@ -634,7 +632,7 @@ class CommitLogTable:
         batches, _ = self.pin()
         return any(b.endswith(DELETE_SUFFIX) for b in batches)
 
-    def _resolve(self, versions: DataFrame, reduced: bool = False) -> DataFrame:
+    def _resolve(self, versions: DataFrame) -> DataFrame:
         """Latest live version per key among ``versions`` (tombstones applied)."""
         return resolve_versions(
             versions,
@@ -642,7 +640,6 @@ class CommitLogTable:
             self._order(versions),
             self.spec.merge_mode,
             self.has_tombstones(),
-            reduced,
         )
 
     def snapshot(self, as_of: str | None = None, with_meta: bool = False, of: DataFrame | None = None) -> DataFrame:
@@ -795,12 +792,12 @@ class CommitLogTable:
         if base is not None:
             changed = changed.unionByName(base.filter(in_range).select(*keys))
         changed = changed.distinct()
-        # cut each key to one version per commit before joining on the key,
-        # so a hot key's history does not pile into one semi-join task
-        versions = self._key_join(per_commit_winners(history, keys, self._order(history)), changed, "left_semi")
+        # the changed keys come first: only their history is ranked (AQE broadcasts them,
+        # or splits a hot key's history over tasks of the join)
+        versions = self._key_join(history, changed, "left_semi")
         if base is not None:
             versions = self._key_join(base, changed, "left_semi").unionByName(versions)
-        out = self._resolve(versions, reduced=True).filter(in_range)
+        out = self._resolve(versions).filter(in_range)
         return self._finish(out, with_meta)
 
     # ------------------------------------------------------------ maintenance

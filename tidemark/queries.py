@@ -729,6 +729,30 @@ def local_rows_join(spark: SparkSession, sf: str) -> DataFrame:
     return customer.join(states, customer["c_nationkey"] == states["n_nationkey"]).select("c_custkey", "c_name", F.col("n_name").alias("state"))
 
 
+def partitioned_write_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers partitioned by state, every row read back by name from the catalog."""
+    customers = customers_view(_t(spark, sf, "customer"), _t(spark, sf, "nation"))
+    name = "customers_rows_" + scratch_dir(spark, "c").rsplit("-", 1)[1]
+    config = WriteConfig(
+        glue_database=None, table_name=name, record_id="customer_id", precomb_key=None,
+        table_type="COPY_ON_WRITE", partition_fields="state", enable_partition=True, enable_cleaner=False,
+        enable_hive_sync=True, enable_clustering=False, enable_meta_data_indexing=False,
+        use_sql_transformer=False, sql_transformer_query=None, target_path=scratch_dir(spark, name),
+        compression="gzip",
+    )
+    upsert_table(spark, customers, config)
+    return spark.sql(f"SELECT customer_id, name, state, city, email FROM {name}")
+
+
+def sink_last_write_wins(spark: SparkSession, sf: str) -> DataFrame:
+    """Lineitem rows put into the item sink by (l_orderkey, l_linenumber); the greatest
+    (ship date, part, supplier, price, quantity) is the last write."""
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
+    sink = KeyedSink(spark, scratch_dir(spark, "lineitem_sink"), "l_orderkey", "l_linenumber", attributes=order, order_by=order)
+    sink.put(_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *order))
+    return sink.items().select("l_orderkey", "l_linenumber", *order)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "customer_orders_join": customer_orders_join,
     "precombine_latest": precombine_latest,
@@ -782,5 +806,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "column_stats": column_stats,
     "checkpoint_observed": checkpoint_observed,
     "gold_upsert": gold_upsert,
+    "partitioned_write_rows": partitioned_write_rows,
+    "sink_last_write_wins": sink_last_write_wins,
     "local_rows_join": local_rows_join,
 }

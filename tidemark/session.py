@@ -10,9 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+from tidemark import fs
+
 # Settings every tidemark job wants; cluster-level values (memory, executor
 # count, shuffle partitions at scale) are left to the deployment.
 DEFAULT_CONF: dict[str, str] = {
@@ -77,7 +82,30 @@ def scratch_dir(spark: SparkSession, name: str = "work") -> str:
     them back (never a machine-local temp folder on a cluster).
     """
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes.get():
+        _scopes.get()[-1].append(path)
+    return path
+
+
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("tidemark_scratch_scopes", default=())
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside the block when it ends.
+
+    Results that read them are lazy, so consume them (write them elsewhere, count them)
+    before the block ends. Nested blocks remove their own folders only.
+    """
+    own: list[str] = []
+    token = _scopes.set((*_scopes.get(), own))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in own:
+            fs.delete(spark, path)
 
 
 def job_args(argv: list[str], required: list[str]) -> dict[str, str]:
