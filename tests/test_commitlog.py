@@ -552,3 +552,16 @@ def test_late_imports_are_refused(spark, tmp_table_dir):
         table.import_changelog(late, "c")
     assert [r.k for r in table.snapshot().collect()] == [1] and table.commits() == ["2024010105"]
     assert table.import_changelog(spark.createDataFrame([(3, "2024010106")], "k int, c string"), "c")
+
+
+def test_null_partitions_are_deleted_and_overwritten_like_others(spark, tmp_table_dir):
+    """A NULL partition value equals itself in every key join: deletes, compacted bases, increments, retention."""
+    for mode in ("incoming_wins", "event_time"):
+        t = table(spark, f"{tmp_table_dir}/{mode}", partition_by=("state",), merge_mode=mode)
+        t.write(spark.createDataFrame([("a", None, 1, "a1"), ("b", None, 1, "b1"), ("c", "x", 1, "c1")], SCHEMA))
+        t.compact()
+        t.write(spark.createDataFrame([("a", None, 2, "a2")], SCHEMA))
+        t.delete(spark.createDataFrame([("b", None)], "id string, state string"))
+        assert rows(t.snapshot()) == [("a", 2, "a2"), ("c", 1, "c1")]
+        assert rows(t.incremental(t.commits()[0])) == [("a", 2, "a2")]
+        assert rows(maintenance.retain_versions(t, 1)) == [("a", 2, "a2"), ("c", 1, "c1")]

@@ -111,7 +111,7 @@ def retain_versions(table: CommitLogTable, n: int, options: WriteOptions | None
             tombs = (
                 candidates.filter(F.col(DELETED_COL)).groupBy(*keys).agg(F.max(COMMIT_COL).alias("__tm_tomb"))
             )
-            cond = [data[k] == tombs[k] for k in keys] + [data[COMMIT_COL] <= tombs["__tm_tomb"]]
+            cond = [data[k].eqNullSafe(tombs[k]) for k in keys] + [data[COMMIT_COL] <= tombs["__tm_tomb"]]
             data = data.join(tombs, on=cond, how="left_anti")
         kept = retain_latest_versions(data, keys, order, n).drop(DELETED_COL)
         staging = f"{table.path}/_staging/history-{end}-{n}-{uuid.uuid4().hex[:8]}"
