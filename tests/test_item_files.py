@@ -62,6 +62,12 @@ def test_the_number_of_segments_does_not_change_the_rows(spark, tmp_table_dir, s
         assert df.rdd.getNumPartitions() <= segments
 
 
+def test_local_uris_are_paths(spark, tmp_table_dir):
+    put_items(spark.createDataFrame([(1, "a", 1.0)], SCHEMA), f"file://{tmp_table_dir}/items", "1")
+    for path in (f"file:{tmp_table_dir}/items", f"file://{tmp_table_dir}/items/", f"{tmp_table_dir}/items"):
+        assert [r.k for r in scan_items(spark, path, SCHEMA).collect()] == [1]
+
+
 def test_loader_scans_items_by_segments(spark, tmp_table_dir):
     rows = export(f"{tmp_table_dir}/export", 60)
     Loaders({"source": [{"source_type": "ITEMS", "spark_table_name": "seg_items", "path": f"{tmp_table_dir}/export", "schema": SCHEMA, "segments": 4}]}, spark).load()

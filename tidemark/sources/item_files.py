@@ -23,6 +23,7 @@ no rows publishes an empty manifest; a put whose commit is published already cha
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -44,6 +45,7 @@ BLOCK_BYTES = 4 * 1024 * 1024
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
+    path = re.sub("^file:/+", "/", path.rstrip("/"))
     return pafs.FileSystem.from_uri(path) if ":" in path.split("/", 1)[0] else (pafs.LocalFileSystem(), path)
 
 
