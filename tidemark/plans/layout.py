@@ -11,11 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.numbering import dense_numbers
+
 #: The reference's small-file limit and largest file.
 SMALL_BYTES = 100 * 1024 * 1024
 TARGET_BYTES = 512 * 1024 * 1024
 
-_FILE, _SIZE, _GROUP = "__tm_file", "__tm_size", "__tm_group"
+_FILE, _GROUP = "__tm_file", "__tm_group"
 
 
 def data_files(rows: DataFrame) -> DataFrame:
@@ -54,15 +56,10 @@ def rewrite_small_files(
     shuffle partitions, and AQE neither splits nor merges these.
     """
     rows = spark.read.parquet(path)
-    groups = rewrite_groups(data_files(rows), small, target)
-    names = groups.select("folder", "group").distinct()
-    # one row per output file, numbered through its folders
-    of_folder = names.groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
-    first = of_folder.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy("folder").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    own = F.row_number().over(Window.partitionBy("folder").orderBy("group")) - 1
-    numbered = names.withColumn("own", own).join(first.select("folder", "first"), "folder")
-    numbered = groups.join(numbered, ["folder", "group"]).select(F.col("file").alias(_FILE), (F.col("first") + F.col("own")).cast("int").alias(_GROUP))
-    n = names.count()
+    groups = rewrite_groups(data_files(rows), small, target).select("file", F.concat_ws("|", "folder", "group").alias("output"))
+    # one number per output file
+    outputs, n = dense_numbers(groups, "output", _GROUP)
+    numbered = groups.join(outputs, "output").select(F.col("file").alias(_FILE), F.col(_GROUP).cast("int").alias(_GROUP))
     if n:
         dealt = rows.withColumn(_FILE, F.col("_metadata.file_path")).join(numbered, _FILE).repartitionById(n, F.col(_GROUP))
         writer = dealt.drop(_FILE, _GROUP).write.option("compression", compression).option("maxRecordsPerFile", 0)
