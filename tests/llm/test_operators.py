@@ -494,6 +494,13 @@ def test_lm_base_equals_brute_force(spark, docs):
     assert got == want and (out.score < 0).all() and (out.bits_per_byte > 0).all()
 
 
+def test_lm_blocks_fill_from_short_texts(monkeypatch):
+    rows = pa.table({"doc_id": list(range(100)), "text": [f"w{i}" for i in range(99)] + [None], "held": [False] * 100})
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 60)
+    got = list(ctw._filled(iter(rows.to_batches(max_chunksize=3))))
+    assert [x for b in got for x in b.column("doc_id").to_pylist()] == list(range(100)) and 4 <= len(got) <= 6
+
+
 def test_lm_lists_pack_without_loss():
     r = np.random.default_rng(2)
     x = np.unique(r.integers(-(2**62), 2**62, 1000))

@@ -39,6 +39,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -182,6 +183,19 @@ def running_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ((seen & U((1 << 8 * DEPTH) - 1)) << U(8) | seen >> U(8 * DEPTH) & U(255)).view(np.int64), lengths
 
 
+def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they hold a block's bytes, so that short texts fill blocks too."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+        if size >= BLOCK_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -198,7 +212,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return rows(len(spans), kind=[kind] * len(spans), block=[block] * len(spans), bin=[b for b, _, _ in spans],
                     keys=[pack_sorted(keys[a:z]) for _, a, z in spans], weights=[_planes(weights[a:z]) for _, a, z in spans])
 
-    for number, batch in enumerate(text_batches(batches, "text", BLOCK_BYTES)):
+    for number, batch in enumerate(text_batches(_filled(batches), "text", BLOCK_BYTES)):
         block, n = part << 24 | number, batch.num_rows
         data, offsets = text_bytes(batch.column("text"))
         start, end = word_spans(data, offsets)
