@@ -96,8 +96,7 @@ class Forest:
                 yield np.arange(self.n)
                 continue
             seen = np.zeros(self.n, bool)
-            for tree, a, b in zip(self.rows, lo, hi, strict=True):
-                seen[tree[a:b]] = True
+            seen[np.concatenate([tree[a:b] for tree, a, b in zip(self.rows, lo, hi, strict=True)])] = True
             yield np.flatnonzero(seen)
 
 
