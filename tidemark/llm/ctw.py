@@ -48,7 +48,7 @@ from tidemark.llm.common import crc_mod, written
 from tidemark.llm.words import SEGMENT, U, hash_words, mix, text_batches, text_bytes, word_spans
 
 DEPTH = 6
-BLOCK_BYTES = 32 * SEGMENT
+BLOCK_BYTES = 16 * SEGMENT
 #: Bytes of texts whose keys are held at once (or a single longer text).
 PIECE_BYTES = 2 * SEGMENT
 BINS = 1024
@@ -190,8 +190,8 @@ def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append(batch)
         size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
         if size >= BLOCK_BYTES:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, size = [], 0
+            whole, held, size = pa.Table.from_batches(held).combine_chunks(), [], 0
+            yield from whole.to_batches()
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
