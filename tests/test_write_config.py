@@ -181,6 +181,27 @@ def test_cluster_sizes_from_base_after_retention(spark, tmp_table_dir):
     assert len(files) > 1
 
 
+def test_cluster_bounds_a_sort_by_decoded_rows(spark, tmp_table_dir, monkeypatch):
+    """Rows that are small in parquet only: one file of the size asked for would be one sort of all of them."""
+    monkeypatch.setattr(maintenance, "SORT_BYTES", 1 << 20, raising=False)
+    rows = spark.range(4000).select(
+        (F.col("id") * 7919 % 4000).cast("string").alias("customer_id"), F.lpad((F.col("id") % 1000).cast("string"), 4, "0").alias("name"),
+        F.repeat(F.lit("NY"), 1000).alias("state"), F.lit("2024-01-01").alias("created_at"))
+    upsert_table(spark, rows, config(tmp_table_dir, enable_partition=False, table_type="MERGE_ON_READ"))
+    t = CommitLogTable.open(spark, tmp_table_dir)
+    maintenance.cluster(t, ["name"], 1 << 30)  # 8 MB of text
+    base = spark.read.parquet(f"{tmp_table_dir}/base/{t.base_dir()}")
+    per_file = base.groupBy(F.input_file_name()).agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.count("*").alias("n")).orderBy("lo").collect()
+    assert len(per_file) >= 8 and max(r.n for r in per_file) < 1000
+    assert all(a.hi <= b.lo for a, b in zip(per_file, per_file[1:]))
+    assert sorted(map(tuple, t.refresh().snapshot().collect())) == sorted(map(tuple, rows.collect()))
+    # a second run measures the base and the log after it
+    upsert_table(spark, rows.limit(10), config(tmp_table_dir, enable_partition=False, table_type="MERGE_ON_READ"))
+    maintenance.cluster(t, ["name"], 1 << 30)
+    again = spark.read.parquet(f"{tmp_table_dir}/base/{t.refresh().base_dir()}")
+    assert 8 <= again.select(F.input_file_name()).distinct().count() <= len(per_file) + 1 and again.count() == 4000
+
+
 def test_rows_to_frame_and_gold_helper_and_file_cap(spark, tmp_table_dir):
     from pyspark.sql import types as T
 

@@ -12,12 +12,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import fs
 from tidemark.functions.columns import COMMIT_COL, DELETED_COL
 from tidemark.operators.keyed import RANK_COL, ranked, retain_latest_versions
 from tidemark.plans.commitlog import BATCH_COL, CommitLogTable, WriteOptions
 
+#: A clustering task sorts about this many bytes of rows, whatever they are in parquet.
+SORT_BYTES = 256 * 1024 * 1024
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 def commits_since_base(table: CommitLogTable) -> int:
     end = table.base_end()
@@ -31,6 +36,17 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return int(fsys.getContentSummary(p).getLength()) if fsys.exists(p) else 0
 
 
+def bytes_to_sort(rows: DataFrame) -> int:
+    """About what ``rows`` take in a sort: the sort's own entry and eight bytes a column, and the
+    texts (nested columns as text) at their full length. Only these columns are read."""
+    size = F.lit(64 + 8 * len(rows.columns)).cast("long")
+    for f in rows.schema.fields:
+        if not isinstance(f.dataType, _FIXED):
+            c = F.col(f"`{f.name}`") if isinstance(f.dataType, T.BinaryType) else F.col(f"`{f.name}`").cast("string")
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    return int(rows.agg(F.sum(size)).first()[0] or 0)
+
+
 def cluster(
     table: CommitLogTable,
     sort_columns: Sequence[str],
@@ -38,7 +54,8 @@ def cluster(
     options: WriteOptions | None = None,
 ) -> str | None:
     """K8: rewrite the snapshot as a base range-partitioned and sorted by
-    ``sort_columns``, about ``target_file_bytes`` per file.
+    ``sort_columns``, about ``target_file_bytes`` per file, or less where the
+    rows of such a file are more than a task should sort (``SORT_BYTES``).
 
     Range partitioning samples the sort keys (no full sort on one task), so
     files cover disjoint key ranges and min/max statistics skip well. The
@@ -54,7 +71,11 @@ def cluster(
     stored = table_bytes(table.spark, f"{table.path}/log") + sum(
         table_bytes(table.spark, p) for p in table.base_paths()
     )
-    n_files = max(1, stored // max(1, target_file_bytes) + 1)
+    base, base_end = table._base(), table.pin()[1]
+    versions = table.log(after=base_end)
+    if base is not None:
+        versions = versions.filter(F.col(COMMIT_COL) > F.lit(base_end)).unionByName(base)
+    n_files = max(stored // max(1, target_file_bytes) + 1, -(-bytes_to_sort(versions) // SORT_BYTES))
     snap = table.snapshot(with_meta=True).withColumn(DELETED_COL, F.lit(False))
     # partition columns lead, so each file belongs to one partition and the
     # partitioned write finds its rows in order
