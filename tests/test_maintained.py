@@ -67,6 +67,45 @@ def test_only_customers_whose_extreme_left_are_read_again(spark):
     assert got[4].first_order == date(2023, 1, 1) and got[9].n_orders == 1 and 5 not in got
 
 
+def test_images_are_summed_in_stages_of_their_own(spark):
+    """No task sorts and sums the old and the new images both: each has its exchange by customer, and sums meet sums."""
+    schema = "customer_id long, order_value string, order_date date"
+    before = [(1, "10.0000000001", date(2024, 1, 1)), (1, None, date(2024, 1, 2)), (2, "3", None), (None, "5", date(2024, 1, 5))]
+    after = [(1, "4", date(2024, 1, 3)), (3, "7", date(2024, 1, 4)), (None, "5", date(2024, 1, 5))]
+    delta = metrics.metrics_delta(spark.createDataFrame(before, schema), spark.createDataFrame(after, schema))
+    assert delta.schema["d_value"].dataType.simpleString() == "decimal(38,10)"
+    got = sorted((r.customer_id, r.d_orders, str(r.d_value), r.added_amounts, r.taken_amounts, r.added_first, r.added_last, r.taken_first, r.taken_last) for r in delta.collect())
+    assert got == [
+        (1, -1, "-6.0000000001", 1, 1, date(2024, 1, 3), date(2024, 1, 3), date(2024, 1, 1), date(2024, 1, 2)),
+        (2, -1, "-3.0000000000", 0, 1, None, None, None, None),
+        (3, 1, "7.0000000000", 1, 0, date(2024, 1, 4), date(2024, 1, 4), None, None)]
+    plan = delta._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.index("Join FullOuter") < plan.index("Aggregate [") and plan.count("Aggregate [") == 2
+
+
+@pytest.mark.parametrize("mode", ["incoming_wins", "event_time"])
+def test_new_images_come_from_the_increment(spark, tmp_table_dir, monkeypatch, mode):
+    """Where the newest commit wins, only the old images read the history; late orders still need both."""
+    read = []
+    plain = CommitLogTable.snapshot
+    monkeypatch.setattr(CommitLogTable, "snapshot", lambda self, as_of=None, with_meta=False, of=None: read.append((self.path, as_of)) or plain(self, as_of, with_meta, of))
+    path = f"{tmp_table_dir}/orders"
+    table = orders_table(spark, path, merge_mode=mode, precombine="order_date")
+    kept = MaintainedMetrics(spark, table, f"{tmp_table_dir}/metrics")
+    day = lambda d: date(2024, 1, d)
+    steps = [[(1, 1, "5", day(5)), (2, 2, "5", day(5)), (3, 2, "1", day(9))], [(1, 2, "6", day(4)), (4, 3, "1", day(1))], None, [(2, 1, "7", day(3)), (3, 3, "8", day(7))]]
+    for step in steps:
+        table.write(spark.createDataFrame(step, ORDERS)) if step else table.delete(spark.createDataFrame([(2,), (4,)], "order_id long"))
+        kept.refresh()
+        assert sorted(map(tuple, kept.read().collect()), key=str) == whole(table)
+    # customer 3's new order loses no date, so nothing else reads the table as of its end
+    table.write(spark.createDataFrame([(5, 3, "2", day(8))], ORDERS))
+    del read[:]
+    kept.refresh()
+    assert sorted(map(tuple, kept.read().collect()), key=str) == whole(table)
+    assert read.count((path, table.last_commit())) == (0 if mode == "incoming_wins" else 1)
+
+
 def test_metrics_after_compaction_start_from_the_whole_table(spark, tmp_table_dir):
     """The old images are in a newer base, so customers without orders are found by comparison."""
     table = orders_table(spark, f"{tmp_table_dir}/orders")

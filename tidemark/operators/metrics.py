@@ -49,20 +49,29 @@ def metrics_delta(
     """What changed orders do to their customers' metrics: old images are taken away, new ones added.
 
     ``before`` and ``after`` hold the changed orders as they were and as they are (an order that is
-    new is only in ``after``, a deleted one only in ``before``). Partial sums combine before the shuffle.
+    new is only in ``after``, a deleted one only in ``before``). Each is summed for itself, in tasks of
+    its own, with partial sums before the shuffle; then two rows of a customer meet at most.
     """
-    images = before.select(key, value, date, F.lit(-1).alias("__sign")).unionByName(after.select(key, value, date, F.lit(1).alias("__sign")))
-    added, taken = F.col("__sign") > 0, F.col("__sign") < 0
-    amount = amount_of(value)
+    # one digit less, as the difference of two 38-digit decimals would lose one behind the point
+    narrow = f"decimal(37,{SCALE})"
+    both = _sums(before, key, value, date, "taken").join(_sums(after, key, value, date, "added"), key, "full_outer")
+    added, taken = ({c: F.coalesce(F.col(f"{side}_{c}"), F.lit(0)) for c in ("orders", "value", "amounts")} for side in ("added", "taken"))
+    return both.select(
+        key,
+        (added["orders"] - taken["orders"]).alias("d_orders"),
+        (added["value"].cast(narrow) - taken["value"].cast(narrow)).alias("d_value"),
+        *[side["amounts"].alias(f"{name}_amounts") for name, side in (("added", added), ("taken", taken))],
+        "added_first", "added_last", "taken_first", "taken_last",
+    )
+
+
+def _sums(images: DataFrame, key: str, value: str, date: str, side: str) -> DataFrame:
     return images.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.sum("__sign").alias("d_orders"),
-        F.coalesce(F.sum(F.when(added, amount).otherwise(-amount)), F.lit(0)).alias("d_value"),
-        F.count(F.when(added, F.col(value))).alias("added_amounts"),
-        F.count(F.when(taken, F.col(value))).alias("taken_amounts"),
-        F.min(F.when(added, F.col(date))).alias("added_first"),
-        F.max(F.when(added, F.col(date))).alias("added_last"),
-        F.min(F.when(taken, F.col(date))).alias("taken_first"),
-        F.max(F.when(taken, F.col(date))).alias("taken_last"),
+        F.count(F.lit(1)).alias(f"{side}_orders"),
+        F.sum(amount_of(value)).alias(f"{side}_value"),
+        F.count(value).alias(f"{side}_amounts"),
+        F.min(date).alias(f"{side}_first"),
+        F.max(date).alias(f"{side}_last"),
     )
 
 

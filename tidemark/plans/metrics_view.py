@@ -75,7 +75,13 @@ class MaintainedMetrics:
         in_range = (F.col(COMMIT_COL) > F.lit(begin)) & (F.col(COMMIT_COL) <= F.lit(end))
         # deletes count as changes, so the keys come from the log itself
         changed = self.orders.log(after=begin).filter(in_range).select(*keys).distinct()
-        images = [self.orders.snapshot(as_of=at, of=changed).select(self.key, self.value, self.date) for at in (begin, end)]
+        before = self.orders.snapshot(as_of=begin, of=changed)
+        if self.orders.spec.merge_mode == "incoming_wins":
+            # a changed order's newest version is in the range: its history is not read again
+            after = self.orders.incremental(begin, end, with_meta=False)
+        else:
+            after = self.orders.snapshot(as_of=end, of=changed)
+        images = [rows.select(self.key, self.value, self.date) for rows in (before, after)]
         delta = self._written(metrics_delta(*images, self.key, self.value, self.date), "metrics-delta")
         state = self.table.snapshot(of=delta.select(self.key))
         merged = self._written(apply_delta(state, delta, self.key), "metrics-merged")
