@@ -528,6 +528,54 @@ def test_lm_bins_merge_in_bounded_steps(monkeypatch, merge, trees):
     assert len({int(k) for s in spans for k in np.unique(keys[s] >> 24)}) == sum(len(np.unique(keys[s] >> 24)) for s in spans)
 
 
+@pytest.mark.parametrize("n", [1, 2, 5000])
+def test_lm_lookup_finds_every_key(monkeypatch, n):
+    monkeypatch.setattr(ctw, "LOOKUP_KEYS", 7)
+    r = np.random.default_rng(n)
+    keys = np.unique(np.concatenate([r.integers(0, 2**56, n), np.arange(n), [2**56 - 1]]))
+    asked = r.choice(keys, 300)
+    assert (ctw.lookup(keys, keys * 0.5)(asked) == asked * 0.5).all() and len(ctw.lookup(keys, keys * 0.5)(asked[:0])) == 0
+
+
+@pytest.mark.parametrize("piece", [1, 30, 2 << 20])
+def test_lm_words_and_keys_are_counted_by_piece(monkeypatch, piece):
+    monkeypatch.setattr(ctw, "PIECE_BYTES", piece)
+    texts = ["b a\tB", None, "", " \n", "ünï a ünï " + "x" * 50, "A a"]
+    found, said, ids, tokens = ctw._words(pa.record_batch({"text": pa.array(texts)}))
+    split = [(t or "").encode().lower().split() for t in texts]
+    assert [said[i] for i in ids] == [w for t in split for w in t] and tokens.tolist() == [len(t) for t in split]
+    assert sorted(said) == sorted({w for t in split for w in t}) and len(set(found.tolist())) == len(said)
+    words = b"\n".join(said)
+    numbers = np.insert(ids, np.cumsum(tokens), len(said))
+    got = [t for _, some in ctw._pieces(words, numbers, tokens + 1) for t in some]
+    assert got == [b"".join(w + b" " for w in t) + ctw.END_WORD for t in split]
+    assert list(ctw._pieces(b"", np.zeros(2, np.int64), np.ones(2, np.int64)))[-1][1][-1] == ctw.END_WORD
+    keys, times = ctw._counted(np.array([7, 4, 5, 5, 2, 7]))
+    assert keys.tolist() == [1, 2, 3] and times.tolist() == [0, 2, 2]
+
+
+def test_lm_places_of_bytes_are_never_sorted(monkeypatch):
+    """A block's bytes are sorted as plain numbers only: sorting their places, or hashing, was most of the CPU time."""
+    import pyspark
+
+    said = [sentence(300, i % 20) for i in range(400)]
+    total = sum(len(t.encode()) + 2 for t in said)
+    sorts = {name: getattr(np, name) for name in ("unique", "argsort", "lexsort")}
+    seen = []
+    for name, plain in sorts.items():
+        monkeypatch.setattr(np, name, lambda x, *a, plain=plain, **k: (seen.append(np.asarray(x).shape[-1]), plain(x, *a, **k))[1])
+    monkeypatch.setattr(pyspark, "TaskContext", type("Here", (), {"get": classmethod(lambda c: c), "partitionId": staticmethod(lambda: 0)}))
+    rows = pa.Table.from_batches(ctw._scan(iter([pa.record_batch({"doc_id": list(range(400)), "text": said, "held": [i % 7 == 2 for i in range(400)]})])))
+    kind = rows.column("kind").to_numpy()
+    packed = {ctw.KEYS: lambda x, _: ctw.pack_logs(-0.5 * np.ones(len(ctw.unpack_sorted(x)))), ctw.WORDS: lambda _, w: w}
+    found = [(k, b, packed[k](x, w)) for k, b, x, w in zip(*(rows.column(c).to_pylist() for c in ("kind", "bin", "keys", "weights")), strict=True) if k]
+    found = pa.table({"what": [x[0] for x in found], "of_bin": [x[1] for x in found], "data": pa.array([x[2] for x in found], pa.binary())})
+    block = rows.filter(pa.array(kind == ctw.BLOCK)).select(["block", "doc_ids", "held", "tokens", "words", "ids"])
+    got = ctw._document_scores(1, 1)(None, block, found)
+    assert np.allclose(got.column("score").to_numpy() / -0.5, [len(" ".join(t.encode().decode().split()).encode()) + 2 for t in said])
+    assert max(seen, default=0) < total / 10
+
+
 # ----------------------------------------------------------------- tokens
 def test_token_counts_do_not_depend_on_the_session(spark, docs):
     want = sorted(((r["doc_id"], r["n_tokens"]) for r in tokens.token_counts(docs).collect()), key=str)

@@ -55,6 +55,8 @@ BINS = 1024
 #: Keys whose trees are built at once, and keys gathered before they are merged.
 TREE_KEYS = 50_000
 MERGE_KEYS = 4_000_000
+#: Keys looked up at once (they stay in a core's cache).
+LOOKUP_KEYS = 1 << 16
 END_HASH, END_WORD = 0, b"\n"
 FILLING = b"\x20"
 
@@ -149,18 +151,55 @@ def unpack_logs(x: bytes) -> np.ndarray:
 
 
 def key_bins(keys: np.ndarray) -> np.ndarray:
-    """Bin of every key: by the last three bytes before."""
-    return (mix((keys >> 8 * (DEPTH - 2)).astype(U)) % U(BINS)).astype(np.int64)
+    """Bin of every key: by the last three bytes before. (Numbers of 16 bits are sorted by radix.)"""
+    return (mix((keys >> 8 * (DEPTH - 2)).astype(U)) % U(BINS)).astype(np.uint16)
 
 
 def hash_bins(hashes: np.ndarray) -> np.ndarray:
-    return (mix(hashes.view(U)) % U(BINS)).astype(np.int64)
+    return (mix(hashes.view(U)) % U(BINS)).astype(np.uint16)
+
+
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal numbers begin."""
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The different numbers, sorted. A plain sort is several times faster than hashing or than sorting places."""
+    x = np.sort(x)
+    return x[_firsts(x)]
 
 
 def _spans(bins: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(bin, first, behind) of the runs of sorted bins."""
-    found, first = np.unique(bins, return_index=True)
-    yield from zip(found.tolist(), first.tolist(), [*first[1:].tolist(), len(bins)], strict=True)
+    first = _firsts(bins)
+    yield from zip(bins[first].tolist(), first.tolist(), [*first[1:].tolist(), len(bins)], strict=True)
+
+
+def lookup(keys: np.ndarray, values: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """A map from keys, all of them among the distinct ``keys``, to their values: a hash table of sorted buckets."""
+    bits = (2 * len(keys)).bit_length()
+    hashes = mix(keys.view(U))  # one to one, so that hashes stand for keys
+    order = np.argsort(hashes)
+    hashes, values = hashes[order], values[order]
+    size = np.bincount((hashes >> U(64 - bits)).view(np.int64), minlength=1 << bits)
+    start = (np.cumsum(size) - size).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+
+    def find(asked: np.ndarray) -> np.ndarray:
+        out = np.empty(len(asked))
+        for lo in range(0, len(asked), LOOKUP_KEYS):
+            h = mix(asked[lo : lo + LOOKUP_KEYS].view(U))
+            at = start[(h >> U(64 - bits)).view(np.int64)]
+            off = np.flatnonzero(hashes[at] != h)
+            while len(off):
+                at[off] += 1
+                off = off[hashes[at[off]] != h[off]]
+            out[lo : lo + LOOKUP_KEYS] = values[at]
+        return out
+
+    return find
 
 
 # ------------------------------------------------------------------ blocks
@@ -178,9 +217,12 @@ def running_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(lengths + DEPTH) - lengths
     for back in range(1, DEPTH + 1):
         own[starts - back] = False
-    at = np.flatnonzero(own) - DEPTH
-    seen = window[at]
-    return ((seen & U((1 << 8 * DEPTH) - 1)) << U(8) | seen >> U(8 * DEPTH) & U(255)).view(np.int64), lengths
+    seen = window[: len(window) - DEPTH].copy()[own[DEPTH:]]
+    keys = (seen & U((1 << 8 * DEPTH) - 1)) << U(8)
+    seen >>= U(8 * DEPTH)
+    seen &= U(255)
+    keys |= seen
+    return keys.view(np.int64), lengths
 
 
 def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,6 +233,7 @@ def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
         if size >= BLOCK_BYTES:
             whole, held, size = pa.Table.from_batches(held).combine_chunks(), [], 0
+            del batch
             yield from whole.to_batches()
     if held:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
@@ -214,52 +257,92 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for number, batch in enumerate(text_batches(_filled(batches), "text", BLOCK_BYTES)):
         block, n = part << 24 | number, batch.num_rows
-        data, offsets = text_bytes(batch.column("text"))
-        start, end = word_spans(data, offsets)
-        word, text = hash_words(data, offsets)
         held = np.array(batch.column("held").to_pylist(), bool)
-        found, first, number_of = np.unique(word, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        said = [raw[a:b] for a, b in zip(start[first], end[first], strict=True)]
+        found, said, ids, tokens = _words(batch)
         # frequent words have small numbers; the end mark has the last one
-        times = np.bincount(number_of, minlength=len(found))
-        order = np.argsort(-times, kind="stable")
+        order = np.argsort(-np.bincount(ids, minlength=len(found)), kind="stable")
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        tokens = np.bincount(text, minlength=n)
-        ids = np.insert(rank[number_of], np.cumsum(tokens), len(order))
+        words = b"\n".join([said[i] for i in order.tolist()])
+        train = np.concatenate([[int((~held).sum())], np.bincount(ids[np.repeat(~held, tokens)], minlength=len(found))])
+        ids = np.insert(rank[ids], np.cumsum(tokens), len(order))
+        del said, order, rank
         yield rows(1, kind=[BLOCK], block=[block], doc_ids=[batch.column("doc_id").to_pylist()], held=[held], tokens=[tokens + 1],
-                   words=[zstandard.compress(b"\n".join(said[i] for i in order), 3)], ids=[_planes(ids, 4)])
+                   words=[zstandard.compress(words, 3)], ids=[_planes(ids, 4)])
         # hashes by bin, then by value
         hashes = np.concatenate([[END_HASH], found.view(np.int64)])
-        train = np.concatenate([[int((~held).sum())], np.bincount(number_of, (~held)[text], len(found)).astype(np.int64)])
         by = np.lexsort((hashes, hash_bins(hashes)))
         yield lists(WORDS, block, hash_bins(hashes)[by], hashes[by], train[by])
-        del data, raw, word, text, number_of, start, end
-        merged = _Merged()
-        for at, texts in _pieces([*(said[i] for i in order), END_WORD], ids, tokens + 1):
+        del found, hashes, train, by
+        merged = []
+        for at, texts in _pieces(words, ids, tokens + 1):
             keys, lengths = running_keys(texts)
-            coded, times = np.unique(keys << 1 | np.repeat(~held[at], lengths), return_counts=True)
-            keys, first = np.unique(coded >> 1, return_index=True)
-            merged.add(keys, np.add.reduceat(np.where(coded & 1, times, 0), first))
-        keys, weight = merged.sums()
+            merged.append(_counted(keys << 1 | np.repeat(~held[at], lengths)))
+        keys = _distinct(np.concatenate([own for own, _ in merged]))
+        weight = np.zeros(len(keys), np.int64)
+        for own, times in merged:
+            weight[np.searchsorted(keys, own)] += times
         bins = key_bins(keys)
         by = np.argsort(bins, kind="stable")
         yield lists(KEYS, block, bins[by], keys[by], weight[by])
 
 
-def _pieces(words: list[bytes], ids: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[slice, list[bytes]]]:
-    """Texts given as word numbers, end marks included, some at a time: (which, their bytes)."""
-    said = [w + b" " for w in words[:-1]] + words[-1:]
+def _numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(different numbers, which of them each is, a place of each)."""
+    coded = pa.array(x).dictionary_encode()
+    number, at = coded.indices.to_numpy(), np.empty(len(coded.dictionary), np.int64)
+    at[number] = np.arange(len(number))
+    return coded.dictionary.to_numpy(), number, at
+
+
+def _words(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(hashes of the different words, these words, the number of every word said, words of each text)."""
+    raw, hashes, spans, numbers, tokens, base = [], [], [], [], [], 0
+    for some in text_batches(iter([batch]), "text", PIECE_BYTES):
+        data, offsets = text_bytes(some.column("text"))
+        start, end = word_spans(data, offsets)
+        word, text = hash_words(data, offsets, (start, end))
+        found, number, at = _numbered(word)
+        raw.append(data.tobytes())
+        hashes.append(found)
+        spans.append((start[at] + base, end[at] + base))
+        numbers.append(number)
+        tokens.append(np.bincount(text, minlength=some.num_rows))
+        base += len(data)
+    found, number, at = _numbered(np.concatenate(hashes))
+    start, end = (np.concatenate(x)[at] for x in zip(*spans, strict=True))
+    data = b"".join(raw)
+    ids = np.concatenate([own[n] for own, n in zip(np.split(number, np.cumsum([len(x) for x in hashes[:-1]])), numbers, strict=True)])
+    return found, [data[a:z] for a, z in zip(start.tolist(), end.tolist(), strict=True)], ids, np.concatenate(tokens)
+
+
+def _counted(coded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys, sorted, and how often each counts, from keys whose lowest bit says whether they do."""
+    coded.sort()
+    first = _firsts(coded)
+    times = np.where(coded[first] & 1, np.diff(first, append=len(coded)), 0)
+    keys = coded[first] >> 1
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(times, first).astype(np.uint32 if len(coded) < 1 << 32 else np.int64)
+
+
+def _pieces(words: bytes, ids: np.ndarray, tokens: np.ndarray) -> Iterator[tuple[slice, list[bytes]]]:
+    """Texts given as numbers of the lines of ``words`` or, for the end mark, of the line behind, some at a time:
+    (which, their bytes)."""
+    said = (words + b"\n").replace(b"\n", b" ") + END_WORD if words else END_WORD
+    offsets = np.flatnonzero(np.frombuffer(b"\n" + words + b"\n\n" if words else b"\n\n", np.uint8) == ord(b"\n"))
+    sizes = np.diff(offsets)
+    said = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(said)])
     ends = np.cumsum(tokens)
-    sizes = np.array([len(w) for w in said], np.int64)
     begin = ends - tokens
     bytes_to = np.cumsum(np.add.reduceat(sizes[ids], begin)) if len(ids) else ends
     at = 0
     while at < len(tokens):
-        base = bytes_to[at - 1] if at else 0
+        base = int(bytes_to[at - 1]) if at else 0
         end = max(at + 1, int(np.searchsorted(bytes_to, base + PIECE_BYTES, side="right")))
-        yield slice(at, end), [b"".join([said[i] for i in ids[a:z].tolist()]) for a, z in zip(begin[at:end], ends[at:end], strict=True)]
+        raw = said.take(pa.array(ids[begin[at] : ends[end - 1]])).buffers()[2].to_pybytes()
+        cuts = [0, *(bytes_to[at:end] - base).tolist()]
+        yield slice(at, end), [raw[a:z] for a, z in zip(cuts[:-1], cuts[1:], strict=True)]
         at = end
 
 
@@ -291,10 +374,11 @@ class _Merged:
             self.held = len(self.parts[0][0]) // 2  # gather as much again
 
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([k for k, _ in self.parts]), return_inverse=True)
-        weights = np.concatenate([w for _, w in self.parts])
-        order = np.argsort(at, kind="stable")
-        return keys, np.add.reduceat(weights[order], np.searchsorted(at[order], np.arange(len(keys))))
+        keys, weights = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = _firsts(keys)
+        return keys[first], np.add.reduceat(weights[order], first)
 
 
 def _merging(emit: Callable[[int, np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]) -> Callable:
@@ -445,21 +529,18 @@ def _document_scores(n_train: int, v: int) -> Callable:
                for k in (KEYS, WORDS)}
         tokens = np.array(block["tokens"], np.int64)
         ids = _numbers(block["ids"], 4).view(np.int64)
-        words = zstandard.decompress(block["words"]).split(b"\n") if len(tokens) < len(ids) else []
+        words = zstandard.decompress(block["words"])
         # counts came in the order of the words' hashes within their bins, the end mark's among them
         hashes = np.concatenate([_word_hashes(words), [END_HASH]])
         c = np.empty(len(hashes), np.int64)
         c[np.lexsort((hashes, hash_bins(hashes)))] = np.concatenate([_numbers(x).view(np.int64) for x in got[WORDS]])
-        parts = []
-        for _, texts in _pieces([*words, END_WORD], ids, tokens):
-            keys, lengths = running_keys(texts)
-            own, at = np.unique(keys, return_inverse=True)
-            parts.append((own, at.astype(np.int32), lengths))
-        distinct = np.unique(np.concatenate([own for own, _, _ in parts]))
-        p = np.empty(len(distinct))
-        p[np.argsort(key_bins(distinct), kind="stable")] = np.concatenate([unpack_logs(x) for x in got[KEYS]])
-        scores = np.concatenate([np.add.reduceat(p[np.searchsorted(distinct, own)][at], np.cumsum(n) - n) for own, at, n in parts])
-        lengths = np.concatenate([n for _, _, n in parts])
+        keys = _distinct(np.concatenate([_distinct(running_keys(texts)[0]) for _, texts in _pieces(words, ids, tokens)]))
+        p = np.empty(len(keys))
+        p[np.argsort(key_bins(keys), kind="stable")] = np.concatenate([unpack_logs(x) for x in got[KEYS]])
+        find, scores, lengths = lookup(keys, p), np.empty(len(tokens)), np.empty(len(tokens), np.int64)
+        for at, texts in _pieces(words, ids, tokens):
+            keys, lengths[at] = running_keys(texts)
+            scores[at] = np.add.reduceat(find(keys), np.cumsum(lengths[at]) - lengths[at])
         begin = np.cumsum(tokens) - tokens
         base = np.add.reduceat(np.log10((c + 1.0) / (n_train + 1.0 * (v + 1)))[ids], begin)
         known = np.add.reduceat((c > 0).astype(np.int64)[ids], begin)
@@ -471,9 +552,9 @@ def _document_scores(n_train: int, v: int) -> Callable:
     return score
 
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    column = pa.array([b" ".join(words)], pa.large_binary()).cast(pa.large_string(), safe=False)
-    return hash_words(*text_bytes(column))[0].view(np.int64) if words else np.zeros(0, np.int64)
+def _word_hashes(words: bytes) -> np.ndarray:
+    column = pa.array([words], pa.large_binary()).cast(pa.large_string(), safe=False)
+    return hash_words(*text_bytes(column))[0].view(np.int64)
 
 
 def held_out(doc_id: Column) -> Column:

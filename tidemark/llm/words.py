@@ -91,9 +91,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(64-bit hash, text number) of every word, in order."""
-    starts, ends = word_spans(data, offsets)
+def hash_words(data: np.ndarray, offsets: np.ndarray, spans: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, text number) of every word, in order; ``spans`` as ``word_spans`` gives them, if known."""
+    starts, ends = spans or word_spans(data, offsets)
     out = np.empty(len(starts), U)
     # a text's end separates words as white space does
     space = _SPACE[data]
